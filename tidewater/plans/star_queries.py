@@ -24,8 +24,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import age_years, clean_category, log_target
+from ..operators.baselines import (add_age_bin, fit_predict_group_median, global_median, group_medians)
 from ..operators.features import add_rate_features
 from ..operators.lookback import lookback_aggregate
+from ..operators.split import iso_date, split_stats, time_cutoff, time_split
+from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, histogram,
+                               regression_metrics, top_n)
 from ..sources.readers import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +170,272 @@ def lookback_rates(spark, sf):
         cols += [r6(F.col(f"{w}_{n}")).alias(f"{w}_{n}") for n in _RATE_NAMES]
         cols.append(F.col(f"{w}_played_any_minutes"))
     return lb.select("o_orderkey", *cols)
+
+
+# ---------------------------------------------------------------------------
+# Model rows: anchors ⟕ entity attributes, tenure "age", log target
+# ---------------------------------------------------------------------------
+
+AGE_EDGES = [0, 1, 2, 3, 4, 5, 100]   # tenure years; the reference bins ages with [0, 18, …, 100)
+GROUP_KEYS = ["position", "age_bin"]
+
+
+def model_base(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with customer label, nation, tenure age, bin and log target."""
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
+    n = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    first = o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_date"))
+    df = (o.join(first, "o_custkey", "left")
+          .join(c, o["o_custkey"] == c["c_custkey"], "left")
+          .join(n, c["c_nationkey"] == n["n_nationkey"], "left"))
+    df = df.select(
+        "o_orderkey", "o_custkey",
+        F.to_date("o_orderdate").alias("anchor_date"),
+        F.col("o_totalprice").alias("value"),
+        log_target("o_totalprice").alias("target_log"),
+        clean_category("c_mktsegment").alias("position"),
+        clean_category("n_name").alias("nationality"),
+        age_years("o_orderdate", "first_date").alias("age"),
+    )
+    return add_age_bin(df, "age", AGE_EDGES)
+
+
+_CUTOFFS: dict[str, object] = {}
+
+
+def cutoff_for(spark: SparkSession, sf: str):
+    """E5 cutoff of the model rows (memoised per input folder: the tables are read-only)."""
+    if sf not in _CUTOFFS:
+        _CUTOFFS[sf] = time_cutoff(model_base(spark, sf).select("anchor_date"), "anchor_date", 0.8)
+    return _CUTOFFS[sf]
+
+
+def split_frames(spark: SparkSession, sf: str):
+    base = model_base(spark, sf)
+    train, test, cutoff = time_split(base, "anchor_date", cutoff=cutoff_for(spark, sf))
+    return train, test, cutoff
+
+
+def scored(spark: SparkSession, sf: str, side: str = "test") -> DataFrame:
+    """Rows of one side with the position × age-bin median prediction (G11) and EUR errors."""
+    train, test, _ = split_frames(spark, sf)
+    pred = fit_predict_group_median(train, train if side == "train" else test, "target_log", GROUP_KEYS)
+    return add_error_columns(pred, "pred_log", "value")
+
+
+def _age_bin_sql(col: str = "age") -> str:
+    parts = [f"WHEN {col} >= {AGE_EDGES[i]} AND {col} < {AGE_EDGES[i + 1]} THEN {i}" for i in range(len(AGE_EDGES) - 1)]
+    return "CASE " + " ".join(parts) + " END"
+
+
+BASE_SQL = f"""
+  base0 AS (
+    SELECT o.o_orderkey, o.o_custkey, CAST(o.o_orderdate AS DATE) AS anchor_date, o.o_totalprice AS value,
+           ln(1 + o.o_totalprice) AS target_log,
+           regexp_replace(COALESCE(c.c_mktsegment, 'Unknown'), '^\\s+|\\s+$', '', 'g') AS position,
+           regexp_replace(COALESCE(n.n_name, 'Unknown'), '^\\s+|\\s+$', '', 'g') AS nationality,
+           date_diff('day', CAST(fo.first_date AS DATE), CAST(o.o_orderdate AS DATE)) / 365.25 AS age
+    FROM orders o
+    LEFT JOIN (SELECT o_custkey, MIN(o_orderdate) AS first_date FROM orders GROUP BY o_custkey) fo
+           ON fo.o_custkey = o.o_custkey
+    LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+    LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey),
+  base AS (SELECT *, {_age_bin_sql()} AS age_bin FROM base0),
+  ranked AS (SELECT anchor_date, row_number() OVER (ORDER BY anchor_date) - 1 AS rn FROM base),
+  cut AS (SELECT anchor_date AS cutoff FROM ranked
+          WHERE rn = (SELECT CAST(FLOOR(COUNT(*) * CAST(0.8 AS DOUBLE)) AS BIGINT) FROM base)),
+  train AS (SELECT base.* FROM base, cut WHERE anchor_date < cutoff),
+  test AS (SELECT base.* FROM base, cut WHERE anchor_date >= cutoff),
+  gmed AS (SELECT median(target_log) AS m FROM train),
+  grp AS (SELECT position, age_bin, median(target_log) AS pred_log FROM train
+          WHERE position IS NOT NULL AND age_bin IS NOT NULL GROUP BY position, age_bin)"""
+
+
+def _scored_sql(side: str) -> str:
+    return f"""
+  {side}_pred AS (
+    SELECT t.*, COALESCE(g.pred_log, gmed.m) AS pred_log FROM {side} t CROSS JOIN gmed
+    LEFT JOIN grp g ON g.position = t.position AND g.age_bin = t.age_bin),
+  {side}_err AS (
+    SELECT *, GREATEST(exp(pred_log) - 1, 0) AS pred_eur, GREATEST(value, 0) AS actual_eur,
+           GREATEST(exp(pred_log) - 1, 0) - GREATEST(value, 0) AS signed_err_eur,
+           abs(GREATEST(exp(pred_log) - 1, 0) - GREATEST(value, 0)) AS abs_err_eur
+    FROM {side}_pred)"""
+
+
+SCORED_SQL = "WITH " + BASE_SQL.strip() + "," + _scored_sql("test") + "," + _scored_sql("train")
+
+
+def r4(c):
+    return F.round(c, 4)
+
+
+# ---------------------------------------------------------------------------
+# Valid-row view and its count
+# ---------------------------------------------------------------------------
+
+@register("model_rows_count", """
+SELECT CAST(COUNT(*) AS BIGINT) AS n_rows FROM orders WHERE o_totalprice IS NOT NULL AND o_totalprice >= 0
+""")
+def model_rows_count(spark, sf):
+    o = read_table(spark, sf, "orders", ["o_totalprice"])
+    view = o.where(F.col("o_totalprice").isNotNull() & (F.col("o_totalprice") >= 0))
+    view.createOrReplaceTempView("v_model_rows")
+    return spark.sql("SELECT COUNT(*) AS n_rows FROM v_model_rows")
+
+
+# ---------------------------------------------------------------------------
+# Time split
+# ---------------------------------------------------------------------------
+
+@register("time_split", "WITH " + BASE_SQL.strip() + """
+SELECT cutoff AS cutoff_date,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM train) AS n_train,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM test) AS n_test
+FROM cut
+""")
+def time_split_query(spark, sf):
+    train, test, cutoff = split_frames(spark, sf)
+    n_train = train.agg(F.count(F.lit(1)).alias("n_train"))
+    n_test = test.agg(F.count(F.lit(1)).alias("n_test"))
+    return n_train.join(n_test, how="inner").select(F.lit(cutoff).alias("cutoff_date"), "n_train", "n_test")
+
+
+@register("split_stats", "WITH " + BASE_SQL.strip() + """
+SELECT CASE WHEN anchor_date < cutoff THEN 'train' ELSE 'test' END AS side,
+       CAST(COUNT(*) AS BIGINT) AS n, MIN(anchor_date) AS date_min, MAX(anchor_date) AS date_max
+FROM base, cut GROUP BY 1
+""")
+def split_stats_query(spark, sf):
+    return split_stats(model_base(spark, sf), "anchor_date", cutoff_for(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# baselines
+# ---------------------------------------------------------------------------
+
+@register("group_median_table", "WITH " + BASE_SQL.strip() + """
+SELECT position, age_bin, ROUND(pred_log, 6) AS median_target_log FROM grp
+""")
+def group_median_table(spark, sf):
+    train, _, _ = split_frames(spark, sf)
+    return group_medians(train, "target_log", GROUP_KEYS, out="m").select(
+        "position", "age_bin", r6(F.col("m")).alias("median_target_log"))
+
+
+@register("baseline_metrics", SCORED_SQL + """
+SELECT 'global_median' AS model,
+       ROUND(sqrt(avg(pow(gmed.m - target_log, 2))), 6) AS rmse_log,
+       ROUND(avg(abs(gmed.m - target_log)), 6) AS mae_log,
+       ROUND(avg(abs((exp(gmed.m) - 1) - (exp(target_log) - 1))), 4) AS mae_eur
+FROM test CROSS JOIN gmed
+UNION ALL
+SELECT 'position_age_median' AS model,
+       ROUND(sqrt(avg(pow(pred_log - target_log, 2))), 6) AS rmse_log,
+       ROUND(avg(abs(pred_log - target_log)), 6) AS mae_log,
+       ROUND(avg(abs((exp(pred_log) - 1) - (exp(target_log) - 1))), 4) AS mae_eur
+FROM test_pred
+""")
+def baseline_metrics(spark, sf):
+    train, test, _ = split_frames(spark, sf)
+    m = global_median(train, "target_log")
+    g = regression_metrics(test.withColumn("pred_log", F.lit(m)), "target_log", "pred_log")
+    pa = regression_metrics(fit_predict_group_median(train, test, "target_log", GROUP_KEYS), "target_log", "pred_log")
+
+    def fmt(df, name):
+        return df.select(F.lit(name).alias("model"), r6(F.col("rmse_log")).alias("rmse_log"),
+                         r6(F.col("mae_log")).alias("mae_log"), r4(F.col("mae_eur")).alias("mae_eur"))
+    return fmt(g, "global_median").unionByName(fmt(pa, "position_age_median"))
+
+
+# ---------------------------------------------------------------------------
+# Error analysis on the test side
+# ---------------------------------------------------------------------------
+
+@register("error_summary", SCORED_SQL + """
+SELECT CAST(COUNT(*) AS BIGINT) AS n_test_rows, CAST((SELECT cutoff FROM cut) AS VARCHAR) AS cutoff_date,
+       ROUND(avg(abs_err_eur), 4) AS mae_eur, ROUND(median(abs_err_eur), 4) AS median_abs_err_eur,
+       ROUND(avg(signed_err_eur), 4) AS mean_signed_err_eur
+FROM test_err
+""")
+def error_summary_query(spark, sf):
+    s = error_summary(scored(spark, sf))
+    return s.select("n_test_rows", F.lit(iso_date(cutoff_for(spark, sf))).alias("cutoff_date"),
+                    r4(F.col("mae_eur")).alias("mae_eur"), r4(F.col("median_abs_err_eur")).alias("median_abs_err_eur"),
+                    r4(F.col("mean_signed_err_eur")).alias("mean_signed_err_eur"))
+
+
+def _by_group_sql(col: str) -> str:
+    return SCORED_SQL + f"""
+SELECT {col}, CAST(COUNT(actual_eur) AS BIGINT) AS n, ROUND(avg(abs_err_eur), 4) AS mae_eur,
+       ROUND(median(abs_err_eur), 4) AS median_abs_err, ROUND(avg(signed_err_eur), 4) AS mean_signed_err
+FROM test_err GROUP BY {col}
+"""
+
+
+def _by_group(spark, sf, col):
+    g = error_by_group(scored(spark, sf), col)
+    return g.select(col, "n", *[r4(F.col(c)).alias(c) for c in ["mae_eur", "median_abs_err", "mean_signed_err"]])
+
+
+@register("error_by_position", _by_group_sql("position"))
+def error_by_position(spark, sf):
+    return _by_group(spark, sf, "position")
+
+
+@register("error_by_league", _by_group_sql("nationality"))
+def error_by_league(spark, sf):
+    return _by_group(spark, sf, "nationality")
+
+
+_TOP_COLS = "o_orderkey, anchor_date, position, nationality"
+
+
+@register("top_errors", SCORED_SQL + f"""
+SELECT * FROM (
+  (SELECT 'over' AS kind, {_TOP_COLS}, ROUND(actual_eur, 4) AS actual_eur, ROUND(pred_eur, 4) AS pred_eur,
+          ROUND(signed_err_eur, 4) AS signed_err_eur, ROUND(abs_err_eur, 4) AS abs_err_eur
+   FROM test_err ORDER BY signed_err_eur DESC, o_orderkey LIMIT 50)
+  UNION ALL
+  (SELECT 'under' AS kind, {_TOP_COLS}, ROUND(actual_eur, 4) AS actual_eur, ROUND(pred_eur, 4) AS pred_eur,
+          ROUND(signed_err_eur, 4) AS signed_err_eur, ROUND(abs_err_eur, 4) AS abs_err_eur
+   FROM test_err ORDER BY signed_err_eur ASC, o_orderkey LIMIT 50))
+""")
+def top_errors(spark, sf):
+    s = scored(spark, sf)
+    cols = ["o_orderkey", "anchor_date", "position", "nationality"]
+    vals = [r4(F.col(c)).alias(c) for c in ["actual_eur", "pred_eur", "signed_err_eur", "abs_err_eur"]]
+    over = top_n(s, "signed_err_eur", 50, True, ["o_orderkey"]).select(F.lit("over").alias("kind"), *cols, *vals)
+    under = top_n(s, "signed_err_eur", 50, False, ["o_orderkey"]).select(F.lit("under").alias("kind"), *cols, *vals)
+    return over.unionByName(under)
+
+
+def _deciles_sql(pred: str, source: str) -> str:
+    return f"""
+  edges AS (SELECT DISTINCT unnest(quantile_cont({pred}, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])) AS e
+            FROM {source}),
+  binned AS (SELECT s.*, GREATEST((SELECT COUNT(*) FROM edges WHERE edges.e < s.{pred}) - 1, 0) AS decile
+             FROM {source} s)"""
+
+
+@register("calibration_deciles", SCORED_SQL + "," + _deciles_sql("pred_eur", "test_err") + """
+SELECT CAST(decile AS INTEGER) AS decile, ROUND(avg(pred_eur), 4) AS pred_mean,
+       ROUND(avg(actual_eur), 4) AS actual_mean, CAST(COUNT(actual_eur) AS BIGINT) AS n
+FROM binned GROUP BY decile
+""")
+def calibration_deciles(spark, sf):
+    cal = calibration_table(scored(spark, sf), "pred_eur", "actual_eur", 10)
+    return cal.select("decile", r4(F.col("pred_mean")).alias("pred_mean"),
+                      r4(F.col("actual_mean")).alias("actual_mean"), "n")
+
+
+@register("residual_histogram", SCORED_SQL + """,
+  r AS (SELECT pred_log - target_log AS resid FROM test_pred),
+  mm AS (SELECT min(resid) AS lo, max(resid) AS hi FROM r)
+SELECT CAST(LEAST(FLOOR((resid - lo) / (hi - lo) * 60), 59) AS INTEGER) AS bin, CAST(COUNT(*) AS BIGINT) AS n
+FROM r CROSS JOIN mm GROUP BY 1
+""")
+def residual_histogram(spark, sf):
+    s = scored(spark, sf).withColumn("resid", F.col("pred_log") - F.col("target_log"))
+    return histogram(s, "resid", 60).select("bin", "n")
