@@ -26,11 +26,14 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import age_years, clean_category, log_target
 from ..operators.baselines import (add_age_bin, fit_predict_group_median, global_median, group_medians)
-from ..operators.features import add_rate_features
+from ..operators.features import add_rate_features, category_counts, collapse_rare_categories
+from ..operators.groups import attach_names, clean_games, group_performance, missing_keys, patched_dimension
+from ..operators.profiling import null_counts, null_fraction_top, null_stats, profile_tables
 from ..operators.lookback import lookback_aggregate
 from ..operators.split import iso_date, split_stats, time_cutoff, time_split
-from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, histogram,
-                               regression_metrics, top_n)
+from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, group_smearing,
+                               histogram, regression_metrics, top_n)
+from .diagnostics import global_bias_correction, groupwise_bias_correction, prediction_intervals
 from ..sources.readers import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -439,3 +442,266 @@ FROM r CROSS JOIN mm GROUP BY 1
 def residual_histogram(spark, sf):
     s = scored(spark, sf).withColumn("resid", F.col("pred_log") - F.col("target_log"))
     return histogram(s, "resid", 60).select("bin", "n")
+
+
+# ---------------------------------------------------------------------------
+# Smearing bias corrections
+# ---------------------------------------------------------------------------
+
+_SMEAR_SQL = SCORED_SQL + """,
+  sm AS (SELECT avg(exp(target_log - pred_log)) AS s FROM train_pred),
+  gs AS (SELECT nationality, avg(exp(target_log - pred_log)) AS s FROM train_pred
+         WHERE nationality IS NOT NULL GROUP BY nationality)"""
+
+
+def _variant_sql(variants: str, extra: str = "") -> str:
+    return _SMEAR_SQL + f""",
+  v AS ({variants})
+SELECT variant, ROUND(avg(abs(p - actual_eur)), 4) AS mae_eur, ROUND(median(abs(p - actual_eur)), 4) AS median_abs_err_eur,
+       ROUND(avg(p - actual_eur), 4) AS mean_signed_err_eur{extra}
+FROM v GROUP BY variant
+"""
+
+
+def _variants_out(df):
+    return df.select("variant", *[r4(F.col(c)).alias(c) for c in
+                                  ["mae_eur", "median_abs_err_eur", "mean_signed_err_eur"]])
+
+
+@register("smearing_global", _variant_sql(
+    "SELECT 'baseline' AS variant, actual_eur, pred_eur AS p FROM test_err UNION ALL "
+    "SELECT 'bias_corrected' AS variant, actual_eur, GREATEST(pred_eur * sm.s, 0) AS p FROM test_err CROSS JOIN sm",
+    ", ROUND((SELECT s FROM sm), 6) AS smearing_factor"))
+def smearing_global(spark, sf):
+    s, comp, _, _ = global_bias_correction(scored(spark, sf, "train"), scored(spark, sf), actual="value")
+    return _variants_out(comp).withColumn("smearing_factor", F.round(F.lit(s), 6))
+
+
+@register("calibration_bias_corrected", _SMEAR_SQL + """,
+  bc AS (SELECT GREATEST(pred_eur * sm.s, 0) AS pred_bc, actual_eur FROM test_err CROSS JOIN sm),""" +
+          _deciles_sql("pred_bc", "bc").rstrip() + """
+SELECT CAST(decile AS INTEGER) AS decile, ROUND(avg(pred_bc), 4) AS pred_mean,
+       ROUND(avg(actual_eur), 4) AS actual_mean, CAST(COUNT(actual_eur) AS BIGINT) AS n
+FROM binned GROUP BY decile
+""")
+def calibration_bias_corrected(spark, sf):
+    _, _, cal, _ = global_bias_correction(scored(spark, sf, "train"), scored(spark, sf), actual="value")
+    return cal.select("decile", r4(F.col("pred_mean")).alias("pred_mean"),
+                      r4(F.col("actual_mean")).alias("actual_mean"), "n")
+
+
+@register("groupwise_smearing_factors", _SMEAR_SQL + """
+SELECT nationality, ROUND(s, 6) AS smearing_factor FROM gs
+""")
+def groupwise_smearing_factors(spark, sf):
+    t = group_smearing(scored(spark, sf, "train"), "nationality", "target_log", "pred_log")
+    return t.select("nationality", r6(F.col("smearing_factor")).alias("smearing_factor"))
+
+
+@register("smearing_groupwise", _variant_sql(
+    "SELECT 'baseline' AS variant, actual_eur, pred_eur AS p FROM test_err UNION ALL "
+    "SELECT 'groupwise_bias_corrected' AS variant, t.actual_eur, GREATEST(t.pred_eur * COALESCE(gs.s, sm.s), 0) AS p "
+    "FROM test_err t LEFT JOIN gs ON gs.nationality = t.nationality CROSS JOIN sm",
+    ", ROUND((SELECT s FROM sm), 6) AS global_fallback_smearing"))
+def smearing_groupwise(spark, sf):
+    s, _, comp, _, _ = groupwise_bias_correction(scored(spark, sf, "train"), scored(spark, sf),
+                                                 group="nationality", actual="value")
+    return _variants_out(comp).withColumn("global_fallback_smearing", F.round(F.lit(s), 6))
+
+
+# ---------------------------------------------------------------------------
+# Residual-quantile prediction intervals
+# ---------------------------------------------------------------------------
+
+_INTERVAL_SQL = SCORED_SQL + """,
+  q AS (SELECT quantile_cont(target_log - pred_log, 0.1) AS q10, quantile_cont(target_log - pred_log, 0.5) AS q50,
+               quantile_cont(target_log - pred_log, 0.9) AS q90 FROM train_pred),
+  iv AS (SELECT t.o_orderkey, GREATEST(exp(pred_log + q10) - 1, 0) AS pred_eur_lower,
+                GREATEST(exp(pred_log + q50) - 1, 0) AS pred_eur_median,
+                GREATEST(exp(pred_log + q90) - 1, 0) AS pred_eur_upper, GREATEST(value, 0) AS actual_eur
+         FROM test_pred t CROSS JOIN q)"""
+
+
+@register("prediction_intervals", _INTERVAL_SQL + """
+SELECT ROUND(q10, 6) AS q10, ROUND(q50, 6) AS q50, ROUND(q90, 6) AS q90,
+       CAST((SELECT COUNT(*) FROM iv) AS BIGINT) AS n_test,
+       ROUND((SELECT avg(CASE WHEN actual_eur >= pred_eur_lower AND actual_eur <= pred_eur_upper THEN 1.0 ELSE 0.0 END)
+              FROM iv), 6) AS empirical_coverage,
+       0.8 AS target_coverage, '10-90' AS "interval"
+FROM q
+""")
+def prediction_intervals_query(spark, sf):
+    _, summary, _ = prediction_intervals(scored(spark, sf, "train"), scored(spark, sf), actual="value")
+    return summary.select(r6(F.col("q10")).alias("q10"), r6(F.col("q50")).alias("q50"), r6(F.col("q90")).alias("q90"),
+                          "n_test", r6(F.col("empirical_coverage")).alias("empirical_coverage"),
+                          "target_coverage", "interval")
+
+
+@register("interval_rows", _INTERVAL_SQL + """
+SELECT o_orderkey, ROUND(pred_eur_lower, 4) AS pred_eur_lower, ROUND(pred_eur_median, 4) AS pred_eur_median,
+       ROUND(pred_eur_upper, 4) AS pred_eur_upper, ROUND(actual_eur, 4) AS actual_eur
+FROM iv
+""")
+def interval_rows(spark, sf):
+    _, _, rows = prediction_intervals(scored(spark, sf, "train"), scored(spark, sf), actual="value")
+    return rows.select("o_orderkey", *[r4(F.col(c)).alias(c) for c in
+                                       ["pred_eur_lower", "pred_eur_median", "pred_eur_upper", "actual_eur"]])
+
+
+# ---------------------------------------------------------------------------
+# Group performance with a lookup
+# ---------------------------------------------------------------------------
+
+PATCH_KEYS = [81, 82, 83]      # keys known to be missing from the restricted dimension
+
+
+def _games(spark, sf):
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity", "l_linenumber", "l_returnflag"])
+    g = clean_games(li.select(F.col("l_suppkey").alias("club_id"), F.col("l_orderkey").alias("game_id"),
+                              F.col("l_quantity").alias("own_goals"), F.col("l_linenumber").alias("opponent_goals"),
+                              (F.col("l_returnflag") == "R").cast("int").alias("is_win")),
+                    ["club_id", "game_id"], ["own_goals", "opponent_goals"])
+    return g
+
+
+def _perf(spark, sf):
+    return group_performance(_games(spark, sf), "club_id", "game_id", "own_goals", "opponent_goals", "is_win")
+
+
+def _dim(spark, sf):
+    s = read_table(spark, sf, "supplier", ["s_suppkey", "s_name"]).where(F.col("s_suppkey") <= 80)
+    return patched_dimension(s.select(F.col("s_suppkey").alias("club_id"), F.col("s_name").alias("name")),
+                             "club_id", "name", PATCH_KEYS)
+
+
+_PERF_SQL = """
+WITH perf AS (
+  SELECT l_suppkey AS club_id, CAST(COUNT(l_orderkey) AS BIGINT) AS games_played,
+         CAST(SUM(CAST(TRUNC(l_quantity) AS INTEGER)) AS BIGINT) AS goals_scored,
+         CAST(SUM(l_linenumber) AS BIGINT) AS goals_conceded,
+         CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS wins
+  FROM lineitem WHERE l_suppkey IS NOT NULL AND l_orderkey IS NOT NULL GROUP BY l_suppkey),
+dim AS (SELECT s_suppkey AS club_id, s_name AS name FROM supplier WHERE s_suppkey <= 80
+        UNION ALL SELECT k AS club_id, 'Club ' || CAST(k AS VARCHAR) AS name FROM (VALUES (81), (82), (83)) t(k))"""
+
+
+@register("group_performance", _PERF_SQL + """
+SELECT club_id, games_played, goals_scored, goals_conceded, wins,
+       ROUND(CAST(wins AS DOUBLE) / games_played * 100, 6) AS win_rate FROM perf
+""")
+def group_performance_query(spark, sf):
+    p = _perf(spark, sf)
+    return p.select("club_id", "games_played", "goals_scored", "goals_conceded", "wins",
+                    r6(F.col("win_rate")).alias("win_rate"))
+
+
+@register("named_top_groups", _PERF_SQL + """
+SELECT p.club_id, COALESCE(d.name, 'Unknown Club') AS name, ROUND(CAST(wins AS DOUBLE) / games_played * 100, 6) AS win_rate
+FROM perf p LEFT JOIN dim d ON d.club_id = p.club_id
+ORDER BY win_rate DESC, p.club_id LIMIT 10
+""")
+def named_top_groups(spark, sf):
+    named = attach_names(_perf(spark, sf), _dim(spark, sf), "club_id", "name")
+    return top_n(named, "win_rate", 10, True, ["club_id"]).select(
+        "club_id", "name", r6(F.col("win_rate")).alias("win_rate"))
+
+
+@register("missing_keys", _PERF_SQL + """
+SELECT DISTINCT p.club_id FROM perf p WHERE p.club_id NOT IN (SELECT club_id FROM dim)
+""")
+def missing_keys_query(spark, sf):
+    return missing_keys(_perf(spark, sf), _dim(spark, sf), "club_id")
+
+
+# ---------------------------------------------------------------------------
+# Rare-category collapse
+# ---------------------------------------------------------------------------
+
+@register("collapse_categories", """
+WITH lp AS (SELECT regexp_replace(COALESCE(p.p_brand, 'Unknown'), '^\\s+|\\s+$', '', 'g') AS p_brand,
+                   regexp_replace(COALESCE(p.p_type, 'Unknown'), '^\\s+|\\s+$', '', 'g') AS p_type
+            FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+  b AS (SELECT p_brand AS v, row_number() OVER (ORDER BY COUNT(*) DESC, p_brand) AS rk FROM lp GROUP BY p_brand),
+  t AS (SELECT p_type AS v, row_number() OVER (ORDER BY COUNT(*) DESC, p_type) AS rk FROM lp GROUP BY p_type)
+SELECT CASE WHEN p_brand IN (SELECT v FROM b WHERE rk <= 10) THEN p_brand ELSE 'Other' END AS p_brand,
+       CASE WHEN p_type IN (SELECT v FROM t WHERE rk <= 3) THEN p_type ELSE 'Other' END AS p_type,
+       CAST(COUNT(*) AS BIGINT) AS n
+FROM lp GROUP BY 1, 2
+""")
+def collapse_categories(spark, sf):
+    li = read_table(spark, sf, "lineitem", ["l_partkey"])
+    p = read_table(spark, sf, "part", ["p_partkey", "p_brand", "p_type"])
+    lp = li.join(p, li["l_partkey"] == p["p_partkey"], "inner").select("p_brand", "p_type")
+    c = collapse_rare_categories(lp, {"p_brand": 10, "p_type": 3})
+    return c.groupBy("p_brand", "p_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("category_counts", """
+SELECT regexp_replace(COALESCE(n.n_name, 'Unknown'), '^\\s+|\\s+$', '', 'g') AS nationality, CAST(COUNT(*) AS BIGINT) AS n
+FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey GROUP BY 1
+""")
+def category_counts_query(spark, sf):
+    c = read_table(spark, sf, "customer", ["c_nationkey"])
+    n = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select(F.col("n_name").alias("nationality"))
+    return category_counts(j, "nationality")
+
+
+# ---------------------------------------------------------------------------
+# profiling
+# ---------------------------------------------------------------------------
+
+def _docs_labels(spark, sf):
+    d = read_table(spark, sf, "documents", ["doc_id", "lang", "source", "n_chars"])
+    lab = read_table(spark, sf, "labels", ["doc_id", "quality", "toxic"])
+    return d.join(lab, "doc_id", "left")
+
+
+_DL_SQL = """
+WITH dl AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+            FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+  nc AS (SELECT * FROM (
+    SELECT 'doc_id' AS "column", COUNT(*) - COUNT(doc_id) AS null_count, COUNT(*) AS n FROM dl UNION ALL
+    SELECT 'lang', COUNT(*) - COUNT(lang), COUNT(*) FROM dl UNION ALL
+    SELECT 'source', COUNT(*) - COUNT(source), COUNT(*) FROM dl UNION ALL
+    SELECT 'n_chars', COUNT(*) - COUNT(n_chars), COUNT(*) FROM dl UNION ALL
+    SELECT 'quality', COUNT(*) - COUNT(quality), COUNT(*) FROM dl UNION ALL
+    SELECT 'toxic', COUNT(*) - COUNT(toxic), COUNT(*) FROM dl))"""
+
+
+@register("null_profile", _DL_SQL + """
+SELECT "column", ROUND(CAST(null_count AS DOUBLE) / n, 3) AS null_pct FROM nc
+ORDER BY null_pct DESC, "column" LIMIT 10
+""")
+def null_profile(spark, sf):
+    return null_fraction_top(_docs_labels(spark, sf), 10, 3)
+
+
+@register("null_counts", _DL_SQL + """
+SELECT "column", CAST(null_count AS BIGINT) AS null_count FROM nc WHERE null_count > 0
+""")
+def null_counts_query(spark, sf):
+    return null_counts(_docs_labels(spark, sf))
+
+
+@register("sparse_columns", _DL_SQL + """
+SELECT "column", ROUND(CAST(null_count AS DOUBLE) / n, 6) AS null_ratio FROM nc WHERE CAST(null_count AS DOUBLE) / n > 0.5
+""")
+def sparse_columns_query(spark, sf):
+    s = null_stats(_docs_labels(spark, sf))
+    return s.where(F.col("null_ratio") > 0.5).select("column", r6(F.col("null_ratio")).alias("null_ratio"))
+
+
+_ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+               "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def _table_profile_sql() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS \"table\", CAST(COUNT(*) AS BIGINT) AS rows, "
+        f"CAST((SELECT COUNT(*) FROM (DESCRIBE {t})) AS INTEGER) AS cols FROM {t}" for t in _ALL_TABLES)
+
+
+@register("table_profile", _table_profile_sql())
+def table_profile(spark, sf):
+    return profile_tables(spark, [(t, read_table(spark, sf, t)) for t in _ALL_TABLES])
