@@ -24,7 +24,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import age_years, clean_category, log_target
+from ..functions.scalar import (age_years, clean_category, completed_years, exact_label_map, full_name,
+                                keyword_bucket, log_target, null_outside, substring_label_map, three_way_bucket)
+from ..operators.cleaning import FOOT_EXACT, FOOT_SUBSTRING, POSITION_RULES, add_age_at_anchor
+from ..operators.model import fit_preprocessing
 from ..operators.baselines import (add_age_bin, fit_predict_group_median, global_median, group_medians)
 from ..operators.features import add_rate_features, category_counts, collapse_rare_categories
 from ..operators.groups import attach_names, clean_games, group_performance, missing_keys, patched_dimension
@@ -705,3 +708,160 @@ def _table_profile_sql() -> str:
 @register("table_profile", _table_profile_sql())
 def table_profile(spark, sf):
     return profile_tables(spark, [(t, read_table(spark, sf, t)) for t in _ALL_TABLES])
+
+
+# ---------------------------------------------------------------------------
+# Cleaning expressions
+# ---------------------------------------------------------------------------
+
+ACCT_RANGE = (0.0, 9000.0)       # stands in for the 140–220 cm height range
+ACCT_BUCKETS = (3000.0, 6000.0)  # stands in for the 170 / 185 cm thresholds
+
+
+@register("clean_customers", """
+WITH c AS (SELECT c.c_custkey, c.c_name, c.c_acctbal, c.c_mktsegment, n.n_name
+           FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey),
+  k AS (SELECT *, CASE WHEN c_acctbal BETWEEN 0 AND 9000 THEN c_acctbal END AS acct,
+               CASE WHEN c_acctbal >= 0 THEN n_name END AS last_name FROM c)
+SELECT c_custkey, acct AS acctbal_clean,
+       CASE WHEN acct IS NULL OR isnan(acct) THEN 'Unknown' WHEN acct < 3000 THEN 'Short'
+            WHEN acct <= 6000 THEN 'Average' ELSE 'Tall' END AS acctbal_bucket,
+       regexp_replace(COALESCE(c_mktsegment, 'Unknown'), '^\\s+|\\s+$', '', 'g') AS segment,
+       CASE WHEN c_name IS NOT NULL AND last_name IS NOT NULL THEN c_name || ' ' || last_name ELSE c_mktsegment END
+         AS full_name
+FROM k
+""")
+def clean_customers(spark, sf):
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_nationkey"])
+    n = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+    j = j.withColumns({"acctbal_clean": null_outside("c_acctbal", *ACCT_RANGE),
+                       "last_name": F.when(F.col("c_acctbal") >= 0, F.col("n_name"))})
+    return j.select("c_custkey", "acctbal_clean",
+                    three_way_bucket("acctbal_clean", *ACCT_BUCKETS).alias("acctbal_bucket"),
+                    clean_category("c_mktsegment").alias("segment"),
+                    full_name("c_name", "last_name", "c_mktsegment").alias("full_name"))
+
+
+def _exact_sql(col: str) -> str:
+    v = f"lower(regexp_replace(CAST({col} AS VARCHAR), '^\\s+|\\s+$', '', 'g'))"
+    return (f"CASE WHEN {col} IS NULL THEN 'Unknown' WHEN {v} IN ('right', 'r') THEN 'Right' "
+            f"WHEN {v} IN ('left', 'l') THEN 'Left' WHEN {v} IN ('both', 'b') THEN 'Both' ELSE 'Other' END")
+
+
+@register("label_maps", f"""
+SELECT l_orderkey, l_linenumber, {_exact_sql('l_returnflag')} AS returnflag_label,
+       {_exact_sql('l_linestatus')} AS linestatus_label
+FROM lineitem
+""")
+def label_maps(spark, sf):
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"])
+    return li.select("l_orderkey", "l_linenumber",
+                     exact_label_map("l_returnflag", FOOT_EXACT).alias("returnflag_label"),
+                     exact_label_map("l_linestatus", FOOT_EXACT).alias("linestatus_label"))
+
+
+def _substring_sql(col: str) -> str:
+    v = f"lower(regexp_replace({col}, '^\\s+|\\s+$', '', 'g'))"
+    return (f"CASE WHEN contains({v}, 'left') THEN 'Left' WHEN contains({v}, 'right') THEN 'Right' "
+            f"WHEN contains({v}, 'both') OR contains({v}, 'ambi') THEN 'Both' ELSE NULL END")
+
+
+def _keyword_sql(col: str) -> str:
+    v = f"lower({col})"
+    parts = [f"CASE WHEN {col} IS NULL THEN 'Unknown'"]
+    for label, words in POSITION_RULES:
+        cond = " OR ".join(f"contains({v}, '{w}')" for w in words)
+        parts.append(f"WHEN {cond} THEN '{label}'")
+    return " ".join(parts) + " ELSE 'Other' END"
+
+
+@register("keyword_buckets", f"""
+SELECT p_partkey, {_keyword_sql('p_name')} AS name_bucket, {_keyword_sql('p_type')} AS type_bucket,
+       {_substring_sql('p_name')} AS name_side
+FROM part
+""")
+def keyword_buckets(spark, sf):
+    p = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_type"])
+    return p.select("p_partkey", keyword_bucket("p_name", POSITION_RULES).alias("name_bucket"),
+                    keyword_bucket("p_type", POSITION_RULES).alias("type_bucket"),
+                    substring_label_map("p_name", FOOT_SUBSTRING).alias("name_side"))
+
+
+AGE_WINDOW = (0.0, 5.0)   # the reference keeps ages 12–50
+
+
+@register("age_at_anchor", """
+WITH j AS (SELECT l.l_orderkey, l.l_linenumber,
+                  date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) / 365.25 AS age
+           FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+           WHERE l.l_shipdate IS NOT NULL AND o.o_orderdate IS NOT NULL)
+SELECT l_orderkey, l_linenumber, ROUND(age, 6) AS age FROM j WHERE age BETWEEN 0 AND 5
+""")
+def age_at_anchor(spark, sf):
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"])
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+    a = add_age_at_anchor(j, "l_shipdate", "o_orderdate", "age", AGE_WINDOW)
+    return a.select("l_orderkey", "l_linenumber", r6(F.col("age")).alias("age"))
+
+
+AS_OF = "2002-01-01"
+
+
+@register("completed_years", f"""
+SELECT o_orderkey, CAST(FLOOR(date_diff('day', CAST(o_orderdate AS DATE), DATE '{AS_OF}') / 365) AS BIGINT) AS years
+FROM orders
+""")
+def completed_years_query(spark, sf):
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
+    return o.select("o_orderkey", completed_years("o_orderdate", F.lit(AS_OF)).alias("years"))
+
+
+# ---------------------------------------------------------------------------
+# E1 at microsecond grain: event lookback (7 and 14 days before each event)
+# ---------------------------------------------------------------------------
+
+@register("event_lookback", """
+SELECT e1.event_id, e1.user_id,
+       CAST(COUNT(CASE WHEN e2.ts >= e1.ts - INTERVAL 7 DAY THEN 1 END) AS BIGINT) AS d7_n,
+       ROUND(COALESCE(SUM(CASE WHEN e2.ts >= e1.ts - INTERVAL 7 DAY THEN e2.value END), 0.0), 6) AS d7_value,
+       CAST(COUNT(e2.event_id) AS BIGINT) AS d14_n,
+       ROUND(COALESCE(SUM(e2.value), 0.0), 6) AS d14_value
+FROM events e1 LEFT JOIN events e2
+  ON e2.user_id = e1.user_id AND e2.ts < e1.ts AND e2.ts >= e1.ts - INTERVAL 14 DAY
+GROUP BY e1.event_id, e1.user_id
+""")
+def event_lookback(spark, sf):
+    ev = read_table(spark, sf, "events", ["event_id", "user_id", "ts", "value"])
+    lb = lookback_aggregate(ev.select("event_id", "user_id", "ts"), ev, entity="user_id", anchor_time="ts",
+                            measures={"value": F.col("value")}, windows={"d7": 7, "d14": 14}, count_name="n",
+                            unit="micros")
+    return lb.select("event_id", "user_id", "d7_n", r6(F.col("d7_value")).alias("d7_value"),
+                     "d14_n", r6(F.col("d14_value")).alias("d14_value"))
+
+
+# ---------------------------------------------------------------------------
+# Median / most-frequent imputation and population-std scaling
+# ---------------------------------------------------------------------------
+
+@register("impute_and_scale", """
+WITH c AS (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS acct,
+                  CASE WHEN c_acctbal >= 1000 THEN c_mktsegment END AS seg FROM customer),
+  med AS (SELECT median(acct) AS m FROM c),
+  md AS (SELECT seg FROM c WHERE seg IS NOT NULL GROUP BY seg ORDER BY COUNT(*) DESC, seg LIMIT 1),
+  imp AS (SELECT c_custkey, COALESCE(acct, (SELECT m FROM med)) AS acct_imputed,
+                 COALESCE(seg, (SELECT seg FROM md)) AS segment_imputed FROM c),
+  st AS (SELECT avg(acct_imputed) AS mu, stddev_pop(acct_imputed) AS sd FROM imp)
+SELECT c_custkey, ROUND(acct_imputed, 6) AS acct_imputed,
+       ROUND((acct_imputed - st.mu) / CASE WHEN st.sd > 0 THEN st.sd ELSE 1 END, 6) AS acct_scaled, segment_imputed
+FROM imp CROSS JOIN st
+""")
+def impute_and_scale(spark, sf):
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_acctbal", "c_mktsegment"])
+    c = c.select("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("acct"),
+                 F.when(F.col("c_acctbal") >= 1000, F.col("c_mktsegment")).alias("seg"))
+    prep = fit_preprocessing(c, ["acct"], ["seg"])
+    t = prep.transform(c)
+    return t.select("c_custkey", r6(F.col("acct")).alias("acct_imputed"), r6(F.col("__z_acct")).alias("acct_scaled"),
+                    F.col("seg").alias("segment_imputed"))
