@@ -28,6 +28,8 @@ from ..functions.scalar import (age_years, clean_category, completed_years, exac
                                 keyword_bucket, log_target, null_outside, substring_label_map, three_way_bucket)
 from ..operators.cleaning import FOOT_EXACT, FOOT_SUBSTRING, POSITION_RULES, add_age_at_anchor
 from ..operators.model import fit_preprocessing
+from ..operators.scoring import (STAT_GROUPS, coverage_label, point_and_interval, rejection_rows, scout_columns,
+                                 validate_requests)
 from ..operators.baselines import (add_age_bin, fit_predict_group_median, global_median, group_medians)
 from ..operators.features import add_rate_features, category_counts, collapse_rare_categories
 from ..operators.groups import attach_names, clean_games, group_performance, missing_keys, patched_dimension
@@ -35,7 +37,7 @@ from ..operators.profiling import null_counts, null_fraction_top, null_stats, pr
 from ..operators.lookback import lookback_aggregate
 from ..operators.split import iso_date, split_stats, time_cutoff, time_split
 from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, group_smearing,
-                               histogram, regression_metrics, top_n)
+                               histogram, quantile_values, regression_metrics, top_n)
 from .diagnostics import global_bias_correction, groupwise_bias_correction, prediction_intervals
 from ..sources.readers import read_table
 
@@ -865,3 +867,95 @@ def impute_and_scale(spark, sf):
     t = prep.transform(c)
     return t.select("c_custkey", r6(F.col("acct")).alias("acct_imputed"), r6(F.col("__z_acct")).alias("acct_scaled"),
                     F.col("seg").alias("segment_imputed"))
+
+
+# ---------------------------------------------------------------------------
+# Request validation and scoring bands
+# ---------------------------------------------------------------------------
+
+REQ_AGE_LIMITS = (0.5, 6.0)   # the reference accepts ages 16–50
+REQ_WINDOWS = ["w180", "w365"]
+
+
+def requests_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """One score request per order: tenure age, label, per-window totals, group label."""
+    base = model_base(spark, sf)
+    lb = lookback_aggregate(base, facts(spark, sf), entity="o_custkey", anchor_time="anchor_date",
+                            fact_time="l_shipdate", measures=measure_columns(), windows=WINDOWS,
+                            count_name="games_played")
+    return lb.withColumnRenamed("nationality", "player_club_domestic_competition_id")
+
+
+def _validation_sql() -> str:
+    lo, hi = REQ_AGE_LIMITS
+    parts = [f"""SELECT o_orderkey, 'age' AS field,
+       CASE WHEN age IS NULL OR isnan(age) OR isinf(age) THEN 'Age must be a finite number'
+            ELSE 'Age must be between {lo:g} and {hi:g}' END AS message
+FROM req WHERE age IS NULL OR isnan(age) OR isinf(age) OR age < {lo} OR age > {hi}"""]
+    for w in REQ_WINDOWS:
+        for label, stats in STAT_GROUPS:
+            for s in stats:
+                c = f"{w}_{s}"
+                parts.append(f"""SELECT o_orderkey, '{c}' AS field,
+       CASE WHEN {c} IS NULL OR isnan({c}) OR isinf({c}) THEN '{label} must be a finite number'
+            ELSE '{label} cannot be negative' END AS message
+FROM req WHERE {c} IS NULL OR isnan({c}) OR isinf({c}) OR {c} < 0""")
+    for col, label in (("position", "Position"), ("player_club_domestic_competition_id", "Competition ID")):
+        parts.append(f"""SELECT o_orderkey, '{col}' AS field, '{label} must be a non-empty string' AS message
+FROM req WHERE {col} IS NULL OR regexp_replace({col}, '^\\s+|\\s+$', '', 'g') = ''""")
+    return "\nUNION ALL\n".join(parts)
+
+
+_REQ_SQL = "WITH " + LOOKBACK_SQL_CTE.strip()[len("WITH "):] + "," + BASE_SQL + """,
+  req AS (SELECT b.o_orderkey, b.age, b.position, b.nationality AS player_club_domestic_competition_id,
+                 b.age_bin, lb.* EXCLUDE (o_orderkey, o_custkey, anchor_date, o_totalprice)
+          FROM base b JOIN lb ON lb.o_orderkey = b.o_orderkey)"""
+
+
+@register("validate_requests", _REQ_SQL + "\n" + _validation_sql())
+def validate_requests_query(spark, sf):
+    _, rejected = validate_requests(requests_frame(spark, sf), age_limits=REQ_AGE_LIMITS, windows=REQ_WINDOWS)
+    return rejection_rows(rejected, "o_orderkey")
+
+
+def _fmt_eur_sql(v: str) -> str:
+    return (f"CASE WHEN {v} >= 1e9 THEN 'EUR ' || printf('%.2f', {v} / 1e9) || 'B' "
+            f"WHEN {v} >= 1e6 THEN 'EUR ' || printf('%.2f', {v} / 1e6) || 'M' "
+            f"WHEN {v} >= 1e3 THEN 'EUR ' || printf('%.0f', {v} / 1e3) || 'K' "
+            f"ELSE 'EUR ' || printf('%.0f', {v}) END")
+
+
+@register("score_bands", SCORED_SQL.replace("WITH ", "WITH " + LOOKBACK_SQL_CTE.strip()[len("WITH "):] + ",", 1)
+          + """,
+  req AS (SELECT b.o_orderkey, b.age, b.position, b.nationality AS player_club_domestic_competition_id,
+                 b.age_bin, lb.* EXCLUDE (o_orderkey, o_custkey, anchor_date, o_totalprice)
+          FROM base b JOIN lb ON lb.o_orderkey = b.o_orderkey),
+  q AS (SELECT quantile_cont(target_log - pred_log, 0.1) AS q10, quantile_cont(target_log - pred_log, 0.9) AS q90
+        FROM train_pred),
+  valid AS (SELECT * FROM req WHERE age BETWEEN 0.5 AND 6.0),
+  sc AS (SELECT v.o_orderkey, COALESCE(g.pred_log, gmed.m) AS pred_log FROM valid v CROSS JOIN gmed
+         LEFT JOIN grp g ON g.position = v.position AND g.age_bin = v.age_bin),
+  iv AS (SELECT o_orderkey, exp(pred_log) AS v, LEAST(exp(pred_log + q10), exp(pred_log + q90)) AS lo,
+                GREATEST(exp(pred_log + q10), exp(pred_log + q90)) AS hi FROM sc CROSS JOIN q),
+  lv AS (SELECT *, CASE WHEN v < 2000000 THEN 'Development or depth option' WHEN v < 10000000 THEN 'Rotation-level asset'
+                        WHEN v < 30000000 THEN 'First-team starter profile' WHEN v < 70000000 THEN 'High-value starter'
+                        ELSE 'Elite market asset' END AS valuation_band,
+                   CASE WHEN v <= 0 THEN 'high' WHEN (hi - lo) / v < 1.5 THEN 'low' WHEN (hi - lo) / v < 3.0 THEN 'medium'
+                        ELSE 'high' END AS uncertainty_level FROM iv)
+SELECT o_orderkey, ROUND(v, 4) AS predicted_value_eur, ROUND(lo, 4) AS ci_lower, ROUND(hi, 4) AS ci_upper,
+       valuation_band, uncertainty_level,
+       'Estimated market value is ' || """ + _fmt_eur_sql("v") + """ || ' with a 80% interval from ' || """
+          + _fmt_eur_sql("lo") + " || ' to ' || " + _fmt_eur_sql("hi") + """ || '. This sits in the ''' ||
+       valuation_band || ''' tier with ' || uncertainty_level || ' uncertainty.' AS summary
+FROM lv
+""")
+def score_bands(spark, sf):
+    train, _, _ = split_frames(spark, sf)
+    resid = scored(spark, sf, "train")
+    q10, q90 = quantile_values(resid.select((F.col("target_log") - F.col("pred_log")).alias("r")), "r", [0.1, 0.9])
+    valid, _ = validate_requests(requests_frame(spark, sf), age_limits=REQ_AGE_LIMITS, windows=REQ_WINDOWS)
+    pred = fit_predict_group_median(train, valid, "target_log", GROUP_KEYS)
+    out = scout_columns(point_and_interval(pred, q10, q90), coverage_label(0.1, 0.9))
+    return out.select("o_orderkey", r4(F.col("predicted_value_eur")).alias("predicted_value_eur"),
+                      r4(F.col("ci_lower")).alias("ci_lower"), r4(F.col("ci_upper")).alias("ci_upper"),
+                      "valuation_band", "uncertainty_level", "summary")

@@ -79,3 +79,12 @@ def default_parallelism_hint(spark: SparkSession) -> int:
 
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local") or os.environ.get("TIDEWATER_LOCAL") == "1"
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used where a derived table feeds several jobs (feature table → model fits);
+    it survives executor loss, unlike a local checkpoint or an executor cache."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
