@@ -21,13 +21,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import (age_years, clean_category, completed_years, exact_label_map, full_name,
                                 keyword_bucket, log_target, null_outside, substring_label_map, three_way_bucket)
 from ..operators.cleaning import FOOT_EXACT, FOOT_SUBSTRING, POSITION_RULES, add_age_at_anchor
 from ..operators.model import fit_preprocessing
+from ..operators.report import (BIAS_FLAGS, COVERAGE_FLAGS, LEAGUE_FALLBACK, build_report, report_lines,
+                                report_overall, top_group_risks)
 from ..operators.scoring import (STAT_GROUPS, coverage_label, point_and_interval, rejection_rows, scout_columns,
                                  validate_requests)
 from ..operators.baselines import (add_age_bin, fit_predict_group_median, global_median, group_medians)
@@ -959,3 +961,114 @@ def score_bands(spark, sf):
     return out.select("o_orderkey", r4(F.col("predicted_value_eur")).alias("predicted_value_eur"),
                       r4(F.col("ci_lower")).alias("ci_lower"), r4(F.col("ci_upper")).alias("ci_upper"),
                       "valuation_band", "uncertainty_level", "summary")
+
+
+# ---------------------------------------------------------------------------
+# Consolidated report
+# ---------------------------------------------------------------------------
+
+def _fmt_eur_abs_sql(v: str) -> str:
+    return (f"CASE WHEN abs({v}) >= 1e9 THEN 'EUR ' || printf('%.2f', {v} / 1e9) || 'B' "
+            f"WHEN abs({v}) >= 1e6 THEN 'EUR ' || printf('%.2f', {v} / 1e6) || 'M' "
+            f"WHEN abs({v}) >= 1e3 THEN 'EUR ' || printf('%.0f', {v} / 1e3) || 'K' "
+            f"ELSE 'EUR ' || printf('%.0f', {v}) END")
+
+
+_REPORT_SQL = _INTERVAL_SQL + """,
+  es AS (SELECT COUNT(*) AS n_test_rows, avg(abs_err_eur) AS mae, median(abs_err_eur) AS med,
+                avg(signed_err_eur) AS mse FROM test_err),
+  ivs AS (SELECT avg(CASE WHEN actual_eur >= pred_eur_lower AND actual_eur <= pred_eur_upper THEN 1.0 ELSE 0.0 END)
+                 AS emp FROM iv),
+  o AS (SELECT es.*, ivs.emp, CAST((SELECT cutoff FROM cut) AS VARCHAR) AS cutoff_date,
+               CASE WHEN mse <= -GREATEST(mae * 0.1, 50000.0) THEN 'underprediction'
+                    WHEN mse >= GREATEST(mae * 0.1, 50000.0) THEN 'overprediction' ELSE 'roughly_unbiased' END AS dir,
+               ROUND(ivs.emp - 0.8, 4) AS gap FROM es CROSS JOIN ivs),
+  flags AS (SELECT CASE WHEN gap <= -0.02 THEN '""" + COVERAGE_FLAGS["below"] + """'
+                        WHEN gap >= 0.02 THEN '""" + COVERAGE_FLAGS["above"] + """'
+                        ELSE '""" + COVERAGE_FLAGS["close"] + """' END AS coverage_flag,
+                   CASE dir WHEN 'underprediction' THEN '""" + BIAS_FLAGS["underprediction"] + """'
+                            WHEN 'overprediction' THEN '""" + BIAS_FLAGS["overprediction"] + """'
+                            ELSE '""" + BIAS_FLAGS["roughly_unbiased"] + """' END AS bias_flag FROM o),
+  pos AS (SELECT * FROM (SELECT position AS grp, COUNT(actual_eur) AS n, avg(abs_err_eur) AS mae,
+                 median(abs_err_eur) AS med, avg(signed_err_eur) AS mse FROM test_err GROUP BY position)
+          QUALIFY row_number() OVER (ORDER BY mae DESC, n DESC, grp) <= 3),
+  lea AS (SELECT * FROM (SELECT nationality AS grp, COUNT(actual_eur) AS n, avg(abs_err_eur) AS mae,
+                 median(abs_err_eur) AS med, avg(signed_err_eur) AS mse FROM test_err
+                 WHERE lower(nationality) <> 'unknown' GROUP BY nationality)
+          QUALIFY row_number() OVER (ORDER BY mae DESC, n DESC, grp) <= 3)"""
+
+
+@register("report_overall", _REPORT_SQL + """
+SELECT CAST(n_test_rows AS BIGINT) AS n_test_rows, cutoff_date, ROUND(mae, 4) AS mae_eur,
+       ROUND(med, 4) AS median_abs_err_eur, ROUND(mse, 4) AS mean_signed_err_eur, dir AS bias_direction,
+       '10-90' AS "interval", 0.8 AS target_coverage, ROUND(emp, 6) AS empirical_coverage, gap AS coverage_gap,
+       coverage_flag, bias_flag
+FROM o CROSS JOIN flags
+""")
+def report_overall_query(spark, sf):
+    o = _report_overall_frame(spark, sf)
+    return o.select("n_test_rows", "cutoff_date", r4(F.col("mae_eur")).alias("mae_eur"),
+                    r4(F.col("median_abs_err_eur")).alias("median_abs_err_eur"),
+                    r4(F.col("mean_signed_err_eur")).alias("mean_signed_err_eur"), "bias_direction", "interval",
+                    "target_coverage", r6(F.col("empirical_coverage")).alias("empirical_coverage"), "coverage_gap",
+                    "coverage_flag", "bias_flag")
+
+
+def _report_inputs(spark, sf):
+    test = scored(spark, sf)
+    es = error_summary(test).withColumn("cutoff_date", F.lit(iso_date(cutoff_for(spark, sf))))
+    _, iv, _ = prediction_intervals(scored(spark, sf, "train"), test, actual="value")
+    return es, iv, error_by_group(test, "position"), error_by_group(test, "nationality")
+
+
+def _report_overall_frame(spark, sf):
+    es, iv, _, _ = _report_inputs(spark, sf)
+    return report_overall(es, iv)
+
+
+@register("report_risks", _REPORT_SQL + """
+SELECT 'position' AS section, CAST(row_number() OVER (ORDER BY mae DESC, n DESC, grp) AS INTEGER) AS rank,
+       grp AS "group", CAST(n AS BIGINT) AS samples, ROUND(mae, 4) AS mae_eur, ROUND(med, 4) AS median_abs_err_eur,
+       ROUND(mse, 4) AS mean_signed_err_eur FROM pos
+UNION ALL
+SELECT 'league', CAST(row_number() OVER (ORDER BY mae DESC, n DESC, grp) AS INTEGER), grp, CAST(n AS BIGINT),
+       ROUND(mae, 4), ROUND(med, 4), ROUND(mse, 4) FROM lea
+""")
+def report_risks(spark, sf):
+    _, _, bp, bl = _report_inputs(spark, sf)
+    w = Window.orderBy(F.desc("mae_eur"), F.desc("samples"), F.asc("group"))
+
+    def fmt(df, section):
+        return df.select(F.lit(section).alias("section"), F.row_number().over(w).alias("rank"), "group", "samples",
+                         *[r4(F.col(c)).alias(c) for c in ["mae_eur", "median_abs_err_eur", "mean_signed_err_eur"]])
+    return fmt(top_group_risks(bp, "position"), "position").unionByName(
+        fmt(top_group_risks(bl, "nationality", exclude_unknown=True), "league"))
+
+
+@register("report_lines", _REPORT_SQL + """,
+  lines AS (
+    SELECT 'overall' AS section, 0 AS position, 'Test rows' AS label, format('{:,}', n_test_rows) AS value FROM o
+    UNION ALL SELECT 'overall', 1, 'Cutoff date', cutoff_date FROM o
+    UNION ALL SELECT 'overall', 2, 'MAE', """ + _fmt_eur_abs_sql("mae") + """ FROM o
+    UNION ALL SELECT 'overall', 3, 'Median absolute error', """ + _fmt_eur_abs_sql("med") + """ FROM o
+    UNION ALL SELECT 'overall', 4, 'Mean signed error', """ + _fmt_eur_abs_sql("mse") + """ || ' (' || dir || ')' FROM o
+    UNION ALL SELECT 'overall', 5, 'Interval coverage', printf('%.1f', emp * 100) || '% vs target ' ||
+                     printf('%.1f', 0.8 * 100) || '%' FROM o
+    UNION ALL SELECT 'risk_flags', 0, 'flag', coverage_flag FROM flags
+    UNION ALL SELECT 'risk_flags', 1, 'flag', bias_flag FROM flags
+    UNION ALL SELECT 'risk_flags', 2, 'flag', 'Highest position-level error is in ' || grp ||
+                     ' profiles, so that subgroup deserves a closer look.'
+              FROM pos QUALIFY row_number() OVER (ORDER BY mae DESC, n DESC, grp) = 1
+    UNION ALL SELECT 'risk_flags', 3, 'flag', COALESCE((SELECT 'League-level error is highest in ' || grp ||
+                     ', which is worth checking for sample or feature gaps.' FROM lea
+                     QUALIFY row_number() OVER (ORDER BY mae DESC, n DESC, grp) = 1), '""" + LEAGUE_FALLBACK.replace("'", "''") + """')
+    UNION ALL SELECT 'positions', CAST(row_number() OVER (ORDER BY mae DESC, n DESC, grp) - 1 AS INTEGER), grp,
+                     'MAE ' || """ + _fmt_eur_abs_sql("mae") + """ || ' across ' || CAST(n AS VARCHAR) || ' rows' FROM pos
+    UNION ALL SELECT 'leagues', CAST(row_number() OVER (ORDER BY mae DESC, n DESC, grp) - 1 AS INTEGER), grp,
+                     'MAE ' || """ + _fmt_eur_abs_sql("mae") + """ || ' across ' || CAST(n AS VARCHAR) || ' rows' FROM lea)
+SELECT section, CAST(position AS INTEGER) AS position, label, value FROM lines
+""")
+def report_lines_query(spark, sf):
+    es, iv, bp, bl = _report_inputs(spark, sf)
+    rep = build_report(spark, "star", es, iv, bp, "position", bl, "nationality")
+    return report_lines(rep)
