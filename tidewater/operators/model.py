@@ -144,7 +144,7 @@ class RidgeModel:
             "baseline_log_value": F.lit(float(self.intercept)),
             "top_positive": top(lambda e: e["contribution_log"] > 0),
             "top_negative": top(lambda e: e["contribution_log"] < 0),
-        }).drop("__features", "__pred", *[f"__z_{c}" for c in self.prep.numeric],
+        }).withColumnRenamed("__pred", "pred_log").drop("__features", *[f"__z_{c}" for c in self.prep.numeric],
                 *[f"__idx_{c}" for c in self.prep.categorical], *[f"__oh_{c}" for c in self.prep.categorical])
 
     def source_columns(self) -> list[str]:

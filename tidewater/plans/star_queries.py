@@ -27,20 +27,23 @@ from pyspark.sql import functions as F
 from ..functions.scalar import (age_years, clean_category, completed_years, exact_label_map, full_name,
                                 keyword_bucket, log_target, null_outside, substring_label_map, three_way_bucket)
 from ..operators.cleaning import FOOT_EXACT, FOOT_SUBSTRING, POSITION_RULES, add_age_at_anchor
-from ..operators.model import fit_preprocessing
+from ..operators.model import fit_preprocessing, fit_ridge, top_coefficients
 from ..operators.report import (BIAS_FLAGS, COVERAGE_FLAGS, LEAGUE_FALLBACK, build_report, report_lines,
                                 report_overall, top_group_risks)
 from ..operators.scoring import (STAT_GROUPS, coverage_label, point_and_interval, rejection_rows, scout_columns,
                                  validate_requests)
 from ..operators.baselines import (add_age_bin, fit_predict_group_median, global_median, group_medians)
-from ..operators.features import add_rate_features, category_counts, collapse_rare_categories
+from ..operators.features import (add_rate_features, category_counts, collapse_rare_categories,
+                                  select_feature_group)
 from ..operators.groups import attach_names, clean_games, group_performance, missing_keys, patched_dimension
 from ..operators.profiling import null_counts, null_fraction_top, null_stats, profile_tables
 from ..operators.lookback import lookback_aggregate
 from ..operators.split import iso_date, split_stats, time_cutoff, time_split
 from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, group_smearing,
                                histogram, quantile_values, regression_metrics, top_n)
-from .diagnostics import global_bias_correction, groupwise_bias_correction, prediction_intervals
+from ..session import materialize, scratch_path
+from ..streaming.scoring_stream import drain, requests_as_json, start_scoring
+from .diagnostics import error_analysis, global_bias_correction, groupwise_bias_correction, prediction_intervals
 from ..sources.readers import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1072,3 +1075,114 @@ def report_lines_query(spark, sf):
     es, iv, bp, bl = _report_inputs(spark, sf)
     rep = build_report(spark, "star", es, iv, bp, "position", bl, "nationality")
     return report_lines(rep)
+
+
+# ---------------------------------------------------------------------------
+# Ridge model on the lookback features (rows-only)
+# ---------------------------------------------------------------------------
+
+NUMERIC_INPUTS = ["age", "acctbal"] + [f"{w}_{m}" for w in WINDOWS for m in ["games_played", *MEASURES]] + \
+    [f"{w}_{r}" for w in WINDOWS for r in _RATE_NAMES + ["played_any_minutes"]]
+CATEGORICAL_INPUTS = ["position", "nationality", "region", "acctbal_bucket"]
+
+
+def feature_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """v3-style feature table: anchors + entity attributes + lookback totals,
+    rate columns and collapsed categories (L1: v1 → v2 → v3)."""
+    base = model_base(spark, sf)
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_acctbal", "c_nationkey"])
+    n = read_table(spark, sf, "nation", ["n_nationkey", "n_regionkey"])
+    r = read_table(spark, sf, "region", ["r_regionkey", "r_name"])
+    attrs = (c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+             .join(r, F.col("n_regionkey") == r["r_regionkey"], "left")
+             .select(F.col("c_custkey").alias("o_custkey"),
+                     F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("acctbal"),
+                     clean_category("r_name").alias("region")))
+    v1 = lookback_aggregate(base.join(attrs, "o_custkey", "left"), facts(spark, sf), entity="o_custkey",
+                            anchor_time="anchor_date", fact_time="l_shipdate", measures=measure_columns(),
+                            windows=WINDOWS, count_name="games_played")
+    v1 = v1.withColumn("acctbal_bucket", three_way_bucket("acctbal", *ACCT_BUCKETS))
+    v2 = add_rate_features(v1, list(WINDOWS))
+    return collapse_rare_categories(v2, {"nationality": 10})
+
+
+_MODELS: dict[tuple, object] = {}
+
+
+def _ridge_setup(spark: SparkSession, sf: str):
+    key = (id(spark), sf)
+    if key not in _MODELS:
+        feats = materialize(feature_frame(spark, sf))
+        cutoff = cutoff_for(spark, sf)
+        train, test, _ = time_split(feats, "anchor_date", cutoff=cutoff)
+        model = fit_ridge(train, "target_log", NUMERIC_INPUTS, CATEGORICAL_INPUTS, alpha=1.0)
+        _MODELS[key] = (feats, train, test, model)
+    return _MODELS[key]
+
+
+@register("ridge_coefficients")
+def ridge_coefficients(spark, sf):
+    _, _, _, model = _ridge_setup(spark, sf)
+    return top_coefficients(model, spark, 25)
+
+
+@register("ablation")
+def ablation(spark, sf):
+    _, train, test, full = _ridge_setup(spark, sf)
+    inputs = NUMERIC_INPUTS + CATEGORICAL_INPUTS
+    rows = None
+    for mode in ["full", "no_nationality", "no_context", "performance_only"]:
+        cols = select_feature_group(inputs, mode, nationality=["nationality"], context=["region"],
+                                    core=["age", "position"])
+        num = [c for c in NUMERIC_INPUTS if c in cols]
+        cat = [c for c in CATEGORICAL_INPUTS if c in cols]
+        model = full if mode == "full" else fit_ridge(train, "target_log", num, cat, alpha=1.0)
+        m = regression_metrics(model.predict(test), "target_log", "pred_log").select(
+            F.lit(mode).alias("experiment"), F.lit(len(cols)).alias("n_features_input"), "rmse_log", "mae_log",
+            "mae_eur")
+        rows = m if rows is None else rows.unionByName(m)
+    return rows.orderBy("rmse_log")
+
+
+@register("ridge_explain")
+def ridge_explain(spark, sf):
+    _, train, test, model = _ridge_setup(spark, sf)
+    q10, q90 = quantile_values(model.predict(train).select((F.col("target_log") - F.col("pred_log")).alias("r")),
+                               "r", [0.1, 0.9])
+    ex = model.contributions(test, top_k=3)
+    out = scout_columns(point_and_interval(ex, q10, q90), coverage_label(0.1, 0.9))
+    return out.select("o_orderkey", "pred_log", "predicted_value_eur", "ci_lower", "ci_upper",
+                      "baseline_log_value", "top_positive", "top_negative", "key_positives", "key_risks",
+                      "valuation_band", "uncertainty_level", "summary")
+
+
+@register("ridge_error_analysis")
+def ridge_error_analysis(spark, sf):
+    _, _, test, model = _ridge_setup(spark, sf)
+    scored_test = model.predict(test, missing="zero")   # the diagnostics' fillna(0) path (G8)
+    ea = error_analysis(scored_test, actual="value", group_cols=["position"], key_cols=["o_orderkey"],
+                        keep_cols=["o_orderkey", "position"])
+    return ea.summary.withColumn("cutoff_date", F.lit(iso_date(cutoff_for(spark, sf))))
+
+
+# ---------------------------------------------------------------------------
+# Streaming scorer over request files derived from the orders
+# ---------------------------------------------------------------------------
+
+@register("stream_scoring")
+def stream_scoring(spark, sf):
+    feats, train, _, model = _ridge_setup(spark, sf)
+    q10, q90 = quantile_values(model.predict(train).select((F.col("target_log") - F.col("pred_log")).alias("r")),
+                               "r", [0.1, 0.9])
+    root = scratch_path(spark, "stream-scoring")
+    req_cols = ["age", "position", "player_club_domestic_competition_id"] + \
+        [f"{w}_{t}" for w in WINDOWS for t in ["games_played", *MEASURES]]
+    reqs = feats.select(F.col("o_orderkey").cast("string").alias("request_id"),
+                        F.col("nationality").alias("player_club_domestic_competition_id"),
+                        *[c for c in req_cols if c != "player_club_domestic_competition_id"])
+    requests_as_json(reqs, "request_id").write.mode("overwrite").text(f"{root}/in")
+    schema = reqs.schema
+    qs = start_scoring(spark, f"{root}/in", schema, model, q10, q90, f"{root}/out", f"{root}/ckpt",
+                       coverage_label=coverage_label(0.1, 0.9), age_limits=REQ_AGE_LIMITS)
+    drain(qs)
+    return spark.read.parquet(f"{root}/out/scored")
