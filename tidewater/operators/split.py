@@ -51,14 +51,24 @@ def time_cutoff(df: DataFrame, date_col: str, train_frac: float = 0.8):
     return value_at_rank(df.where(F.col(date_col).isNotNull()), date_col, k)
 
 
-def time_split(df: DataFrame, date_col: str, train_frac: float = 0.8, cutoff=None):
+def time_split(df: DataFrame, date_col: str, train_frac: float = 0.8, cutoff=None, raw_col: str | None = None):
     """(train, test, cutoff): train is ``date < cutoff``, test ``date >= cutoff``.
 
-    All rows of the cutoff date go to the test side, so train is < train_frac."""
+    All rows of the cutoff date go to the test side, so train is < train_frac.
+    ``raw_col`` names the stored timestamp the date was derived from: the
+    same bound is then also stated on it (``ts < cutoff 00:00``), a predicate
+    Parquet can take as a pushed filter (a ``to_date(ts)`` predicate cannot)."""
     if cutoff is None:
         cutoff = time_cutoff(df, date_col, train_frac)
     lit = F.lit(cutoff)
-    return df.where(F.col(date_col) < lit), df.where(F.col(date_col) >= lit), cutoff
+    train, test = df.where(F.col(date_col) < lit), df.where(F.col(date_col) >= lit)
+    if raw_col is not None and isinstance(cutoff, dt.date) and not isinstance(cutoff, dt.datetime):
+        dtype = df.schema[raw_col].dataType
+        bound = dt.datetime(cutoff.year, cutoff.month, cutoff.day)
+        kind = "TIMESTAMP_NTZ" if isinstance(dtype, T.TimestampNTZType) else "TIMESTAMP"
+        b = F.expr(f"{kind}'{bound:%Y-%m-%d %H:%M:%S}'")
+        train, test = train.where(F.col(raw_col) < b), test.where(F.col(raw_col) >= b)
+    return train, test, cutoff
 
 
 def split_flag(df: DataFrame, date_col: str, cutoff, name: str = "is_train") -> DataFrame:

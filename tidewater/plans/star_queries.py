@@ -203,7 +203,7 @@ def model_base(spark: SparkSession, sf: str) -> DataFrame:
           .join(c, o["o_custkey"] == c["c_custkey"], "left")
           .join(n, c["c_nationkey"] == n["n_nationkey"], "left"))
     df = df.select(
-        "o_orderkey", "o_custkey",
+        "o_orderkey", "o_custkey", "o_orderdate",
         F.to_date("o_orderdate").alias("anchor_date"),
         F.col("o_totalprice").alias("value"),
         log_target("o_totalprice").alias("target_log"),
@@ -226,7 +226,7 @@ def cutoff_for(spark: SparkSession, sf: str):
 
 def split_frames(spark: SparkSession, sf: str):
     base = model_base(spark, sf)
-    train, test, cutoff = time_split(base, "anchor_date", cutoff=cutoff_for(spark, sf))
+    train, test, cutoff = time_split(base, "anchor_date", cutoff=cutoff_for(spark, sf), raw_col="o_orderdate")
     return train, test, cutoff
 
 
@@ -1114,7 +1114,7 @@ def _ridge_setup(spark: SparkSession, sf: str):
     if key not in _MODELS:
         feats = materialize(feature_frame(spark, sf))
         cutoff = cutoff_for(spark, sf)
-        train, test, _ = time_split(feats, "anchor_date", cutoff=cutoff)
+        train, test, _ = time_split(feats, "anchor_date", cutoff=cutoff, raw_col="o_orderdate")
         model = fit_ridge(train, "target_log", NUMERIC_INPUTS, CATEGORICAL_INPUTS, alpha=1.0)
         _MODELS[key] = (feats, train, test, model)
     return _MODELS[key]
