@@ -54,11 +54,41 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = spark_rounding(sql.strip())
         return fn
     return deco
 
 
+def spark_rounding(sql: str) -> str:
+    """Rewrite ``ROUND(x, d)`` so DuckDB rounds like Spark's ``round``.
+
+    Spark rounds HALF_UP on the shortest decimal text of the double
+    (0.1209375 → 0.120938); DuckDB rounds the binary value (→ 0.120937).
+    Rounding the decimal text in the oracle too makes ties agree."""
+    out, i = [], 0
+    while True:
+        j = sql.find("ROUND(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        depth, k, comma = 0, j + len("ROUND("), None
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = k
+            k += 1
+        arg, digits = spark_rounding(sql[j + 6:comma]), sql[comma + 1:k].strip()
+        out.append(f"CAST(ROUND(CAST(CAST(({arg}) AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)")
+        i = k + 1
+
+
 def r6(c):
     return F.round(c, 6)
 
@@ -128,7 +158,7 @@ def _lookback_sql_select(round_sums: bool = True) -> str:
 LOOKBACK_SQL_CTE = f"""
 WITH {_FACTS_SQL.strip()},
   lb AS (SELECT a.o_orderkey, a.o_custkey, a.anchor_date, a.o_totalprice,
-       {_lookback_sql_select(round_sums=False)}
+       {_lookback_sql_select(round_sums=True)}
   FROM a LEFT JOIN f ON f.e = a.o_custkey AND f.d < a.anchor_date AND f.d >= a.anchor_date - 365
   GROUP BY a.o_orderkey, a.o_custkey, a.anchor_date, a.o_totalprice)"""
 
@@ -177,7 +207,12 @@ SELECT o_orderkey,
 FROM lb
 """)
 def lookback_rates(spark, sf):
-    lb = add_rate_features(lookback_frame(spark, sf), list(WINDOWS))
+    # window sums of 2-decimal amounts are normalised to 6 decimals before the
+    # rates, so both engines divide bit-identical inputs whatever their
+    # summation order
+    lb = lookback_frame(spark, sf)
+    lb = lb.withColumns({f"{w}_{m}": r6(F.col(f"{w}_{m}")) for w in WINDOWS for m in MEASURES})
+    lb = add_rate_features(lb, list(WINDOWS))
     cols = []
     for w in WINDOWS:
         cols += [r6(F.col(f"{w}_{n}")).alias(f"{w}_{n}") for n in _RATE_NAMES]
