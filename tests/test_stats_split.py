@@ -90,3 +90,25 @@ def test_metrics_and_errors(spark):
         df.withColumnRenamed("p", "pred_log"), "pred_log", "v").withColumn("pz", F.lit(0.0)),
         "actual_eur", {"a": "pred_eur", "b": "pz"}).collect()}
     assert np.isclose(vm["b"]["mae_eur"], 150.0) and np.isclose(vm["a"]["mean_signed_err_eur"], -25.0)
+
+
+def test_distributed_exact_quantiles_match_numpy(spark, monkeypatch):
+    import tidewater.operators.stats as st
+    monkeypatch.setattr(st, "LOCAL_EXACT_LIMIT", 50)        # force the distributed selection path
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.lognormal(10, 2, 3000), np.full(500, 42.0)])   # heavy tail + a hot value
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    qs = [0.0, 0.1, 0.5, 0.9, 0.999, 1.0]
+    got = st.quantile_values(df, "x", qs)
+    assert np.allclose(got, np.quantile(x, qs), rtol=1e-12)
+    edges = st.qcut_edges(df, "x", 10)
+    assert np.allclose(edges, sorted(set(np.quantile(x, np.linspace(0, 1, 11)))), rtol=1e-12)
+
+
+def test_collapse_top_k_ties(spark):
+    from tidewater.operators.features import collapse_rare_categories
+    rows = [("a",)] * 3 + [("b",)] * 2 + [("c",)] * 2 + [(None,)] * 2 + [(" d ",)]
+    df = spark.createDataFrame(rows, "v string")
+    got = sorted(r[0] for r in collapse_rare_categories(df, {"v": 2}).collect())
+    # counts a:3, then b, c, Unknown tie at 2 → value ascending keeps "Unknown" ('U' < 'b')
+    assert got == sorted(["a"] * 3 + ["Unknown"] * 2 + ["Other"] * 5)

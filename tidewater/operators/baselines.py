@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import fixed_bins
-from .stats import median_expr
+from .stats import median_expr, quantile_values
 
 # Fixed value: the reference's age bin edges (left-closed).
 AGE_BIN_EDGES = [0, 18, 21, 24, 27, 30, 35, 100]
@@ -23,7 +23,7 @@ AGE_BIN_EDGES = [0, 18, 21, 24, 27, 30, 35, 100]
 
 def global_median(df: DataFrame, target: str, accuracy: int | None = None) -> float:
     """Training-side median of the target (D7) as a literal."""
-    return float(df.agg(median_expr(target, accuracy).alias("m")).first()["m"])
+    return float(quantile_values(df, target, [0.5], accuracy)[0])
 
 
 def group_medians(train: DataFrame, target: str, keys: Sequence[str], accuracy: int | None = None,

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clean_category, positive_flag, safe_divide
@@ -74,15 +74,11 @@ def collapse_rare_categories(
     cleaned = src.select(*[clean_category(c, missing).alias(c) for c in cols])
     long = cleaned.unpivot([], cols, "col", "value")
     counts = long.groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = counts.withColumn(
-        "rk",
-        F.row_number().over(Window.partitionBy("col").orderBy(F.desc("n"), F.asc("value"))),
-    )
-    kmax = max(specs.values())
-    keep = {c: [] for c in cols}
-    for r in ranked.where(F.col("rk") <= kmax).collect():
-        if r["rk"] <= specs[r["col"]]:
-            keep[r["col"]].append(r["value"])
+    # per column a bounded top-k (TakeOrderedAndProject keeps k rows per
+    # partition), never a window holding all of a column's distinct values
+    keep = {c: [r["value"] for r in counts.where(F.col("col") == c)
+                .orderBy(F.desc("n"), F.asc("value")).limit(specs[c]).select("value").collect()]
+            for c in cols}
     out = {}
     for c in cols:
         v = clean_category(c, missing)

@@ -19,26 +19,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def value_at_rank(df: DataFrame, col: str, rank: int):
-    """Value of ``col`` at 0-based position ``rank`` in ascending order (NULLs first, like
-    a pandas sort puts NaT last — callers drop NULLs first)."""
-    dtype = df.schema[col].dataType
-    day = F.to_date(F.col(col)) if not isinstance(dtype, T.DateType) else F.col(col)
-    per_day = df.groupBy(day.alias("__d")).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = per_day.withColumn("__cum", F.sum("__n").over(w))
-    hit = cum.where(F.col("__cum") > rank).orderBy("__d").select("__d", "__n", "__cum").first()
+def _pick(counts: DataFrame, key: str, rank: int):
+    """On a small (bucket, n) table: the bucket holding ``rank`` and the rows before it."""
+    w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = counts.withColumn("__cum", F.sum("__n").over(w)).where(F.col("__cum") > rank).orderBy(key).first()
     if hit is None:
         raise ValueError(f"rank {rank} is beyond the table size")
+    return hit[key], hit["__cum"] - hit["__n"]
+
+
+def value_at_rank(df: DataFrame, col: str, rank: int):
+    """Value of ``col`` at 0-based position ``rank`` in ascending order (NULLs excluded).
+
+    Coarse-to-fine: count rows per day (a table of distinct days), pick the
+    day holding the rank, then — for time-of-day columns only — per hour,
+    minute and second inside that day, and the exact value inside that
+    second. Every step aggregates with map-side combine and every table a
+    window runs over is bounded (days, 24, 60, 60, values in one second),
+    so no task ever sorts a large share of the data."""
+    dtype = df.schema[col].dataType
+    x = df.where(F.col(col).isNotNull())
     if isinstance(dtype, T.DateType):
-        return hit["__d"]
-    # resolve inside the day: offset of the wanted row within that day
-    offset = rank - (hit["__cum"] - hit["__n"])
-    in_day = df.where(day == F.lit(hit["__d"])).groupBy(F.col(col).alias("__v")).agg(
-        F.count(F.lit(1)).alias("__n"))
-    cum2 = in_day.withColumn("__cum", F.sum("__n").over(Window.orderBy("__v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)))
-    return cum2.where(F.col("__cum") > offset).orderBy("__v").first()["__v"]
+        day, _ = _pick(x.groupBy(F.col(col).alias("__k")).agg(F.count(F.lit(1)).alias("__n")), "__k", rank)
+        return day
+    if not isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"value_at_rank expects a date or timestamp column, got {dtype}")
+    levels = [F.to_date(F.col(col)), F.date_trunc("hour", F.col(col)), F.date_trunc("minute", F.col(col)),
+              F.date_trunc("second", F.col(col)), F.col(col)]
+    remaining = rank
+    for i, level in enumerate(levels):
+        counts = x.groupBy(level.alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+        key, before = _pick(counts, "__k", remaining)
+        remaining -= before
+        if i == len(levels) - 1:
+            return key
+        x = x.where(level == F.lit(key))
+    raise AssertionError("unreachable")
 
 
 def time_cutoff(df: DataFrame, date_col: str, train_frac: float = 0.8):

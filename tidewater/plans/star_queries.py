@@ -344,10 +344,12 @@ SELECT cutoff AS cutoff_date,
 FROM cut
 """)
 def time_split_query(spark, sf):
-    train, test, cutoff = split_frames(spark, sf)
-    n_train = train.agg(F.count(F.lit(1)).alias("n_train"))
-    n_test = test.agg(F.count(F.lit(1)).alias("n_test"))
-    return n_train.join(n_test, how="inner").select(F.lit(cutoff).alias("cutoff_date"), "n_train", "n_test")
+    cutoff = cutoff_for(spark, sf)
+    is_train = F.col("anchor_date") < F.lit(cutoff)
+    return model_base(spark, sf).agg(
+        F.count(F.when(is_train, 1)).alias("n_train"),
+        F.count(F.when(~is_train, 1)).alias("n_test"),
+    ).select(F.lit(cutoff).alias("cutoff_date"), "n_train", "n_test")
 
 
 @register("split_stats", "WITH " + BASE_SQL.strip() + """
