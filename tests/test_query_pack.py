@@ -40,8 +40,10 @@ def test_no_python_in_plans(spark, name):
 
 
 def test_split_predicate_pushed_to_scan(spark):
-    plan = QUERIES["error_by_position"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(o_orderdate" in plan
+    from tidewater.plans.star_queries import split_frames
+    train, test, _ = split_frames(spark, SF001)
+    assert "GreaterThanOrEqual(o_orderdate" in test._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(o_orderdate" in train._jdf.queryExecution().executedPlan().toString()
 
 
 def test_scan_prunes_columns(spark):

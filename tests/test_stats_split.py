@@ -112,3 +112,24 @@ def test_collapse_top_k_ties(spark):
     got = sorted(r[0] for r in collapse_rare_categories(df, {"v": 2}).collect())
     # counts a:3, then b, c, Unknown tie at 2 → value ascending keeps "Unknown" ('U' < 'b')
     assert got == sorted(["a"] * 3 + ["Unknown"] * 2 + ["Other"] * 5)
+
+
+def test_grouped_exact_quantile_hot_group_and_value(spark):
+    from tidewater.operators.quantiles import grouped_median, grouped_quantile
+    rng = np.random.default_rng(0)
+    n = 6000
+    g = np.where(rng.random(n) < 0.4, "hot", rng.choice(["a", "b", "c", None], n))
+    v = np.round(rng.lognormal(3, 1.5, n), 1)
+    v[rng.random(n) < 0.2] = 7.0                      # a hot value
+    df = spark.createDataFrame([(a, float(b)) for a, b in zip(g, v)], "g string, v double")
+    pdf = pd.DataFrame({"g": g, "v": v}).fillna({"g": "<null>"})
+    for q in (0.5, 0.1, 0.9, 1.0):
+        for acc in (50, 10_000):                      # a coarse sketch forces wide brackets
+            got = {(r["g"] if r["g"] is not None else "<null>"): r["q"]
+                   for r in grouped_quantile(df, ["g"], "v", q, accuracy=acc).collect()}
+            exp = pdf.groupby("g").v.quantile(q).to_dict()
+            assert got.keys() == exp.keys()
+            assert all(np.isclose(got[k], exp[k], rtol=1e-12) for k in exp)
+    small = {r["g"]: r["m"] for r in grouped_median(df, ["g"], "v", "m").collect()}
+    big = {r["g"]: r["m"] for r in grouped_median(df, ["g"], "v", "m", n_rows=10 ** 9).collect()}
+    assert small == big

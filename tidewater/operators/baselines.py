@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import fixed_bins
-from .stats import median_expr, quantile_values
+from .quantiles import grouped_median
+from .stats import quantile_values
 
 # Fixed value: the reference's age bin edges (left-closed).
 AGE_BIN_EDGES = [0, 18, 21, 24, 27, 30, 35, 100]
@@ -33,7 +34,7 @@ def group_medians(train: DataFrame, target: str, keys: Sequence[str], accuracy:
     for k in keys:
         c = F.col(k).isNotNull()
         cond = c if cond is None else cond & c
-    return train.where(cond).groupBy(*keys).agg(median_expr(target, accuracy).alias(out))
+    return grouped_median(train.where(cond), keys, target, out, accuracy)
 
 
 def add_age_bin(df: DataFrame, age: str = "age", edges: Sequence[float] = AGE_BIN_EDGES,

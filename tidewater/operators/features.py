@@ -67,22 +67,35 @@ def collapse_rare_categories(
     column reach the driver, and they are applied with ``isin`` (k is small
     by definition). ``fit_on`` lets the counts come from the training side
     only (the reference counts all rows, §8.7)."""
-    src = fit_on if fit_on is not None else df
+    keep = fit_top_categories(fit_on if fit_on is not None else df, specs, missing)
+    return apply_collapse(df, keep, other_label, missing)
+
+
+def fit_top_categories(src: DataFrame, specs: Mapping[str, int], missing: str = "Unknown") -> dict[str, list[str]]:
+    """Each column's ``top_k`` cleaned values by count, ties by value.
+
+    One aggregation over the ``unpivot``ed columns, then per column a
+    bounded top-k (TakeOrderedAndProject keeps k rows per partition) —
+    never a window holding all of a column's distinct values. Fit it on the
+    narrowest frame that has the same rows (e.g. before a 1:1 feature join)."""
     for c in specs:
         require_columns(src, [c])
     cols = list(specs)
     cleaned = src.select(*[clean_category(c, missing).alias(c) for c in cols])
     long = cleaned.unpivot([], cols, "col", "value")
     counts = long.groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
-    # per column a bounded top-k (TakeOrderedAndProject keeps k rows per
-    # partition), never a window holding all of a column's distinct values
-    keep = {c: [r["value"] for r in counts.where(F.col("col") == c)
+    return {c: [r["value"] for r in counts.where(F.col("col") == c)
                 .orderBy(F.desc("n"), F.asc("value")).limit(specs[c]).select("value").collect()]
             for c in cols}
+
+
+def apply_collapse(df: DataFrame, keep: Mapping[str, Sequence[str]], other_label: str = "Other",
+                   missing: str = "Unknown") -> DataFrame:
+    """Values outside the kept lists → ``other_label`` (C8); the lists are small by definition."""
     out = {}
-    for c in cols:
+    for c, values in keep.items():
         v = clean_category(c, missing)
-        out[c] = F.when(v.isin(keep[c]), v).otherwise(F.lit(other_label))
+        out[c] = F.when(v.isin(list(values)), v).otherwise(F.lit(other_label))
     return df.withColumns(out)
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .stats import median_expr
+from .quantiles import grouped_median
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
                  T.BooleanType)
@@ -85,13 +85,20 @@ def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Seq
     """Two aggregate passes: medians + modes, then mean / population std of the
     imputed numerics (as the reference's scaler sees imputed values)."""
     p = Preprocessing(list(numeric), list(categorical))
-    if numeric or categorical:
-        aggs = [median_expr(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), accuracy)
-                .alias(f"m{i}") for i, c in enumerate(numeric)]
-        aggs += [F.mode(F.col(c), True).alias(f"c{i}") for i, c in enumerate(categorical)]
-        row = train.agg(*aggs).first()
-        p.medians = {c: (float(row[f"m{i}"]) if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(numeric)}
-        p.modes = {c: row[f"c{i}"] for i, c in enumerate(categorical)}
+    if numeric:
+        # all columns' medians in one grouped pass over (column, value) pairs:
+        # the per-column work is spread over tasks, and beyond the local limit
+        # no task holds one column's values (grouped_median)
+        x = {c: F.col(c).cast("double") for c in numeric}
+        long = train.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("k"), F.when(~F.isnan(x[c]), x[c]).alias("v")) for c in numeric])).alias("s")
+        ).select("s.k", "s.v")
+        # the size that matters is the largest group: one column = all training rows
+        meds = {r["k"]: r["m"] for r in grouped_median(long, ["k"], "v", "m", accuracy,
+                                                       n_rows=train.count()).collect()}
+        p.medians = {c: (float(meds[c]) if meds.get(c) is not None else 0.0) for c in numeric}
+    if categorical:
+        p.modes = most_frequent(train, categorical)
     if numeric:
         imp = p.imputed(train.select(*numeric))
         row = imp.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(numeric)],
@@ -102,6 +109,21 @@ def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Seq
     return p
 
 
+def most_frequent(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
+    """Most frequent non-NULL value per column, ties → smallest (sklearn ``most_frequent``).
+
+    Counts per (column, value) with map-side combine, then a bounded top-1
+    per column — no per-column value map in one task."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v"))
+                                         for c in cols])).alias("s")).select("s.k", "s.v").where(
+        F.col("v").isNotNull())
+    counts = long.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    # min_by keeps one candidate per column (bounded state, partial aggregation)
+    best = counts.groupBy("k").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v")).collect()
+    found = {r["k"]: r["v"] for r in best}
+    return {c: found.get(c) for c in cols}
+
+
 @dataclass
 class RidgeModel:
     prep: Preprocessing
@@ -111,6 +133,7 @@ class RidgeModel:
     intercept: float
     alpha: float
     n_train: int
+    label_std: float = 0.0
 
     def predict(self, df: DataFrame, out: str = "pred_log", missing: str = "pipeline") -> DataFrame:
         """Batch prediction in log space."""
@@ -163,7 +186,8 @@ class RidgeModel:
         meta = {"numeric": self.prep.numeric, "categorical": self.prep.categorical, "medians": self.prep.medians,
                 "modes": self.prep.modes, "means": self.prep.means, "scales": self.prep.scales,
                 "feature_names": self.feature_names, "coefficients": [float(c) for c in self.coefficients],
-                "intercept": float(self.intercept), "alpha": self.alpha, "n_train": self.n_train}
+                "intercept": float(self.intercept), "alpha": self.alpha, "n_train": self.n_train,
+                "label_std": self.label_std}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(
             f"{path}/meta")
 
@@ -176,16 +200,30 @@ class RidgeModel:
         prep = Preprocessing(meta["numeric"], meta["categorical"], meta["medians"], meta["modes"], meta["means"],
                              meta["scales"])
         return RidgeModel(prep, PipelineModel.load(f"{path}/pipeline"), meta["feature_names"], meta["coefficients"],
-                          meta["intercept"], meta["alpha"], meta["n_train"])
+                          meta["intercept"], meta["alpha"], meta["n_train"], meta.get("label_std", 0.0))
+
+
+def subset_preprocessing(prep: Preprocessing, numeric: Sequence[str], categorical: Sequence[str]) -> Preprocessing:
+    """Statistics of a column subset: per-column statistics do not depend on
+    the other columns, so ablation fits reuse one pass over the full set."""
+    return Preprocessing(list(numeric), list(categorical), {c: prep.medians[c] for c in numeric},
+                         {c: prep.modes[c] for c in categorical}, {c: prep.means[c] for c in numeric},
+                         {c: prep.scales[c] for c in numeric})
 
 
 def fit_ridge(train: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
-              alpha: float = 1.0, accuracy: int | None = None) -> RidgeModel:
-    """Fit imputation + scaling + one-hot + ridge on ``train``."""
-    prep = fit_preprocessing(train, numeric, categorical, accuracy)
+              alpha: float = 1.0, accuracy: int | None = None, prep: Preprocessing | None = None,
+              label_stats: tuple[int, float] | None = None) -> RidgeModel:
+    """Fit imputation + scaling + one-hot + ridge on ``train``.
+
+    ``prep`` / ``label_stats`` (n, population std of the label) may be passed
+    in when several models are fitted on the same rows (ablations)."""
+    prep = (subset_preprocessing(prep, numeric, categorical) if prep is not None
+            else fit_preprocessing(train, numeric, categorical, accuracy))
     data = prep.transform(train.where(F.col(target).isNotNull()))
-    stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(target).alias("sy")).first()
-    n, sy = int(stats["n"]), float(stats["sy"] or 0.0)
+    if label_stats is None:
+        label_stats = fit_label_stats(train, target)
+    n, sy = label_stats
     # Spark's normal-equation solver minimises 1/(2n)·RSS + λ/2·‖w‖² on a label
     # scaled by its std; λ = α·σ_y/n makes that equal sklearn's RSS + α‖w‖².
     reg = alpha * sy / n if sy > 0 else alpha / n
@@ -208,7 +246,13 @@ def fit_ridge(train: DataFrame, target: str, numeric: Sequence[str], categorical
     if categorical:
         for c, labels in zip(categorical, pm.stages[0].labelsArray):
             names += [f"{c}={v}" for v in labels]
-    return RidgeModel(prep, pm, names, list(lr.coefficients.toArray()), float(lr.intercept), alpha, n)
+    return RidgeModel(prep, pm, names, list(lr.coefficients.toArray()), float(lr.intercept), alpha, n, sy)
+
+
+def fit_label_stats(train: DataFrame, target: str) -> tuple[int, float]:
+    stats = train.where(F.col(target).isNotNull()).agg(F.count(F.lit(1)).alias("n"),
+                                                      F.stddev_pop(target).alias("sy")).first()
+    return int(stats["n"]), float(stats["sy"] or 0.0)
 
 
 def top_coefficients(model: RidgeModel, spark, k: int = 25) -> DataFrame:

@@ -58,13 +58,29 @@ def value_at_rank(df: DataFrame, col: str, rank: int):
 
 
 def time_cutoff(df: DataFrame, date_col: str, train_frac: float = 0.8):
-    """Cutoff = value at index int(n · train_frac) of the date-sorted table (E5)."""
-    n = df.where(F.col(date_col).isNotNull()).count()
+    """Cutoff = value at index int(n · train_frac) of the date-sorted table (E5).
+
+    For a date column this is one job: the per-day count table carries both
+    the running sum and the total, and the target rank is derived from the
+    total inside the same plan (``floor(total · frac)`` in double arithmetic,
+    as Python's ``int(n * frac)``)."""
+    x = df.where(F.col(date_col).isNotNull())
+    if isinstance(df.schema[date_col].dataType, T.DateType):
+        per_day = x.groupBy(F.col(date_col).alias("__d")).agg(F.count(F.lit(1)).alias("__n"))
+        w = Window.orderBy("__d")
+        ranked = per_day.withColumns({
+            "__cum": F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            "__tot": F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        })
+        k = F.least(F.floor(F.col("__tot").cast("double") * F.lit(float(train_frac))), F.col("__tot") - 1)
+        hit = ranked.where(F.col("__cum") > k).orderBy("__d").select("__d").first()
+        if hit is None:
+            raise ValueError("cannot split an empty table")
+        return hit["__d"]
+    n = x.count()
     if n == 0:
         raise ValueError("cannot split an empty table")
-    k = int(n * train_frac)
-    k = min(k, n - 1)
-    return value_at_rank(df.where(F.col(date_col).isNotNull()), date_col, k)
+    return value_at_rank(x, date_col, min(int(n * train_frac), n - 1))
 
 
 def time_split(df: DataFrame, date_col: str, train_frac: float = 0.8, cutoff=None, raw_col: str | None = None):

@@ -33,8 +33,8 @@ from ..operators.report import (BIAS_FLAGS, COVERAGE_FLAGS, LEAGUE_FALLBACK, bui
 from ..operators.scoring import (STAT_GROUPS, coverage_label, point_and_interval, rejection_rows, scout_columns,
                                  validate_requests)
 from ..operators.baselines import (add_age_bin, fit_predict_group_median, global_median, group_medians)
-from ..operators.features import (add_rate_features, category_counts, collapse_rare_categories,
-                                  select_feature_group)
+from ..operators.features import (add_rate_features, apply_collapse, category_counts, collapse_rare_categories,
+                                  fit_top_categories, select_feature_group)
 from ..operators.groups import attach_names, clean_games, group_performance, missing_keys, patched_dimension
 from ..operators.profiling import null_counts, null_fraction_top, null_stats, profile_tables
 from ..operators.lookback import lookback_aggregate
@@ -266,10 +266,15 @@ def split_frames(spark: SparkSession, sf: str):
 
 
 def scored(spark: SparkSession, sf: str, side: str = "test") -> DataFrame:
-    """Rows of one side with the position × age-bin median prediction (G11) and EUR errors."""
+    """Rows of one side with the position × age-bin median prediction (G11) and EUR errors.
+
+    Scored once and checkpointed into the shared checkpoint folder: the
+    diagnostics run several statistics passes (sums, exact medians, decile
+    edges) over it, and each would otherwise recompute split, group medians
+    and join."""
     train, test, _ = split_frames(spark, sf)
     pred = fit_predict_group_median(train, train if side == "train" else test, "target_log", GROUP_KEYS)
-    return add_error_columns(pred, "pred_log", "value")
+    return materialize(add_error_columns(pred, "pred_log", "value"))
 
 
 def _age_bin_sql(col: str = "age") -> str:
@@ -1135,12 +1140,14 @@ def feature_frame(spark: SparkSession, sf: str) -> DataFrame:
              .select(F.col("c_custkey").alias("o_custkey"),
                      F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("acctbal"),
                      clean_category("r_name").alias("region")))
+    # collapse lists are fitted on the anchor rows before the (1:1) lookback join
+    keep = fit_top_categories(base.select("nationality"), {"nationality": 10})
     v1 = lookback_aggregate(base.join(attrs, "o_custkey", "left"), facts(spark, sf), entity="o_custkey",
                             anchor_time="anchor_date", fact_time="l_shipdate", measures=measure_columns(),
                             windows=WINDOWS, count_name="games_played")
     v1 = v1.withColumn("acctbal_bucket", three_way_bucket("acctbal", *ACCT_BUCKETS))
     v2 = add_rate_features(v1, list(WINDOWS))
-    return collapse_rare_categories(v2, {"nationality": 10})
+    return apply_collapse(v2, keep)
 
 
 _MODELS: dict[tuple, object] = {}
@@ -1173,7 +1180,8 @@ def ablation(spark, sf):
                                     core=["age", "position"])
         num = [c for c in NUMERIC_INPUTS if c in cols]
         cat = [c for c in CATEGORICAL_INPUTS if c in cols]
-        model = full if mode == "full" else fit_ridge(train, "target_log", num, cat, alpha=1.0)
+        model = full if mode == "full" else fit_ridge(train, "target_log", num, cat, alpha=1.0, prep=full.prep,
+                                                      label_stats=(full.n_train, full.label_std))
         m = regression_metrics(model.predict(test), "target_log", "pred_log").select(
             F.lit(mode).alias("experiment"), F.lit(len(cols)).alias("n_features_input"), "rmse_log", "mae_log",
             "mae_eur")

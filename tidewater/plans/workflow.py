@@ -21,10 +21,11 @@ from ..functions.scalar import keyword_bucket, log_target, safe_date, try_double
 from ..operators.baselines import add_age_bin, fit_predict_group_median, global_median
 from ..operators.cleaning import (POSITION_RULES, add_age_at_anchor, clean_entities, drop_missing, entity_base,
                                   keep_positive)
-from ..operators.features import add_rate_features, collapse_rare_categories, select_feature_group
+from ..operators.features import add_rate_features, apply_collapse, fit_top_categories, select_feature_group
 from ..operators.groups import attach_names, clean_games, group_performance, missing_keys, patched_dimension
 from ..operators.lookback import lookback_aggregate
-from ..operators.model import RidgeModel, column_roles, fit_ridge, top_coefficients
+from ..operators.model import (RidgeModel, column_roles, fit_label_stats, fit_preprocessing, fit_ridge,
+                               top_coefficients)
 from ..operators.profiling import null_fraction_top, table_shape
 from ..operators.report import build_report, report_lines
 from ..operators.split import iso_date, time_split
@@ -91,15 +92,20 @@ def profile_raw(spark: SparkSession, raw_dir: str, sample_rows: int | None = 5_0
 # L1: feature versions
 # ---------------------------------------------------------------------------
 
-def build_features_v1(players: DataFrame, valuations: DataFrame, appearances: DataFrame) -> DataFrame:
-    """Anchors ⟕ entity base, age at anchor, 180/365-day lookback totals, log target."""
+def anchor_rows(players: DataFrame, valuations: DataFrame) -> DataFrame:
+    """Valid anchors ⟕ entity base with the age filter: the row set of every feature version."""
     require_columns(valuations, ["player_id", "date", "market_value_in_eur"], "valuations")
     vals = valuations.withColumn("date", safe_date("date"))
     vals = drop_missing(vals, ["player_id", "date", "market_value_in_eur"])
     vals = keep_positive(vals, "market_value_in_eur")
-    base = entity_base(players)
-    df = vals.join(base, "player_id", "left")
-    df = add_age_at_anchor(df, "date", "date_of_birth", "age")
+    df = vals.join(entity_base(players), "player_id", "left")
+    return add_age_at_anchor(df, "date", "date_of_birth", "age")
+
+
+def build_features_v1(players: DataFrame, valuations: DataFrame, appearances: DataFrame,
+                      anchors: DataFrame | None = None) -> DataFrame:
+    """Anchors ⟕ entity base, age at anchor, 180/365-day lookback totals, log target."""
+    df = anchors if anchors is not None else anchor_rows(players, valuations)
     apps = appearances.withColumn("date", safe_date("date"))
     measures = {m: (try_double(m) if m in apps.columns else F.lit(0.0)) for m in APPEARANCE_TOTALS}
     df = lookback_aggregate(df, apps, entity="player_id", anchor_time="date", measures=measures,
@@ -109,15 +115,19 @@ def build_features_v1(players: DataFrame, valuations: DataFrame, appearances: Da
 
 def build_features(players: DataFrame, valuations: DataFrame, appearances: DataFrame,
                    version: str = "v3", collapse: dict[str, int] | None = None) -> DataFrame:
-    """v1 → v2 (rate columns) → v3 (rare categories collapsed); stops at ``version``."""
-    df = build_features_v1(players, valuations, appearances)
+    """v1 → v2 (rate columns) → v3 (rare categories collapsed); stops at ``version``.
+
+    The v3 keep-lists count the anchor rows before the lookback (the lookback
+    keeps rows 1:1), so fitting them never recomputes the window plan."""
+    anchors = anchor_rows(players, valuations)
+    df = build_features_v1(players, valuations, appearances, anchors)
     if version == "v1":
         return df
     df = add_rate_features(df, list(WINDOWS))
     if version == "v2":
         return df
-    specs = {c: k for c, k in (collapse or COLLAPSE_V3).items() if c in df.columns}
-    return collapse_rare_categories(df, specs) if specs else df
+    specs = {c: k for c, k in (collapse or COLLAPSE_V3).items() if c in anchors.columns}
+    return apply_collapse(df, fit_top_categories(anchors, specs)) if specs else df
 
 
 # ---------------------------------------------------------------------------
@@ -148,10 +158,12 @@ def train(spark: SparkSession, features: DataFrame, *, date_col: str = "date", a
     inputs = model_inputs(feats, date_col)
     numeric, categorical = column_roles(feats.select(*inputs))
     rows, full = None, None
+    prep = fit_preprocessing(train_df, numeric, categorical)     # one pass serves all four fits
+    label_stats = fit_label_stats(train_df, TARGET)
     for mode in ABLATIONS:
         cols = select_feature_group(inputs, mode)
         model = fit_ridge(train_df, TARGET, [c for c in numeric if c in cols], [c for c in categorical if c in cols],
-                          alpha)
+                          alpha, prep=prep, label_stats=label_stats)
         m = regression_metrics(model.predict(test_df), TARGET, "pred_log").select(
             F.lit(mode).alias("experiment"), F.lit(len(cols)).alias("n_features_input"), "*")
         rows = m if rows is None else rows.unionByName(m)
