@@ -5,7 +5,21 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidewater.operators.lookback import lookback_aggregate, lookback_by_join
+from tidewater.operators.lookback import lookback_aggregate
+from tidewater.functions.scalar import try_double
+
+
+def lookback_by_join(anchors, facts, *, anchor_key, entity, anchor_time, fact_time, measures, days, prefix,
+                     count_name="games_played"):
+    """Brute-force oracle: every (anchor, fact) pair of an entity, then a date mask (small data only)."""
+    a = anchors.select(anchor_key, entity, F.to_date(anchor_time).alias("__d"))
+    fa = facts.select(F.col(entity).alias("__fe"), F.to_date(fact_time).alias("__fd"),
+                      *[F.coalesce(try_double(F.col(c)), F.lit(0.0)).alias(n) for n, c in measures.items()])
+    j = a.join(fa, (a[entity] == fa["__fe"]) & (fa["__fd"] < a["__d"]) & (fa["__fd"] >= F.date_sub(a["__d"], days)),
+               "left")
+    return j.groupBy(anchor_key).agg(
+        F.count("__fd").alias(f"{prefix}_{count_name}"),
+        *[F.coalesce(F.sum(n), F.lit(0.0)).alias(f"{prefix}_{n}") for n in measures])
 
 from conftest import SF01
 
@@ -80,3 +94,31 @@ def test_one_window_node_and_no_python(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     txt = lookback_frame(spark, SF01)._jdf.queryExecution().optimizedPlan().toString()
     assert txt.count("Window [") == 1
+
+
+def test_prefix_method_equals_blocks_with_hot_entity(spark):
+    a, f = _random_frames(spark, seed=9, hot_share=0.5)
+    kw = dict(entity="e", anchor_time="d", fact_time="fd", measures={"minutes": "minutes", "goals": "goals"},
+              windows={"w180": 180, "w365": 365})
+    blocks = lookback_aggregate(a, f, method="blocks", **kw)
+    prefix = lookback_aggregate(a, f, method="prefix", **kw)
+    cols = [f"{p}_{m}" for p in ("w180", "w365") for m in ("games_played", "minutes", "goals")]
+    x = blocks.select("aid", *[F.col(c).alias("b_" + c) for c in cols]).join(prefix.select("aid", *cols), "aid")
+    bad = x.where(" OR ".join(f"abs(b_{c} - {c}) > 1e-9" for c in cols))
+    assert x.count() == 400 and bad.count() == 0
+
+
+def test_microsecond_grain_uses_prefix_and_matches_bruteforce(spark):
+    rnd = random.Random(1)
+    t0 = dt.datetime(2024, 1, 1)
+    ev = [(i, 0 if rnd.random() < 0.6 else rnd.randint(1, 4),
+           t0 + dt.timedelta(seconds=rnd.randint(0, 30 * 86400), microseconds=rnd.choice([0, 1, 999999])),
+           float(rnd.randint(1, 50)) / 4) for i in range(600)]
+    ev.append((600, 0, ev[0][2], 1.0))                 # same timestamp as another event: excluded both ways
+    df = spark.createDataFrame(ev, "event_id long, user_id long, ts timestamp_ntz, value double")
+    got = lookback_aggregate(df.select("event_id", "user_id", "ts"), df, entity="user_id", anchor_time="ts",
+                             measures={"value": "value"}, windows={"d7": 7}, count_name="n", unit="micros")
+    rows = {r["event_id"]: (r["d7_n"], r["d7_value"]) for r in got.collect()}
+    for i, u, t, _ in ev:
+        sel = [v for j, u2, t2, v in ev if u2 == u and t - dt.timedelta(days=7) <= t2 < t]
+        assert rows[i][0] == len(sel) and abs(rows[i][1] - sum(sel)) < 1e-9

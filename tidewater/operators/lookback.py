@@ -22,6 +22,9 @@ Plan (E1), designed so no single task ever holds one entity's whole history:
 
 A window partition therefore holds at most 2 × (block length) rows whatever
 the skew, instead of a per-entity cross product (the reference's merge).
+At sub-day grains :func:`lookback_prefix` (prefix sums over a range-
+partitioned, checkpointed table) is used instead, since one entity may
+hold a large share of all rows inside a single window length.
 """
 
 from __future__ import annotations
@@ -72,13 +75,23 @@ def lookback_aggregate(
     windows: Mapping[str, int] | None = None,
     count_name: str = "games_played",
     unit: str = "day",
+    method: str = "auto",
 ) -> DataFrame:
     """Add ``{prefix}_{count_name}`` and ``{prefix}_{measure}`` columns to ``anchors``.
 
     ``windows`` maps a prefix to a window length in days (e.g. ``{"w180": 180}``).
     ``measures`` maps output names to fact columns/expressions; non-numeric or
     missing values count as 0 (B18). Anchor rows are never dropped.
+
+    ``method``: ``"blocks"`` (the plan above), ``"prefix"``
+    (:func:`lookback_prefix`) or ``"auto"`` — blocks at day grain, where
+    pre-aggregation bounds a partition to 2 × 365 rows per entity, prefix
+    sums at finer grains, where one entity may fill a whole window.
     """
+    if method == "prefix" or (method == "auto" and unit != "day"):
+        return lookback_prefix(anchors, facts, entity=entity, anchor_time=anchor_time, fact_time=fact_time,
+                               fact_entity=fact_entity, measures=measures, windows=windows,
+                               count_name=count_name, unit=unit)
     windows = dict(windows or {"w180": 180, "w365": 365})
     measures = dict(measures or {})
     fact_time = fact_time or anchor_time
@@ -136,30 +149,94 @@ def lookback_aggregate(
     return joined.withColumns(fills).drop("__e", "__t")
 
 
-def lookback_by_join(
+def lookback_prefix(
     anchors: DataFrame,
     facts: DataFrame,
     *,
-    anchor_key: str,
     entity: str,
     anchor_time: str,
-    fact_time: str,
-    measures: Mapping[str, str],
-    days: int,
-    prefix: str,
+    fact_time: str | None = None,
+    fact_entity: str | None = None,
+    measures: Mapping[str, str | Column] | None = None,
+    windows: Mapping[str, int] | None = None,
     count_name: str = "games_played",
+    unit: str = "micros",
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Reference-shaped equi + range join (C2 as written), for checks on small data only.
-
-    Emits every (anchor, fact) pair of an entity, so it is *not* used by any
-    registered query; tests compare it with :func:`lookback_aggregate`."""
-    a = anchors.select(anchor_key, entity, F.to_date(anchor_time).alias("__d"))
-    fa = facts.select(F.col(entity).alias("__fe"), F.to_date(fact_time).alias("__fd"),
-                      *[F.coalesce(try_double(F.col(c)), F.lit(0.0)).alias(n) for n, c in measures.items()])
-    j = a.join(fa, (a[entity] == fa["__fe"]) & (fa["__fd"] < a["__d"]) & (fa["__fd"] >= F.date_sub(a["__d"], days)),
-               "left")
-    agg = j.groupBy(anchor_key).agg(
-        F.count("__fd").alias(f"{prefix}_{count_name}"),
-        *[F.coalesce(F.sum(n), F.lit(0.0)).alias(f"{prefix}_{n}") for n in measures],
-    )
-    return agg
+    """Same result as :func:`lookback_aggregate`, by prefix sums: window(t) = C(t) − C(t − N),
+    with C(x) the entity's total over facts strictly before x.
+
+    Meant for sub-day grains, where one entity can hold a large share of all
+    rows inside a single window length. Nothing is partitioned by entity:
+
+    1. facts (pre-aggregated per entity and time unit), the anchor points and
+       one marker per anchor and window at t − N are range-partitioned on
+       (entity, time, kind) — a hot entity spans many partitions — and
+       checkpointed, which pins the partition ids;
+    2. a running sum per (partition, entity) gives C within the partition
+       (points sort before facts of the same time, so "strictly before" holds);
+    3. per-(partition, entity) totals, a table bounded by partitions ×
+       entities per partition, give each partition its offset through a
+       window per entity ordered by partition id;
+    4. C(t) − C(t − N) per anchor key, joined back to the anchor rows.
+    """
+    from ..session import materialize
+
+    windows = dict(windows or {"w180": 180, "w365": 365})
+    measures = dict(measures or {})
+    fact_time = fact_time or anchor_time
+    fact_entity = fact_entity or entity
+    per_day = UNIT_PER_DAY[unit]
+    names = ["__n"] + [f"__m_{m}" for m in measures]
+
+    # prefix differences C(t) − C(t − N) of long running sums would cancel in
+    # floating point: running sums are exact (bigint counts, decimal measures)
+    dec = "decimal(38,12)"
+    f = facts.select(
+        F.col(fact_entity).alias("__e"), time_units(facts, fact_time, unit).alias("__t"),
+        *[F.coalesce(try_double(m if isinstance(m, Column) else F.col(m)), F.lit(0.0)).cast(dec).alias(f"__m_{name}")
+          for name, m in measures.items()],
+    ).where(F.col("__e").isNotNull() & F.col("__t").isNotNull())
+    daily = f.groupBy("__e", "__t").agg(F.count(F.lit(1)).alias("__n"),
+                                        *[F.sum(f"__m_{m}").cast(dec).alias(f"__m_{m}") for m in measures])
+    zero = {"__n": F.lit(0).cast("bigint"), **{f"__m_{m}": F.lit(0).cast(dec) for m in measures}}
+    fact_rows = daily.select("__e", "__t", F.lit(1).alias("__kind"), F.lit(None).cast("bigint").alias("__at"),
+                             F.lit(None).cast("int").alias("__w"), *names)
+    akeys = (anchors.select(F.col(entity).alias("__e"), time_units(anchors, anchor_time, unit).alias("__at"))
+             .where(F.col("__e").isNotNull() & F.col("__at").isNotNull()).distinct())
+    offsets = [0] + [days * per_day for days in windows.values()]
+    points = akeys.select("__e", "__at", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("w"), F.lit(o).cast("bigint").alias("o")) for i, o in enumerate(offsets)])).alias("p")
+    ).select("__e", (F.col("__at") - F.col("p.o")).alias("__t"), F.lit(0).alias("__kind"), "__at",
+             F.col("p.w").alias("__w"), *[zero[c].alias(c) for c in names])
+    both = fact_rows.unionByName(points)
+    nparts = partitions or int(both.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = materialize(both.repartitionByRange(nparts, "__e", "__t", "__kind")
+                         .withColumn("__pid", F.spark_partition_id()))
+    w_local = Window.partitionBy("__pid", "__e").orderBy("__t", "__kind").rowsBetween(
+        Window.unboundedPreceding, -1)
+    local = ranged.select("__pid", "__e", "__kind", "__at", "__w",
+                          *[F.coalesce(F.sum(c).over(w_local), zero[c]).cast(
+                              "bigint" if c == "__n" else dec).alias(c) for c in names])
+    totals = ranged.groupBy("__pid", "__e").agg(*[F.sum(c).alias(c) for c in names])
+    w_off = Window.partitionBy("__e").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = totals.select("__pid", "__e", *[F.coalesce(F.sum(c).over(w_off), zero[c]).cast(
+        "bigint" if c == "__n" else dec).alias(f"__o{c}") for c in names])
+    cum = (local.where(F.col("__kind") == 0).join(offs, ["__pid", "__e"], "left")
+           .select("__e", "__at", "__w", *[(F.col(c) + F.coalesce(F.col(f"__o{c}"), zero[c])).cast(
+               "bigint" if c == "__n" else dec).alias(c) for c in names]))
+    aggs = []
+    for i, prefix in enumerate(windows, start=1):
+        for c in names:
+            diff = F.sum(F.when(F.col("__w") == 0, F.col(c)).when(F.col("__w") == i, -F.col(c)))
+            out = f"{prefix}_{count_name}" if c == "__n" else f"{prefix}_{c[len('__m_'):]}"
+            aggs.append(diff.cast("bigint" if c == "__n" else "double").alias(out))
+    per_key = cum.groupBy("__e", "__at").agg(*aggs).withColumnRenamed("__at", "__t")
+    keyed = anchors.withColumn("__e", F.col(entity)).withColumn("__t", time_units(anchors, anchor_time, unit))
+    joined = keyed.join(per_key, on=["__e", "__t"], how="left")
+    fills = {}
+    for prefix in windows:
+        fills[f"{prefix}_{count_name}"] = F.coalesce(F.col(f"{prefix}_{count_name}"), F.lit(0).cast("bigint"))
+        for name in measures:
+            fills[f"{prefix}_{name}"] = F.coalesce(F.col(f"{prefix}_{name}"), F.lit(0.0))
+    return joined.withColumns(fills).drop("__e", "__t")
