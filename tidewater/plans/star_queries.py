@@ -41,7 +41,7 @@ from ..operators.lookback import lookback_aggregate
 from ..operators.split import iso_date, split_stats, time_cutoff, time_split
 from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, group_smearing,
                                histogram, quantile_values, regression_metrics, top_n)
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, written_table
 from ..streaming.scoring_stream import drain, requests_as_json, start_scoring
 from .diagnostics import error_analysis, global_bias_correction, groupwise_bias_correction, prediction_intervals
 from ..sources.readers import read_table
@@ -229,6 +229,14 @@ GROUP_KEYS = ["position", "age_bin"]
 
 
 def model_base(spark: SparkSession, sf: str) -> DataFrame:
+    """The anchor table, written once per input folder and read back (see
+    :func:`tidewater.session.written_table`): every split, baseline and
+    diagnostic starts from it, as the reference's steps start from its
+    feature file."""
+    return written_table(spark, f"anchors:{sf}", lambda: build_model_base(spark, sf))
+
+
+def build_model_base(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with customer label, nation, tenure age, bin and log target."""
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
     c = read_table(spark, sf, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
@@ -249,14 +257,15 @@ def model_base(spark: SparkSession, sf: str) -> DataFrame:
     return add_age_bin(df, "age", AGE_EDGES)
 
 
-_CUTOFFS: dict[str, object] = {}
+_CUTOFFS: dict[tuple, object] = {}
 
 
 def cutoff_for(spark: SparkSession, sf: str):
-    """E5 cutoff of the model rows (memoised per input folder: the tables are read-only)."""
-    if sf not in _CUTOFFS:
-        _CUTOFFS[sf] = time_cutoff(model_base(spark, sf).select("anchor_date"), "anchor_date", 0.8)
-    return _CUTOFFS[sf]
+    """E5 cutoff of the model rows (kept per application and input folder, like a training artifact)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CUTOFFS:
+        _CUTOFFS[key] = time_cutoff(model_base(spark, sf).select("anchor_date"), "anchor_date", 0.8)
+    return _CUTOFFS[key]
 
 
 def split_frames(spark: SparkSession, sf: str):
@@ -924,13 +933,19 @@ REQ_AGE_LIMITS = (0.5, 6.0)   # the reference accepts ages 16–50
 REQ_WINDOWS = ["w180", "w365"]
 
 
+def anchor_lookback(spark: SparkSession, sf: str) -> DataFrame:
+    """Anchor table + 180/365-day lookback totals: the v1 feature table, written
+    once per input folder and shared by the request, scoring and model queries."""
+    def build():
+        return lookback_aggregate(model_base(spark, sf), facts(spark, sf), entity="o_custkey",
+                                  anchor_time="anchor_date", fact_time="l_shipdate", measures=measure_columns(),
+                                  windows=WINDOWS, count_name="games_played")
+    return written_table(spark, f"anchor-lookback:{sf}", build)
+
+
 def requests_frame(spark: SparkSession, sf: str) -> DataFrame:
     """One score request per order: tenure age, label, per-window totals, group label."""
-    base = model_base(spark, sf)
-    lb = lookback_aggregate(base, facts(spark, sf), entity="o_custkey", anchor_time="anchor_date",
-                            fact_time="l_shipdate", measures=measure_columns(), windows=WINDOWS,
-                            count_name="games_played")
-    return lb.withColumnRenamed("nationality", "player_club_domestic_competition_id")
+    return anchor_lookback(spark, sf).withColumnRenamed("nationality", "player_club_domestic_competition_id")
 
 
 def _validation_sql() -> str:
@@ -1140,11 +1155,9 @@ def feature_frame(spark: SparkSession, sf: str) -> DataFrame:
              .select(F.col("c_custkey").alias("o_custkey"),
                      F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("acctbal"),
                      clean_category("r_name").alias("region")))
-    # collapse lists are fitted on the anchor rows before the (1:1) lookback join
+    # collapse lists are fitted on the anchor rows (the lookback keeps them 1:1)
     keep = fit_top_categories(base.select("nationality"), {"nationality": 10})
-    v1 = lookback_aggregate(base.join(attrs, "o_custkey", "left"), facts(spark, sf), entity="o_custkey",
-                            anchor_time="anchor_date", fact_time="l_shipdate", measures=measure_columns(),
-                            windows=WINDOWS, count_name="games_played")
+    v1 = anchor_lookback(spark, sf).join(attrs, "o_custkey", "left")
     v1 = v1.withColumn("acctbal_bucket", three_way_bucket("acctbal", *ACCT_BUCKETS))
     v2 = add_rate_features(v1, list(WINDOWS))
     return apply_collapse(v2, keep)
@@ -1154,7 +1167,7 @@ _MODELS: dict[tuple, object] = {}
 
 
 def _ridge_setup(spark: SparkSession, sf: str):
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
         feats = materialize(feature_frame(spark, sf))
         cutoff = cutoff_for(spark, sf)

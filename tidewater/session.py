@@ -88,3 +88,18 @@ def materialize(df):
     it survives executor loss, unlike a local checkpoint or an executor cache."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def written_table(spark: SparkSession, key: str, build) -> "DataFrame":  # noqa: F821
+    """A derived table written once as Parquet under the shared checkpoint
+    folder and read back (lineage cut, restartable, predicates still pushed
+    into the scan). ``build`` is called only on the first use per application."""
+    k = (spark.sparkContext.applicationId, key)
+    if k not in _WRITTEN:
+        path = scratch_path(spark, key.replace("/", "_").replace(":", "_")[-60:])
+        build().write.mode("overwrite").parquet(path)
+        _WRITTEN[k] = path
+    return spark.read.parquet(_WRITTEN[k])
