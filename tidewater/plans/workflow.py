@@ -31,6 +31,7 @@ from ..operators.report import build_report, report_lines
 from ..operators.split import iso_date, time_split
 from ..operators.stats import regression_metrics
 from ..sources.readers import discover_tables, read_csv_typed, require_columns, table_name, version_tag
+from ..session import materialize
 from ..sources.sinks import save_model, write_summary, write_table
 from .diagnostics import error_analysis, global_bias_correction, groupwise_bias_correction, prediction_intervals
 
@@ -222,9 +223,11 @@ def run_workflow(spark: SparkSession, raw_dir: str, out_dir: str, version: str =
     paths["ablation"] = write_table(res.ablation, f"{out}/artifacts/ablation_{tag}", "csv")
     paths["top_coefficients"] = write_table(res.top_coefficients, f"{out}/artifacts/ridge_top_coefficients_{tag}",
                                             "csv")
-    scored_train = res.model.predict(res.train, missing=missing)
-    scored_test = res.model.predict(res.test, missing=missing).withColumn(
-        "position_bucket", keyword_bucket("position", POSITION_RULES))
+    # scored once, checkpointed into the shared folder: every diagnostic below
+    # runs several passes (sums, exact medians, decile edges) over these two
+    scored_train = materialize(res.model.predict(res.train, missing=missing))
+    scored_test = materialize(res.model.predict(res.test, missing=missing).withColumn(
+        "position_bucket", keyword_bucket("position", POSITION_RULES)))
     if "domestic_competition_id" not in scored_test.columns:
         scored_test = scored_test.withColumn("domestic_competition_id", F.lit("Unknown"))
     ea = error_analysis(scored_test, actual="market_value_in_eur",
