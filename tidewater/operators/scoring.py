@@ -163,3 +163,18 @@ def assert_ready(model, q_low: float | None, q_high: float | None, coverage: flo
         except Exception as exc:  # noqa: BLE001 - surfaced as a status, like the reference
             return Readiness("unhealthy", "model_prediction_failed", str(exc))
     return Readiness("healthy")
+
+
+def score_requests(requests: DataFrame, model, q_low: float, q_high: float, *, explain: bool = False,
+                   scout: bool = False, top_k: int = 3, coverage: str | None = None, key: str = "request_id",
+                   age_limits=AGE_LIMITS, link: str = "exp") -> tuple[DataFrame, DataFrame]:
+    """Batch scoring (L4): validation (H1) → scoring frame (H3) → prediction
+    → value and interval (H4), optionally local explanations (H5) and the
+    scouting summary (H9). Returns (scored, rejected rows). Stream-safe."""
+    valid, rejected = validate_requests(requests, age_limits=age_limits)
+    frame = scoring_frame(valid)
+    pred = model.contributions(frame, top_k) if (explain or scout) else model.predict(frame)
+    out = point_and_interval(pred, q_low, q_high, link=link)
+    if scout:
+        out = scout_columns(out, coverage or coverage_label(0.1, 0.9))
+    return out, rejection_rows(rejected, key)

@@ -713,16 +713,17 @@ def category_counts_query(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _docs_labels(spark, sf):
-    d = read_table(spark, sf, "documents", ["doc_id", "lang", "source", "n_chars"])
+    d = read_table(spark, sf, "documents", ["doc_id", "text", "lang", "source", "n_chars"])
     lab = read_table(spark, sf, "labels", ["doc_id", "quality", "toxic"])
     return d.join(lab, "doc_id", "left")
 
 
 _DL_SQL = """
-WITH dl AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+WITH dl AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
             FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
   nc AS (SELECT * FROM (
     SELECT 'doc_id' AS "column", COUNT(*) - COUNT(doc_id) AS null_count, COUNT(*) AS n FROM dl UNION ALL
+    SELECT 'text', COUNT(*) - COUNT(text), COUNT(*) FROM dl UNION ALL
     SELECT 'lang', COUNT(*) - COUNT(lang), COUNT(*) FROM dl UNION ALL
     SELECT 'source', COUNT(*) - COUNT(source), COUNT(*) FROM dl UNION ALL
     SELECT 'n_chars', COUNT(*) - COUNT(n_chars), COUNT(*) FROM dl UNION ALL

@@ -15,20 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.scoring import (point_and_interval, rejection_rows, scout_columns, scoring_frame,
-                                 validate_requests)
+from ..operators.scoring import score_requests
 
 
 def scored_stream(requests: DataFrame, model, q_low: float, q_high: float, coverage_label: str,
                   key: str = "request_id", age_limits=(16.0, 50.0), link: str = "exp") -> tuple[DataFrame, DataFrame]:
     """(scored, rejected) streaming DataFrames from a streaming request source."""
-    valid, rejected = validate_requests(requests, age_limits=age_limits)
-    frame = scoring_frame(valid)
-    pred = model.predict(frame)
-    out = scout_columns(point_and_interval(pred, q_low, q_high, link=link), coverage_label)
+    out, rejected = score_requests(requests, model, q_low, q_high, scout=True, coverage=coverage_label,
+                                   key=key, age_limits=age_limits, link=link)
     cols = [key, "pred_log", "predicted_value_eur", "ci_lower", "ci_upper", "valuation_band", "uncertainty_level",
-            "confidence_note", "summary", "score_error"]
-    return out.select(*cols), rejection_rows(rejected, key)
+            "confidence_note", "summary", "key_positives", "key_risks", "score_error"]
+    return out.select(*cols), rejected
 
 
 def start_scoring(spark: SparkSession, source_dir: str, schema: StructType, model, q_low: float, q_high: float,
