@@ -23,6 +23,27 @@ CLUSTER_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Settings for the 100 TB target (1000 executors): many initial shuffle
+# partitions that AQE coalesces to ~256 MB each, 256 MB scan splits, and a
+# skew split for any shuffle partition 5× the median and above 512 MB.
+LARGE_SCALE_CONF = {
+    **CLUSTER_DEFAULTS,
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str] = LARGE_SCALE_CONF) -> SparkSession:
+    """Apply runtime SQL settings to an existing session (e.g. ``LARGE_SCALE_CONF`` on a cluster)."""
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tidewater") -> SparkSession:
     """Local session for tests and the bench (never used by library code)."""
