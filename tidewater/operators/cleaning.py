@@ -7,7 +7,7 @@ no shuffle, pushed into the scan where Catalyst can.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,11 +61,6 @@ def default_numeric(df: DataFrame, cols: Sequence[str], default: float = 0.0) ->
                            for c in cols})
 
 
-def prefix_columns(df: DataFrame, cols: Sequence[str], prefix: str) -> DataFrame:
-    """Rename metric columns to ``{prefix}_{name}``."""
-    return df.withColumnsRenamed({c: f"{prefix}_{c}" for c in cols if c in df.columns})
-
-
 def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Drop columns; absent names are ignored."""
     return df.drop(*cols)
@@ -123,7 +118,3 @@ def clean_entities(df: DataFrame, *, first: str = "first_name", last: str = "las
     out = out.withColumn(height, try_double(height))
     out = keep_between(out, height, *height_range)
     return out.withColumn("height_category", three_way_bucket(height, *buckets, missing=None))
-
-
-def rename_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})

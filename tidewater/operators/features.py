@@ -47,11 +47,6 @@ def category_counts(df: DataFrame, col: str, missing: str = "Unknown") -> DataFr
     return df.groupBy(clean_category(col, missing).alias(col)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_categories(df: DataFrame, col: str, top_k: int, missing: str = "Unknown") -> list[str]:
-    """The ``top_k`` most frequent cleaned values; ties broken by value ascending."""
-    rows = category_counts(df, col, missing).orderBy(F.desc("n"), F.asc(col)).limit(top_k).collect()
-    return [r[0] for r in rows]
-
 
 def collapse_rare_categories(
     df: DataFrame,

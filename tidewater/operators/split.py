@@ -103,9 +103,6 @@ def time_split(df: DataFrame, date_col: str, train_frac: float = 0.8, cutoff=Non
     return train, test, cutoff
 
 
-def split_flag(df: DataFrame, date_col: str, cutoff, name: str = "is_train") -> DataFrame:
-    return df.withColumn(name, F.col(date_col) < F.lit(cutoff))
-
 
 def split_stats(df: DataFrame, date_col: str, cutoff) -> DataFrame:
     """Rows and date range of each side."""

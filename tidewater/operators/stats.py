@@ -207,14 +207,6 @@ def add_error_columns(df: DataFrame, pred_log: str = "pred_log", actual: str = "
     })
 
 
-def error_summary_exprs(abs_err: str = "abs_err_eur", signed_err: str = "signed_err_eur",
-                        accuracy: int | None = None) -> list[Column]:
-    return [
-        F.avg(abs_err).alias("mae_eur"),
-        median_expr(abs_err, accuracy).alias("median_abs_err_eur"),
-        F.avg(signed_err).alias("mean_signed_err_eur"),
-    ]
-
 
 def error_summary(df: DataFrame, accuracy: int | None = None) -> DataFrame:
     """n, MAE, median AE, mean signed error over all rows.

@@ -17,10 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import keyword_bucket, log_target, safe_date, try_double
+from ..functions.scalar import keyword_bucket, log_target, safe_date
 from ..operators.baselines import add_age_bin, fit_predict_group_median, global_median
-from ..operators.cleaning import (POSITION_RULES, add_age_at_anchor, clean_entities, drop_missing, entity_base,
-                                  keep_positive)
+from ..operators.cleaning import (POSITION_RULES, add_age_at_anchor, clean_entities, default_numeric, drop_missing,
+                                  entity_base, keep_positive)
 from ..operators.features import add_rate_features, apply_collapse, fit_top_categories, select_feature_group
 from ..operators.groups import attach_names, clean_games, group_performance, missing_keys, patched_dimension
 from ..operators.lookback import lookback_aggregate
@@ -107,9 +107,9 @@ def build_features_v1(players: DataFrame, valuations: DataFrame, appearances: Da
                       anchors: DataFrame | None = None) -> DataFrame:
     """Anchors ⟕ entity base, age at anchor, 180/365-day lookback totals, log target."""
     df = anchors if anchors is not None else anchor_rows(players, valuations)
-    apps = appearances.withColumn("date", safe_date("date"))
-    measures = {m: (try_double(m) if m in apps.columns else F.lit(0.0)) for m in APPEARANCE_TOTALS}
-    df = lookback_aggregate(df, apps, entity="player_id", anchor_time="date", measures=measures,
+    apps = drop_missing(appearances.withColumn("date", safe_date("date")), ["player_id", "date"])
+    apps = default_numeric(apps, APPEARANCE_TOTALS)          # absent / unparsable totals count as 0 (B18)
+    df = lookback_aggregate(df, apps, entity="player_id", anchor_time="date", measures={m: m for m in APPEARANCE_TOTALS},
                             windows=WINDOWS, count_name="games_played")
     return df.withColumn(TARGET, log_target("market_value_in_eur"))
 

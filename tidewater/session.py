@@ -7,7 +7,6 @@ tests, the bench and the examples only.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -94,12 +93,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tidewater/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def default_parallelism_hint(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local") or os.environ.get("TIDEWATER_LOCAL") == "1"
 
 
 def materialize(df):
