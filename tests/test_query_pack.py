@@ -22,6 +22,19 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, msg
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_types_match_oracle(spark, con, name):
+    sdf = QUERIES[name](spark, SF001)
+    rel = con.sql(SQL[name])
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in sdf.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == duck[f.name], (f.name, f.dataType, duck[f.name])
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_rows_only_queries_run(spark, name):
     assert QUERIES[name](spark, SF001).count() > 0

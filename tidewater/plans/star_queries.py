@@ -588,7 +588,7 @@ SELECT ROUND(q10, 6) AS q10, ROUND(q50, 6) AS q50, ROUND(q90, 6) AS q90,
        CAST((SELECT COUNT(*) FROM iv) AS BIGINT) AS n_test,
        ROUND((SELECT avg(CASE WHEN actual_eur >= pred_eur_lower AND actual_eur <= pred_eur_upper THEN 1.0 ELSE 0.0 END)
               FROM iv), 6) AS empirical_coverage,
-       0.8 AS target_coverage, '10-90' AS "interval"
+       CAST(0.8 AS DOUBLE) AS target_coverage, '10-90' AS "interval"
 FROM q
 """)
 def prediction_intervals_query(spark, sf):
@@ -1062,7 +1062,7 @@ _REPORT_SQL = _INTERVAL_SQL + """,
 @register("report_overall", _REPORT_SQL + """
 SELECT CAST(n_test_rows AS BIGINT) AS n_test_rows, cutoff_date, ROUND(mae, 4) AS mae_eur,
        ROUND(med, 4) AS median_abs_err_eur, ROUND(mse, 4) AS mean_signed_err_eur, dir AS bias_direction,
-       '10-90' AS "interval", 0.8 AS target_coverage, ROUND(emp, 6) AS empirical_coverage, gap AS coverage_gap,
+       '10-90' AS "interval", CAST(0.8 AS DOUBLE) AS target_coverage, ROUND(emp, 6) AS empirical_coverage, gap AS coverage_gap,
        coverage_flag, bias_flag
 FROM o CROSS JOIN flags
 """)
