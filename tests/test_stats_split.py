@@ -133,3 +133,16 @@ def test_grouped_exact_quantile_hot_group_and_value(spark):
     small = {r["g"]: r["m"] for r in grouped_median(df, ["g"], "v", "m").collect()}
     big = {r["g"]: r["m"] for r in grouped_median(df, ["g"], "v", "m", n_rows=10 ** 9).collect()}
     assert small == big
+
+
+def test_error_by_group_keeps_null_group(spark, monkeypatch):
+    import tidewater.operators.quantiles as qmod
+    from tidewater.operators.stats import error_by_group
+    rows = [("a", 1.0, 1.0, -1.0), ("a", 3.0, 3.0, 3.0), (None, 10.0, 10.0, 10.0), (None, 20.0, 20.0, -20.0),
+            (None, 40.0, 40.0, 40.0)]
+    df = spark.createDataFrame(rows, "g string, actual_eur double, abs_err_eur double, signed_err_eur double")
+    for limit in (10 ** 9, 1):                 # one-pass percentile, then the distributed path
+        monkeypatch.setattr(qmod, "LOCAL_EXACT_LIMIT", limit)
+        got = {r["g"]: (r["n"], r["mae_eur"], r["median_abs_err"], r["mean_signed_err"])
+               for r in error_by_group(df, "g").collect()}
+        assert got == {"a": (2, 2.0, 2.0, 1.0), None: (3, 70 / 3, 20.0, 10.0)}
