@@ -27,9 +27,9 @@ def null_stats(df: DataFrame) -> DataFrame:
 
 
 def null_fraction_top(df: DataFrame, k: int = 10, digits: int = 3) -> DataFrame:
-    """Top-k null fractions rounded to ``digits`` (D9); ties by column name."""
-    return (null_stats(df).select("column", F.round("null_ratio", digits).alias("null_pct"))
-            .orderBy(F.desc("null_pct"), F.asc("column")).limit(k))
+    """Top-k null fractions, ranked on the exact ratio (ties by column name), then rounded."""
+    top = null_stats(df).orderBy(F.desc("null_ratio"), F.asc("column")).limit(k)
+    return top.select("column", F.round("null_ratio", digits).alias("null_pct"))
 
 
 def null_counts(df: DataFrame) -> DataFrame:

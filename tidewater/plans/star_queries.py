@@ -733,7 +733,7 @@ WITH dl AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.t
 
 @register("null_profile", _DL_SQL + """
 SELECT "column", ROUND(CAST(null_count AS DOUBLE) / n, 3) AS null_pct FROM nc
-ORDER BY null_pct DESC, "column" LIMIT 10
+ORDER BY CAST(null_count AS DOUBLE) / n DESC, "column" LIMIT 10
 """)
 def null_profile(spark, sf):
     return null_fraction_top(_docs_labels(spark, sf), 10, 3)
