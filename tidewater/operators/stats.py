@@ -45,7 +45,8 @@ LOCAL_EXACT_LIMIT = 2_000_000
 BRACKET_ACCURACY = 10_000
 
 
-def quantile_values(df: DataFrame, col, qs: Sequence[float], accuracy: int | None = None) -> list[float]:
+def quantile_values(df: DataFrame, col, qs: Sequence[float], accuracy: int | None = None,
+                    n_rows: int | None = None) -> list[float]:
     """Global quantiles as Python floats, linear interpolation (pandas/DuckDB ``quantile_cont``).
 
     ``accuracy`` set → one ``percentile_approx`` pass. Otherwise exact: the
@@ -55,12 +56,14 @@ def quantile_values(df: DataFrame, col, qs: Sequence[float], accuracy: int | Non
         row = df.agg(quantile_expr(col, list(qs), accuracy).alias("q")).first()
         return [float(v) if v is not None else None for v in (row["q"] or [None] * len(qs))]
     x = df.select(_c(col).cast("double").alias("__x")).where(F.col("__x").isNotNull())
-    n = x.count()
+    # ``n_rows`` (an upper bound on the non-NULL count) saves the counting job
+    # when it already says the input is small
+    n = n_rows if n_rows is not None and n_rows <= LOCAL_EXACT_LIMIT else x.count()
     if n == 0:
         return [None] * len(qs)
     if n <= LOCAL_EXACT_LIMIT:
         row = x.agg(quantile_expr("__x", list(qs)).alias("q")).first()
-        return [float(v) for v in row["q"]]
+        return [float(v) for v in row["q"]] if row["q"] is not None else [None] * len(qs)
     ranks: set[int] = set()
     for q in qs:
         pos = q * (n - 1)
@@ -117,8 +120,8 @@ def values_at_ranks(x: DataFrame, col: str, ranks: Sequence[int], n: int,
     return out
 
 
-def global_median(df: DataFrame, col, accuracy: int | None = None) -> float | None:
-    return quantile_values(df, col, [0.5], accuracy)[0]
+def global_median(df: DataFrame, col, accuracy: int | None = None, n_rows: int | None = None) -> float | None:
+    return quantile_values(df, col, [0.5], accuracy, n_rows)[0]
 
 
 def qcut_edges(df: DataFrame, col, q: int = 10, accuracy: int | None = None) -> list[float]:
@@ -213,10 +216,13 @@ def error_summary(df: DataFrame, accuracy: int | None = None) -> DataFrame:
 
     Sums in one partial+final aggregate; the median through
     :func:`quantile_values` (exact without a one-task value map)."""
-    med = global_median(df, "abs_err_eur", accuracy)
-    return df.agg(F.count(F.lit(1)).alias("n_test_rows"), F.avg("abs_err_eur").alias("mae_eur"),
-                  F.avg("signed_err_eur").alias("mean_signed_err_eur")).select(
-        "n_test_rows", "mae_eur", F.lit(med).cast("double").alias("median_abs_err_eur"), "mean_signed_err_eur")
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.avg("abs_err_eur").alias("mae"),
+                 F.avg("signed_err_eur").alias("mse")).first()
+    med = global_median(df, "abs_err_eur", accuracy, n_rows=row["n"])
+    spark = df.sparkSession
+    return spark.createDataFrame(
+        [(row["n"], row["mae"], med, row["mse"])],
+        "n_test_rows bigint, mae_eur double, median_abs_err_eur double, mean_signed_err_eur double")
 
 
 def error_by_group(df: DataFrame, group: str, accuracy: int | None = None, actual: str = "actual_eur") -> DataFrame:
@@ -281,8 +287,9 @@ def variant_metrics(df: DataFrame, actual: str, variants: dict[str, str], accura
     sums = long.groupBy("variant").agg(F.avg(F.abs(err)).alias("mae_eur"), F.avg(err).alias("mean_signed_err_eur"))
     # each variant's median is a global quantile over the whole table: exact
     # selection per variant instead of one grouped value map per variant
+    n = df.count()
     meds = [(k, global_median(df.select((F.col(variants[k]) - F.col(actual)).alias("__e")),
-                              F.abs(F.col("__e")), accuracy)) for k in names]
+                              F.abs(F.col("__e")), accuracy, n_rows=n)) for k in names]
     med_col = None
     for k, v in meds:
         cond = F.col("variant") == F.lit(k)
