@@ -79,3 +79,14 @@ def test_imputation_medians_large_path_equal(spark, monkeypatch):
     big = mdl.fit_preprocessing(df, ["x1", "x2"], ["cat"])
     assert np.allclose([small.medians[c] for c in ("x1", "x2")], [big.medians[c] for c in ("x1", "x2")], rtol=1e-12)
     assert small.modes == big.modes
+
+
+def test_shared_statistics_give_the_same_subset_model(spark):
+    df, *_ = _data(spark)
+    full = fit_ridge(df, "y", ["x1", "x2"], ["cat"])
+    fresh = fit_ridge(df, "y", ["x2"], ["cat"])
+    shared = fit_ridge(df, "y", ["x2"], ["cat"], prep=full.prep, label_stats=(full.n_train, full.label_std),
+                       category_labels=full.category_labels)
+    assert shared.feature_names == fresh.feature_names
+    assert np.allclose(shared.coefficients, fresh.coefficients, atol=1e-12)
+    assert np.isclose(shared.intercept, fresh.intercept, atol=1e-12)

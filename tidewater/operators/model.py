@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -138,6 +138,7 @@ class RidgeModel:
     alpha: float
     n_train: int
     label_std: float = 0.0
+    category_labels: dict[str, list[str]] = field(default_factory=dict)
 
     def predict(self, df: DataFrame, out: str = "pred_log", missing: str = "pipeline") -> DataFrame:
         """Batch prediction in log space."""
@@ -191,7 +192,7 @@ class RidgeModel:
                 "modes": self.prep.modes, "means": self.prep.means, "scales": self.prep.scales,
                 "feature_names": self.feature_names, "coefficients": [float(c) for c in self.coefficients],
                 "intercept": float(self.intercept), "alpha": self.alpha, "n_train": self.n_train,
-                "label_std": self.label_std}
+                "label_std": self.label_std, "category_labels": self.category_labels}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(
             f"{path}/meta")
 
@@ -204,7 +205,8 @@ class RidgeModel:
         prep = Preprocessing(meta["numeric"], meta["categorical"], meta["medians"], meta["modes"], meta["means"],
                              meta["scales"])
         return RidgeModel(prep, PipelineModel.load(f"{path}/pipeline"), meta["feature_names"], meta["coefficients"],
-                          meta["intercept"], meta["alpha"], meta["n_train"], meta.get("label_std", 0.0))
+                          meta["intercept"], meta["alpha"], meta["n_train"], meta.get("label_std", 0.0),
+                          meta.get("category_labels", {}))
 
 
 def subset_preprocessing(prep: Preprocessing, numeric: Sequence[str], categorical: Sequence[str]) -> Preprocessing:
@@ -217,11 +219,14 @@ def subset_preprocessing(prep: Preprocessing, numeric: Sequence[str], categorica
 
 def fit_ridge(train: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
               alpha: float = 1.0, accuracy: int | None = None, prep: Preprocessing | None = None,
-              label_stats: tuple[int, float] | None = None) -> RidgeModel:
+              label_stats: tuple[int, float] | None = None,
+              category_labels: dict[str, list[str]] | None = None) -> RidgeModel:
     """Fit imputation + scaling + one-hot + ridge on ``train``.
 
-    ``prep`` / ``label_stats`` (n, population std of the label) may be passed
-    in when several models are fitted on the same rows (ablations)."""
+    ``prep`` / ``label_stats`` (n, population std of the label) /
+    ``category_labels`` (each column's sorted categories) may be passed in
+    when several models are fitted on the same rows (ablations): per-column
+    statistics and category lists do not depend on the other columns."""
     prep = (subset_preprocessing(prep, numeric, categorical) if prep is not None
             else fit_preprocessing(train, numeric, categorical, accuracy))
     data = prep.transform(train.where(F.col(target).isNotNull()))
@@ -234,8 +239,14 @@ def fit_ridge(train: DataFrame, target: str, numeric: Sequence[str], categorical
     stages = []
     oh_cols = []
     if categorical:
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=[f"__idx_{c}" for c in categorical],
-                                    handleInvalid="keep", stringOrderType="alphabetAsc"))
+        if category_labels is not None:
+            # one single-column model per column: the multi-column constructor
+            # pads ragged label lists with NULLs
+            stages += [StringIndexerModel.from_labels(list(category_labels[c]), inputCol=c, outputCol=f"__idx_{c}",
+                                                      handleInvalid="keep") for c in categorical]
+        else:
+            stages.append(StringIndexer(inputCols=list(categorical), outputCols=[f"__idx_{c}" for c in categorical],
+                                        handleInvalid="keep", stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCols=[f"__idx_{c}" for c in categorical],
                                     outputCols=[f"__oh_{c}" for c in categorical], dropLast=True))
         oh_cols = [f"__oh_{c}" for c in categorical]
@@ -247,10 +258,15 @@ def fit_ridge(train: DataFrame, target: str, numeric: Sequence[str], categorical
     pm = Pipeline(stages=stages).fit(data)
     lr = pm.stages[-1]
     names = list(numeric)
+    labels_by_col: dict[str, list[str]] = {}
     if categorical:
-        for c, labels in zip(categorical, pm.stages[0].labelsArray):
+        arrays = ([list(category_labels[c]) for c in categorical] if category_labels is not None
+                  else [list(x) for x in pm.stages[0].labelsArray])
+        for c, labels in zip(categorical, arrays):
+            labels_by_col[c] = labels
             names += [f"{c}={v}" for v in labels]
-    return RidgeModel(prep, pm, names, list(lr.coefficients.toArray()), float(lr.intercept), alpha, n, sy)
+    return RidgeModel(prep, pm, names, list(lr.coefficients.toArray()), float(lr.intercept), alpha, n, sy,
+                      labels_by_col)
 
 
 def fit_label_stats(train: DataFrame, target: str) -> tuple[int, float]:

@@ -1195,7 +1195,8 @@ def ablation(spark, sf):
         num = [c for c in NUMERIC_INPUTS if c in cols]
         cat = [c for c in CATEGORICAL_INPUTS if c in cols]
         model = full if mode == "full" else fit_ridge(train, "target_log", num, cat, alpha=1.0, prep=full.prep,
-                                                      label_stats=(full.n_train, full.label_std))
+                                                      label_stats=(full.n_train, full.label_std),
+                                                      category_labels=full.category_labels)
         m = regression_metrics(model.predict(test), "target_log", "pred_log").select(
             F.lit(mode).alias("experiment"), F.lit(len(cols)).alias("n_features_input"), "rmse_log", "mae_log",
             "mae_eur")

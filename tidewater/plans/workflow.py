@@ -164,7 +164,8 @@ def train(spark: SparkSession, features: DataFrame, *, date_col: str = "date", a
     for mode in ABLATIONS:
         cols = select_feature_group(inputs, mode)
         model = fit_ridge(train_df, TARGET, [c for c in numeric if c in cols], [c for c in categorical if c in cols],
-                          alpha, prep=prep, label_stats=label_stats)
+                          alpha, prep=prep, label_stats=label_stats,
+                          category_labels=full.category_labels if full is not None else None)
         m = regression_metrics(model.predict(test_df), TARGET, "pred_log").select(
             F.lit(mode).alias("experiment"), F.lit(len(cols)).alias("n_features_input"), "*")
         rows = m if rows is None else rows.unionByName(m)
