@@ -1246,3 +1246,18 @@ def stream_scoring(spark, sf):
                        coverage_label=coverage_label(0.1, 0.9), age_limits=REQ_AGE_LIMITS)
     drain(qs)
     return spark.read.parquet(f"{root}/out/scored")
+
+
+@register("calibration_groupwise", _SMEAR_SQL + """,
+  gw AS (SELECT GREATEST(t.pred_eur * COALESCE(gs.s, sm.s), 0) AS pred_gw, t.actual_eur
+         FROM test_err t LEFT JOIN gs ON gs.nationality = t.nationality CROSS JOIN sm),""" +
+          _deciles_sql("pred_gw", "gw").rstrip() + """
+SELECT CAST(decile AS INTEGER) AS decile, ROUND(avg(pred_gw), 4) AS pred_mean,
+       ROUND(avg(actual_eur), 4) AS actual_mean, CAST(COUNT(actual_eur) AS BIGINT) AS n
+FROM binned GROUP BY decile
+""")
+def calibration_groupwise(spark, sf):
+    _, _, _, cal, _ = groupwise_bias_correction(scored(spark, sf, "train"), scored(spark, sf),
+                                                group="nationality", actual="value")
+    return cal.select("decile", r4(F.col("pred_mean")).alias("pred_mean"),
+                      r4(F.col("actual_mean")).alias("actual_mean"), "n")
