@@ -1261,3 +1261,19 @@ def calibration_groupwise(spark, sf):
                                                 group="nationality", actual="value")
     return cal.select("decile", r4(F.col("pred_mean")).alias("pred_mean"),
                       r4(F.col("actual_mean")).alias("actual_mean"), "n")
+
+
+@register("interval_distribution", _INTERVAL_SQL + """,
+  s AS (SELECT 'actual' AS series, actual_eur AS x FROM iv
+        UNION ALL SELECT 'predicted_median' AS series, pred_eur_median AS x FROM iv),
+  mm AS (SELECT series, min(x) AS lo, max(x) AS hi FROM s GROUP BY series)
+SELECT s.series, CAST(LEAST(FLOOR((x - lo) / (hi - lo) * 50), 49) AS INTEGER) AS bin, CAST(COUNT(*) AS BIGINT) AS n
+FROM s JOIN mm ON mm.series = s.series GROUP BY 1, 2
+""")
+def interval_distribution(spark, sf):
+    """Data behind the actual-vs-predicted-median distribution chart (D19, 50 bins each)."""
+    _, _, rows = prediction_intervals(scored(spark, sf, "train"), scored(spark, sf), actual="value")
+    rows = materialize(rows.select("actual_eur", "pred_eur_median"))
+    a = histogram(rows, "actual_eur", 50).select(F.lit("actual").alias("series"), "bin", "n")
+    p = histogram(rows, "pred_eur_median", 50).select(F.lit("predicted_median").alias("series"), "bin", "n")
+    return a.unionByName(p)
