@@ -94,8 +94,8 @@ def test_profile_raw(spark, raw_dir):
 def test_run_workflow_writes_artifacts(spark, raw_dir, tmp_path):
     paths = run_workflow(spark, raw_dir, str(tmp_path / "out"))
     for key in ["features", "model", "metrics", "ablation", "error_summary", "error_by_position", "calibration",
-                "bias_comparison", "groupwise_smearing", "interval_summary", "report", "club_performance",
-                "players_clean"]:
+                "bias_comparison", "groupwise_smearing", "calibration_groupwise", "interval_summary",
+                "interval_rows", "report", "club_performance", "players_clean"]:
         assert key in paths
     metrics = spark.read.json(paths["metrics"]).collect()
     assert {r["model"] for r in metrics} == {"baseline_global_median", "baseline_position_age", "ridge_model_full"}
@@ -104,5 +104,7 @@ def test_run_workflow_writes_artifacts(spark, raw_dir, tmp_path):
         "full", "no_nationality", "no_context", "performance_only"}
     n_inputs = {r["experiment"]: int(r["n_features_input"]) for r in abl}
     assert n_inputs == {"full": 36, "no_nationality": 34, "no_context": 33, "performance_only": 28}
+    rows = spark.read.option("header", True).csv(paths["interval_rows"])
+    assert rows.count() > 0 and "pred_eur_median" in rows.columns
     rep = spark.read.json(paths["report"]).first()
     assert rep["overall"]["interval"] == "10-90" and len(rep["risk_flags"]) == 4

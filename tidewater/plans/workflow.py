@@ -253,8 +253,13 @@ def run_workflow(spark: SparkSession, raw_dir: str, out_dir: str, version: str =
         paths["groupwise_comparison"] = write_table(comp_g.withColumn("global_fallback_smearing", F.lit(s_g)),
                                                     f"{out}/artifacts/error_analysis_groupwise_comparison_{tag}",
                                                     "csv")
+        paths["calibration_groupwise"] = write_table(cal_g, f"{out}/artifacts/calibration_deciles_groupwise_{tag}",
+                                                     "csv")
     (q_lo, q_med, q_hi), iv_summary, iv_rows = prediction_intervals(scored_train, scored_test,
                                                                     actual="market_value_in_eur")
+    keep = [c for c in ["date", "player_id", "pred_eur_lower", "pred_eur_median", "pred_eur_upper", "actual_eur"]
+            if c in iv_rows.columns]
+    paths["interval_rows"] = write_table(iv_rows.select(*keep), f"{out}/artifacts/prediction_intervals_{tag}", "csv")
     iv_summary = iv_summary.withColumn("model_version", F.lit(tag))
     paths["interval_summary"] = write_summary(iv_summary, f"{out}/artifacts/prediction_interval_summary_{tag}")
     report = build_report(spark, tag, summary, iv_summary, ea.by_group["position_bucket"], "position_bucket",
