@@ -27,25 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import LOWER, Rolling, chunks, mix, text_bytes, word_spans
+from .kernels import PLAIN, Rolling, chunks, mix, text_bytes, word_spans
 from .shared import small_batches
 
 K1, B = 1.2, 0.75
 #: Items per block of a postings list.
 BLOCK = 8
-#: Words end at blanks and at ASCII punctuation.
-_PUNCTUATION = np.array([c for c in range(128) if not chr(c).isalnum()])
-
-
-def _plain(data: np.ndarray) -> np.ndarray:
-    """Lower-cased, with punctuation as blanks."""
-    table = LOWER.copy()
-    table[_PUNCTUATION] = 32
-    return table[data]
-
 
 def _words(text: str) -> np.ndarray:
-    data = _plain(np.frombuffer(text.encode(), np.uint8))
+    data = PLAIN[np.frombuffer(text.encode(), np.uint8)]
     starts, ends, _ = word_spans(data, np.array([0, len(data)]))
     return Rolling(19).load(data).of(starts, ends)
 
@@ -163,7 +153,7 @@ def search(index: Index, texts, threshold: float, share: float):
         return found
     rolling = Rolling(19)
     for i, j in chunks(offsets, 1 << 18):
-        part = _plain(data[offsets[i]:offsets[j]])
+        part = PLAIN[data[offsets[i]:offsets[j]]]
         starts, ends, first = word_spans(part, offsets[i:j + 1] - offsets[i])
         words = rolling.load(part).of(starts, ends)
         term = np.minimum(np.searchsorted(index.terms, words), len(index.terms) - 1)

@@ -20,11 +20,12 @@ def labelled_sample(labels: DataFrame, most: int, key: str = "doc_id") -> DataFr
     return F.broadcast(labels.orderBy(F.xxhash64(F.lit("sample"), key), key).limit(most))
 
 
-def class_counts(rows: DataFrame, features, tables: int, buckets: int, classes: int) -> np.ndarray:
+def class_counts(rows: DataFrame, features, tables: int, buckets: int, classes: int, once: bool = False) -> np.ndarray:
     """``counts[table, class, bucket]`` over rows ``(text, label)``, where
     ``features(data, offsets)`` yields ``(i, j, ids, first)``: for texts ``i`` to
     ``j``, ``ids[table]`` are the buckets of their words and ``first`` the index of
-    each text's first word. Tasks send the buckets they have seen, packed; the sums
+    each text's first word. With ``once`` a bucket counts once per text, so that a
+    text that repeats one word many times weighs no more than another. Tasks send the buckets they have seen, packed; the sums
     (``tables * classes * buckets`` numbers) come to the driver."""
     cells = tables * classes * buckets
 
@@ -34,8 +35,12 @@ def class_counts(rows: DataFrame, features, tables: int, buckets: int, classes:
             data, offsets = text_bytes(batch.column(0))
             label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for i, j, ids, first in features(data, offsets):
-                of = np.repeat(label[i:j], np.diff(first))
+                text = np.repeat(np.arange(i, j), np.diff(first))
                 for table, own in enumerate(ids):
+                    of = label[text]
+                    if once:
+                        pairs = np.unique(text * np.int64(buckets) + own)
+                        of, own = label[pairs // buckets], pairs % buckets
                     total += np.bincount((table * classes + of) * buckets + own, minlength=cells)
         import pyarrow as pa
         at = np.flatnonzero(total)

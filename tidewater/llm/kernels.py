@@ -10,6 +10,8 @@ WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
+#: Lower-cased, and ASCII punctuation as blanks.
+PLAIN = np.array([LOWER[c] if c >= 128 or chr(c).isalnum() else 32 for c in range(256)], dtype=np.uint8)
 
 
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:

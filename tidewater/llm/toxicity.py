@@ -1,7 +1,7 @@
 """Toxic passages by maximum-scoring segment search.
 
-Each word scores the log-odds of its class counts in labelled texts, under a
-Dirichlet prior whose mean comes from the word's stem (its first bytes), whose
+Each word scores the log-odds of its class counts in labelled texts (once per
+text), under a Dirichlet prior whose mean comes from the word's stem (its first bytes), whose
 own prior comes from a shorter stem and at last from all words. A fixed penalty
 makes a harmless text drift downward. The Ruzzo-Tompa scan finds, in linear
 time, all disjoint segments of maximal score.
@@ -10,8 +10,8 @@ Scores of best segments follow an extreme-value law: in ``m`` harmless words,
 segments of score ``S`` or more number about ``K m exp(-lambda S)``. ``lambda``
 solves ``E[exp(lambda s)] = 1`` over words of harmless labelled texts and ``K``
 is fitted to their best segments. Several segments of a text are taken together
-by the law for their sum; a logistic curve turns ``-log`` of the smallest
-p-value into a score from 0 to 1. The law and the curve are fitted on labelled
+by the law for their sum; a logistic curve over the logarithm of ``-log`` of the
+smallest p-value gives a score from 0 to 1. The law and the curve are fitted on labelled
 texts whose words were not counted.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hashed_counts import class_counts, labelled_sample
-from .kernels import LOWER, Rolling, chunks, text_bytes, word_spans
+from .kernels import PLAIN, Rolling, chunks, text_bytes, word_spans
 from .shared import small_batches
 
 #: Buckets of each hashed table (words, longer stems, shorter stems).
@@ -36,9 +36,10 @@ STEMS = (6, 4)
 
 
 def word_buckets(data: np.ndarray, offsets: np.ndarray, rolling: Rolling, most: int = 1 << 20):
-    """For :func:`class_counts`: buckets of words and stems."""
+    """For :func:`class_counts`: buckets of words and stems. Words end at blanks and
+    ASCII punctuation."""
     for i, j in chunks(offsets, most):
-        part = LOWER[data[offsets[i]:offsets[j]]]
+        part = PLAIN[data[offsets[i]:offsets[j]]]
         starts, ends, first = word_spans(part, offsets[i:j + 1] - offsets[i])
         rolling.load(part)
         spans = [ends] + [np.minimum(ends, starts + stem) for stem in STEMS]
@@ -66,7 +67,8 @@ class ToxicityModel:
 
     def evidence(self, sums: list[float], words: int) -> float:
         """``-log`` p-value of the best segments of ``words`` words: over the ``r`` best
-        for each ``r``, the sum's law ``exp(-t) t**(r-1) / (r! (r-1)!)``."""
+        for each ``r``, the sum's law ``exp(-t) t**(r-1) / (r! (r-1)!)``, which holds for
+        ``t > r (r + 1)``."""
         best, total = 0.0, 0.0
         base = math.log(max(self.k * words, 1e-9))
         for r, s in enumerate(sorted(sums, reverse=True), 1):
@@ -74,11 +76,13 @@ class ToxicityModel:
             if own <= 0:
                 break
             total += own
+            if r > 1 and total <= r * (r + 1):
+                break
             best = max(best, total - (r - 1) * math.log(max(total, 1.0)) + math.lgamma(r + 1) + math.lgamma(r))
         return best
 
     def score(self, evidence: float) -> float:
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.level + self.slope * evidence))))
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.level + self.slope * math.log1p(evidence)))))
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -105,11 +109,25 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, h - l) for a, b, l, h in zip(start, end, left, right)]
 
 
+def fading(scores: np.ndarray, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Positive scores of a word's n-th use in a text, divided by n: a word that a
+    text repeats a thousand times is no evidence of a thousand."""
+    up = np.flatnonzero(scores > 0)
+    text = np.searchsorted(first, up, side="right")
+    keys = text * np.int64(BUCKETS) + ids[up]
+    order = np.argsort(keys, kind="stable")
+    new = np.concatenate([[True], np.diff(keys[order]) != 0])[:len(order)]
+    since = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    out = scores.copy()
+    out[up[order]] /= since + 1
+    return out
+
+
 def _segments(model: ToxicityModel, texts):
     """For each text: its words' scores and maximal segments."""
     data, offsets = text_bytes(texts)
     for _, _, ids, first in word_buckets(data, offsets, Rolling(13)):
-        scores = model.word_scores(ids)
+        scores = fading(model.word_scores(ids), ids[0], first)
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
             yield scores[a:b], maximal_segments(scores[a:b])
 
@@ -144,7 +162,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, strength: float = 10.0, penalty: float = 0.5,
+    docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, strength: float = 20.0, penalty: float = 0.5,
     doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
 ) -> ToxicityModel:
     """Learns from the rows of ``labels`` that are given (leave out what is held
@@ -158,7 +176,7 @@ def fit(
     texts = docs.select(F.col(f"`{doc_id}`").alias("label_id"), F.col(f"`{text}`").alias("text")).join(sample, "label_id")
     part = F.pmod(F.xxhash64(F.lit("fit"), "label_id"), F.lit(4))
     rolling = Rolling(13)
-    counts = class_counts(texts.where(part > 0), lambda data, offsets: word_buckets(data, offsets, rolling), 1 + len(STEMS), BUCKETS, 2)
+    counts = class_counts(texts.where(part > 0), lambda data, offsets: word_buckets(data, offsets, rolling), 1 + len(STEMS), BUCKETS, 2, once=True)
     total = counts[0].sum(axis=1)
     model = ToxicityModel(counts.astype(np.float32), float((total[1] + 1) / (total.sum() + 2)), strength, penalty)
     grid = np.linspace(-8, 8, 1601)
@@ -185,7 +203,7 @@ def fit(
     model.k = len(clean) / tail if tail else 1.0
     evidence = np.array([model.evidence(list(s), max(int(w), 1)) for w, s in zip(measured["words"], measured["sums"])])
     if len(measured):
-        model.slope, model.level = _logistic(evidence, measured["toxic"].to_numpy(np.float64))
+        model.slope, model.level = _logistic(np.log1p(evidence), measured["toxic"].to_numpy(np.float64))
     return model
 
 
