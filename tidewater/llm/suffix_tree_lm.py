@@ -256,25 +256,34 @@ def _count_pairs(candidates: int):
     return run
 
 
-def _sum_by_context(rows: DataFrame, columns: int, arrays) -> np.ndarray:
-    """Sums of what ``arrays(row)`` returns, ``(contexts, values...)``, by context:
-    a line for each of a bounded number of contexts."""
+def _sum_by_context(rows: DataFrame, candidates: int, columns: int, arrays) -> np.ndarray:
+    """``sums[column, context]`` of what ``arrays(row)`` returns, ``(contexts,
+    values...)``. A task adds up its rows first and sends a line for each context
+    it has seen; contexts are bounded by the share that makes a candidate."""
     names = [f"v{i}" for i in range(columns)]
 
     def run(batches):
+        total, seen = np.zeros((columns, candidates)), np.zeros(candidates, bool)
         for batch in batches:
             for row in batch.itertuples():
                 context, *values = arrays(row)
-                yield pd.DataFrame({"context": context, **dict(zip(names, values))})
+                seen[context] = True
+                for i, value in enumerate(values):
+                    total[i] += np.bincount(context, weights=value, minlength=candidates)
+        at = np.flatnonzero(seen)
+        yield pd.DataFrame({"context": at, **dict(zip(names, total[:, at]))})
 
     lines = rows.mapInPandas(run, "context long, " + ", ".join(f"{n} double" for n in names))
-    return lines.groupBy("context").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    summed = lines.groupBy("context").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    out = np.zeros((columns, candidates))
+    out[:, summed["context"]] = summed[names].to_numpy().T
+    return out
 
 
 def _learn_level(blocks: DataFrame, replies: DataFrame, bits: int, model: dict, level: Level, length: int, divergence: float, share: float) -> tuple[DataFrame, Level]:
     """Counts next words of the candidates, tests them, and returns the replies to
     the blocks and the candidates of the next length."""
-    prior, candidates = model["prior"], max(1, len(level.hashes))
+    prior, candidates = model["prior"], len(level.hashes)
     sent = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(_send_pairs(bits, model, level, length), SENT_PAIRS)
     counted = written(sent.groupBy("part").applyInPandas(_count_pairs(candidates), COUNTED), f"contexts-{length}")
 
@@ -282,9 +291,7 @@ def _learn_level(blocks: DataFrame, replies: DataFrame, bits: int, model: dict,
         once, twice = np.frombuffer(row.counts, np.float64).reshape(2, -1)
         return np.frombuffer(row.context, np.int64), once, twice
 
-    sums = _sum_by_context(counted.where("kind = 'sum'").select("context", "counts"), 2, few)
-    twice = np.zeros(candidates)
-    level.once[sums["context"]], twice[sums["context"]] = sums["v0"], sums["v1"]
+    level.once, twice = _sum_by_context(counted.where("kind = 'sum'").select("context", "counts"), candidates, 2, few)
     back, seen = level.back(np.arange(len(level.hashes)), prior), level.counts
 
     def gained(row):
@@ -294,9 +301,7 @@ def _learn_level(blocks: DataFrame, replies: DataFrame, bits: int, model: dict,
         return context, c * np.log((c - 1) / (seen[context] - 1 + prior) / p + back[context])
 
     keys = counted.where("kind = 'keys'").select("word", "context", "counts", "shorter")
-    gains = _sum_by_context(keys, 1, gained)
-    gain = (level.once + 2 * twice[:len(level.once)]) * np.log(np.maximum(back, 1e-300))
-    gain[gains["context"]] += gains["v0"]
+    gain = (level.once + 2 * twice) * np.log(np.maximum(back, 1e-300)) + _sum_by_context(keys, candidates, 1, gained)[0]
     level.state = gain > divergence
 
     least, hashes, state = share * model["total"], level.hashes, level.state
