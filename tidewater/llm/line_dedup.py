@@ -9,6 +9,8 @@ document, never its text.
 A hash is dealt out together with a bucket of the document id. A line that
 stands in a third of all documents therefore fills many ranges; its buckets are
 counted where they lie and only one count and one id per bucket travel on.
+Occurrences and repeated lines are written tables: texts are read once for each,
+and the join of the two can split a line that fills a partition.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import written
+
 #: The characters stripped at both ends, and the letters lower-cased.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -74,7 +78,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, doc_id
     columns are not read.
     """
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    ranged = _occurrences(source, min_chars).repartitionByRange("h1", "h2", "bucket")
+    ranged = written(_occurrences(source, min_chars), "lines").repartitionByRange("h1", "h2", "bucket")
     stream = Window.partitionBy("h1", "h2", "bucket").orderBy(F.desc("doc_id"), "pos")
     before = F.lag("doc_id").over(stream)
     fresh = (F.row_number().over(stream) == 1) | ~before.eqNullSafe(F.col("doc_id"))
@@ -82,9 +86,10 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, doc_id
         ranged.withColumn("fresh", fresh.cast("int")).groupBy("h1", "h2", "bucket")
         .agg(F.sum("fresh").alias("docs"), F.max("doc_id").alias("last_doc"))
     )
-    repeated = (
+    repeated = written(
         per_bucket.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("last_doc").alias("last_doc"))
-        .where(F.col("docs") >= min_docs).select("h1", "h2", "last_doc")
+        .where(F.col("docs") >= min_docs).select("h1", "h2", "last_doc"),
+        "repeated-lines",
     )
     lost = (
         ranged.join(repeated, ["h1", "h2"])
