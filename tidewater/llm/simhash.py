@@ -210,7 +210,7 @@ def components(pairs: DataFrame) -> DataFrame:
         both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
         if not large:
             both = both.where("b < a")
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        low = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "lowest")
         joined = both.join(low, "a")
         if large:
             return joined.where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
