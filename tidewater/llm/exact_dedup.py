@@ -164,7 +164,8 @@ def exact_duplicates(docs: DataFrame, batch: Column, shard_rows: int = 1_000_000
 
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     wanted = members.select(F.col("doc_id").alias("wanted")).distinct()
-    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("doc_id", normalised(F.col("text")).alias("text"))
+    # the plan is the same at every size: both sides are dealt out by id
+    texts = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("doc_id", normalised(F.col("text")).alias("text"))
     compared = (
         texts.groupBy("text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
         .where(F.col("group_size") > 1).select(F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), "keep_id", "group_size")
