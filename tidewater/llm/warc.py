@@ -229,7 +229,8 @@ def _frame(records: list[dict]) -> pd.DataFrame:
 def _places(index: DataFrame) -> DataFrame:
     spark = index.sparkSession
     scheme = F.lit(_scheme(spark))
-    return index.select(F.concat(scheme, "bundle").alias("place")).distinct()
+    places = index.select(F.concat(scheme, "bundle").alias("place")).distinct()
+    return places.repartition(max(1, places.count()), "place")  # few bytes each: not to be joined into one task
 
 
 def _scheme(spark) -> str:
