@@ -68,17 +68,13 @@ def test_top_coefficients_and_save_load(spark, tmp_path):
     assert np.allclose([r[0] for r in a], [r[0] for r in b])
 
 
-def test_imputation_medians_large_path_equal(spark, monkeypatch):
+def test_imputation_medians_equal_numpy(spark):
     import tidewater.operators.model as mdl
-    import tidewater.operators.stats as st
     df, *_ = _data(spark)
     df = df.withColumn("x1", F.when(F.col("x2") > -1, F.col("x1")))     # some NULLs
-    small = mdl.fit_preprocessing(df, ["x1", "x2"], ["cat"])
-    monkeypatch.setattr(mdl, "LOCAL_EXACT_LIMIT", 10)
-    monkeypatch.setattr(st, "LOCAL_EXACT_LIMIT", 10)
-    big = mdl.fit_preprocessing(df, ["x1", "x2"], ["cat"])
-    assert np.allclose([small.medians[c] for c in ("x1", "x2")], [big.medians[c] for c in ("x1", "x2")], rtol=1e-12)
-    assert small.modes == big.modes
+    fitted = mdl.fit_preprocessing(df, ["x1", "x2"], ["cat"])
+    exp = df.select("x1", "x2").toPandas().median()
+    assert np.allclose([fitted.medians[c] for c in ("x1", "x2")], [exp["x1"], exp["x2"]], rtol=1e-12)
 
 
 def test_shared_statistics_give_the_same_subset_model(spark):

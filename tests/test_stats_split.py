@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators.split import split_stats, time_cutoff, time_split, value_at_rank
@@ -92,9 +93,8 @@ def test_metrics_and_errors(spark):
     assert np.isclose(vm["b"]["mae_eur"], 150.0) and np.isclose(vm["a"]["mean_signed_err_eur"], -25.0)
 
 
-def test_distributed_exact_quantiles_match_numpy(spark, monkeypatch):
+def test_exact_quantiles_match_numpy(spark):
     import tidewater.operators.stats as st
-    monkeypatch.setattr(st, "LOCAL_EXACT_LIMIT", 50)        # force the distributed selection path
     rng = np.random.default_rng(11)
     x = np.concatenate([rng.lognormal(10, 2, 3000), np.full(500, 42.0)])   # heavy tail + a hot value
     df = spark.createDataFrame([(float(v),) for v in x], "x double")
@@ -130,19 +130,34 @@ def test_grouped_exact_quantile_hot_group_and_value(spark):
             exp = pdf.groupby("g").v.quantile(q).to_dict()
             assert got.keys() == exp.keys()
             assert all(np.isclose(got[k], exp[k], rtol=1e-12) for k in exp)
-    small = {r["g"]: r["m"] for r in grouped_median(df, ["g"], "v", "m").collect()}
-    big = {r["g"]: r["m"] for r in grouped_median(df, ["g"], "v", "m", n_rows=10 ** 9).collect()}
-    assert small == big
-
-
-def test_error_by_group_keeps_null_group(spark, monkeypatch):
-    import tidewater.operators.quantiles as qmod
+    medians = {(r["g"] if r["g"] is not None else "<null>"): r["m"] for r in grouped_median(df, ["g"], "v", "m").collect()}
+    assert medians == pytest.approx(pdf.groupby("g").v.median().to_dict())
+
+
+def test_exact_quantiles_with_one_value_in_nine_of_ten_rows(spark):
+    from tidewater.operators.quantiles import grouped_quantiles
+    from tidewater.operators.stats import qcut_edges, quantile_values
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random(4000) < 0.9, 7.0, rng.normal(7, 3, 4000))
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double")
+    qs = [0.0, 0.02, 0.5, 0.97, 1.0]
+    assert np.allclose(quantile_values(df, "x", qs), np.quantile(x, qs), rtol=1e-12)
+    assert np.allclose(qcut_edges(df, "x"), sorted(set(np.quantile(x, np.linspace(0, 1, 11)))), rtol=1e-12)
+    assert quantile_values(df.where("x is null"), "x", qs) == [None] * 5
+    groups = df.selectExpr("case when x is null then 'none' when rand(3) < 0.4 then 'hot' else 'rest' end as g", "x")
+    groups = spark.createDataFrame(groups.collect(), "g string, x double")
+    got = {(r["g"], r["qi"]): r["q"] for r in grouped_quantiles(groups, ["g"], "x", qs, accuracy=50).collect()}
+    exp = groups.toPandas().groupby("g").x.quantile(qs)
+    for g in ("hot", "rest"):
+        assert np.allclose([got[g, i] for i in range(5)], exp[g].to_numpy(), rtol=1e-12)
+    assert [got["none", i] for i in range(5)] == [None] * 5
+
+
+def test_error_by_group_keeps_null_group(spark):
     from tidewater.operators.stats import error_by_group
     rows = [("a", 1.0, 1.0, -1.0), ("a", 3.0, 3.0, 3.0), (None, 10.0, 10.0, 10.0), (None, 20.0, 20.0, -20.0),
             (None, 40.0, 40.0, 40.0)]
     df = spark.createDataFrame(rows, "g string, actual_eur double, abs_err_eur double, signed_err_eur double")
-    for limit in (10 ** 9, 1):                 # one-pass percentile, then the distributed path
-        monkeypatch.setattr(qmod, "LOCAL_EXACT_LIMIT", limit)
-        got = {r["g"]: (r["n"], r["mae_eur"], r["median_abs_err"], r["mean_signed_err"])
-               for r in error_by_group(df, "g").collect()}
-        assert got == {"a": (2, 2.0, 2.0, 1.0), None: (3, 70 / 3, 20.0, 10.0)}
+    got = {r["g"]: (r["n"], r["mae_eur"], r["median_abs_err"], r["mean_signed_err"])
+           for r in error_by_group(df, "g").collect()}
+    assert got == {"a": (2, 2.0, 2.0, 1.0), None: (3, 70 / 3, 20.0, 10.0)}

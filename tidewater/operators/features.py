@@ -16,21 +16,30 @@ from ..sources.readers import require_columns
 TOTALS = ("games_played", "minutes_played", "goals", "assists", "yellow_cards", "red_cards")
 
 
+# Derived column → (totals summed on top, what they are divided by).
+RATES: dict[str, tuple[tuple[str, ...], str]] = {
+    "minutes_per_game": (("minutes_played",), "games_played"),
+    "goals_per90": (("goals",), "span"),
+    "assists_per90": (("assists",), "span"),
+    "g_plus_a_per90": (("goals", "assists"), "span"),
+    "yellow_per90": (("yellow_cards",), "span"),
+    "red_per90": (("red_cards",), "span"),
+}
+
+
 def rate_columns(prefix: str, per: float = 90.0) -> dict[str, Column]:
-    """Column expressions of the seven derived columns of one window."""
-    g, m = F.col(f"{prefix}_games_played"), F.col(f"{prefix}_minutes_played")
-    goals, assists = F.col(f"{prefix}_goals"), F.col(f"{prefix}_assists")
-    yc, rc = F.col(f"{prefix}_yellow_cards"), F.col(f"{prefix}_red_cards")
-    nineties = safe_divide(m, per)
-    return {
-        f"{prefix}_minutes_per_game": safe_divide(m, g),
-        f"{prefix}_goals_per90": safe_divide(goals, nineties),
-        f"{prefix}_assists_per90": safe_divide(assists, nineties),
-        f"{prefix}_g_plus_a_per90": safe_divide(goals + assists, nineties),
-        f"{prefix}_yellow_per90": safe_divide(yc, nineties),
-        f"{prefix}_red_per90": safe_divide(rc, nineties),
-        f"{prefix}_played_any_minutes": positive_flag(m),
-    }
+    """Column expressions of the derived columns of one window (B23, B24): the table
+    ``RATES`` with ``span`` as the minutes in units of ``per``, and the activity flag."""
+    total = {t: F.col(f"{prefix}_{t}") for t in TOTALS}
+    divisors = {**total, "span": safe_divide(total["minutes_played"], per)}
+    out = {}
+    for name, (top, divisor) in RATES.items():
+        amount = total[top[0]]
+        for extra in top[1:]:
+            amount = amount + total[extra]
+        out[f"{prefix}_{name}"] = safe_divide(amount, divisors[divisor])
+    out[f"{prefix}_played_any_minutes"] = positive_flag(total["minutes_played"])
+    return out
 
 
 def add_rate_features(df: DataFrame, prefixes: Sequence[str] = ("w180", "w365"), per: float = 90.0) -> DataFrame:
@@ -98,6 +107,11 @@ def apply_collapse(df: DataFrame, keep: Mapping[str, Sequence[str]], other_label
 # Feature groups for ablations
 # ---------------------------------------------------------------------------
 
+# Fixed names: ablation mode → groups of columns it leaves out, or the groups it is made of.
+DROPPED = {"full": (), "no_nationality": ("nationality",), "no_context": ("nationality", "context")}
+MADE_OF = {"performance_only": ("core", "windows")}
+
+
 def select_feature_group(
     columns: Sequence[str],
     mode: str | None,
@@ -107,15 +121,15 @@ def select_feature_group(
     core: Sequence[str] = ("age", "position"),
     window_prefixes: Sequence[str] = ("w180_", "w365_"),
 ) -> list[str]:
-    """Column list for an ablation mode: full, no_nationality, no_context, performance_only."""
-    cols = list(columns)
-    if mode is None or mode == "full":
-        return cols
-    if mode == "no_nationality":
-        return [c for c in cols if c not in set(nationality)]
-    if mode == "no_context":
-        return [c for c in cols if c not in set(nationality) | set(context)]
-    if mode == "performance_only":
-        keep = list(core) + [c for p in window_prefixes for c in cols if c.startswith(p)]
-        return [c for c in dict.fromkeys(keep) if c in cols]
-    raise ValueError(f"Unknown ablation mode: {mode}")
+    """The columns that a mode of the tables ``DROPPED`` and ``MADE_OF`` feeds to the model
+    (none: all); an input column belongs to a group by its name or its window's prefix."""
+    chosen = "full" if mode is None else mode
+    by_prefix = [c for p in window_prefixes for c in columns if c.startswith(p)]
+    groups = {"nationality": nationality, "context": context, "core": core, "windows": by_prefix}
+    if chosen in MADE_OF:
+        wanted = [c for g in MADE_OF[chosen] for c in groups[g]]
+        return [c for c in dict.fromkeys(wanted) if c in set(columns)]
+    if chosen not in DROPPED:
+        raise ValueError(f"no ablation mode {chosen!r}; known are {sorted({**DROPPED, **MADE_OF})}")
+    left_out = {c for g in DROPPED[chosen] for c in groups[g]}
+    return [c for c in columns if c not in left_out]

@@ -31,8 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .quantiles import LOCAL_EXACT_LIMIT, grouped_median
-from .stats import quantile_values
+from .quantiles import grouped_median
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
                  T.BooleanType)
@@ -89,17 +88,10 @@ def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Seq
     if numeric:
         x = {c: F.col(c).cast("double") for c in numeric}
         clean = {c: F.when(~F.isnan(x[c]), x[c]) for c in numeric}
-        n = train.count()
-        if accuracy is not None or n <= LOCAL_EXACT_LIMIT:
-            # all columns' medians in one grouped pass over (column, value)
-            # pairs; each column's value map is bounded by the (small) input
-            long = train.select(F.explode(F.array(*[
-                F.struct(F.lit(c).alias("k"), clean[c].alias("v")) for c in numeric])).alias("s")).select("s.k", "s.v")
-            meds = {r["k"]: r["m"] for r in grouped_median(long, ["k"], "v", "m", accuracy, n_rows=n).collect()}
-        else:
-            # large input: exact per-column selection (column-pruned scans,
-            # only aggregates and a bounded top-k move; no 30× row explode)
-            meds = {c: quantile_values(train.select(clean[c].alias("__m")), "__m", [0.5])[0] for c in numeric}
+        # all columns' medians at once, over (column, value) pairs
+        long = train.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("k"), clean[c].alias("v")) for c in numeric])).alias("s")).select("s.k", "s.v")
+        meds = {r["k"]: r["m"] for r in grouped_median(long, ["k"], "v", "m", accuracy).collect()}
         p.medians = {c: (float(meds[c]) if meds.get(c) is not None else 0.0) for c in numeric}
     if categorical:
         p.modes = most_frequent(train, categorical)

@@ -1,24 +1,23 @@
-"""Exact grouped quantiles without a one-task value map.
-
-Spark's exact ``percentile`` / ``median`` keeps a value→count map per group
-and merges it in one task: a group holding a third of 100 TB would have to
-fit in one executor. ``grouped_quantile`` computes the same linearly
-interpolated quantile (pandas ``quantile``, DuckDB ``quantile_cont``) with
-DataFrame operations only:
-
-1. per group: row count and a ``percentile_approx`` bracket around the
-   wanted probability (a mergeable sketch of bounded size, rank error
-   ≤ n_g / accuracy, bracket ±3 n_g / accuracy);
-2. rows are joined to their group's bracket (one row per group — AQE
-   broadcasts it when small) and counted below / inside it;
-3. rows inside the bracket are aggregated to (group, value, count) — ties
-   collapse, so a hot *value* costs one row — and a running sum over those
-   few distinct values per group yields the values at ranks ⌊p(n−1)⌋ and
-   ⌊p(n−1)⌋+1, which are interpolated.
-
-Groups where the sketch guarantee is missed (not expected) are resolved by
-the plain exact aggregate on their rows only. Small inputs skip all of this
-and use ``percentile`` directly when ``small_rows`` says so.
+"""Exact quantiles, global or per group, in one way at every size.
+
+Spark's exact ``percentile`` / ``median`` keeps a value→count map per group and
+merges it in one task. ``grouped_quantiles`` returns the same linearly
+interpolated numbers (pandas ``quantile``, DuckDB ``quantile_cont``) and holds
+neither a group nor a bracket in one task:
+
+1. per group, the row count and a ``percentile_approx`` sketch give a bracket
+   around each wanted rank (rank error at most n / accuracy, bracket ± 3 n /
+   accuracy);
+2. rows become ``(group, quantile, value, count)``: a value inside the bracket
+   is one row however often it occurs, all values below it are one row with the
+   largest of them, and all above one row with the smallest;
+3. these counts are range-partitioned by group, quantile and value and written;
+   running sums inside each partition, plus the totals of the partitions before
+   it, are exact ranks, so a bracket can span any number of partitions;
+4. the values at the two neighbouring ranks are interpolated.
+
+A missed bracket (against the sketch's guarantee) is an error, never a wrong
+number.
 """
 
 from __future__ import annotations
@@ -28,56 +27,79 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100_000
+from ..session import written
 
+DEFAULT_ACCURACY = 10_000
 
-def grouped_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, out: str = "q",
-                     accuracy: int = DEFAULT_ACCURACY, approximate: bool = False) -> DataFrame:
-    """(keys…, out): exact interpolated ``q``-quantile of ``value`` per group (NULL values ignored).
 
-    ``approximate=True`` returns the sketch value only (one pass)."""
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
+                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """(keys…, qi, q): the exact quantile ``qs[qi]`` of ``value`` per group.
+
+    NULL values are ignored, a NULL key is a group, and a group without values
+    has NULL quantiles. Without keys the whole input is one group."""
     keys = list(keys)
-    x = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    if approximate:
-        return x.groupBy(*keys).agg(F.percentile_approx("__v", float(q), accuracy).alias(out))
     eps = 3.0 / accuracy
+    bounds = [F.lit(min(1.0, max(0.0, q + side))) for q in qs for side in (-eps, eps)]
+    x = df.select(*keys, F.col(value).cast("double").alias("__v"))
     stats = x.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__v", F.array(F.lit(max(0.0, q - eps)), F.lit(min(1.0, q + eps))), accuracy)
-        .alias("__b"),
-    ).select(*keys, "__n", F.col("__b")[0].alias("__lo"), F.col("__b")[1].alias("__hi"))
-    stats = stats.withColumns({
-        "__pos": F.lit(float(q)) * (F.col("__n") - 1).cast("double"),
-    }).withColumns({
-        "__r0": F.floor("__pos").cast("bigint"),
-        "__r1": F.least(F.floor("__pos").cast("bigint") + 1, F.col("__n") - 1),
-    })
-    j = _join(x, stats.select(*keys, "__lo", "__hi"), keys, "inner")
-    below = j.groupBy(*keys).agg(F.sum((F.col("__v") < F.col("__lo")).cast("bigint")).alias("__below"))
-    inside = (j.where(F.col("__v").between(F.col("__lo"), F.col("__hi")))
-              .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")))
-    w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = inside.withColumn("__cum", F.sum("__c").over(w))
-    s = _join(stats, below, keys, "left").withColumn("__below", F.coalesce("__below", F.lit(0)))
-    c = _join(cum, s.select(*keys, "__below", "__r0", "__r1"), keys, "inner").withColumn(
-        "__cum", F.col("__cum") + F.col("__below"))
-    picked = c.groupBy(*keys).agg(
-        F.min(F.when(F.col("__cum") > F.col("__r0"), F.col("__v"))).alias("__v0"),
-        F.min(F.when(F.col("__cum") > F.col("__r1"), F.col("__v"))).alias("__v1"),
-        F.max("__cum").alias("__top"),
+        F.count("__v").alias("__n"), F.percentile_approx("__v", F.array(*bounds), accuracy).alias("__b"))
+    # read twice below: for the brackets and for the ranks
+    stats = written(stats, "brackets")
+    x = x.where(F.col("__v").isNotNull())
+    if keys:
+        x = join_on_keys(x, stats.select(*keys, "__b"), keys, "inner")
+    else:
+        one = stats.first()["__b"] or [0.0] * len(bounds)
+        x = x.withColumn("__b", F.array(*[F.lit(float(b)) for b in one]))
+    every = x.select(*keys, "__v", "__b", F.explode(F.sequence(F.lit(0), F.lit(len(qs) - 1))).alias("qi"))
+    side = F.when(F.col("__v") < F.get("__b", 2 * F.col("qi")), -1).when(
+        F.col("__v") > F.get("__b", 2 * F.col("qi") + 1), 1).otherwise(0)
+    counts = (
+        every.withColumn("__side", side).withColumn("__in", F.when(F.col("__side") == 0, F.col("__v")))
+        .groupBy(*keys, "qi", "__side", "__in")
+        .agg(F.count(F.lit(1)).alias("__c"), F.max("__v").alias("__max"), F.min("__v").alias("__min"))
+        .select(*keys, "qi", "__side", "__c", F.when(F.col("__side") < 0, F.col("__max")).otherwise(F.col("__min")).alias("__v"))
+    )
+    ranged = written(counts.repartitionByRange(*keys, "qi", "__side", "__v").withColumn("__pid", F.spark_partition_id()), "ranks")
+    group = [*keys, "qi"]
+    ahead = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        ranged.groupBy(*group, "__pid").agg(F.sum("__c").alias("__t"))
+        .withColumn("__ahead", F.coalesce(F.sum("__t").over(ahead), F.lit(0))).drop("__t")
     )
-    res = _join(s, picked, keys, "left").withColumn(
-        out, F.col("__v0") + (F.col("__pos") - F.col("__r0")) * (F.col("__v1") - F.col("__v0")))
-    ok = (F.col("__below") <= F.col("__r0")) & F.col("__v0").isNotNull() & F.col("__v1").isNotNull()
-    good = res.where(ok).select(*keys, out)
-    bad_keys = res.where(~ok).select(*keys)
-    # sketch guarantee missed: exact aggregate on those groups' rows only
-    fallback = _join(x, bad_keys, keys, "left_semi").groupBy(*keys).agg(
-        F.percentile("__v", float(q)).alias(out))
-    return good.unionByName(fallback)
-
-
-def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    inside = Window.partitionBy(*group, "__pid").orderBy("__side", "__v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    running = ranged.withColumn("__upto", F.sum("__c").over(inside))
+    ranked = join_on_keys(running, totals, [*group, "__pid"], "inner").withColumn("__upto", F.col("__upto") + F.col("__ahead"))
+    wanted = stats.select(*keys, "__n", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("p")) for i, q in enumerate(qs)])).alias("w"))
+    wanted = wanted.select(*keys, "__n", "w.qi", (F.col("w.p") * (F.col("__n") - 1)).alias("__pos"))
+    wanted = wanted.withColumn("__r0", F.floor("__pos")).withColumn(
+        "__r1", F.least(F.col("__r0") + 1, F.col("__n") - 1))
+    at = join_on_keys(ranked, wanted.select(*group, "__r0", "__r1"), group, "inner")
+    # of the rows outside the bracket only the nearest value is known
+    first, last = F.col("__upto") - F.col("__c"), F.col("__upto") - 1
+    has = lambda r: F.when(F.col("__side") < 0, F.col(r) == last).when(
+        F.col("__side") > 0, F.col(r) == first).otherwise(F.col(r).between(first, last))
+    picked = at.groupBy(*group).agg(
+        F.max(F.when(has("__r0"), F.col("__v"))).alias("__v0"), F.max(F.when(has("__r1"), F.col("__v"))).alias("__v1"))
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    return join_on_keys(wanted, picked, group, "left").select(*group, F.when(F.col("__n") == 0, F.lit(None)).when(
+        F.col("__v0").isNull() | F.col("__v1").isNull(), missed).otherwise(
+        F.col("__v0") + (F.col("__pos") - F.col("__r0")) * (F.col("__v1") - F.col("__v0"))).alias("q"))
+
+
+def grouped_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, out: str = "q",
+                     accuracy: int = DEFAULT_ACCURACY, approximate: bool = False) -> DataFrame:
+    """(keys…, out): one quantile per group; ``approximate=True`` is the sketch alone (one pass)."""
+    keys = list(keys)
+    if approximate:
+        return df.groupBy(*keys).agg(F.percentile_approx(F.col(value).cast("double"), float(q), accuracy).alias(out))
+    return grouped_quantiles(df, keys, value, [q], accuracy).select(*keys, F.col("q").alias(out))
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join on ``keys`` treating NULL keys as equal (a NULL group is a group)."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
@@ -85,25 +107,9 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> D
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{k}" for k in keys])
 
 
-# Up to this many input rows the one-pass ``percentile`` aggregate is used:
-# its per-group value maps are then bounded by the input size itself.
-LOCAL_EXACT_LIMIT = 2_000_000
-
-
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                   accuracy: int | None = None, n_rows: int | None = None) -> DataFrame:
-    """Exact (or, with ``accuracy``, sketch) median per group, NULL groups kept.
-
-    Exact: ``percentile`` for inputs up to ``LOCAL_EXACT_LIMIT`` rows (one
-    pass), :func:`grouped_quantile` beyond (no task holds a whole group)."""
-    keys = list(keys)
+                   accuracy: int | None = None) -> DataFrame:
+    """Exact (or, with ``accuracy``, sketch) median per group, NULL groups kept."""
     if accuracy is not None:
         return grouped_quantile(df, keys, value, 0.5, out, accuracy, approximate=True)
-    n = n_rows if n_rows is not None else df.count()
-    if n <= LOCAL_EXACT_LIMIT:
-        return df.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), 0.5).alias(out))
     return grouped_quantile(df, keys, value, 0.5, out)
-
-
-def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    return _join(left, right, keys, how)

@@ -1,11 +1,9 @@
 """Quantiles, quantile cuts, histograms and error statistics.
 
 Quantile policy: ``accuracy=None`` computes exact, linearly interpolated
-quantiles (Spark ``percentile``, same numbers as pandas / DuckDB
-``quantile_cont``); an integer ``accuracy`` switches to the mergeable
-``percentile_approx`` sketch whose memory is bounded whatever the group
-size. Exact percentiles keep a value→count map per group, so at 100 TB the
-approximate form is the one to use for very large or very skewed groups.
+quantiles (same numbers as pandas / DuckDB ``quantile_cont``) in the one way of
+:mod:`quantiles`, whatever the size; an integer ``accuracy`` asks for the
+mergeable ``percentile_approx`` sketch instead.
 Everything else here is a partial+final hash aggregate (map-side combine),
 safe under key skew.
 """
@@ -18,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip_lower, safe_expm1
-from .quantiles import grouped_median, join_on_keys
+from .quantiles import grouped_median, grouped_quantiles, join_on_keys
 
 
 def _c(col):
@@ -34,94 +32,21 @@ def quantile_expr(col, q: float | Sequence[float], accuracy: int | None = None)
     return F.percentile_approx(x, qs, accuracy)
 
 
-def median_expr(col, accuracy: int | None = None) -> Column:
-    return F.median(_c(col)) if accuracy is None else F.percentile_approx(_c(col).cast("double"), 0.5, accuracy)
-
-
-# Above this many rows a global exact quantile is found by distributed
-# selection instead of the ``percentile`` aggregate (whose final merge holds
-# every distinct value in one task).
-LOCAL_EXACT_LIMIT = 2_000_000
-BRACKET_ACCURACY = 10_000
-
-
-def quantile_values(df: DataFrame, col, qs: Sequence[float], accuracy: int | None = None,
-                    n_rows: int | None = None) -> list[float]:
+def quantile_values(df: DataFrame, col, qs: Sequence[float], accuracy: int | None = None) -> list[float]:
     """Global quantiles as Python floats, linear interpolation (pandas/DuckDB ``quantile_cont``).
 
-    ``accuracy`` set → one ``percentile_approx`` pass. Otherwise exact: the
-    ``percentile`` aggregate while the input is small, distributed rank
-    selection (:func:`values_at_ranks`) beyond ``LOCAL_EXACT_LIMIT`` rows."""
+    ``accuracy`` set → one ``percentile_approx`` pass; otherwise exact
+    (:func:`grouped_quantiles` without keys). NULL quantiles where there are no values."""
     if accuracy is not None:
         row = df.agg(quantile_expr(col, list(qs), accuracy).alias("q")).first()
         return [float(v) if v is not None else None for v in (row["q"] or [None] * len(qs))]
-    x = df.select(_c(col).cast("double").alias("__x")).where(F.col("__x").isNotNull())
-    # ``n_rows`` (an upper bound on the non-NULL count) saves the counting job
-    # when it already says the input is small
-    n = n_rows if n_rows is not None and n_rows <= LOCAL_EXACT_LIMIT else x.count()
-    if n == 0:
-        return [None] * len(qs)
-    if n <= LOCAL_EXACT_LIMIT:
-        row = x.agg(quantile_expr("__x", list(qs)).alias("q")).first()
-        return [float(v) for v in row["q"]] if row["q"] is not None else [None] * len(qs)
-    ranks: set[int] = set()
-    for q in qs:
-        pos = q * (n - 1)
-        ranks.update({int(pos), min(int(pos) + 1, n - 1)})
-    vals = values_at_ranks(x, "__x", sorted(ranks), n)
-    out = []
-    for q in qs:
-        pos = q * (n - 1)
-        lo, hi = int(pos), min(int(pos) + 1, n - 1)
-        out.append(vals[lo] + (pos - lo) * (vals[hi] - vals[lo]))
-    return out
-
-
-def values_at_ranks(x: DataFrame, col: str, ranks: Sequence[int], n: int,
-                    accuracy: int = BRACKET_ACCURACY, local_limit: int = LOCAL_EXACT_LIMIT) -> dict[int, float]:
-    """Exact values at 0-based ascending ranks without a global sort.
-
-    1. one ``percentile_approx`` pass brackets every wanted rank (rank error
-       of the sketch is at most n/accuracy, the bracket is ±3n/accuracy);
-    2. one pass counts, per rank, the rows below and inside its bracket;
-    3. inside a bracket the rank is resolved by a bounded top-k
-       (``orderBy().limit()`` → TakeOrderedAndProject) when it holds at most
-       ``local_limit`` rows, else by recursing on the bracket alone.
-    Only a few numbers per rank reach the driver."""
-    eps = 3.0 / accuracy
-    probs = []
-    for r in ranks:
-        p = r / max(n - 1, 1)
-        probs += [max(0.0, p - eps), min(1.0, p + eps)]
-    approx = x.agg(F.percentile_approx(col, F.array(*[F.lit(p) for p in probs]), accuracy).alias("q")).first()["q"]
-    brackets = {r: (approx[2 * i], approx[2 * i + 1]) for i, r in enumerate(ranks)}
-    aggs = []
-    for i, r in enumerate(ranks):
-        lo, hi = brackets[r]
-        aggs += [F.sum((F.col(col) < F.lit(lo)).cast("bigint")).alias(f"b{i}"),
-                 F.sum(F.col(col).between(lo, hi).cast("bigint")).alias(f"w{i}")]
-    counts = x.agg(*aggs).first()
-    out: dict[int, float] = {}
-    for i, r in enumerate(ranks):
-        lo, hi = brackets[r]
-        below, inside = int(counts[f"b{i}"] or 0), int(counts[f"w{i}"] or 0)
-        if not (below <= r < below + inside):          # sketch guarantee missed: widen to a full side
-            lo = float("-inf") if r < below else lo
-            hi = float("inf") if r >= below + inside else hi
-            sub = x.where(F.col(col).between(lo, hi))
-            below = int(x.where(F.col(col) < F.lit(lo)).count()) if lo != float("-inf") else 0
-            inside = sub.count()
-        sub = x.where(F.col(col).between(lo, hi))
-        k = r - below
-        if inside <= local_limit:
-            out[r] = float(sub.orderBy(col).limit(k + 1).tail(1)[0][0])
-        else:
-            out[r] = values_at_ranks(sub, col, [k], inside, accuracy * 10, local_limit)[k]
-    return out
+    found = grouped_quantiles(df.select(_c(col).alias("__x")), [], "__x", list(qs)).collect()
+    by = {r["qi"]: r["q"] for r in found}
+    return [by.get(i) for i in range(len(qs))]
 
 
-def global_median(df: DataFrame, col, accuracy: int | None = None, n_rows: int | None = None) -> float | None:
-    return quantile_values(df, col, [0.5], accuracy, n_rows)[0]
+def global_median(df: DataFrame, col, accuracy: int | None = None) -> float | None:
+    return quantile_values(df, col, [0.5], accuracy)[0]
 
 
 def qcut_edges(df: DataFrame, col, q: int = 10, accuracy: int | None = None) -> list[float]:
@@ -218,7 +143,7 @@ def error_summary(df: DataFrame, accuracy: int | None = None) -> DataFrame:
     :func:`quantile_values` (exact without a one-task value map)."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.avg("abs_err_eur").alias("mae"),
                  F.avg("signed_err_eur").alias("mse")).first()
-    med = global_median(df, "abs_err_eur", accuracy, n_rows=row["n"])
+    med = global_median(df, "abs_err_eur", accuracy)
     spark = df.sparkSession
     return spark.createDataFrame(
         [(row["n"], row["mae"], med, row["mse"])],
@@ -237,8 +162,8 @@ def error_by_group(df: DataFrame, group: str, accuracy: int | None = None, actua
         F.avg("signed_err_eur").alias("mean_signed_err"),
     )
     med = grouped_median(df, [group], "abs_err_eur", "median_abs_err", accuracy)
-    return join_on_keys(sums, med, [group], "left").select(group, "n", "mae_eur", "median_abs_err",
-                                                            "mean_signed_err")
+    return join_on_keys(sums, med, [group], "left").select(
+        group, "n", "mae_eur", "median_abs_err", "mean_signed_err").orderBy(F.desc("mae_eur"), group)
 
 
 def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
@@ -285,14 +210,6 @@ def variant_metrics(df: DataFrame, actual: str, variants: dict[str, str], accura
     long = df.select(F.col(actual).alias("__a"), F.expr(stack))
     err = F.col("pred") - F.col("__a")
     sums = long.groupBy("variant").agg(F.avg(F.abs(err)).alias("mae_eur"), F.avg(err).alias("mean_signed_err_eur"))
-    # each variant's median is a global quantile over the whole table: exact
-    # selection per variant instead of one grouped value map per variant
-    n = df.count()
-    meds = [(k, global_median(df.select((F.col(variants[k]) - F.col(actual)).alias("__e")),
-                              F.abs(F.col("__e")), accuracy, n_rows=n)) for k in names]
-    med_col = None
-    for k, v in meds:
-        cond = F.col("variant") == F.lit(k)
-        med_col = F.when(cond, F.lit(v)) if med_col is None else med_col.when(cond, F.lit(v))
-    return sums.select("variant", "mae_eur", med_col.cast("double").alias("median_abs_err_eur"),
-                       "mean_signed_err_eur")
+    med = grouped_median(long.select("variant", F.abs(err).alias("__e")), ["variant"], "__e", "median_abs_err_eur", accuracy)
+    return join_on_keys(sums, med, ["variant"], "left").select(
+        "variant", "mae_eur", "median_abs_err_eur", "mean_signed_err_eur")

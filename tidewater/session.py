@@ -104,6 +104,15 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def written(df, name: str):
+    """``df`` written to the shared checkpoint folder as Parquet and read back:
+    lineage is cut, later scans read only their columns, and a lost executor
+    costs a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _WRITTEN: dict[tuple[str, str], str] = {}
 
 

@@ -45,11 +45,20 @@ def start_scoring(spark: SparkSession, source_dir: str, schema: StructType, mode
     return queries
 
 
-def drain(queries: list[StreamingQuery], timeout_s: int = 600) -> None:
-    for q in queries:
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+def drain(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
+    """Wait until all queries have ended. With ``timeout_s`` a query that still runs then is
+    stopped, with all others, and the call fails: a sink is complete or there is an error."""
+    try:
+        for q in queries:
+            ended = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+            if timeout_s is not None and not ended:
+                raise TimeoutError(f"stream {q.id} still runs after {timeout_s} s; its sink is not complete")
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
 
 
 def requests_as_json(df: DataFrame, key: str) -> DataFrame:
