@@ -31,6 +31,22 @@ def test_drop_malformed(spark, tmp_path):
     p.write_text("a,b\n1,2\n3,4,5\n6,7\n")
     df = read_csv_typed(spark, str(p), {"a": "int", "b": "int"}, drop_malformed=True)
     assert sorted(r["a"] for r in df.collect()) == [1, 6]
+    assert df.count() == 2 and df.select("b").count() == 2 and df.agg({"b": "sum"}).first()[0] == 9
+
+
+def test_inferred_types_and_quoted_newlines(spark, tmp_path):
+    p = tmp_path / "i.csv"
+    p.write_text('a,b,c,d,e\n1,2.5,2020-01-02,x,\n-3,NA,2021-02-03,"two\nlines",\n')
+    df = read_csv_typed(spark, str(p), {"b": "string"}, infer=True, multi_line=True)
+    assert dict(df.dtypes) == {"a": "bigint", "b": "string", "c": "date", "d": "string", "e": "string"}
+    assert df.count() == 2 and sorted(r["d"] for r in df.collect()) == ["two\nlines", "x"]
+
+
+def test_drain_fails_on_timeout(spark, tmp_path):
+    rate = spark.readStream.format("rate").load().writeStream.format("noop").start()
+    with pytest.raises(TimeoutError):
+        drain([rate], timeout_s=1)
+    assert not rate.isActive
 
 
 def test_guards_and_discovery(spark, tmp_path):

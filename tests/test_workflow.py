@@ -91,6 +91,14 @@ def test_profile_raw(spark, raw_dir):
     assert tables == {"players", "player_valuations", "appearances", "club_games", "clubs"}
 
 
+def test_profile_raw_reports_each_table(spark, tmp_path):
+    assert profile_raw(spark, str(tmp_path)).count() == 0
+    _write(str(tmp_path / "good.csv"), ["a", "b"], [[1, ""], [2, "x"]])
+    (tmp_path / "bad.csv").mkdir()
+    got = {r["table"]: r for r in profile_raw(spark, str(tmp_path)).collect()}
+    assert got["good"]["rows"] == 2 and got["good"]["error"] is None and got["bad"]["error"]
+
+
 def test_run_workflow_writes_artifacts(spark, raw_dir, tmp_path):
     paths = run_workflow(spark, raw_dir, str(tmp_path / "out"))
     for key in ["features", "model", "metrics", "ablation", "error_summary", "error_by_position", "calibration",

@@ -162,6 +162,7 @@ def lookback_prefix(
     count_name: str = "games_played",
     unit: str = "micros",
     partitions: int | None = None,
+    scale: int = 12,
 ) -> DataFrame:
     """Same result as :func:`lookback_aggregate`, by prefix sums: window(t) = C(t) − C(t − N),
     with C(x) the entity's total over facts strictly before x.
@@ -191,10 +192,18 @@ def lookback_prefix(
 
     # prefix differences C(t) − C(t − N) of long running sums would cancel in
     # floating point: running sums are exact (bigint counts, decimal measures)
-    dec = "decimal(38,12)"
+    # (a value that the scale would round is an error, not a smaller sum)
+    dec = f"decimal(38,{scale})"
+
+    def fixed(x: Column) -> Column:
+        held = x.cast(dec)
+        lost = F.abs(held.cast("double") - x) > F.abs(x) * 1e-9
+        why = F.lit(f"a measure needs more than {scale} decimals; use method='blocks' or a larger scale")
+        return F.when(lost, F.raise_error(why).cast(dec)).otherwise(held)
+
     f = facts.select(
         F.col(fact_entity).alias("__e"), time_units(facts, fact_time, unit).alias("__t"),
-        *[F.coalesce(try_double(m if isinstance(m, Column) else F.col(m)), F.lit(0.0)).cast(dec).alias(f"__m_{name}")
+        *[fixed(F.coalesce(try_double(m if isinstance(m, Column) else F.col(m)), F.lit(0.0))).alias(f"__m_{name}")
           for name, m in measures.items()],
     ).where(F.col("__e").isNotNull() & F.col("__t").isNotNull())
     daily = f.groupBy("__e", "__t").agg(F.count(F.lit(1)).alias("__n"),

@@ -11,16 +11,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def null_stats(df: DataFrame) -> DataFrame:
-    """(column, null_count, null_ratio, n_rows) for every column, one pass."""
-    cols = df.columns
+    """(column, null_count, null_ratio, n_rows) for every column, one pass; NaN counts
+    as missing (D9, D10). A table without columns gives no rows."""
+    missing = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        missing.append(c.isNull() | F.isnan(c) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else c.isNull())
     one = df.agg(F.count(F.lit(1)).alias("__rows"),
-                 *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"__n{i}") for i, c in enumerate(cols)])
-    stack = "stack({}, {}) as (`column`, null_count)".format(
-        len(cols), ", ".join(f"'{c}', __n{i}" for i, c in enumerate(cols)))
-    return one.select(F.col("__rows").alias("n_rows"), F.expr(stack)).select(
+                 *[F.sum(m.cast("bigint")).alias(f"__n{i}") for i, m in enumerate(missing)])
+    each = [F.struct(F.lit(c).alias("column"), F.col(f"__n{i}").alias("null_count")) for i, c in enumerate(df.columns)]
+    empty = F.array().cast("array<struct<column:string,null_count:bigint>>")
+    return one.select(F.col("__rows").alias("n_rows"), F.inline(F.array(*each) if each else empty)).select(
         "column", F.coalesce(F.col("null_count"), F.lit(0)).alias("null_count"),
         F.try_divide(F.col("null_count").cast("double"), F.col("n_rows").cast("double")).alias("null_ratio"),
         "n_rows")

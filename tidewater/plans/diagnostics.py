@@ -11,6 +11,7 @@ the scored rows are never collected.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,25 +23,62 @@ from ..operators.stats import (add_error_columns, calibration_table, coverage_ex
 
 @dataclass
 class ErrorAnalysis:
-    summary: DataFrame
-    by_group: dict[str, DataFrame]
-    top_over: DataFrame
-    top_under: DataFrame
-    calibration: DataFrame
+    """Parts of the error analysis (G16); each is computed when it is asked for."""
+
+    err: DataFrame
+    group_cols: list[str]
+    key_cols: list[str]
+    cols: list[str]
+    top: int
+    accuracy: int | None
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return error_summary(self.err, self.accuracy)
+
+    @cached_property
+    def by_group(self) -> dict[str, DataFrame]:
+        return {g: error_by_group(self.err, g, self.accuracy) for g in self.group_cols}
+
+    @property
+    def top_over(self) -> DataFrame:
+        return top_n(self.err, "signed_err_eur", self.top, True, self.key_cols).select(*self.cols)
+
+    @property
+    def top_under(self) -> DataFrame:
+        return top_n(self.err, "signed_err_eur", self.top, False, self.key_cols).select(*self.cols)
+
+    @cached_property
+    def calibration(self) -> DataFrame:
+        return calibration_table(self.err, "pred_eur", "actual_eur", 10, self.accuracy)
+
+
+@dataclass
+class BiasCorrection:
+    """A correction's factor(s) and corrected rows; metrics and calibration on demand."""
+
+    factor: float
+    err: DataFrame
+    corrected: str
+    label: str
+    accuracy: int | None
+    table: DataFrame | None = None
+
+    @cached_property
+    def comparison(self) -> DataFrame:
+        return variant_metrics(self.err, "actual_eur", {"baseline": "pred_eur", self.label: self.corrected}, self.accuracy)
+
+    @cached_property
+    def calibration(self) -> DataFrame:
+        return calibration_table(self.err, self.corrected, "actual_eur", 10, self.accuracy)
 
 
 def error_analysis(scored: DataFrame, *, actual: str, group_cols: list[str], key_cols: list[str],
                    keep_cols: list[str], top: int = 50, accuracy: int | None = None) -> ErrorAnalysis:
     """Error summary, per-group breakdowns, top over/under predictions, calibration."""
     err = add_error_columns(scored, "pred_log", actual)
-    cols = keep_cols + ["actual_eur", "pred_eur", "signed_err_eur", "abs_err_eur"]
-    return ErrorAnalysis(
-        summary=error_summary(err, accuracy),
-        by_group={g: error_by_group(err, g, accuracy) for g in group_cols},
-        top_over=top_n(err, "signed_err_eur", top, True, key_cols).select(*cols),
-        top_under=top_n(err, "signed_err_eur", top, False, key_cols).select(*cols),
-        calibration=calibration_table(err, "pred_eur", "actual_eur", 10, accuracy),
-    )
+    return ErrorAnalysis(err, group_cols, key_cols, keep_cols + ["actual_eur", "pred_eur", "signed_err_eur", "abs_err_eur"],
+                         top, accuracy)
 
 
 def smearing_factor(train_scored: DataFrame, actual_log: str = "target_log", pred_log: str = "pred_log") -> float:
@@ -48,19 +86,16 @@ def smearing_factor(train_scored: DataFrame, actual_log: str = "target_log", pre
 
 
 def global_bias_correction(train_scored: DataFrame, test_scored: DataFrame, *, actual: str,
-                           actual_log: str = "target_log", accuracy: int | None = None):
+                           actual_log: str = "target_log", accuracy: int | None = None) -> BiasCorrection:
     """pred × S with Duan's S from the training residuals; before/after metrics."""
     s = smearing_factor(train_scored, actual_log)
     err = add_error_columns(test_scored, "pred_log", actual).withColumn(
         "pred_eur_bc", clip_lower(F.col("pred_eur") * F.lit(s)))
-    comparison = variant_metrics(err, "actual_eur", {"baseline": "pred_eur", "bias_corrected": "pred_eur_bc"},
-                                 accuracy)
-    calibration = calibration_table(err, "pred_eur_bc", "actual_eur", 10, accuracy)
-    return s, comparison, calibration, err
+    return BiasCorrection(s, err, "pred_eur_bc", "bias_corrected", accuracy)
 
 
 def groupwise_bias_correction(train_scored: DataFrame, test_scored: DataFrame, *, group: str, actual: str,
-                              actual_log: str = "target_log", accuracy: int | None = None):
+                              actual_log: str = "target_log", accuracy: int | None = None) -> BiasCorrection:
     """pred × S_group with the global S as fallback; before/after metrics.
 
     The factor table has one row per group value and joins back with AQE
@@ -71,10 +106,7 @@ def groupwise_bias_correction(train_scored: DataFrame, test_scored: DataFrame, *
     err = err.join(table, on=group, how="left").withColumn(
         "smearing_factor", F.coalesce(F.col("smearing_factor"), F.lit(s)))
     err = err.withColumn("pred_eur_groupwise", clip_lower(F.col("pred_eur") * F.col("smearing_factor")))
-    comparison = variant_metrics(err, "actual_eur",
-                                 {"baseline": "pred_eur", "groupwise_bias_corrected": "pred_eur_groupwise"}, accuracy)
-    calibration = calibration_table(err, "pred_eur_groupwise", "actual_eur", 10, accuracy)
-    return s, table, comparison, calibration, err
+    return BiasCorrection(s, err, "pred_eur_groupwise", "groupwise_bias_corrected", accuracy, table)
 
 
 def prediction_intervals(train_scored: DataFrame, test_scored: DataFrame, *, actual: str,

@@ -534,8 +534,8 @@ def _variants_out(df):
     "SELECT 'bias_corrected' AS variant, actual_eur, GREATEST(pred_eur * sm.s, 0) AS p FROM test_err CROSS JOIN sm",
     ", ROUND((SELECT s FROM sm), 6) AS smearing_factor"))
 def smearing_global(spark, sf):
-    s, comp, _, _ = global_bias_correction(scored(spark, sf, "train"), scored(spark, sf), actual="value")
-    return _variants_out(comp).withColumn("smearing_factor", F.round(F.lit(s), 6))
+    bc = global_bias_correction(scored(spark, sf, "train"), scored(spark, sf), actual="value")
+    return _variants_out(bc.comparison).withColumn("smearing_factor", F.round(F.lit(bc.factor), 6))
 
 
 @register("calibration_bias_corrected", _SMEAR_SQL + """,
@@ -546,7 +546,7 @@ SELECT CAST(decile AS INTEGER) AS decile, ROUND(avg(pred_bc), 4) AS pred_mean,
 FROM binned GROUP BY decile
 """)
 def calibration_bias_corrected(spark, sf):
-    _, _, cal, _ = global_bias_correction(scored(spark, sf, "train"), scored(spark, sf), actual="value")
+    cal = global_bias_correction(scored(spark, sf, "train"), scored(spark, sf), actual="value").calibration
     return cal.select("decile", r4(F.col("pred_mean")).alias("pred_mean"),
                       r4(F.col("actual_mean")).alias("actual_mean"), "n")
 
@@ -565,9 +565,8 @@ def groupwise_smearing_factors(spark, sf):
     "FROM test_err t LEFT JOIN gs ON gs.nationality = t.nationality CROSS JOIN sm",
     ", ROUND((SELECT s FROM sm), 6) AS global_fallback_smearing"))
 def smearing_groupwise(spark, sf):
-    s, _, comp, _, _ = groupwise_bias_correction(scored(spark, sf, "train"), scored(spark, sf),
-                                                 group="nationality", actual="value")
-    return _variants_out(comp).withColumn("global_fallback_smearing", F.round(F.lit(s), 6))
+    bc = groupwise_bias_correction(scored(spark, sf, "train"), scored(spark, sf), group="nationality", actual="value")
+    return _variants_out(bc.comparison).withColumn("global_fallback_smearing", F.round(F.lit(bc.factor), 6))
 
 
 # ---------------------------------------------------------------------------
@@ -613,9 +612,6 @@ def interval_rows(spark, sf):
 # Group performance with a lookup
 # ---------------------------------------------------------------------------
 
-PATCH_KEYS = [81, 82, 83]      # keys known to be missing from the restricted dimension
-
-
 def _games(spark, sf):
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity", "l_linenumber", "l_returnflag"])
     g = clean_games(li.select(F.col("l_suppkey").alias("club_id"), F.col("l_orderkey").alias("game_id"),
@@ -630,9 +626,15 @@ def _perf(spark, sf):
 
 
 def _dim(spark, sf):
-    s = read_table(spark, sf, "supplier", ["s_suppkey", "s_name"]).where(F.col("s_suppkey") <= 80)
-    return patched_dimension(s.select(F.col("s_suppkey").alias("club_id"), F.col("s_name").alias("name")),
-                             "club_id", "name", PATCH_KEYS)
+    """A dimension with real gaps: ``labels`` has some of the keys."""
+    return read_table(spark, sf, "labels", ["doc_id"]).select(
+        F.col("doc_id").alias("club_id"), F.concat(F.lit("Label "), F.col("doc_id").cast("string")).alias("name"))
+
+
+def _patched(spark, sf, perf):
+    """The dimension patched for the first three keys that the anti join finds missing."""
+    gaps = missing_keys(perf, _dim(spark, sf), "club_id").orderBy("club_id").limit(3)
+    return patched_dimension(_dim(spark, sf), "club_id", "name", [r["club_id"] for r in gaps.collect()])
 
 
 _PERF_SQL = """
@@ -642,8 +644,11 @@ WITH perf AS (
          CAST(SUM(l_linenumber) AS BIGINT) AS goals_conceded,
          CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS wins
   FROM lineitem WHERE l_suppkey IS NOT NULL AND l_orderkey IS NOT NULL GROUP BY l_suppkey),
-dim AS (SELECT s_suppkey AS club_id, s_name AS name FROM supplier WHERE s_suppkey <= 80
-        UNION ALL SELECT k AS club_id, 'Club ' || CAST(k AS VARCHAR) AS name FROM (VALUES (81), (82), (83)) t(k))"""
+base AS (SELECT doc_id AS club_id, 'Label ' || CAST(doc_id AS VARCHAR) AS name FROM labels),
+gaps AS (SELECT DISTINCT p.club_id FROM perf p WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.club_id = p.club_id)),
+dim AS (SELECT club_id, name FROM base
+        UNION ALL SELECT club_id, 'Club ' || CAST(club_id AS VARCHAR) AS name
+                  FROM (SELECT club_id FROM gaps ORDER BY club_id LIMIT 3) g)"""
 
 
 @register("group_performance", _PERF_SQL + """
@@ -662,13 +667,14 @@ FROM perf p LEFT JOIN dim d ON d.club_id = p.club_id
 ORDER BY win_rate DESC, p.club_id LIMIT 10
 """)
 def named_top_groups(spark, sf):
-    named = attach_names(_perf(spark, sf), _dim(spark, sf), "club_id", "name")
+    perf = _perf(spark, sf)
+    named = attach_names(perf, _patched(spark, sf, perf), "club_id", "name")
     return top_n(named, "win_rate", 10, True, ["club_id"]).select(
         "club_id", "name", r6(F.col("win_rate")).alias("win_rate"))
 
 
 @register("missing_keys", _PERF_SQL + """
-SELECT DISTINCT p.club_id FROM perf p WHERE p.club_id NOT IN (SELECT club_id FROM dim)
+SELECT club_id FROM gaps
 """)
 def missing_keys_query(spark, sf):
     return missing_keys(_perf(spark, sf), _dim(spark, sf), "club_id")
@@ -1257,8 +1263,7 @@ SELECT CAST(decile AS INTEGER) AS decile, ROUND(avg(pred_gw), 4) AS pred_mean,
 FROM binned GROUP BY decile
 """)
 def calibration_groupwise(spark, sf):
-    _, _, _, cal, _ = groupwise_bias_correction(scored(spark, sf, "train"), scored(spark, sf),
-                                                group="nationality", actual="value")
+    cal = groupwise_bias_correction(scored(spark, sf, "train"), scored(spark, sf), group="nationality", actual="value").calibration
     return cal.select("decile", r4(F.col("pred_mean")).alias("pred_mean"),
                       r4(F.col("actual_mean")).alias("actual_mean"), "n")
 

@@ -61,13 +61,18 @@ def load_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     out = {}
     for path in discover_tables(spark, raw_dir, ".csv"):
         name = table_name(path, ".csv")
-        out[name] = read_csv_typed(spark, path, RAW_TYPES.get(name))
+        out[name] = read_csv_typed(spark, path, RAW_TYPES.get(name), infer=True)
     return out
 
 
-def profile_raw(spark: SparkSession, raw_dir: str, sample_rows: int | None = 5_000) -> DataFrame:
-    """(table, rows, cols, column, null_pct) for each CSV; a failing table is
-    reported as a row with its error instead of stopping the job (L5, A2, A3, D9, D11)."""
+PROFILE_SCHEMA = "table string, rows bigint, cols int, column string, null_pct double, error string"
+
+
+def profile_raw(spark: SparkSession, raw_dir: str, sample_rows: int | None = None) -> DataFrame:
+    """(table, rows, cols, column, null_pct) for each CSV, over whole tables unless
+    ``sample_rows`` asks for the first rows. Each table is profiled by itself: one
+    that can't be read is a row with its error, and the others go on. A folder
+    without tables gives no rows (L5, A2, A3, D9, D11)."""
     rows = []
     for path in discover_tables(spark, raw_dir, ".csv"):
         name = table_name(path, ".csv")
@@ -75,18 +80,12 @@ def profile_raw(spark: SparkSession, raw_dir: str, sample_rows: int | None = 5_0
             df = read_csv_typed(spark, path)
             if sample_rows:
                 df = df.limit(sample_rows)
-            shape = table_shape(df, name)
-            top = null_fraction_top(df, 10, 3)
-            rows.append(shape.join(top.withColumn("table", F.lit(name)), "table", "left").withColumn(
-                "error", F.lit(None).cast("string")))
+            shape = table_shape(df, name).first()
+            top = null_fraction_top(df, 10, 3).collect()  # ten rows at most
+            rows += [(name, shape["rows"], shape["cols"], r["column"], r["null_pct"], None) for r in top]
         except Exception as exc:  # noqa: BLE001 - per-table failure is reported, not fatal
-            rows.append(spark.createDataFrame([(name, None, None, None, None, str(exc)[:500])],
-                                              "table string, rows bigint, cols int, column string, "
-                                              "null_pct double, error string"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+            rows.append((name, None, None, None, None, str(exc)[:500]))
+    return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
 # ---------------------------------------------------------------------------
@@ -241,19 +240,18 @@ def run_workflow(spark: SparkSession, raw_dir: str, out_dir: str, version: str =
         paths[f"error_by_{short}"] = write_table(df, f"{out}/artifacts/error_by_{short}_{tag}", "csv")
     paths["top_over"] = write_table(ea.top_over, f"{out}/artifacts/top_overpredictions_{tag}", "csv")
     paths["top_under"] = write_table(ea.top_under, f"{out}/artifacts/top_underpredictions_{tag}", "csv")
-    paths["calibration"] = write_table(ea.calibration, f"{out}/artifacts/calibration_deciles_{tag}", "csv")
-    s, comp, cal_bc, _ = global_bias_correction(scored_train, scored_test, actual="market_value_in_eur")
-    paths["bias_comparison"] = write_table(comp.withColumn("smearing_factor", F.lit(s)),
+    paths["calibration"] = write_table(ea.calibration.orderBy("decile"), f"{out}/artifacts/calibration_deciles_{tag}", "csv")
+    bc = global_bias_correction(scored_train, scored_test, actual="market_value_in_eur")
+    paths["bias_comparison"] = write_table(bc.comparison.withColumn("smearing_factor", F.lit(bc.factor)),
                                            f"{out}/artifacts/error_analysis_bias_comparison_{tag}", "csv")
-    paths["calibration_bc"] = write_table(cal_bc, f"{out}/artifacts/calibration_deciles_bias_corrected_{tag}", "csv")
+    paths["calibration_bc"] = write_table(bc.calibration.orderBy("decile"), f"{out}/artifacts/calibration_deciles_bias_corrected_{tag}", "csv")
     if GROUP_COL in scored_train.columns:
-        s_g, table, comp_g, cal_g, _ = groupwise_bias_correction(scored_train, scored_test, group=GROUP_COL,
-                                                                 actual="market_value_in_eur")
-        paths["groupwise_smearing"] = write_table(table, f"{out}/artifacts/groupwise_smearing_{tag}", "csv")
-        paths["groupwise_comparison"] = write_table(comp_g.withColumn("global_fallback_smearing", F.lit(s_g)),
+        gw = groupwise_bias_correction(scored_train, scored_test, group=GROUP_COL, actual="market_value_in_eur")
+        paths["groupwise_smearing"] = write_table(gw.table, f"{out}/artifacts/groupwise_smearing_{tag}", "csv")
+        paths["groupwise_comparison"] = write_table(gw.comparison.withColumn("global_fallback_smearing", F.lit(gw.factor)),
                                                     f"{out}/artifacts/error_analysis_groupwise_comparison_{tag}",
                                                     "csv")
-        paths["calibration_groupwise"] = write_table(cal_g, f"{out}/artifacts/calibration_deciles_groupwise_{tag}",
+        paths["calibration_groupwise"] = write_table(gw.calibration.orderBy("decile"), f"{out}/artifacts/calibration_deciles_groupwise_{tag}",
                                                      "csv")
     (q_lo, q_med, q_hi), iv_summary, iv_rows = prediction_intervals(scored_train, scored_test,
                                                                     actual="market_value_in_eur")

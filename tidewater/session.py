@@ -96,12 +96,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
-
-    Used where a derived table feeds several jobs (feature table → model fits);
-    it survives executor loss, unlike a local checkpoint or an executor cache."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """A derived table that feeds several jobs (feature table → model fits), written
+    as Parquet to the shared folder: lineage is cut and later scans are pruned."""
+    return written(df, "table")
 
 
 def written(df, name: str):

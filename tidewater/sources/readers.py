@@ -39,13 +39,13 @@ def require_paths(spark: SparkSession, paths: Iterable[str]) -> None:
     """Fail fast when input files are absent (A13), via the Hadoop file system."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    missing = []
-    for p in paths:
+    def there(p: str) -> bool:
         path = jvm.org.apache.hadoop.fs.Path(p)
-        if not path.getFileSystem(conf).exists(path):
-            missing.append(p)
-    if missing:
-        raise FileNotFoundError("Missing required file(s):\n" + "\n".join(f" - {p}" for p in missing))
+        return path.getFileSystem(conf).exists(path)
+
+    absent = sorted(p for p in paths if not there(p))
+    if absent:
+        raise FileNotFoundError(f"{len(absent)} input path(s) not found: {', '.join(absent)}")
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -73,25 +73,48 @@ def read_csv_typed(
     types: Mapping[str, str] | None = None,
     *,
     drop_malformed: bool = False,
+    infer: bool = False,
+    multi_line: bool = False,
     null_tokens: Sequence[str] = PANDAS_NULL_TOKENS,
 ) -> DataFrame:
     """CSV scan with header, all columns read as text, then typed with ``try_cast`` (A1, A4).
 
-    ``types`` maps column → Spark SQL type; unlisted columns stay strings.
-    With ``drop_malformed`` rows with the wrong number of fields are dropped
-    (``read_csv_auto(..., ignore_errors=true)``)."""
-    reader = spark.read.option("header", True).option("multiLine", False).option("escape", '"')
+    ``types`` maps column → Spark SQL type. Unlisted columns stay strings, or with
+    ``infer`` take the narrowest of bigint, double and date that all their values
+    are (one pass). With ``drop_malformed`` rows with the wrong number of fields are
+    dropped, whatever columns a query selects. ``multi_line`` reads quoted newlines
+    (and a file then is one task's)."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if drop_malformed:
-        reader = reader.option("mode", "DROPMALFORMED")
+        # a pruned parse doesn't see a row's width
+        reader = reader.option("mode", "DROPMALFORMED").option("columnPruning", False)
         # DROPMALFORMED needs a schema to know the expected width.
         header = spark.read.option("header", True).csv(path).columns
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
         reader = reader.schema(schema)
     raw = reader.csv(path)
     raw = null_tokens_to_null(raw, null_tokens)
-    if not types:
-        return raw
-    return raw.withColumns({c: _typed(c, t) for c, t in types.items() if c in raw.columns})
+    types = {c: t for c, t in (types or {}).items() if c in raw.columns}
+    if infer:
+        types = {**inferred_types(raw, [c for c in raw.columns if c not in types]), **types}
+    return raw.withColumns({c: _typed(c, t) for c, t in types.items()}) if types else raw
+
+
+def inferred_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """Column → first of bigint, double, date that every non-null text is; columns
+    with other texts, or none at all, are left out. One aggregate over the table."""
+    if not columns:
+        return {}
+    kinds = ("bigint", "double", "date")
+    tests = {
+        "bigint": lambda c: F.col(c).rlike(r"^\s*[+-]?\d+\s*$") & F.col(c).try_cast("bigint").isNotNull(),
+        "double": lambda c: F.col(c).try_cast("double").isNotNull(),
+        "date": lambda c: F.col(c).rlike(r"^\d{4}-\d{2}-\d{2}$") & F.col(c).try_cast("date").isNotNull(),
+    }
+    row = df.agg(*[F.min(F.when(F.col(f"`{c}`").isNotNull(), tests[k](f"`{c}`"))).alias(f"{i}_{k}")
+                   for i, c in enumerate(columns) for k in kinds]).first()
+    found = {c: next((k for k in kinds if row[f"{i}_{k}"]), None) for i, c in enumerate(columns)}
+    return {c: k for c, k in found.items() if k}
 
 
 def _typed(col: str, dtype: str):
