@@ -44,14 +44,14 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequen
     x = df.select(*keys, F.col(value).cast("double").alias("__v"))
     stats = x.groupBy(*keys).agg(
         F.count("__v").alias("__n"), F.percentile_approx("__v", F.array(*bounds), accuracy).alias("__b"))
-    # read twice below: for the brackets and for the ranks
-    stats = written(stats, "brackets")
     x = x.where(F.col("__v").isNotNull())
     if keys:
+        stats = written(stats, "brackets")  # read twice: for the brackets and for the ranks
         x = join_on_keys(x, stats.select(*keys, "__b"), keys, "inner")
     else:
-        one = stats.first()["__b"] or [0.0] * len(bounds)
-        x = x.withColumn("__b", F.array(*[F.lit(float(b)) for b in one]))
+        one = stats.first()
+        stats = df.sparkSession.createDataFrame([(one["__n"],)], "__n bigint")
+        x = x.withColumn("__b", F.array(*[F.lit(float(b)) for b in one["__b"] or [0.0] * len(bounds)]))
     every = x.select(*keys, "__v", "__b", F.explode(F.sequence(F.lit(0), F.lit(len(qs) - 1))).alias("qi"))
     side = F.when(F.col("__v") < F.get("__b", 2 * F.col("qi")), -1).when(
         F.col("__v") > F.get("__b", 2 * F.col("qi") + 1), 1).otherwise(0)

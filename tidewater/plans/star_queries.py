@@ -41,7 +41,7 @@ from ..operators.lookback import lookback_aggregate
 from ..operators.split import iso_date, split_stats, time_cutoff, time_split
 from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, group_smearing,
                                histogram, quantile_values, regression_metrics, top_n)
-from ..session import materialize, scratch_path, written_table
+from ..session import input_stamp, materialize, scratch_path, written_table
 from ..streaming.scoring_stream import drain, requests_as_json, start_scoring
 from .diagnostics import error_analysis, global_bias_correction, groupwise_bias_correction, prediction_intervals
 from ..sources.readers import read_table
@@ -233,7 +233,7 @@ def model_base(spark: SparkSession, sf: str) -> DataFrame:
     :func:`tidewater.session.written_table`): every split, baseline and
     diagnostic starts from it, as the reference's steps start from its
     feature file."""
-    return written_table(spark, f"anchors:{sf}", lambda: build_model_base(spark, sf))
+    return written_table(spark, f"anchors:{sf}", lambda: build_model_base(spark, sf), sf)
 
 
 def build_model_base(spark: SparkSession, sf: str) -> DataFrame:
@@ -262,7 +262,7 @@ _CUTOFFS: dict[tuple, object] = {}
 
 def cutoff_for(spark: SparkSession, sf: str):
     """E5 cutoff of the model rows (kept per application and input folder, like a training artifact)."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, input_stamp(spark, sf))
     if key not in _CUTOFFS:
         _CUTOFFS[key] = time_cutoff(model_base(spark, sf).select("anchor_date"), "anchor_date", 0.8)
     return _CUTOFFS[key]
@@ -277,13 +277,18 @@ def split_frames(spark: SparkSession, sf: str):
 def scored(spark: SparkSession, sf: str, side: str = "test") -> DataFrame:
     """Rows of one side with the position × age-bin median prediction (G11) and EUR errors.
 
-    Scored once and checkpointed into the shared checkpoint folder: the
-    diagnostics run several statistics passes (sums, exact medians, decile
-    edges) over it, and each would otherwise recompute split, group medians
-    and join."""
-    train, test, _ = split_frames(spark, sf)
-    pred = fit_predict_group_median(train, train if side == "train" else test, "target_log", GROUP_KEYS)
-    return materialize(add_error_columns(pred, "pred_log", "value"))
+    Both sides are scored by one fit and written once per input: the diagnostics
+    run several statistics passes (sums, exact medians, decile edges) over them,
+    each a pruned scan."""
+    def build():
+        train, _, cutoff = split_frames(spark, sf)
+        base = model_base(spark, sf).where(F.col("anchor_date").isNotNull())
+        pred = fit_predict_group_median(train, base, "target_log", GROUP_KEYS)
+        late = F.col("anchor_date") >= F.lit(cutoff)
+        return add_error_columns(pred, "pred_log", "value").withColumn(
+            "side", F.when(late, "test").otherwise("train"))
+
+    return written_table(spark, f"scored:{sf}", build, sf).where(F.col("side") == side).drop("side")
 
 
 def _age_bin_sql(col: str = "age") -> str:
@@ -947,7 +952,7 @@ def anchor_lookback(spark: SparkSession, sf: str) -> DataFrame:
         return lookback_aggregate(model_base(spark, sf), facts(spark, sf), entity="o_custkey",
                                   anchor_time="anchor_date", fact_time="l_shipdate", measures=measure_columns(),
                                   windows=WINDOWS, count_name="games_played")
-    return written_table(spark, f"anchor-lookback:{sf}", build)
+    return written_table(spark, f"anchor-lookback:{sf}", build, sf)
 
 
 def requests_frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -1174,7 +1179,7 @@ _MODELS: dict[tuple, object] = {}
 
 
 def _ridge_setup(spark: SparkSession, sf: str):
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, input_stamp(spark, sf))
     if key not in _MODELS:
         feats = materialize(feature_frame(spark, sf))
         cutoff = cutoff_for(spark, sf)

@@ -7,6 +7,7 @@ tests, the bench and the examples only.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -110,14 +111,27 @@ def written(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def written_table(spark: SparkSession, key: str, build) -> "DataFrame":  # noqa: F821
+def input_stamp(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and modification times of a folder's tables and their files, as one
+    hash: equal as long as the input is the same."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    seen = []
+    for top in fs.listStatus(path):
+        for status in fs.listStatus(top.getPath()) if top.isDirectory() else [top]:
+            seen.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return hashlib.sha256(repr(sorted(seen)).encode()).hexdigest()[:16]
+
+
+def written_table(spark: SparkSession, key: str, build, folder: str | None = None) -> "DataFrame":  # noqa: F821
     """A derived table written once as Parquet under the shared checkpoint
     folder and read back (lineage cut, restartable, predicates still pushed
-    into the scan). ``build`` is called only on the first use per application."""
-    k = (spark.sparkContext.applicationId, key)
+    into the scan). ``build`` is called only on the first use per application
+    and, with ``folder``, per state of the input files in it."""
+    k = (spark.sparkContext.applicationId, key, input_stamp(spark, folder) if folder else "")
     if k not in _WRITTEN:
         path = scratch_path(spark, key.replace("/", "_").replace(":", "_")[-60:])
         build().write.mode("overwrite").parquet(path)
