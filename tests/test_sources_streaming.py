@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators.model import fit_ridge
-from tidewater.operators.scoring import assert_ready
-from tidewater.sources.readers import (MissingColumnsError, discover_tables, parse_requests, read_artifact,
+from tidewater.operators.scoring import NotReadyError, assert_ready, score_requests, scoring_frame
+from tidewater.sources.readers import (MissingColumnsError, discover_tables, load_table, parse_requests, read_artifact,
                                        read_csv_typed, read_requests, request_schema, require_columns,
                                        require_paths, version_tag)
 from tidewater.sources.sinks import write_summary, write_table
@@ -118,3 +118,65 @@ def test_stream_scoring_two_sinks(spark, tmp_path):
     assert scored.count() == 118 and scored.where(F.col("score_error").isNotNull()).count() == 0
     assert sorted(r["request_id"] for r in rejected.collect()) == ["0", "1"]
     assert {r["message"] for r in rejected.collect()} == {"Age must be between 16 and 50"}
+
+
+def test_load_table_replaces_and_publishes_valid_rows(spark, tmp_path):
+    p, out = tmp_path / "t.csv", str(tmp_path / "loaded")
+    p.write_text("id,target\n1,2.5\n2,\n3,4,5\n4,1.5\n")
+    for _ in range(2):          # a second load replaces the first
+        table = load_table(spark, str(p), out, "rows_to_model", valid="target is not null")
+        assert table.count() == 3 and table.select("id").count() == 3
+    assert sorted(r["id"] for r in spark.table("rows_to_model").collect()) == [1, 4]
+    with pytest.raises(FileNotFoundError):
+        load_table(spark, str(tmp_path / "none.csv"), out, "x")
+
+
+def test_score_requests_readiness_coverage_and_values(spark):
+    df, model = _model(spark)
+    reqs = df.drop("target_log")
+    out, rejected = score_requests(reqs, model, -1.4, 1.5, explain=True, interval_coverage=0.8080)
+    assert rejected.count() == 0
+    rows = {r["request_id"]: r for r in out.collect()}
+    given = {r["request_id"]: r for r in reqs.collect()}
+    assert {r["interval_coverage"] for r in rows.values()} == {0.8080}
+    seen = 0
+    for k, r in rows.items():
+        for e in [*r["top_positive"], *r["top_negative"]]:
+            want = given[k][e["feature"]]
+            if "=" in e["transformed_feature"]:
+                assert e["transformed_feature"] == f"{e['feature']}={e['feature_value']}" and want == e["feature_value"]
+            else:
+                assert float(e["feature_value"]) == want
+            seen += 1
+    assert seen > 300
+    for bad in ((None, -1.0, 1.0, 0.8), (model, float("nan"), 1.0, 0.8), (model, -1.0, 1.0, 0.0)):
+        with pytest.raises(NotReadyError):
+            score_requests(reqs, *bad[:3], interval_coverage=bad[3])
+
+
+def test_scoring_frame_fills(spark):
+    df, _ = _model(spark)
+    row = scoring_frame(df.limit(1)).first()
+    assert row["height_in_cm"] is None and row["foot"] is None
+    zero = scoring_frame(df.limit(1), missing="zero").first()
+    assert zero["height_in_cm"] == 0.0 and zero["current_club_id"] == 0.0 and zero["foot"] == ""
+    with pytest.raises(ValueError):
+        scoring_frame(df, missing="none")
+
+
+def test_zero_fill_equals_zeros_given(spark):
+    df, model = _model(spark)
+    gaps = df.withColumn("w365_goals", F.lit(None).cast("double"))
+    zeros = df.withColumn("w365_goals", F.lit(0.0))
+    a = {r["request_id"]: r["pred_log"] for r in model.predict(gaps, missing="zero").collect()}
+    b = {r["request_id"]: r["pred_log"] for r in model.predict(zeros).collect()}
+    assert a == pytest.approx(b)
+    ex = model.contributions(gaps, top_k=50, missing="zero").first()
+    values = {e["feature"]: e["feature_value"] for e in [*ex["top_positive"], *ex["top_negative"]]}
+    assert values["w365_goals"] == "0.0"
+
+
+def test_explanations_are_one_literal_in_the_plan(spark):
+    df, model = _model(spark)
+    plan = model.contributions(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan.lower() and "Python" not in plan

@@ -9,7 +9,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.plans.workflow import (build_features, club_performance, load_raw, model_inputs, profile_raw,
+from tidewater.operators.report import report_from_artifacts
+from tidewater.plans.workflow import (build_features, club_performance, default_group, load_raw, model_inputs, profile_raw,
                                       run_workflow)
 
 POSITIONS = [("Goalkeeper", "Goalkeeper"), ("Defender", "Centre-Back"), ("Midfield", "Central Midfield"),
@@ -106,6 +107,18 @@ def test_run_workflow_writes_artifacts(spark, raw_dir, tmp_path):
                 "interval_rows", "report", "club_performance", "players_clean"]:
         assert key in paths
     metrics = spark.read.json(paths["metrics"]).collect()
+    feats = spark.read.parquet(paths["features"])
+    m = metrics[0]
+    assert m["n_train"] + m["n_test"] == feats.where(F.col("target_log").isNotNull()).count()
+    assert m["train_date_min"] <= m["train_date_max"] < m["cutoff_date"] == m["test_date_min"] <= m["test_date_max"]
+    by_pos = [float(r["mae_eur"]) for r in spark.read.option("header", True).csv(paths["error_by_position"]).collect()]
+    assert by_pos == sorted(by_pos, reverse=True)
+    cal = [int(r["decile"]) for r in spark.read.option("header", True).csv(paths["calibration"]).collect()]
+    assert cal == sorted(cal)
+    variants = spark.read.option("header", True).csv(paths["bias_comparison"]).collect()
+    assert {int(r["n"]) for r in variants} == {m["n_test"]}
+    games = spark.read.option("header", True).csv(paths["club_games_clean"])
+    assert games.count() == 300 and games.where(F.col("own_goals").isNull()).count() == 0
     assert {r["model"] for r in metrics} == {"baseline_global_median", "baseline_position_age", "ridge_model_full"}
     abl = spark.read.option("header", True).csv(paths["ablation"]).collect()
     assert [r["experiment"] for r in abl] and {r["experiment"] for r in abl} == {
@@ -116,3 +129,13 @@ def test_run_workflow_writes_artifacts(spark, raw_dir, tmp_path):
     assert rows.count() > 0 and "pred_eur_median" in rows.columns
     rep = spark.read.json(paths["report"]).first()
     assert rep["overall"]["interval"] == "10-90" and len(rep["risk_flags"]) == 4
+    assert rep["generated_from"]["error_by_league"] == "error_by_league_v3"
+    again = report_from_artifacts(spark, str(tmp_path / "out" / "artifacts"), "v3").first()
+    assert again["overall"]["n_test_rows"] == m["n_test"] and again["model_version"] == "v3"
+    with pytest.raises(FileNotFoundError):
+        report_from_artifacts(spark, str(tmp_path / "out" / "artifacts"), "v9")
+
+
+def test_absent_group_columns_are_one_group(spark):
+    df = default_group(spark.createDataFrame([(1, "x")], "a int, position string"), ["position", "league"])
+    assert df.first().asDict() == {"a": 1, "position": "x", "league": "Unknown"}

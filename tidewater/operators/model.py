@@ -20,6 +20,7 @@ assembled vector, so they run in the executors for any number of rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -145,39 +146,67 @@ class RidgeModel:
 
     def contributions(self, df: DataFrame, top_k: int = 3, missing: str = "pipeline") -> DataFrame:
         """Per-row local explanation: top-k positive and negative contributions
-        (transformed feature × coefficient), intercept as baseline (H5, E11, H6)."""
-        x = self.pipeline.transform(self.prep.transform(df, missing))
-        names = F.array(*[F.lit(n) for n in self.feature_names])
-        sources = F.array(*[F.lit(s) for s in self.source_columns()])
-        coefs = F.array(*[F.lit(float(c)) for c in self.coefficients])
-        contrib = F.arrays_zip(names.alias("transformed_feature"), sources.alias("feature"),
-                               F.zip_with(vector_to_array("__features"), coefs, lambda a, b: a * b)
-                               .alias("contribution_log"))
+        (transformed feature × coefficient), intercept as baseline (H5, E11).
+
+        Each entry names its source column and that column's value as text (H6): the
+        input of a numeric column (0 for a missing one with ``missing="zero"``, else
+        NULL) and the category a one-hot column stands for."""
+        fill = F.lit(0.0 if missing == "zero" else None).cast("double")
+        given = [F.coalesce(F.col(f"`{c}`").cast("double"), fill) if c in df.columns else fill
+                 for c in self.prep.numeric]
+        x = df.withColumn("__given", F.array(*given) if given else F.array().cast("array<double>"))
+        x = self.pipeline.transform(self.prep.transform(x, missing))
+        table = F.from_json(F.lit(self._feature_table()), "array<struct<name:string,source:string,level:string,coef:double>>")
+        contrib = F.transform(table, lambda e, i: F.struct(
+            e["name"].alias("transformed_feature"), e["source"].alias("feature"),
+            F.coalesce(e["level"], F.get("__given", i).cast("string")).alias("feature_value"),
+            (e["coef"] * F.get("__dense", i)).alias("contribution_log")))
 
         def top(cond):
-            kept = F.filter(contrib, cond)
+            kept = F.filter("__contrib", cond)
             ordered = F.array_sort(kept, lambda l, r: F.when(
                 F.abs(l["contribution_log"]) > F.abs(r["contribution_log"]), -1).when(
                 F.abs(l["contribution_log"]) < F.abs(r["contribution_log"]), 1).otherwise(0))
             return F.slice(ordered, 1, top_k)
+        x = x.withColumn("__dense", vector_to_array("__features")).withColumn("__contrib", contrib)
         return x.withColumns({
             "baseline_log_value": F.lit(float(self.intercept)),
             "top_positive": top(lambda e: e["contribution_log"] > 0),
             "top_negative": top(lambda e: e["contribution_log"] < 0),
-        }).withColumnRenamed("__pred", "pred_log").drop("__features", *[f"__z_{c}" for c in self.prep.numeric],
-                *[f"__idx_{c}" for c in self.prep.categorical], *[f"__oh_{c}" for c in self.prep.categorical])
+        }).withColumnRenamed("__pred", "pred_log").drop(
+            "__features", "__given", "__dense", "__contrib", *[f"__z_{c}" for c in self.prep.numeric],
+            *[f"__idx_{c}" for c in self.prep.categorical], *[f"__oh_{c}" for c in self.prep.categorical])
+
+    def _feature_table(self) -> str:
+        """Name, source column, category and coefficient of each transformed feature, as
+        JSON: one literal in a plan, whatever the number of features."""
+        levels = [None] * len(self.prep.numeric) + [v for c in self.prep.categorical for v in self.category_labels[c]]
+        return json.dumps([{"name": n, "source": s, "level": v, "coef": float(k)} for n, s, v, k in zip(
+            self.feature_names, self.source_columns(), levels, self.coefficients)])
 
     def source_columns(self) -> list[str]:
-        """Source column of each transformed feature (no prefix guessing needed, H6)."""
-        out = list(self.prep.numeric)
-        for c in self.prep.categorical:
-            out += [c] * sum(1 for n in self.feature_names[len(self.prep.numeric):] if n.startswith(f"{c}="))
-        return out[:len(self.feature_names)]
+        """Source column of each transformed feature."""
+        return list(self.prep.numeric) + [c for c in self.prep.categorical for _ in self.category_labels[c]]
+
+    def normal_equations(self, df: DataFrame, target: str) -> DataFrame:
+        """(feature, transformed_feature, gradient) of the ridge loss on ``df``, per row:
+        Σ x·(y − ŷ)/n − α·w/n, and Σ (y − ŷ)/n for the intercept. All are zero on the
+        training rows. One aggregate of a feature's sum each, no row leaves its task."""
+        x = self.pipeline.transform(self.prep.transform(df.where(F.col(target).isNotNull())))
+        r = F.col(target) - F.col("__pred")
+        parts = x.select(F.posexplode(F.concat(vector_to_array("__features"), F.array(F.lit(1.0)))).alias("i", "x"),
+                         r.alias("r"))
+        sums = parts.groupBy("i").agg(F.sum(F.col("x") * F.col("r")).alias("s"), F.count(F.lit(1)).alias("n"))
+        names = [(i, s, n, self.alpha * float(w)) for i, (s, n, w) in enumerate(
+            zip([*self.source_columns(), "(intercept)"], [*self.feature_names, "(intercept)"],
+                [*self.coefficients, 0.0]))]
+        table = df.sparkSession.createDataFrame(names, "i int, feature string, transformed_feature string, aw double")
+        return table.join(sums, "i", "left").select(
+            "feature", "transformed_feature", ((F.col("s") - F.col("aw")) / F.col("n")).alias("gradient"))
 
     def save(self, path: str) -> None:
         """Model directory: the Spark ML pipeline plus the preprocessing statistics."""
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        import json
         from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()
         meta = {"numeric": self.prep.numeric, "categorical": self.prep.categorical, "medians": self.prep.medians,
@@ -190,7 +219,6 @@ class RidgeModel:
 
     @staticmethod
     def load(path: str) -> RidgeModel:
-        import json
         from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()
         meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])

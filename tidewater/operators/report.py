@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import bias_direction, format_eur, format_pct
+from ..sources.readers import read_artifact
 
 # The reference's report wording.
 COVERAGE_FLAGS = {
@@ -92,8 +93,10 @@ def risk_flags(overall_row: dict, position_risks: list[dict], league_risks: list
 
 
 def build_report(spark: SparkSession, model_version: str, error_summary: DataFrame, interval_summary: DataFrame,
-                 by_position: DataFrame, position_col: str, by_league: DataFrame, league_col: str) -> DataFrame:
-    """Consolidated report as one nested row (H14): overall struct, top risks, flags."""
+                 by_position: DataFrame, position_col: str, by_league: DataFrame, league_col: str,
+                 generated_from: dict[str, str] | None = None) -> DataFrame:
+    """Consolidated report as one nested row (H14): overall struct, top risks, flags and,
+    where given, the artifacts it was made of."""
     overall = report_overall(error_summary, interval_summary)
     o = overall.first().asDict()
     pos = [r.asDict() for r in top_group_risks(by_position, position_col).collect()]
@@ -105,11 +108,33 @@ def build_report(spark: SparkSession, model_version: str, error_summary: DataFra
     schema = (f"model_version string, overall struct<n_test_rows:bigint,cutoff_date:string,mae_eur:double,"
               f"median_abs_err_eur:double,mean_signed_err_eur:double,bias_direction:string,interval:string,"
               f"target_coverage:double,empirical_coverage:double,coverage_gap:double>, "
-              f"top_position_risks {risk_t}, top_league_risks {risk_t}, risk_flags array<string>")
+              f"top_position_risks {risk_t}, top_league_risks {risk_t}, risk_flags array<string>, "
+              f"generated_from map<string,string>")
     keys = ["group", "samples", "mae_eur", "median_abs_err_eur", "mean_signed_err_eur"]
     return spark.createDataFrame([(model_version, tuple(o[k] for k in overall_keys),
                                    [tuple(r[k] for k in keys) for r in pos],
-                                   [tuple(r[k] for k in keys) for r in lea], flags)], schema)
+                                   [tuple(r[k] for k in keys) for r in lea], flags, generated_from)], schema)
+
+
+# Fixed names: artifact → its base name, followed by the model version.
+ARTIFACTS = {
+    "error_summary": "error_analysis_summary",
+    "interval_summary": "prediction_interval_summary",
+    "error_by_position": "error_by_position",
+    "error_by_league": "error_by_league",
+}
+
+
+def report_from_artifacts(spark: SparkSession, artifacts_dir: str, version: str = "v3",
+                          position_col: str = "position_bucket",
+                          league_col: str = "domestic_competition_id") -> DataFrame:
+    """The report of a model version from its written diagnostics (H14, A9); an absent
+    artifact is an error that names it."""
+    names = {k: f"{base}_{version}" for k, base in ARTIFACTS.items()}
+    found = {k: read_artifact(spark, f"{artifacts_dir.rstrip('/')}/{n}", "json" if k.endswith("summary") else "csv")
+             for k, n in names.items()}
+    return build_report(spark, version, found["error_summary"], found["interval_summary"],
+                        found["error_by_position"], position_col, found["error_by_league"], league_col, names)
 
 
 def report_lines(report: DataFrame) -> DataFrame:

@@ -12,10 +12,11 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import (confidence_note, format_eur, strip_ws, uncertainty_level, valuation_band)
+from ..sources.readers import request_schema
 from .features import add_rate_features
 
 # The reference's validation groups and messages.
@@ -85,12 +86,18 @@ def rejection_rows(rejected: DataFrame, key: str | Sequence[str]) -> DataFrame:
 def scoring_frame(df: DataFrame, windows: Sequence[str] = ("w180", "w365"),
                   absent_numeric: Sequence[str] = ("current_club_id", "height_in_cm"),
                   absent_text: Sequence[str] = ("height_bucket", "country_of_birth", "country_of_citizenship",
-                                                "sub_position", "foot")) -> DataFrame:
-    """Model-ready rows: rate features for both windows (÷0 → 0) and absent
-    model inputs added as NULL, to be imputed by the fitted pipeline (H3)."""
+                                                "sub_position", "foot"),
+                  missing: str = "pipeline") -> DataFrame:
+    """Model-ready rows: rate features for both windows (÷0 → 0) and the model inputs
+    that requests don't carry (H3). These are NULL, for the fitted pipeline to impute;
+    with ``missing="zero"``, as the reference fills them, 0 and the empty text, which
+    is a category of its own."""
+    if missing not in ("pipeline", "zero"):
+        raise ValueError(f"missing must be 'pipeline' or 'zero', not {missing!r}")
     out = add_rate_features(df, windows)
-    extra = {c: F.lit(None).cast("double") for c in absent_numeric if c not in out.columns}
-    extra.update({c: F.lit(None).cast("string") for c in absent_text if c not in out.columns})
+    zero = missing == "zero"
+    extra = {c: F.lit(0.0 if zero else None).cast("double") for c in absent_numeric if c not in out.columns}
+    extra.update({c: F.lit("" if zero else None).cast("string") for c in absent_text if c not in out.columns})
     return out.withColumns(extra)
 
 
@@ -165,16 +172,48 @@ def assert_ready(model, q_low: float | None, q_high: float | None, coverage: flo
     return Readiness("healthy")
 
 
+class NotReadyError(RuntimeError):
+    """A scoring job was started without a usable model or interval."""
+
+
+def sample_request(spark: SparkSession, age_limits=AGE_LIMITS) -> DataFrame:
+    """One valid request with an age inside the limits and counts that don't contradict."""
+    lo, hi = age_limits
+    counts = {"games_played": 5.0, "minutes_played": 450.0, "goals": 1.0, "assists": 1.0, "yellow_cards": 0.0,
+              "red_cards": 0.0}
+    schema = request_schema()
+    known = {"request_id": "readiness", "age": (lo + hi) / 2.0, "position": "Midfield",
+             "player_club_domestic_competition_id": "GB1"}
+    row = tuple(known[n] if n in known else counts[n.split("_", 1)[1]] for n in schema.names)
+    return spark.createDataFrame([row], schema)
+
+
+def require_ready(spark: SparkSession, model, q_low: float | None, q_high: float | None,
+                  interval_coverage: float | None, age_limits=AGE_LIMITS, missing: str = "pipeline") -> None:
+    """Raise :class:`NotReadyError` unless the readiness check passes, a sample request
+    scored included (H16)."""
+    sample = None if model is None else scoring_frame(sample_request(spark, age_limits), missing=missing)
+    state = assert_ready(model, q_low, q_high, interval_coverage, sample)
+    if state.status != "healthy":
+        raise NotReadyError(f"{state.reason}: {state.detail}" if state.detail else str(state.reason))
+
+
 def score_requests(requests: DataFrame, model, q_low: float, q_high: float, *, explain: bool = False,
                    scout: bool = False, top_k: int = 3, coverage: str | None = None, key: str = "request_id",
-                   age_limits=AGE_LIMITS, link: str = "exp") -> tuple[DataFrame, DataFrame]:
-    """Batch scoring (L4): validation (H1) → scoring frame (H3) → prediction
-    → value and interval (H4), optionally local explanations (H5) and the
-    scouting summary (H9). Returns (scored, rejected rows). Stream-safe."""
+                   age_limits=AGE_LIMITS, link: str = "exp", missing: str = "pipeline",
+                   interval_coverage: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Batch scoring (L4): readiness (H16) → validation (H1) → scoring frame (H3) →
+    prediction (G7) → value, interval and the interval's measured coverage (H4),
+    optionally local explanations (H5) and the scouting summary (H9). ``missing`` is how
+    absent inputs are filled, here and in the model. Returns (scored, rejected rows).
+    ``requests`` may be a stream: only the readiness check runs a job, on its own row."""
+    require_ready(requests.sparkSession, model, q_low, q_high, interval_coverage, age_limits, missing)
     valid, rejected = validate_requests(requests, age_limits=age_limits)
-    frame = scoring_frame(valid)
-    pred = model.contributions(frame, top_k) if (explain or scout) else model.predict(frame)
-    out = point_and_interval(pred, q_low, q_high, link=link)
+    frame = scoring_frame(valid, missing=missing)
+    pred = (model.contributions(frame, top_k, missing=missing) if (explain or scout)
+            else model.predict(frame, missing=missing))
+    out = point_and_interval(pred, q_low, q_high, link=link).withColumn(
+        "interval_coverage", F.lit(float(interval_coverage)))
     if scout:
         out = scout_columns(out, coverage or coverage_label(0.1, 0.9))
     return out, rejection_rows(rejected, key)

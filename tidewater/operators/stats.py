@@ -209,7 +209,8 @@ def variant_metrics(df: DataFrame, actual: str, variants: dict[str, str], accura
         n=len(names), body=", ".join(f"'{k}', `{variants[k]}`" for k in names))
     long = df.select(F.col(actual).alias("__a"), F.expr(stack))
     err = F.col("pred") - F.col("__a")
-    sums = long.groupBy("variant").agg(F.avg(F.abs(err)).alias("mae_eur"), F.avg(err).alias("mean_signed_err_eur"))
+    sums = long.groupBy("variant").agg(F.count("__a").alias("n"), F.avg(F.abs(err)).alias("mae_eur"),
+                                        F.avg(err).alias("mean_signed_err_eur"))
     med = grouped_median(long.select("variant", F.abs(err).alias("__e")), ["variant"], "__e", "median_abs_err_eur", accuracy)
     return join_on_keys(sums, med, ["variant"], "left").select(
-        "variant", "mae_eur", "median_abs_err_eur", "mean_signed_err_eur")
+        "variant", "n", "mae_eur", "median_abs_err_eur", "mean_signed_err_eur")

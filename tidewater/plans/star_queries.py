@@ -523,14 +523,14 @@ _SMEAR_SQL = SCORED_SQL + """,
 def _variant_sql(variants: str, extra: str = "") -> str:
     return _SMEAR_SQL + f""",
   v AS ({variants})
-SELECT variant, ROUND(avg(abs(p - actual_eur)), 4) AS mae_eur, ROUND(median(abs(p - actual_eur)), 4) AS median_abs_err_eur,
+SELECT variant, CAST(COUNT(actual_eur) AS BIGINT) AS n, ROUND(avg(abs(p - actual_eur)), 4) AS mae_eur, ROUND(median(abs(p - actual_eur)), 4) AS median_abs_err_eur,
        ROUND(avg(p - actual_eur), 4) AS mean_signed_err_eur{extra}
 FROM v GROUP BY variant
 """
 
 
 def _variants_out(df):
-    return df.select("variant", *[r4(F.col(c)).alias(c) for c in
+    return df.select("variant", "n", *[r4(F.col(c)).alias(c) for c in
                                   ["mae_eur", "median_abs_err_eur", "mean_signed_err_eur"]])
 
 

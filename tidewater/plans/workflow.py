@@ -27,8 +27,8 @@ from ..operators.lookback import lookback_aggregate
 from ..operators.model import (RidgeModel, column_roles, fit_label_stats, fit_preprocessing, fit_ridge,
                                top_coefficients)
 from ..operators.profiling import null_fraction_top, table_shape
-from ..operators.report import build_report, report_lines
-from ..operators.split import iso_date, time_split
+from ..operators.report import report_from_artifacts, report_lines
+from ..operators.split import iso_date, split_stats, time_split
 from ..operators.stats import regression_metrics
 from ..sources.readers import discover_tables, read_csv_typed, require_columns, table_name, version_tag
 from ..session import materialize
@@ -176,13 +176,23 @@ def train(spark: SparkSession, features: DataFrame, *, date_col: str = "date", a
     base_pa = regression_metrics(fit_predict_group_median(tr_b, te_b, TARGET, [position_col, "age_bin"]),
                                  TARGET, "pred_log")
     ridge = regression_metrics(full.predict(test_df), TARGET, "pred_log")
-    side = lambda d, name: d.select(F.lit(name).alias("model"), "*")
+    # rows and dates of both sides, on every metrics row
+    sides = {r["side"]: r for r in split_stats(feats, date_col, cutoff).collect()}
+    split_cols = [F.lit(sides[s][k] if s in sides else None).alias(f"{s}_{k}" if k != "n" else f"n_{s}")
+                  for s in ("train", "test") for k in ("n", "date_min", "date_max")]
+    side = lambda d, name: d.select(F.lit(name).alias("model"), "*", *split_cols)
     metrics = (side(base_g, "baseline_global_median").unionByName(side(base_pa, "baseline_position_age"))
                .unionByName(side(ridge, "ridge_model_full")))
     return TrainingResult(cutoff, full, metrics, rows.orderBy("rmse_log"), top_coefficients(full, spark, 25),
                           train_df, test_df)
 
 
+def default_group(df: DataFrame, columns: Sequence[str], value: str = "Unknown") -> DataFrame:
+    """Group columns that a table doesn't have, as one group."""
+    absent = {c: F.lit(value) for c in columns if c not in df.columns}
+    return df.withColumns(absent) if absent else df
+
+
 # ---------------------------------------------------------------------------
 # Group performance (club games notebook)
 # ---------------------------------------------------------------------------
@@ -226,10 +236,8 @@ def run_workflow(spark: SparkSession, raw_dir: str, out_dir: str, version: str =
     # scored once, checkpointed into the shared folder: every diagnostic below
     # runs several passes (sums, exact medians, decile edges) over these two
     scored_train = materialize(res.model.predict(res.train, missing=missing))
-    scored_test = materialize(res.model.predict(res.test, missing=missing).withColumn(
-        "position_bucket", keyword_bucket("position", POSITION_RULES)))
-    if "domestic_competition_id" not in scored_test.columns:
-        scored_test = scored_test.withColumn("domestic_competition_id", F.lit("Unknown"))
+    scored_test = default_group(res.model.predict(res.test, missing=missing), ["position", "domestic_competition_id"])
+    scored_test = materialize(scored_test.withColumn("position_bucket", keyword_bucket("position", POSITION_RULES)))
     ea = error_analysis(scored_test, actual="market_value_in_eur",
                         group_cols=["position_bucket", "domestic_competition_id"], key_cols=["player_id", "date"],
                         keep_cols=["date", "player_id", "position", "domestic_competition_id"])
@@ -260,11 +268,13 @@ def run_workflow(spark: SparkSession, raw_dir: str, out_dir: str, version: str =
     paths["interval_rows"] = write_table(iv_rows.select(*keep), f"{out}/artifacts/prediction_intervals_{tag}", "csv")
     iv_summary = iv_summary.withColumn("model_version", F.lit(tag))
     paths["interval_summary"] = write_summary(iv_summary, f"{out}/artifacts/prediction_interval_summary_{tag}")
-    report = build_report(spark, tag, summary, iv_summary, ea.by_group["position_bucket"], "position_bucket",
-                          ea.by_group["domestic_competition_id"], "domestic_competition_id")
+    # from the written artifacts, so that it can be made again without the scored rows
+    report = report_from_artifacts(spark, f"{out}/artifacts", tag)
     paths["report"] = write_summary(report, f"{out}/artifacts/model_report_{tag}")
     paths["report_lines"] = write_table(report_lines(report), f"{out}/artifacts/model_report_lines_{tag}", "csv")
     if "club_games" in raw and "clubs" in raw:
+        cleaned = clean_games(raw["club_games"], ["club_id", "opponent_id"], ["own_goals", "opponent_goals"])
+        paths["club_games_clean"] = write_table(cleaned, f"{out}/processed/club_games_clean", "csv")
         perf, top10, miss = club_performance(raw["club_games"], raw["clubs"])
         paths["club_performance"] = write_table(perf, f"{out}/artifacts/club_performance", "csv")
         paths["club_top10"] = write_table(top10, f"{out}/artifacts/club_top10_win_rate", "csv")

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sinks import write_table
+
 # The literals pandas.read_csv reads as missing by default.
 PANDAS_NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -133,6 +135,19 @@ def _typed(col: str, dtype: str):
     return c.try_cast(t)
 
 
+def load_table(spark: SparkSession, path: str, out: str, view: str, *, valid=None,
+               types: Mapping[str, str] | None = None, infer: bool = True, multi_line: bool = False) -> DataFrame:
+    """Load a CSV table (A4, A5): malformed rows dropped, columns typed, the Parquet table
+    at ``out`` replaced, and the rows for which ``valid`` (a condition) is true published as
+    the temporary view ``view`` (all rows without a condition). Returns the loaded table."""
+    require_paths(spark, [path])
+    df = read_csv_typed(spark, path, types, drop_malformed=True, infer=infer, multi_line=multi_line)
+    write_table(df, out)
+    table = spark.read.schema(df.schema).parquet(out)
+    (table if valid is None else table.where(valid)).createOrReplaceTempView(view)
+    return table
+
+
 def sample_rows(df: DataFrame, n: int = 5_000) -> DataFrame:
     """Bounded sample scan, the first ``n`` rows in scan order (A2; no order guarantee)."""
     return df.limit(n)

@@ -19,23 +19,29 @@ from ..operators.scoring import score_requests
 
 
 def scored_stream(requests: DataFrame, model, q_low: float, q_high: float, coverage_label: str,
-                  key: str = "request_id", age_limits=(16.0, 50.0), link: str = "exp") -> tuple[DataFrame, DataFrame]:
-    """(scored, rejected) streaming DataFrames from a streaming request source."""
+                  key: str = "request_id", age_limits=(16.0, 50.0), link: str = "exp",
+                  missing: str = "pipeline", interval_coverage: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(scored, rejected) streaming DataFrames from a streaming request source; fails
+    before the stream starts when model or interval can't be used (H16)."""
     out, rejected = score_requests(requests, model, q_low, q_high, scout=True, coverage=coverage_label,
-                                   key=key, age_limits=age_limits, link=link)
-    cols = [key, "pred_log", "predicted_value_eur", "ci_lower", "ci_upper", "valuation_band", "uncertainty_level",
+                                   key=key, age_limits=age_limits, link=link, missing=missing,
+                                   interval_coverage=interval_coverage)
+    cols = [key, "pred_log", "predicted_value_eur", "ci_lower", "ci_upper", "interval_coverage", "valuation_band",
+            "uncertainty_level",
             "confidence_note", "summary", "key_positives", "key_risks", "score_error"]
     return out.select(*cols), rejected
 
 
 def start_scoring(spark: SparkSession, source_dir: str, schema: StructType, model, q_low: float, q_high: float,
                   sink_dir: str, checkpoint_dir: str, *, coverage_label: str = "80%", key: str = "request_id",
-                  age_limits=(16.0, 50.0), available_now: bool = True,
+                  age_limits=(16.0, 50.0), missing: str = "pipeline", interval_coverage: float = 0.8,
+                  available_now: bool = True,
                   max_files_per_trigger: int = 1000) -> list[StreamingQuery]:
     """Start the scored and rejected sinks; ``available_now`` drains what is there and stops."""
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
            .option("multiLine", False).json(source_dir))
-    scored, rejected = scored_stream(src, model, q_low, q_high, coverage_label, key, age_limits)
+    scored, rejected = scored_stream(src, model, q_low, q_high, coverage_label, key, age_limits,
+                                     missing=missing, interval_coverage=interval_coverage)
     queries = []
     for name, df in (("scored", scored), ("rejected", rejected)):
         w = (df.writeStream.format("parquet").outputMode("append")
