@@ -1,6 +1,7 @@
 """Imputation, scaling, ridge equivalence with the closed form, explanations, save/load."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators.model import column_roles, fit_preprocessing, fit_ridge, top_coefficients
@@ -86,3 +87,24 @@ def test_shared_statistics_give_the_same_subset_model(spark):
     assert shared.feature_names == fresh.feature_names
     assert np.allclose(shared.coefficients, fresh.coefficients, atol=1e-12)
     assert np.isclose(shared.intercept, fresh.intercept, atol=1e-12)
+
+
+def test_too_many_categories_is_an_error(spark):
+    from tidewater.operators.model import fit_preprocessing
+    df = spark.createDataFrame([(str(i), "a") for i in range(30)], "wide string, narrow string")
+    assert fit_preprocessing(df, [], ["narrow", "wide"]).modes["narrow"] == "a"
+    with pytest.raises(ValueError, match="wide"):
+        fit_preprocessing(df, [], ["narrow", "wide"], max_categories=20)
+
+
+def test_released_scratch_is_gone_and_tables_are_built_again(spark, tmp_path):
+    import os
+    from tidewater.session import release_scratch, written_table
+    folder = tmp_path / "in"
+    spark.range(5).write.parquet(str(folder / "t.parquet"))
+    def table():
+        return written_table(spark, "released", lambda: spark.read.parquet(str(folder / "t.parquet")), str(folder))
+    old = table().inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(old) and table().inputFiles()[0].endswith(old)
+    assert release_scratch(spark) > 0 and not os.path.exists(old)
+    assert table().count() == 5 and release_scratch(spark) == 1

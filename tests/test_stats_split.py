@@ -161,3 +161,13 @@ def test_error_by_group_keeps_null_group(spark):
     got = {r["g"]: (r["n"], r["mae_eur"], r["median_abs_err"], r["mean_signed_err"])
            for r in error_by_group(df, "g").collect()}
     assert got == {"a": (2, 2.0, 2.0, 1.0), None: (3, 70 / 3, 20.0, 10.0)}
+
+
+def test_row_ids_are_dense_in_order(spark):
+    from tidewater.operators.split import with_row_id
+    rows = [(i * 37 % 101, None if i % 10 == 0 else i % 7) for i in range(101)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(5)
+    got = sorted((r["row_id"], r["v"], r["k"]) for r in with_row_id(df, ["v", "k"]).collect())
+    assert [g[0] for g in got] == list(range(101))
+    assert [g[1:] for g in got] == sorted(((v, k) for k, v in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    assert with_row_id(df.limit(0), ["v", "k"]).count() == 0

@@ -81,10 +81,16 @@ class Preprocessing:
                               for c in self.numeric})
 
 
+#: Categories a column may have: their list and one coefficient each come to the driver.
+MAX_CATEGORIES = 10_000
+
+
 def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                      accuracy: int | None = None) -> Preprocessing:
+                      accuracy: int | None = None, max_categories: int = MAX_CATEGORIES) -> Preprocessing:
     """Two aggregate passes: medians + modes, then mean / population std of the
-    imputed numerics (as the reference's scaler sees imputed values)."""
+    imputed numerics (as the reference's scaler sees imputed values). A column with more
+    than ``max_categories`` categories is an error, raised before any list is collected:
+    collapse its rare ones first (E8)."""
     p = Preprocessing(list(numeric), list(categorical))
     if numeric:
         x = {c: F.col(c).cast("double") for c in numeric}
@@ -95,7 +101,7 @@ def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Seq
         meds = {r["k"]: r["m"] for r in grouped_median(long, ["k"], "v", "m", accuracy).collect()}
         p.medians = {c: (float(meds[c]) if meds.get(c) is not None else 0.0) for c in numeric}
     if categorical:
-        p.modes = most_frequent(train, categorical)
+        p.modes = most_frequent(train, categorical, max_categories)
     if numeric:
         imp = p.imputed(train.select(*numeric))
         row = imp.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(numeric)],
@@ -106,17 +112,22 @@ def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Seq
     return p
 
 
-def most_frequent(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
+def most_frequent(df: DataFrame, cols: Sequence[str], max_values: int | None = None) -> dict[str, str | None]:
     """Most frequent non-NULL value per column, ties → smallest (sklearn ``most_frequent``).
 
     Counts per (column, value) with map-side combine, then a bounded top-1
-    per column — no per-column value map in one task."""
+    per column — no per-column value map in one task. More than ``max_values`` distinct
+    values in a column are an error."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v"))
                                          for c in cols])).alias("s")).select("s.k", "s.v").where(
         F.col("v").isNotNull())
     counts = long.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
     # min_by keeps one candidate per column (bounded state, partial aggregation)
-    best = counts.groupBy("k").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v")).collect()
+    best = counts.groupBy("k").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v"),
+                                    F.count(F.lit(1)).alias("values")).collect()
+    wide = {r["k"]: r["values"] for r in best if max_values is not None and r["values"] > max_values}
+    if wide:
+        raise ValueError(f"more than {max_values} categories in {wide}; collapse rare ones or leave the columns out")
     found = {r["k"]: r["v"] for r in best}
     return {c: found.get(c) for c in cols}
 

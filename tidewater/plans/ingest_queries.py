@@ -1,8 +1,8 @@
 """Queries of the ingest path: given tables written as CSV to the shared folder and read back.
 
 They cover the typed and inferring scan (A1), malformed rows, the load with its view of
-valid rows (A4, A5), folder discovery and the profiling job (A3, L5), the CSV sink (A7)
-and the row cleaners (B1, B2, B5, B7, B18, B20).
+valid rows (A4, A5), folder discovery and the profiling job (A3, L5), the CSV sink (A7),
+the row cleaners (B1, B2, B5, B7, B18, B20) and surrogate row ids (E2).
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import default_numeric, drop_columns, keep_between, keep_positive, select_existing
+from ..operators.split import with_row_id
 from ..functions.scalar import safe_date
 from ..session import scratch_path
 from ..sources.readers import load_table, read_csv_typed, read_table
@@ -92,3 +93,12 @@ def safe_dates(spark, sf):
     text = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("2001-13-45")).otherwise(
         F.date_format("o_orderdate", "yyyy-MM-dd"))
     return o.withColumn("text", text).select("o_orderkey", safe_date("text").alias("day"))
+
+
+@register("row_ids", """
+SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey) - 1 AS BIGINT) AS row_id FROM orders
+""")
+def row_ids(spark, sf):
+    """Orders numbered by date and key."""
+    return with_row_id(read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"]),
+                       ["o_orderdate", "o_orderkey"]).select("o_orderkey", "row_id")

@@ -91,9 +91,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder under the shared checkpoint root for written tables."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/tidewater/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/tidewater/{name}-{uuid.uuid4().hex[:12]}"
+    _HANDED_OUT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
+_HANDED_OUT: dict[str, list[str]] = {}
+_RELEASED = 0
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the folders that this application's operators wrote under the shared
+    checkpoint root, and forget the tables kept in them; returns how many there were.
+    Call it at the end of a job: frames that read those folders are of no use after it."""
+    global _RELEASED
+    app = spark.sparkContext.applicationId
+    paths = _HANDED_OUT.pop(app, [])
+    conf = spark._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    for k in [k for k in _WRITTEN if k[0] == app]:
+        del _WRITTEN[k]
+    _RELEASED += 1
+    return len(paths)
+
 
 
 def materialize(df):
@@ -116,14 +138,14 @@ _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 def input_stamp(spark: SparkSession, folder: str) -> str:
     """Names, sizes and modification times of a folder's tables and their files, as one
-    hash: equal as long as the input is the same."""
+    hash: equal as long as the input is the same and no scratch folder was released."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    seen = []
+    seen = [_RELEASED]
     for top in fs.listStatus(path):
         for status in fs.listStatus(top.getPath()) if top.isDirectory() else [top]:
             seen.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
-    return hashlib.sha256(repr(sorted(seen)).encode()).hexdigest()[:16]
+    return hashlib.sha256(repr(sorted(seen, key=repr)).encode()).hexdigest()[:16]
 
 
 def written_table(spark: SparkSession, key: str, build, folder: str | None = None) -> "DataFrame":  # noqa: F821
