@@ -110,7 +110,10 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", t
     lines = F.split(F.col("s.text"), "\n", -1)
     gone = F.flatten(F.transform("dropped", lambda r: F.sequence(r["start"], r["start"] + r["length"] - 1)))
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    kept = F.when(F.col("dropped").isNull(), F.col("s.text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    # bound as an array's one element: a function of each kept position would split the text each time
+    once = F.array(F.struct(lines.alias("lines"), stay.alias("stay")))
+    joined_lines = F.transform(once, lambda e: F.array_join(F.transform(e["stay"], lambda i: F.get(e["lines"], i)), "\n"))
+    kept = F.when(F.col("dropped").isNull(), F.col("s.text")).otherwise(F.get(joined_lines, F.lit(0)))
     n_lines = F.char_length("s.text") - F.char_length(F.replace(F.col("s.text"), F.lit("\n"), F.lit(""))) + 1
     return joined.select(
         F.col("s.doc_id").alias("doc_id"), n_lines.cast("long").alias("n_lines"),
