@@ -372,6 +372,27 @@ def test_contamination_cases(spark):
     assert all(not r.found.item_ids for r in decontaminate.find_contamination(docs(spark, rows), benchmark.limit(0), into="found").collect())
 
 
+def test_near_copies_are_found_whatever_the_last_sentence_lost(spark):
+    """Whole-item containment of 0.8 is enough, also where the short last sentence is
+    changed or left out; a shared last sentence alone is not."""
+    items = [(i, "%s. %s. %s." % (prose(500 + i, 30, 5000), prose(700 + i, 12, 5000), prose(900 + i, n, 5000))) for i, n in enumerate((1, 3, 5, 8))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows, want = [], {}
+    for i, text in items:
+        sentences = text.split(". ")
+        last = sentences[2].rstrip(".").split()
+        last[len(last) // 2] = "other"
+        changed, without, alone = ". ".join([*sentences[:2], " ".join(last)]), ". ".join(sentences[:2]), sentences[2] + " " + prose(i, 40, 5000)
+        for k, passage in enumerate((changed, without, alone)):
+            whole = decontaminate.shingle_hashes(decontaminate._words(text), 5)
+            held = np.isin(np.unique(whole), decontaminate.shingle_hashes(decontaminate._words(passage), 5)).mean()
+            rows.append((10 * i + k, prose(50 + i, 100) + " " + passage + " " + prose(60 + i, 100)))
+            want[10 * i + k] = [i] if held >= 0.8 else []
+    assert sum(map(bool, want.values())) >= 7
+    got = {r.doc_id: r.found.item_ids for r in decontaminate.find_contamination(docs(spark, rows), benchmark, into="found").collect()}
+    assert got == want
+
+
 def test_contamination_query_equals_brute_force(spark):
     """Every document against every item by shingles, over windows of the same words."""
     sf = SF001.replace("0.001", "0.01")

@@ -10,7 +10,8 @@ threshold is retrieved. Impacts are divided by the item's score for itself: one
 threshold holds for all items.
 
 Retrieved pairs are verified on word shingles: the passage must hold the
-required share of the shingles of the item's question and of its answer.
+required share of the shingles of the whole item, or of its question and of its
+answer.
 
 Items are read in shards of bounded size; each shard's index goes to all tasks
 and the documents are never shuffled.
@@ -55,6 +56,30 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (text[:cut[-1]], text[cut[-1]:]) if cut else (text, text)
 
 
+def ways(text: str, shingle: int) -> list[list[tuple[int, np.ndarray]]]:
+    """The ways to match an item, each as parts that must all be there (shingle
+    length, distinct shingles): the whole item; its question and its answer; and,
+    where the answer is one shingle at most, the same split with the answer joined to
+    the sentence before it."""
+    question, answer = question_and_answer(text)
+    splits = [(text,), (question, answer)]
+    while question != text and len(_words(answer)) <= shingle:
+        before, last = question_and_answer(question.rstrip())
+        question, answer = (text, text) if before == last else (before, last + " " + answer)
+        splits.append((question, answer))
+    out = []
+    for split in splits:
+        tokens = [words for words in map(_words, split) if len(words)]
+        if tokens:
+            out.append([(min(shingle, len(words)), np.unique(shingle_hashes(words, min(shingle, len(words))))) for words in tokens])
+    return out
+
+
+def matches(ways: list, words: np.ndarray, share: float) -> bool:
+    """Whether the passage ``words`` holds ``share`` of each part of one of ``ways``."""
+    return any(all(np.isin(shingles, shingle_hashes(words, n)).mean() >= share for n, shingles in parts) for parts in ways)
+
+
 @dataclass
 class Index:
     items: np.ndarray
@@ -65,7 +90,7 @@ class Index:
     block_offsets: np.ndarray  # of each term's blocks
     block: np.ndarray
     block_max: np.ndarray
-    parts: list[list[tuple[int, np.ndarray]]]  # per item: (shingle length, distinct shingles) of question and answer
+    ways: list[list[list[tuple[int, np.ndarray]]]]  # of each item
     longest: int
 
     @property
@@ -95,19 +120,10 @@ def build_index(items: list[tuple[int, str]], shingle: int) -> Index:
     new = np.ones(len(item), bool)
     new[1:] = (which[1:] != which[:-1]) | (block[1:] != block[:-1])
     starts = np.flatnonzero(new)
-    parts = []
-    for _, text in items:
-        own = []
-        for part in question_and_answer(text):
-            tokens = _words(part)
-            n = min(shingle, len(tokens))
-            if n:
-                own.append((n, np.unique(shingle_hashes(tokens, n))))
-        parts.append(own)
     return Index(
         np.array([i for i, _ in items], np.int64), terms, np.searchsorted(which, np.arange(len(terms) + 1)), item, weight,
         np.searchsorted(which[starts], np.arange(len(terms) + 1)), block[starts],
-        np.maximum.reduceat(weight, starts) if len(starts) else np.zeros(0), parts, int(lengths.max()) if len(items) else 0)
+        np.maximum.reduceat(weight, starts) if len(starts) else np.zeros(0), [ways(text, shingle) for _, text in items], int(lengths.max()) if len(items) else 0)
 
 
 def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,8 +180,7 @@ def search(index: Index, texts, threshold: float, share: float):
         pairs = np.unique(owner * np.int64(len(index.terms)) + term[hits[at]])
         passage, item, score = retrieve(index, pairs // len(index.terms), pairs % len(index.terms), len(text), threshold)
         for p, k, s in zip(passage.tolist(), item.tolist(), score.tolist()):
-            own = words[low[p]:high[p]]
-            if index.parts[k] and all(np.isin(shingles, shingle_hashes(own, n)).mean() >= share for n, shingles in index.parts[k]):
+            if matches(index.ways[k], words[low[p]:high[p]], share):
                 found[i + text[p]].append((int(index.items[k]), s))
     return found
 
@@ -179,9 +194,9 @@ def find_contamination(
 
     Passages are windows of twice the longest item's words that overlap by half, so
     an item copied whole lies whole in one. ``threshold`` is the least BM25 score as
-    a share of the item's own; ``share`` of the ``shingle``-word shingles of question
-    and of answer must be there (parts with fewer words are one shingle). Items are
-    indexed in shards of about ``index_bytes`` of text, with the statistics of their
+    a share of the item's own; ``share`` of the ``shingle``-word shingles of the whole
+    item, or of question and of answer (see :func:`ways`), must be there (parts with
+    fewer words are one shingle). Items are indexed in shards of about ``index_bytes`` of text, with the statistics of their
     shard. Null texts match nothing; null items and items without words are left
     out; a null ``item_id`` is reported as -1. Repeated rows are judged each. An empty
     table on either side gives no matches.
