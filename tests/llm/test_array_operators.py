@@ -288,6 +288,36 @@ def test_toxicity_finds_passages_and_leaves_clean_texts(spark):
     assert toxicity.score_texts(frame.limit(0), model).count() == 0
 
 
+def test_every_copy_of_a_toxic_passage_is_found(spark):
+    """Copies far apart, each by its own words; earlier uses take nothing away and
+    copies add little to the score."""
+    rows, labels = [], []
+    for i in range(600):
+        text = prose(i, 60 + i % 50).split()
+        if i % 4 == 0:
+            text[20:23] = ["vile%d" % (i % 7), "filth.", "scum%d" % (i % 3)]
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 4 == 0)))
+    parts, want = [], []
+    for k in range(8):
+        parts += prose(2000 + k, 40).split()
+        want.append((len(parts), len(parts) + 3))
+        parts += ["vile3", "filth", "scum1"]
+    parts += prose(3000, 40).split()
+    scattered = prose(4000, 400).split()
+    scattered[10:310:30] = ["filth"] * 10
+    rows += [(1000, " ".join(parts)), (1001, " ".join([*scattered, "vile3 filth scum1", prose(4001, 30)])), (1002, " ".join(parts[:80]))]
+    frame = docs(spark, rows)
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r.found for r in toxicity.score_texts(frame.where("doc_id >= 1000"), model, into="found").collect()}
+    pairs = lambda p: list(zip(p[::2], p[1::2]))
+    assert pairs(got[1000].passages) == want
+    assert (400, 403) in pairs(got[1001].passages) and got[1001].score > 0.5
+    ids, scores = np.array([1, 2, 9, 1, 2, 9, 1, 1]), np.array([2.0, 3, -9, 2, 3, -9, 2, 2])
+    found = toxicity.maximal_segments(scores)
+    assert found == [(0, 2, 5.0), (3, 5, 5.0), (6, 8, 4.0)] and toxicity.discounted(scores, ids, found) == [5.0, 2.5, 3.0]
+
+
 def test_toxicity_without_labels(spark):
     model = toxicity.fit(docs(spark, [(1, "a b")]), spark.createDataFrame([], "doc_id long, toxic int"))
     assert 0 <= toxicity.score_texts(docs(spark, [(1, "a b")]), model, into="found").first().found.score <= 1

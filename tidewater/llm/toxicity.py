@@ -11,13 +11,15 @@ segments of score ``S`` or more number about ``K m exp(-lambda S)``. ``lambda``
 solves ``E[exp(lambda s)] = 1`` over words of harmless labelled texts and ``K``
 is fitted to their best segments. Several segments of a text are taken together
 by the law for their sum; a logistic curve over the logarithm of ``-log`` of the
-smallest p-value gives a score from 0 to 1. The law and the curve are fitted on labelled
+smallest p-value gives a score from 0 to 1. Segments are searched and reported on
+the words' own scores; what a text repeats is discounted in its score alone. The law and the curve are fitted on labelled
 texts whose words were not counted.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 from typing import Iterator
 
@@ -109,27 +111,36 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, h - l) for a, b, l, h in zip(start, end, left, right)]
 
 
-def fading(scores: np.ndarray, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Positive scores of a word's n-th use in a text, divided by n: a word that a
-    text repeats a thousand times is no evidence of a thousand."""
+def fading(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Positive scores of a word's n-th use, divided by n."""
     up = np.flatnonzero(scores > 0)
-    text = np.searchsorted(first, up, side="right")
-    keys = text * np.int64(BUCKETS) + ids[up]
-    order = np.argsort(keys, kind="stable")
-    new = np.concatenate([[True], np.diff(keys[order]) != 0])[:len(order)]
+    order = np.argsort(ids[up], kind="stable")
+    new = np.concatenate([[True], np.diff(ids[up][order]) != 0])[:len(order)]
     since = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
     out = scores.copy()
     out[up[order]] /= since + 1
     return out
 
 
+def discounted(scores: np.ndarray, ids: np.ndarray, found: list[tuple[int, int, float]]) -> list[float]:
+    """The segments' sums as evidence on the whole text: words repeated inside a
+    segment fade, and the n-th of equal segments counts one n-th. What a text repeats
+    a thousand times is no evidence of a thousand; its passages stay what they are."""
+    seen, out = Counter(), []
+    for a, b, _ in found:
+        words = ids[a:b].tobytes()
+        seen[words] += 1
+        out.append(float(fading(scores[a:b], ids[a:b]).sum()) / seen[words])
+    return out
+
+
 def _segments(model: ToxicityModel, texts):
-    """For each text: its words' scores and maximal segments."""
+    """For each text: its words' scores and buckets, and its maximal segments."""
     data, offsets = text_bytes(texts)
     for _, _, ids, first in word_buckets(data, offsets, Rolling(13)):
-        scores = fading(model.word_scores(ids), ids[0], first)
+        scores = model.word_scores(ids)
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-            yield scores[a:b], maximal_segments(scores[a:b])
+            yield scores[a:b], ids[0][a:b], maximal_segments(scores[a:b])
 
 
 def _rate(scores: np.ndarray, weight: np.ndarray) -> float:
@@ -187,19 +198,19 @@ def fit(
                 continue
             toxic = batch.column(1).to_numpy(zero_copy_only=False)
             spread, out = np.zeros(len(grid), np.int64), []
-            for own, (scores, found) in zip(toxic, _segments(model, batch.column(0))):
+            for own, (scores, words, found) in zip(toxic, _segments(model, batch.column(0))):
                 if not own:
                     spread += np.bincount(np.clip(np.rint((scores + 8) * 100), 0, 1600).astype(np.int64), minlength=len(grid))
-                out.append((int(own), len(scores), sorted((s for _, _, s in found), reverse=True)[:64]))
+                out.append((int(own), len(scores), max((s for _, _, s in found), default=0.0), sorted(discounted(scores, words, found), reverse=True)[:64]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.list_(pa.float64())),
-                 pa.array([spread.tolist()] + [None] * (len(out) - 1), pa.list_(pa.int64()))], ["toxic", "words", "sums", "spread"])
+                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.list_(pa.float64())),
+                 pa.array([spread.tolist()] + [None] * (len(out) - 1), pa.list_(pa.int64()))], ["toxic", "words", "best", "sums", "spread"])
 
-    measured = texts.where(part == 0).select("text", "label").mapInArrow(measure, "toxic long, words long, sums array<double>, spread array<long>").toPandas()
+    measured = texts.where(part == 0).select("text", "label").mapInArrow(measure, "toxic long, words long, best double, sums array<double>, spread array<long>").toPandas()
     spread = np.sum([np.asarray(x) for x in measured["spread"] if x is not None], axis=0) if len(measured) else np.zeros(len(grid))
     model.rate = _rate(grid, np.asarray(spread, np.float64) * np.ones(len(grid)))
     clean = measured[(measured["toxic"] == 0) & (measured["words"] > 0)]
-    tail = sum(w * math.exp(-model.rate * (s[0] if len(s) else 0.0)) for w, s in zip(clean["words"], clean["sums"]))
+    tail = sum(w * math.exp(-model.rate * s) for w, s in zip(clean["words"], clean["best"]))
     model.k = len(clean) / tail if tail else 1.0
     evidence = np.array([model.evidence(list(s), max(int(w), 1)) for w, s in zip(measured["words"], measured["sums"])])
     if len(measured):
@@ -217,10 +228,12 @@ def scorer(model: ToxicityModel, significance: float = 0.01):
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in columns:
             out = []
-            for scores, found in _segments(model, texts):
+            for scores, ids, found in _segments(model, texts):
                 words = max(len(scores), 1)
-                least = (math.log(max(model.k * words, 1e-9)) - math.log(significance)) / model.rate
-                out.append((model.score(model.evidence([s for _, _, s in found], words)), len(scores), [x for a, b, s in found if s >= least for x in (a, b)]))
+                chance = math.log(max(model.k * words, 1e-9))
+                least = (chance - math.log(significance)) / model.rate
+                sums = discounted(scores, ids, [f for f in found if model.rate * f[2] > chance])  # others are no evidence
+                out.append((model.score(model.evidence(sums, words)), len(scores), [x for a, b, s in found if s >= least for x in (a, b)]))
             yield pa.array([dict(zip(("score", "n_words", "passages"), o)) for o in out], kind)
 
     return run
