@@ -142,6 +142,22 @@ def test_repeated_spans_on_the_test_table(spark):
     assert order((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == order((i, *w) for (i, _), w in zip(rows, want))
 
 
+def test_windows_of_a_hot_core_are_dealt_out(spark, monkeypatch):
+    """A passage in every document, between the document's own text: its edges make a
+    different phrase of one core in each, whose windows meet in no one group."""
+    pick = random.Random(3)
+    own = lambda n: "".join(pick.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage = own(300)
+    rows = [(i, own(260) + passage + own(260)) for i in range(200)]
+    tables, written = {}, suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", lambda df, name: tables.setdefault(name, written(df, name)))
+    got = suffix_dedup.repeated_spans(docs(spark, rows), length=200, block_bytes=20_000, part_bytes=8_000).collect()
+    want = brute_spans([t.encode() for _, t in rows], 200)
+    assert order((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == order((i, *w) for (i, _), w in zip(rows, want))
+    sizes = [r.n for r in tables["windows"].groupBy("part").agg(F.sum(F.octet_length("windows")).alias("n")).collect()]
+    assert max(sizes) < 0.1 * sum(sizes)
+
+
 def test_suffix_ranks_are_the_order_of_the_bytes():
     data = np.frombuffer(("abracadabra" * 30 + prose(1, 200)).encode(), np.uint8)
     rank = suffix_dedup.suffix_ranks(data, 50)

@@ -78,7 +78,10 @@ class Rolling:
         self.sums = np.zeros(1, np.uint64)
 
     def load(self, data: np.ndarray) -> "Rolling":
-        n = len(data)
+        return self.load_symbols(self.sym[data])
+
+    def load_symbols(self, symbols: np.ndarray) -> "Rolling":
+        n = len(symbols)
         if len(self.powers) <= n:
             grown = np.full(n + n // 4 + 1, self.base, np.uint64)
             grown[0] = 1
@@ -87,7 +90,7 @@ class Rolling:
             grown[0] = 1
             self.back = np.cumprod(grown, dtype=np.uint64)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.sym[data] * self.powers[:n], dtype=np.uint64, out=self.sums[1:])
+        np.cumsum(symbols * self.powers[:n], dtype=np.uint64, out=self.sums[1:])
         return self
 
     def of(self, start, end) -> np.ndarray:

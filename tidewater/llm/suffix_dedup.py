@@ -12,12 +12,12 @@ windows of a phrase that occurs twice are repeats. A phrase that occurs once can
 share windows only with phrases that go on alike after the trigger (same
 *core*); where there are none, all its windows are unique.
 
-Suffix order. What remains, the distinct phrases of contested cores, is sent as
-bytes to the core's partition. Their suffixes are ranked by prefix doubling up
-to the window length, which is the suffix array of the dictionary to that depth;
-equal ranks are equal windows, found on the bytes themselves. Since phrases
-overlap by a whole window, order beyond it (the suffix array of the parse) can't
-change what repeats, and isn't computed.
+Windows. What remains, the windows of the distinct phrases of contested cores, is
+counted by 128-bit hashes of their bytes. Equal windows are merged in each block,
+and hashes are dealt out by themselves, not by core: however many phrases share a
+core, only the copies of a window meet, one from each block. Since phrases overlap
+by a whole window, order beyond it (the suffix array of the parse) can't change
+what repeats, and isn't computed.
 
 Blocks exchange packed arrays in the order of their own sorted phrases, and are
 answered in that order: no positions travel. Each distinct phrase leaves a block
@@ -58,6 +58,46 @@ def window_starts(offsets: np.ndarray, length: int) -> np.ndarray:
     return np.cumsum(change)[:-2] > 0
 
 
+def hash_parts(hashes: np.ndarray, bits: int):
+    """``(part, low, high)``: the ascending hashes that fall into each part."""
+    part = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if high > low:
+            yield int(part[low]), low, high
+
+
+def merged(high: np.ndarray, low: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs ``high, low`` in order, their sums of ``weight``, and which of
+    them each given pair is."""
+    order = np.lexsort((low, high))
+    high, low = high[order], low[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return high[new], low[new], np.bincount(which, weights=weight, minlength=int(new.sum())), which
+
+
+def window_hashes(data: np.ndarray, where: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the ``length`` bytes at each of ``where`` (ascending), over the
+    windows' 8-byte words, each spread over 64 bits before it is added."""
+    out = np.empty((2, len(where)), np.uint64)
+    rollings = Rolling(9), Rolling(10)
+    for low in range(0, len(data), CHUNK):
+        a, b = np.searchsorted(where, [low, low + CHUNK])
+        if a == b:
+            continue
+        part = data[low:low + CHUNK + length].astype(np.uint64)
+        word = np.zeros(len(part) - 7, np.uint64)
+        for i in range(8):
+            word = (word << np.uint64(8)) | part[i:len(word) + i]
+        at = where[a:b] - low
+        for hashes, rolling in zip(out, rollings):
+            hashes[a:b] = rolling.load_symbols(mix(word ^ rolling.sym[0])).of(at, at + length - 7)
+    return out[0], out[1]
+
+
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     """Smallest value in each run of ``width`` values, by the smallest of the two
     halves that blocks of ``width`` cut it into."""
@@ -121,11 +161,7 @@ class BlockPhrases:
 
     def parts(self, bits: int):
         """``(part, low, high)``: the distinct phrases whose core falls into a part."""
-        part = (self.core >> np.uint64(64 - bits)).astype(np.int64)
-        cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
-        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if high > low:
-                yield int(part[low]), low, high
+        return hash_parts(self.core, bits)
 
 
 def _ask(length: int, bits: int):
@@ -169,20 +205,27 @@ def _statuses(own: BlockPhrases, replies: pd.DataFrame, bits: int) -> np.ndarray
     return np.concatenate([np.zeros(0, np.uint8), *(unpack(by_part[part], np.uint8) for part, _, _ in own.parts(bits))])
 
 
-def _send_bytes(length: int, bits: int):
+def _asked_windows(own: BlockPhrases, status: np.ndarray, length: int):
+    """Starts of all windows of the phrases that this block is asked for, and their
+    distinct hashes with counts (2 for more) and which of them each window is."""
+    asked = np.flatnonzero(status & ASKED)
+    asked = asked[np.argsort(own.example[asked])]
+    first, last = own.all["first"][own.example[asked]], own.all["last"][own.example[asked]]
+    count = last - first + 1
+    where = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+    weight = np.repeat(1 + (status[asked] & REPEATED), count)
+    high, low, total, which = merged(*window_hashes(own.data, where, length), weight)
+    return where, high, low, np.minimum(total, 2).astype(np.uint8), which
+
+
+def _send_windows(length: int, bits: int, window_bits: int):
     def run(key: tuple, blocks: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
         for blob in blocks["blob"]:
             own = BlockPhrases(blob, length)
-            status = _statuses(own, replies, bits)
-            for part, low, high in own.parts(bits):
-                wanted = low + np.flatnonzero(status[low:high] & ASKED)
-                if len(wanted):
-                    at = own.example[wanted]
-                    first, end = own.all["first"][at], own.all["last"][at] + length
-                    data = b"".join(own.data[a:b].tobytes() for a, b in zip(first.tolist(), end.tolist()))
-                    out.append((key[0], part, pack((status[wanted] & REPEATED).astype(np.uint8)), pack((end - first).astype(np.int32)), pack(np.frombuffer(data, np.uint8))))
-        return pd.DataFrame(out, columns=["block", "part", "repeated", "sizes", "data"])
+            _, high, low, total, _ = _asked_windows(own, _statuses(own, replies, bits), length)
+            out += [(key[0], part, pack_sorted(high[a:b]), pack(low[a:b]), pack(total[a:b])) for part, a, b in hash_parts(high, window_bits)]
+        return pd.DataFrame(out, columns=["block", "part", "high", "low", "counts"])
 
     return run
 
@@ -205,28 +248,17 @@ def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
-def _rank_windows(length: int):
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        """For each block, a bit for each window of its single phrases: repeated or not."""
-        sizes = [unpack(x, np.int32).astype(np.int64) for x in rows["sizes"]]
-        repeated = np.concatenate([unpack(x, np.uint8) for x in rows["repeated"]]).astype(bool)
-        owner = np.repeat(np.arange(len(rows)), [len(s) for s in sizes])
-        sizes = np.concatenate(sizes)
-        data = np.concatenate([unpack(x, np.uint8) for x in rows["data"]])
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
-        rank = suffix_ranks(data, length)
-        at = np.flatnonzero(window_starts(offsets, length))
-        phrase = np.searchsorted(offsets, at, side="right") - 1
-        weight = np.bincount(rank[at], weights=1 + repeated[phrase], minlength=rank.max() + 1)
-        twice = weight[rank[at]] > 1
-        single = ~repeated[phrase]
-        out = [np.packbits(twice[single & (owner[phrase] == i)]).tobytes() for i in range(len(rows))]
-        return pd.DataFrame({"block": rows["block"], "part": key[0], "windows": out})
-
-    return run
+def _count_windows(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """For each block, a bit for each window hash it sent: repeated or not."""
+    high = [unpack_sorted(x) for x in rows["high"]]
+    ends = np.cumsum([len(x) for x in high])
+    low, counts = (np.concatenate([unpack(x, kind) for x in rows[name]]) for name, kind in (("low", np.uint64), ("counts", np.uint8)))
+    *_, total, which = merged(np.concatenate(high), low, counts)
+    twice = total[which] > 1
+    return pd.DataFrame({"block": rows["block"], "part": key[0], "windows": [np.packbits(twice[e - len(x):e]).tobytes() for e, x in zip(ends, high)]})
 
 
-def _cut(length: int, bits: int):
+def _cut(length: int, bits: int, window_bits: int):
     def run(key: tuple, blocks: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
         for blob in blocks["blob"]:
@@ -239,16 +271,11 @@ def _cut(length: int, bits: int):
             full = (status[own.which] & REPEATED).astype(bool)
             np.add.at(change, first[full], 1)
             np.add.at(change, last[full] + length, -1)
-            for part, low, high in own.parts(bits):
-                asked = low + np.flatnonzero((status[low:high] & (ASKED | REPEATED)) == ASKED)
-                if not len(asked):
-                    continue
-                at = own.example[asked]
-                count = last[at] - first[at] + 1
-                bit = np.unpackbits(np.frombuffer(windows[part], np.uint8), count=int(count.sum())).astype(bool)
-                where = np.repeat(first[at] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-                np.add.at(change, where[bit], 1)
-                np.add.at(change, where[bit] + length, -1)
+            where, high, _, _, which = _asked_windows(own, status, length)
+            bit = [np.unpackbits(np.frombuffer(windows[part], np.uint8), count=b - a) for part, a, b in hash_parts(high, window_bits)]
+            twice = where[np.concatenate([np.zeros(0, np.uint8), *bit]).astype(bool)[which]]
+            change[twice] += 1  # each start is there once
+            change[twice + length] -= 1
             gone = np.cumsum(change)[:len(own.data)] > 0
             out.append(_documents(own, gone))
         return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256"])
@@ -302,9 +329,10 @@ def repeated_spans(
     asked = blocks.mapInArrow(_ask(length, bits), MESSAGE)
     replies = written(asked.groupBy("part").applyInPandas(_answer, "block long, part long, reply binary"), "phrases")
     own = blocks.select("block", "blob")
+    window_bits = bits + 2  # a byte of input may be 16 bytes of hashes
     sent = own.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
-        _send_bytes(length, bits), "block long, part long, repeated binary, sizes binary, data binary")
-    windows = written(sent.groupBy("part").applyInPandas(_rank_windows(length), "block long, part long, windows binary"), "windows")
+        _send_windows(length, bits, window_bits), "block long, part long, high binary, low binary, counts binary")
+    windows = written(sent.groupBy("part").applyInPandas(_count_windows, "block long, part long, windows binary"), "windows")
     both = replies.withColumn("windows", F.lit(None).cast("binary")).unionByName(windows.withColumn("reply", F.lit(None).cast("binary")))
     return own.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(
-        _cut(length, bits), "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept_sha256 string")
+        _cut(length, bits, window_bits), "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept_sha256 string")
