@@ -6,10 +6,13 @@ derives the columns it returns from the operator's output.
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, line_dedup, mixing, sharding, simhash, suffix_dedup, suffix_tree_lm, toxicity, warc
+from . import decontaminate, exact_dedup, line_dedup, mixing, packing, sharding, simhash, suffix_dedup, suffix_tree_lm, toxicity, warc
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 4 << 20
@@ -85,11 +88,26 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack_documents(table(spark, sf_dir, "documents"), 4096, tokenizer_path("word_bpe_49k.json"), end_id=2)
+
+    @F.pandas_udf("long")
+    def crc32(ids: pd.Series) -> pd.Series:
+        return ids.map(lambda own: zlib.crc32(own.astype("<u4").tobytes()))
+
+    return found.select("doc_id", "start", "length", crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_suffix_tree_lm, op3_mixing, op4_toxicity, op5_exact_dedup, op6_simhash, op7_suffix_dedup,
-        op8_decontaminate, op9_warc, op10_sharding,
+        op8_decontaminate, op9_warc, op10_sharding, op12_packing,
     )
 }
 
