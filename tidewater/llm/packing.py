@@ -30,6 +30,9 @@ from .shared import small_batches, written
 #: Bytes of text that are encoded at a time.
 CHUNK = 4 << 20
 
+#: Rows of three longs that may be broadcast (about 130 bytes each in a hash relation).
+SENT_ROWS = 200_000
+
 
 def pack_lengths(counts: dict[int, int], size: int) -> list[tuple[int, dict[int, int]]]:
     """Patterns ``(sequences, {length: pieces of that length in each})`` that place
@@ -157,7 +160,8 @@ def pack_documents(docs: DataFrame, size: int, tokenizer: str, end_id: int, most
     per_part = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = written(per_part.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "piece-ranks")
-    histogram = {r["length"]: r["n"] for r in base.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    by_length = base.groupBy("length").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()
+    histogram = {r["length"]: r["n"] for r in by_length}
     slots = slot_table(pack_lengths(histogram, size), size, size // 32 if most_room is None else most_room)
     spare = 44      # bits of a rank
     keys = (slots["length"] << spare) + slots["rank"]
@@ -187,7 +191,9 @@ def pack_documents(docs: DataFrame, size: int, tokenizer: str, end_id: int, most
                 ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     kind = pieces.schema["doc_id"].dataType.simpleString()
-    ranked = pieces.join(base.select("part", "length", "base"), ["part", "length"]).select("doc_id", "start", "length", "doc_tokens", "ids", (F.col("base") + F.col("spot")).alias("rank"))
+    # one row per partition and length: sent to all tasks up to SENT_ROWS, else both sides are sorted
+    bases = base.select("part", "length", "base").hint("broadcast" if sum(r["rows"] for r in by_length) <= SENT_ROWS else "merge")
+    ranked = pieces.join(bases, ["part", "length"]).select("doc_id", "start", "length", "doc_tokens", "ids", (F.col("base") + F.col("spot")).alias("rank"))
     return ranked.mapInArrow(place, f"doc_id {kind}, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long")
 
 

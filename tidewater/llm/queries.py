@@ -6,13 +6,15 @@ derives the columns it returns from the operator's output.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, line_dedup, mixing, packing, sharding, simhash, suffix_dedup, suffix_tree_lm, toxicity, warc
+from . import conversation_trie, cross_tokens, decontaminate, exact_dedup, line_dedup, mixing, packing, sharding, simhash, suffix_dedup, suffix_tree_lm, toxicity, warc
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 4 << 20
@@ -93,6 +95,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op11_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digests(groups: pa.Array) -> pa.Array:
+        return pa.array([hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups.to_pylist()], pa.string())
+
+    found = cross_tokens.align_tokenizers(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), keep=digests)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pack_documents(table(spark, sf_dir, "documents"), 4096, tokenizer_path("word_bpe_49k.json"), end_id=2)
 
@@ -103,11 +114,15 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "length", crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"), block=100, most=6)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_suffix_tree_lm, op3_mixing, op4_toxicity, op5_exact_dedup, op6_simhash, op7_suffix_dedup,
-        op8_decontaminate, op9_warc, op10_sharding, op12_packing,
+        op8_decontaminate, op9_warc, op10_sharding, op11_cross_tokens, op12_packing, op13_conversation_trie,
     )
 }
 
