@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators.model import column_roles, fit_preprocessing, fit_ridge, top_coefficients
+from tidewater.operators.model import column_roles, fit_gram, fit_preprocessing, fit_ridge, top_coefficients
 
 
 def _data(spark, n=200, seed=0):
@@ -78,15 +78,50 @@ def test_imputation_medians_equal_numpy(spark):
     assert np.allclose([fitted.medians[c] for c in ("x1", "x2")], [exp["x1"], exp["x2"]], rtol=1e-12)
 
 
-def test_shared_statistics_give_the_same_subset_model(spark):
+def test_subset_of_the_gram_matrix_is_a_fit_of_its_own(spark):
+    df, x1, x2, cat, y = _data(spark)
+    gram = fit_gram(df, "y", ["x1", "x2"], ["cat"])
+    assert gram.n == len(y) and np.isclose(gram.label_std, y.std())
+    for columns, numeric, categorical in ((["x2", "cat"], ["x2"], ["cat"]), (["x1"], ["x1"], []), (["cat"], [], ["cat"])):
+        for alpha in (1.0, 7.0):
+            sub, fresh = gram.solve(columns, alpha), fit_ridge(df, "y", numeric, categorical, alpha)
+            assert sub.feature_names == fresh.feature_names
+            assert np.allclose(sub.coefficients, fresh.coefficients, atol=1e-9) and np.isclose(sub.intercept, fresh.intercept, atol=1e-9)
+    # without a penalty: least squares
+    ols = gram.solve(["x1", "x2"], 0.0)
+    z = np.column_stack([np.ones(len(y)), (x1 - x1.mean()) / x1.std(), (x2 - x2.mean()) / x2.std()])
+    assert np.allclose([ols.intercept, *ols.coefficients], np.linalg.lstsq(z, y, rcond=None)[0], atol=1e-9)
+
+
+def test_several_models_score_in_one_pass(spark):
     df, *_ = _data(spark)
-    full = fit_ridge(df, "y", ["x1", "x2"], ["cat"])
-    fresh = fit_ridge(df, "y", ["x2"], ["cat"])
-    shared = fit_ridge(df, "y", ["x2"], ["cat"], prep=full.prep, label_stats=(full.n_train, full.label_std),
-                       category_labels=full.category_labels)
-    assert shared.feature_names == fresh.feature_names
-    assert np.allclose(shared.coefficients, fresh.coefficients, atol=1e-12)
-    assert np.isclose(shared.intercept, fresh.intercept, atol=1e-12)
+    gram = fit_gram(df, "y", ["x1", "x2"], ["cat"])
+    full, part = gram.solve(), gram.solve(["x2", "cat"])
+    both = full.predict_all(df, {"a": full, "b": part})
+    assert [c for c in both.columns if c.startswith("__")] == []
+    alone = [r["pred_log"] for r in part.predict(df).collect()]
+    assert np.allclose([r["b"] for r in both.collect()], alone, rtol=1e-13)
+    # the expression is the scalar product of the assembled features
+    rows = full.assembled(df).select("__features", "__pred").collect()
+    assert np.allclose([r["__features"].dot(np.array(full.coefficients)) + full.intercept for r in rows], [r["__pred"] for r in rows], rtol=1e-12)
+
+
+def test_gram_edges(spark):
+    schema = "x double, empty string, cat string, y double"
+    df = spark.createDataFrame([(1.0, None, "a", 1.0), (None, None, None, 2.0), (float("nan"), None, "b", 4.0), (3.0, None, "b", None)], schema)
+    m = fit_ridge(df, "y", ["x"], ["empty", "cat"])
+    assert m.feature_names == ["x", "cat=a", "cat=b"] and m.n_train == 3      # a column without values adds no feature
+    assert all(np.isfinite(r["pred_log"]) for r in m.predict(df).collect())
+    assert len(m.contributions(df, 5).collect()) == 4
+    with pytest.raises(ValueError, match="no training rows"):
+        fit_ridge(df.where("y > 9"), "y", ["x"], ["cat"])
+    import tidewater.operators.model as mdl
+    limit, mdl.MAX_FEATURES = mdl.MAX_FEATURES, 2
+    try:
+        with pytest.raises(ValueError, match="at most 2"):
+            fit_gram(df, "y", ["x"], ["cat"])
+    finally:
+        mdl.MAX_FEATURES = limit
 
 
 def test_too_many_categories_is_an_error(spark):

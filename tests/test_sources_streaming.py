@@ -12,7 +12,7 @@ from tidewater.sources.readers import (MissingColumnsError, discover_tables, loa
                                        read_csv_typed, read_requests, request_schema, require_columns,
                                        require_paths, version_tag)
 from tidewater.sources.sinks import write_summary, write_table
-from tidewater.streaming.scoring_stream import drain, start_scoring
+from tidewater.streaming.scoring_stream import drain, sink_table, start_scoring
 
 
 def test_csv_typed_null_tokens_and_bad_values(spark, tmp_path):
@@ -113,13 +113,55 @@ def test_stream_scoring_two_sinks(spark, tmp_path):
     qs = start_scoring(spark, str(src), request_schema(), model, -1.4, 1.5, str(tmp_path / "out"),
                        str(tmp_path / "ckpt"))
     drain(qs)
-    scored = spark.read.parquet(str(tmp_path / "out" / "scored"))
-    rejected = spark.read.parquet(str(tmp_path / "out" / "rejected"))
+    scored, rejected = (sink_table(spark, str(tmp_path / "out"), name) for name in ("scored", "rejected"))
     assert scored.count() == 118 and scored.where(F.col("score_error").isNotNull()).count() == 0
     assert sorted(r["request_id"] for r in rejected.collect()) == ["0", "1"]
     assert {r["message"] for r in rejected.collect()} == {"Age must be between 16 and 50"}
 
 
+def test_stream_malformed_and_repeated_lines_and_restart(spark, tmp_path, monkeypatch):
+    df, model = _model(spark)
+    reqs = df.drop("target_log")
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    lines = [r.v for r in reqs.select(F.to_json(F.struct(*reqs.columns)).alias("v")).collect()]
+    odd = lines[5].replace('"request_id":"5"', '"request_id":"500"').replace('"age":', '"age":"old","was":')
+    nameless = lines[6].replace('"request_id":"6",', "")
+    (src / "a.json").write_text("\n".join([*lines[:60], lines[0], "{not json", "{not json", odd, nameless]))
+
+    def run():
+        drain(start_scoring(spark, str(src), request_schema(), model, -1.4, 1.5, out, str(tmp_path / "ckpt")))
+
+    def tables():
+        scored, rejected = (sink_table(spark, out, name) for name in ("scored", "rejected"))
+        return (sorted(r["request_id"] or "-" for r in scored.collect()),
+                sorted((r["request_id"] or "-", r["field"], r["message"]) for r in rejected.collect()))
+
+    # the second write of a batch fails: the stream stops, and starts again at this batch
+    import tidewater.streaming.scoring_stream as stream
+    whole = stream.split_batch
+
+    def broken(*args):
+        scored, rejected = whole(*args)
+        return scored, rejected.withColumn("message", F.raise_error(F.lit("lost")).cast("string"))
+
+    monkeypatch.setattr(stream, "split_batch", broken)
+    with pytest.raises(Exception, match="lost|scoring|STREAM"):
+        run()
+    monkeypatch.setattr(stream, "split_batch", whole)
+    run()
+    first = tables()
+    assert first[0] == sorted([*[str(i) for i in range(60)], "-"])
+    assert first[1] == [("-", "body", "Request must be one JSON object"), ("500", "age", "Age must be a finite number")]
+    # repeats in a later file, and a restart without new files
+    (src / "b.json").write_text("\n".join([lines[3], lines[70], lines[70], "[1, 2"]))
+    run()
+    run()
+    scored, rejected = tables()
+    assert scored == sorted([*first[0], "70"])
+    assert [r[1] for r in rejected].count("body") == 2 and len(rejected) == 3
+
+
 def test_load_table_replaces_and_publishes_valid_rows(spark, tmp_path):
     p, out = tmp_path / "t.csv", str(tmp_path / "loaded")
     p.write_text("id,target\n1,2.5\n2,\n3,4,5\n4,1.5\n")

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import fixed_bins
-from .quantiles import grouped_median
-from .stats import quantile_values
+from .stats import quantile_values, selected_quantiles, values_of
 
 # Fixed value: the reference's age bin edges (left-closed).
 AGE_BIN_EDGES = [0, 18, 21, 24, 27, 30, 35, 100]
@@ -27,14 +26,22 @@ def global_median(df: DataFrame, target: str, accuracy: int | None = None) -> fl
     return float(quantile_values(df, target, [0.5], accuracy)[0])
 
 
+def median_tables(train: DataFrame, target: str, keys: Sequence[str], accuracy: int | None = None,
+                  out: str = "pred_log") -> tuple[DataFrame, float | None]:
+    """(median target per group, median of all rows) from one selection. Rows with a NULL
+    key belong to no group, as in pandas groupby (D6), but to all rows (D7)."""
+    found = selected_quantiles(train, {"all": ([], target, [0.5]), "group": (list(keys), target, [0.5])}, accuracy)
+    known = F.col("statistic") == "group"
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    every = values_of(found, "all")
+    return found.where(known).select(*keys, F.col("q").alias(out)), every[0] if every else None
+
+
 def group_medians(train: DataFrame, target: str, keys: Sequence[str], accuracy: int | None = None,
                   out: str = "pred_log") -> DataFrame:
     """Median target per group; NULL keys dropped as pandas groupby does."""
-    cond = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        cond = c if cond is None else cond & c
-    return grouped_median(train.where(cond), keys, target, out, accuracy)
+    return median_tables(train, target, keys, accuracy, out)[0]
 
 
 def add_age_bin(df: DataFrame, age: str = "age", edges: Sequence[float] = AGE_BIN_EDGES,
@@ -46,11 +53,12 @@ def add_age_bin(df: DataFrame, age: str = "age", edges: Sequence[float] = AGE_BI
 def predict_group_median(df: DataFrame, medians: DataFrame, keys: Sequence[str], fallback: float,
                          out: str = "pred_log") -> DataFrame:
     """Attach the group median, falling back to the global median."""
-    joined = df.join(medians.withColumnRenamed(out, "__gm"), on=list(keys), how="left")
+    value = next(c for c in medians.columns if c not in keys)
+    joined = df.join(medians.withColumnRenamed(value, "__gm"), on=list(keys), how="left")
     return joined.withColumn(out, F.coalesce(F.col("__gm"), F.lit(float(fallback)))).drop("__gm")
 
 
 def fit_predict_group_median(train: DataFrame, score: DataFrame, target: str, keys: Sequence[str],
                              accuracy: int | None = None, out: str = "pred_log") -> DataFrame:
-    fallback = global_median(train, target, accuracy)
-    return predict_group_median(score, group_medians(train, target, keys, accuracy, out), keys, fallback, out)
+    medians, fallback = median_tables(train, target, keys, accuracy, out)
+    return predict_group_median(score, medians, keys, fallback, out)

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clean_category, positive_flag, safe_divide
@@ -66,31 +66,59 @@ def collapse_rare_categories(
 ) -> DataFrame:
     """Keep each column's ``top_k`` values (after NULL→Unknown + strip), rest → Other.
 
-    All columns' counts come from one aggregation over ``unpivot``ed values,
-    then a per-column top-k on the small count table; only k values per
-    column reach the driver, and they are applied with ``isin`` (k is small
-    by definition). ``fit_on`` lets the counts come from the training side
-    only (the reference counts all rows, §8.7)."""
+    The kept values come from :func:`fit_top_categories`; only k values per column reach
+    the driver, and they are applied with ``isin`` (k is small by definition). ``fit_on``
+    lets the counts come from the training side only (the reference counts all rows, §8.7)."""
     keep = fit_top_categories(fit_on if fit_on is not None else df, specs, missing)
     return apply_collapse(df, keep, other_label, missing)
 
 
-def fit_top_categories(src: DataFrame, specs: Mapping[str, int], missing: str = "Unknown") -> dict[str, list[str]]:
+#: Values that a column's sketch tracks. Any value in more than 7 / TRACKED of the rows is
+#: sure to be among its candidates (the sketch's error is 3.5 / map size at most, twice).
+TRACKED = 10_000
+
+
+def fit_top_categories(src: DataFrame, specs: Mapping[str, int], missing: str = "Unknown",
+                       tracked: int = TRACKED) -> dict[str, list[str]]:
     """Each column's ``top_k`` cleaned values by count, ties by value.
 
-    One aggregation over the ``unpivot``ed columns, then per column a
-    bounded top-k (TakeOrderedAndProject keeps k rows per partition) —
-    never a window holding all of a column's distinct values. Fit it on the
-    narrowest frame that has the same rows (e.g. before a 1:1 feature join)."""
+    Exact heavy hitters in one job: a mergeable frequent-items sketch per column names
+    candidates (at most ``tracked``), which are then counted exactly; values that are no
+    candidate are never shuffled. The counts prove the answer: a value that is no candidate
+    has at most as many rows as all candidates leave over, and at most the sketch's error.
+    Where that doesn't put it below the k-th, the column's values are all counted instead."""
     for c in specs:
         require_columns(src, [c])
     cols = list(specs)
-    cleaned = src.select(*[clean_category(c, missing).alias(c) for c in cols])
-    long = cleaned.unpivot([], cols, "col", "value")
-    counts = long.groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
-    return {c: [r["value"] for r in counts.where(F.col("col") == c)
-                .orderBy(F.desc("n"), F.asc("value")).limit(specs[c]).select("value").collect()]
-            for c in cols}
+    cleaned = src.select(*[clean_category(c, missing).alias(f"c{i}") for i, c in enumerate(cols)])
+    names = [f"c{i}" for i in range(len(cols))]
+    sketched = cleaned.agg(F.count(F.lit(1)).alias("rows"), *[F.expr(f"approx_top_k({c}, {tracked}, {tracked})").alias(c) for c in names])
+    # tracked values per column at most
+    candidates = sketched.select("rows", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col"), F.col(f"{c}.item").alias("items")) for c in names])).alias("s")).select(
+        "rows", F.col("s.col").alias("col"), F.explode("s.items").alias("value"))
+    long = cleaned.unpivot([], names, "col", "value")
+    counts = long.join(F.broadcast(candidates), ["col", "value"]).groupBy("col", "value", "rows").agg(F.count(F.lit(1)).alias("n"))
+    by_column = Window.partitionBy("col")
+    place = F.row_number().over(by_column.orderBy(F.desc("n"), F.asc("value")))
+    wanted = F.create_map(*[F.lit(x) for c, name in zip(cols, names) for x in (name, specs[c])])
+    best = counts.withColumns({"place": place, "left": F.col("rows") - F.sum("n").over(by_column)}).where(F.col("place") <= wanted[F.col("col")])
+    found: dict[str, list] = {name: [] for name in names}
+    for r in sorted(best.collect(), key=lambda r: r["place"]):
+        found[r["col"]].append(r)
+    out = {}
+    for c, name in zip(cols, names):
+        own, k = found[name], specs[c]
+        least = own[-1]["n"] if len(own) >= k and own else 0
+        sure = own and (own[0]["left"] < max(least, 1) or (least and least > 7 * own[0]["rows"] / tracked))
+        out[c] = [r["value"] for r in own] if sure else count_top(cleaned.select(name), name, k)
+    return out
+
+
+def count_top(df: DataFrame, col: str, k: int) -> list[str]:
+    """The ``k`` most frequent values of a column by counting all of them."""
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return [r[col] for r in counts.orderBy(F.desc("n"), F.asc(col)).limit(k).collect()]
 
 
 def apply_collapse(df: DataFrame, keep: Mapping[str, Sequence[str]], other_label: str = "Other",
@@ -124,11 +152,11 @@ def select_feature_group(
     """The columns that a mode of the tables ``DROPPED`` and ``MADE_OF`` feeds to the model
     (none: all); an input column belongs to a group by its name or its window's prefix."""
     chosen = "full" if mode is None else mode
-    by_prefix = [c for p in window_prefixes for c in columns if c.startswith(p)]
+    by_prefix = [c for c in columns if c.startswith(tuple(window_prefixes))]
     groups = {"nationality": nationality, "context": context, "core": core, "windows": by_prefix}
     if chosen in MADE_OF:
-        wanted = [c for g in MADE_OF[chosen] for c in groups[g]]
-        return [c for c in dict.fromkeys(wanted) if c in set(columns)]
+        wanted = set().union(*(groups[g] for g in MADE_OF[chosen]))
+        return [c for c in columns if c in wanted]
     if chosen not in DROPPED:
         raise ValueError(f"no ablation mode {chosen!r}; known are {sorted({**DROPPED, **MADE_OF})}")
     left_out = {c for g in DROPPED[chosen] for c in groups[g]}

@@ -6,30 +6,29 @@ window length N, count the fact rows of the same entity with
 0. Same-time facts are excluded, which is what makes the features safe from
 leakage.
 
-Plan (E1), designed so no single task ever holds one entity's whole history:
+Plan (E1), the same at every grain, by additive time buckets:
 
 1. facts are pre-aggregated per (entity, time unit) — a partial+final hash
-   aggregate, so a hot entity shrinks to at most one row per time unit;
-2. anchors are reduced to their distinct (entity, time unit) keys;
-3. time is cut into blocks as long as the longest window; each fact row is
-   copied into its own block and the next one, so the window partition
-   (entity, block) sees every fact any of its anchors can reach;
-4. one ``Window.partitionBy(entity, block).orderBy(t).rangeBetween(-N, -1)``
-   node computes all windows at once;
-5. the per-key result is joined back to the full anchor rows on
-   (entity, time unit). The right side is unique per key, so AQE's skew-join
-   split handles a hot key on the anchor side.
-
-A window partition therefore holds at most 2 × (block length) rows whatever
-the skew, instead of a per-entity cross product (the reference's merge).
-At sub-day grains :func:`lookback_prefix` (prefix sums over a range-
-partitioned, checkpointed table) is used instead, since one entity may
-hold a large share of all rows inside a single window length.
+   aggregate — and then per (entity, bucket), with a bucket width that divides
+   every window length and leaves at most ``BUCKETS`` buckets in the longest
+   (at day grain a bucket is a day);
+2. a window is the end of its first bucket, a run of whole buckets, and the
+   start of the anchor's bucket. The two edges are running sums inside
+   (entity, bucket), from either end;
+3. a run of L whole buckets lies in two neighbouring blocks of L buckets: it is
+   a running sum to the end of the first plus one from the start of the second.
+
+Every number is a sum of the facts in its window only: nothing is subtracted, so
+small and huge measures neither cancel nor round each other away. Nothing is
+re-summed per row either. Each step is partitioned by (entity, bucket), or by
+entity over rows that are at most one per bucket: an entity with a third of all
+facts spreads over its buckets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +36,9 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import try_double
 
+#: Buckets that the longest window may have.
+BUCKETS = 1024
+
 UNIT_PER_DAY = {"day": 1, "second": 86_400, "micros": 86_400 * 1_000_000}
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -63,6 +65,60 @@ def time_units(df: DataFrame, col: str, unit: str) -> Column:
     raise ValueError(f"unknown unit {unit!r}")
 
 
+def bucket_width(lengths: Iterable[int]) -> int:
+    """The smallest common divisor of all lengths that cuts the longest into at most ``BUCKETS``."""
+    lengths = list(lengths)
+    common, longest = math.gcd(*lengths), max(lengths)
+    parts = max(1, min(common, BUCKETS * common // longest))
+    return common // next(d for d in range(parts, 0, -1) if common % d == 0)
+
+
+def _stacked(rows: DataFrame, at: str, points: DataFrame, spans: Mapping[str, int], names: list[str]) -> DataFrame:
+    """``__e, __p, __kind, __at, __w``, measures: the rows of ``rows`` (kind 1), and for each
+    point (kind 0) its own place (``__w`` null) and that of each window's begin."""
+    starts = F.array(*[F.struct(F.lit(w).cast("int").alias("w"), F.lit(back).cast("bigint").alias("back"))
+                       for w, back in [(None, 0), *enumerate(spans.values())]])
+    marks = points.select("__e", "__at", F.explode(starts).alias("s")).select(
+        "__e", (F.col("__at") - F.col("s.back")).alias("__p"), F.lit(0).alias("__kind"), "__at", F.col("s.w").alias("__w"),
+        *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in names])
+    facts = rows.select("__e", F.col(at).alias("__p"), F.lit(1).alias("__kind"), F.lit(None).cast("bigint").alias("__at"),
+                        F.lit(None).cast("int").alias("__w"), *names)
+    return facts.unionByName(marks)
+
+
+def _running(part: list[Column]) -> tuple:
+    """Running sums from the start of a part up to before a point, and from its end down to a
+    point: points come before facts of the same place in the one and after them in the other."""
+    rows = (Window.unboundedPreceding, Window.currentRow)
+    return (Window.partitionBy(*part).orderBy("__p", "__kind").rowsBetween(*rows),
+            Window.partitionBy(*part).orderBy(F.desc("__p"), F.desc("__kind")).rowsBetween(*rows))
+
+
+def _run_sums(totals: DataFrame, points: DataFrame, spans: Mapping[str, int], names: list[str]) -> DataFrame:
+    """``__e, __at, {prefix}{name}``: sums over the buckets ``[at - L, at)`` for each prefix's L."""
+    stacked = _stacked(totals, "__b", points, spans, names).repartition("__e")
+    sums = {}
+    for prefix, length in spans.items():
+        up, down = _running([F.col("__e"), F.floor(F.col("__p") / F.lit(length))])
+        sums |= {f"__up_{prefix}{c}": F.sum(c).over(up) for c in names}
+        sums |= {f"__down_{prefix}{c}": F.sum(c).over(down) for c in names}
+    marks = stacked.withColumns(sums).where(F.col("__kind") == 0)
+    return marks.groupBy("__e", "__at").agg(*[
+        F.sum(F.when(F.col("__w").isNull(), F.col(f"__up_{prefix}{c}")).when(F.col("__w") == i, F.col(f"__down_{prefix}{c}"))).alias(f"{prefix}{c}")
+        for i, prefix in enumerate(spans) for c in names])
+
+
+def _edge_sums(facts: DataFrame, points: DataFrame, spans: Mapping[str, int], width: int, names: list[str]) -> DataFrame:
+    """``__e, __at, {prefix}{name}``: sums over the facts of a window that lie in the bucket of
+    its begin, and in the bucket of its end (the anchor's)."""
+    stacked = _stacked(facts, "__t", points, spans, names).withColumn("__bucket", F.floor(F.col("__p") / F.lit(width)))
+    up, down = _running([F.col("__e"), F.col("__bucket")])
+    marks = stacked.withColumns({f"__up{c}": F.sum(c).over(up) for c in names} | {f"__down{c}": F.sum(c).over(down) for c in names})
+    return marks.where(F.col("__kind") == 0).groupBy("__e", "__at").agg(*[
+        F.sum(F.when(F.col("__w").isNull(), F.col(f"__up{c}")).when(F.col("__w") == i, F.col(f"__down{c}"))).alias(f"{prefix}{c}")
+        for i, prefix in enumerate(spans) for c in names])
+
+
 def lookback_aggregate(
     anchors: DataFrame,
     facts: DataFrame,
@@ -75,177 +131,56 @@ def lookback_aggregate(
     windows: Mapping[str, int] | None = None,
     count_name: str = "games_played",
     unit: str = "day",
-    method: str = "auto",
 ) -> DataFrame:
     """Add ``{prefix}_{count_name}`` and ``{prefix}_{measure}`` columns to ``anchors``.
 
     ``windows`` maps a prefix to a window length in days (e.g. ``{"w180": 180}``).
     ``measures`` maps output names to fact columns/expressions; non-numeric or
-    missing values count as 0 (B18). Anchor rows are never dropped.
-
-    ``method``: ``"blocks"`` (the plan above), ``"prefix"``
-    (:func:`lookback_prefix`) or ``"auto"`` — blocks at day grain, where
-    pre-aggregation bounds a partition to 2 × 365 rows per entity, prefix
-    sums at finer grains, where one entity may fill a whole window.
-    """
-    if method == "prefix" or (method == "auto" and unit != "day"):
-        return lookback_prefix(anchors, facts, entity=entity, anchor_time=anchor_time, fact_time=fact_time,
-                               fact_entity=fact_entity, measures=measures, windows=windows,
-                               count_name=count_name, unit=unit)
+    missing values count as 0 (B18). Anchor rows are never dropped. ``unit`` is the
+    grain at which times are compared: ``day``, ``second`` or ``micros``."""
     windows = dict(windows or {"w180": 180, "w365": 365})
     measures = dict(measures or {})
     fact_time = fact_time or anchor_time
     fact_entity = fact_entity or entity
-    per_day = UNIT_PER_DAY[unit]
-    block_len = max(windows.values()) * per_day
+    names = ["__n"] + [f"__m_{name}" for name in measures]
+    lengths = {prefix: days * UNIT_PER_DAY[unit] for prefix, days in windows.items()}
+    width = bucket_width(lengths.values())
 
-    # (1) facts → one row per (entity, time unit)
     f = facts.select(
         F.col(fact_entity).alias("__e"),
-        time_units(facts, fact_time, unit).alias("__t"),
+        time_units(facts, fact_time, unit).cast("bigint").alias("__t"),
         *[F.coalesce(try_double(m if isinstance(m, Column) else F.col(m)), F.lit(0.0)).alias(f"__m_{name}")
           for name, m in measures.items()],
     ).where(F.col("__e").isNotNull() & F.col("__t").isNotNull())
-    daily = f.groupBy("__e", "__t").agg(
+    per_time = f.groupBy("__e", "__t").agg(
         F.count(F.lit(1)).alias("__n"),
         *[F.sum(f"__m_{name}").alias(f"__m_{name}") for name in measures],
     )
-    fact_rows = daily.withColumn(
-        "__blk", F.explode(F.array(F.floor(F.col("__t") / block_len), F.floor(F.col("__t") / block_len) + 1))
-    ).withColumn("__anchor", F.lit(False))
-
-    # (2) distinct anchor keys
-    akeys = (
-        anchors.select(F.col(entity).alias("__e"), time_units(anchors, anchor_time, unit).alias("__t"))
-        .where(F.col("__e").isNotNull() & F.col("__t").isNotNull())
-        .distinct()
-        .withColumn("__blk", F.floor(F.col("__t") / block_len))
-        .withColumn("__n", F.lit(None).cast("bigint"))
+    keys = (
+        anchors.select(F.col(entity).alias("__e"), time_units(anchors, anchor_time, unit).cast("bigint").alias("__at"))
+        .where(F.col("__e").isNotNull() & F.col("__at").isNotNull()).distinct()
     )
-    for name in measures:
-        akeys = akeys.withColumn(f"__m_{name}", F.lit(None).cast("double"))
-    akeys = akeys.withColumn("__anchor", F.lit(True))
-
-    # (3)+(4) one window node for every frame length
-    both = fact_rows.unionByName(akeys)
-    base = Window.partitionBy("__e", "__blk").orderBy("__t")
-    out_cols = []
-    for prefix, days in windows.items():
-        w = base.rangeBetween(-days * per_day, -1)
-        out_cols.append(F.coalesce(F.sum("__n").over(w), F.lit(0)).cast("bigint").alias(f"{prefix}_{count_name}"))
-        for name in measures:
-            out_cols.append(
-                F.coalesce(F.sum(f"__m_{name}").over(w), F.lit(0.0)).alias(f"{prefix}_{name}"))
-    per_key = both.select("__e", "__t", "__anchor", *out_cols).where(F.col("__anchor")).drop("__anchor")
-
-    # (5) join back to every anchor row
-    keyed = anchors.withColumn("__e", F.col(entity)).withColumn("__t", time_units(anchors, anchor_time, unit))
-    joined = keyed.join(per_key, on=["__e", "__t"], how="left")
-    fills = {}
-    for prefix in windows:
-        fills[f"{prefix}_{count_name}"] = F.coalesce(F.col(f"{prefix}_{count_name}"), F.lit(0).cast("bigint"))
-        for name in measures:
-            fills[f"{prefix}_{name}"] = F.coalesce(F.col(f"{prefix}_{name}"), F.lit(0.0))
-    return joined.withColumns(fills).drop("__e", "__t")
-
-
-def lookback_prefix(
-    anchors: DataFrame,
-    facts: DataFrame,
-    *,
-    entity: str,
-    anchor_time: str,
-    fact_time: str | None = None,
-    fact_entity: str | None = None,
-    measures: Mapping[str, str | Column] | None = None,
-    windows: Mapping[str, int] | None = None,
-    count_name: str = "games_played",
-    unit: str = "micros",
-    partitions: int | None = None,
-    scale: int = 12,
-) -> DataFrame:
-    """Same result as :func:`lookback_aggregate`, by prefix sums: window(t) = C(t) − C(t − N),
-    with C(x) the entity's total over facts strictly before x.
-
-    Meant for sub-day grains, where one entity can hold a large share of all
-    rows inside a single window length. Nothing is partitioned by entity:
-
-    1. facts (pre-aggregated per entity and time unit), the anchor points and
-       one marker per anchor and window at t − N are range-partitioned on
-       (entity, time, kind) — a hot entity spans many partitions — and
-       checkpointed, which pins the partition ids;
-    2. a running sum per (partition, entity) gives C within the partition
-       (points sort before facts of the same time, so "strictly before" holds);
-    3. per-(partition, entity) totals, a table bounded by partitions ×
-       entities per partition, give each partition its offset through a
-       window per entity ordered by partition id;
-    4. C(t) − C(t − N) per anchor key, joined back to the anchor rows.
-    """
-    from ..session import materialize
-
-    windows = dict(windows or {"w180": 180, "w365": 365})
-    measures = dict(measures or {})
-    fact_time = fact_time or anchor_time
-    fact_entity = fact_entity or entity
-    per_day = UNIT_PER_DAY[unit]
-    names = ["__n"] + [f"__m_{m}" for m in measures]
-
-    # prefix differences C(t) − C(t − N) of long running sums would cancel in
-    # floating point: running sums are exact (bigint counts, decimal measures)
-    # (a value that the scale would round is an error, not a smaller sum)
-    dec = f"decimal(38,{scale})"
-
-    def fixed(x: Column) -> Column:
-        held = x.cast(dec)
-        lost = F.abs(held.cast("double") - x) > F.abs(x) * 1e-9
-        why = F.lit(f"a measure needs more than {scale} decimals; use method='blocks' or a larger scale")
-        return F.when(lost, F.raise_error(why).cast(dec)).otherwise(held)
-
-    f = facts.select(
-        F.col(fact_entity).alias("__e"), time_units(facts, fact_time, unit).alias("__t"),
-        *[fixed(F.coalesce(try_double(m if isinstance(m, Column) else F.col(m)), F.lit(0.0))).alias(f"__m_{name}")
-          for name, m in measures.items()],
-    ).where(F.col("__e").isNotNull() & F.col("__t").isNotNull())
-    daily = f.groupBy("__e", "__t").agg(F.count(F.lit(1)).alias("__n"),
-                                        *[F.sum(f"__m_{m}").cast(dec).alias(f"__m_{m}") for m in measures])
-    zero = {"__n": F.lit(0).cast("bigint"), **{f"__m_{m}": F.lit(0).cast(dec) for m in measures}}
-    fact_rows = daily.select("__e", "__t", F.lit(1).alias("__kind"), F.lit(None).cast("bigint").alias("__at"),
-                             F.lit(None).cast("int").alias("__w"), *names)
-    akeys = (anchors.select(F.col(entity).alias("__e"), time_units(anchors, anchor_time, unit).alias("__at"))
-             .where(F.col("__e").isNotNull() & F.col("__at").isNotNull()).distinct())
-    offsets = [0] + [days * per_day for days in windows.values()]
-    points = akeys.select("__e", "__at", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("w"), F.lit(o).cast("bigint").alias("o")) for i, o in enumerate(offsets)])).alias("p")
-    ).select("__e", (F.col("__at") - F.col("p.o")).alias("__t"), F.lit(0).alias("__kind"), "__at",
-             F.col("p.w").alias("__w"), *[zero[c].alias(c) for c in names])
-    both = fact_rows.unionByName(points)
-    nparts = partitions or int(both.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = materialize(both.repartitionByRange(nparts, "__e", "__t", "__kind")
-                         .withColumn("__pid", F.spark_partition_id()))
-    w_local = Window.partitionBy("__pid", "__e").orderBy("__t", "__kind").rowsBetween(
-        Window.unboundedPreceding, -1)
-    local = ranged.select("__pid", "__e", "__kind", "__at", "__w",
-                          *[F.coalesce(F.sum(c).over(w_local), zero[c]).cast(
-                              "bigint" if c == "__n" else dec).alias(c) for c in names])
-    totals = ranged.groupBy("__pid", "__e").agg(*[F.sum(c).alias(c) for c in names])
-    w_off = Window.partitionBy("__e").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("__pid", "__e", *[F.coalesce(F.sum(c).over(w_off), zero[c]).cast(
-        "bigint" if c == "__n" else dec).alias(f"__o{c}") for c in names])
-    cum = (local.where(F.col("__kind") == 0).join(offs, ["__pid", "__e"], "left")
-           .select("__e", "__at", "__w", *[(F.col(c) + F.coalesce(F.col(f"__o{c}"), zero[c])).cast(
-               "bigint" if c == "__n" else dec).alias(c) for c in names]))
-    aggs = []
-    for i, prefix in enumerate(windows, start=1):
-        for c in names:
-            diff = F.sum(F.when(F.col("__w") == 0, F.col(c)).when(F.col("__w") == i, -F.col(c)))
-            out = f"{prefix}_{count_name}" if c == "__n" else f"{prefix}_{c[len('__m_'):]}"
-            aggs.append(diff.cast("bigint" if c == "__n" else "double").alias(out))
-    per_key = cum.groupBy("__e", "__at").agg(*aggs).withColumnRenamed("__at", "__t")
-    keyed = anchors.withColumn("__e", F.col(entity)).withColumn("__t", time_units(anchors, anchor_time, unit))
+    if width == 1:
+        per_key = _run_sums(per_time.withColumnRenamed("__t", "__b"), keys, lengths, names)
+    else:
+        bucket = F.floor(F.col("__t") / F.lit(width))
+        totals = per_time.groupBy("__e", bucket.alias("__b")).agg(*[F.sum(c).alias(c) for c in names])
+        # whole buckets: between the bucket of the begin and the anchor's
+        inner = {prefix: length // width - 1 for prefix, length in lengths.items() if length > width}
+        edges = _edge_sums(per_time, keys, lengths, width, names).withColumn("__tb", F.floor(F.col("__at") / F.lit(width)))
+        per_key = edges
+        if inner:
+            tails = keys.select("__e", F.floor(F.col("__at") / F.lit(width)).alias("__at")).distinct()
+            runs = _run_sums(totals, tails, inner, names)
+            runs = runs.select(F.col("__e"), F.col("__at").alias("__tb"), *[F.col(f"{p}{c}").alias(f"__run_{p}{c}") for p in inner for c in names])
+            per_key = edges.join(runs, ["__e", "__tb"], "left").withColumns({
+                f"{p}{c}": F.coalesce(F.col(f"{p}{c}"), F.lit(0)) + F.coalesce(F.col(f"__run_{p}{c}"), F.lit(0)) for p in inner for c in names})
+    outputs = {f"{prefix}{c}": f"{prefix}_{count_name if c == '__n' else c[len('__m_'):]}" for prefix in windows for c in names}
+    per_key = per_key.select("__e", F.col("__at").alias("__t"), *[F.col(c).alias(out) for c, out in outputs.items()])
+
+    # back to every anchor row; the right side is unique per key
+    keyed = anchors.withColumn("__e", F.col(entity)).withColumn("__t", time_units(anchors, anchor_time, unit).cast("bigint"))
     joined = keyed.join(per_key, on=["__e", "__t"], how="left")
-    fills = {}
-    for prefix in windows:
-        fills[f"{prefix}_{count_name}"] = F.coalesce(F.col(f"{prefix}_{count_name}"), F.lit(0).cast("bigint"))
-        for name in measures:
-            fills[f"{prefix}_{name}"] = F.coalesce(F.col(f"{prefix}_{name}"), F.lit(0.0))
-    return joined.withColumns(fills).drop("__e", "__t")
+    return joined.withColumns({
+        out: F.coalesce(F.col(out), F.lit(0).cast("bigint") if c.endswith("__n") else F.lit(0.0)) for c, out in outputs.items()
+    }).drop("__e", "__t")

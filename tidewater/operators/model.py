@@ -9,30 +9,35 @@ Equivalent of the reference's ColumnTransformer + Ridge:
   value (G2), then ``StringIndexer(handleInvalid="keep")`` +
   ``OneHotEncoder(dropLast=True)`` so unseen/NULL categories become the
   all-zero vector, like ``handle_unknown="ignore"`` (G4);
-* ``LinearRegression(solver="normal", elasticNetParam=0)``: the k×k
-  Gramian is summed on the executors (treeAggregate) and only the small
-  solve runs on the driver (G6). The penalty is rescaled so the solution
-  equals sklearn's ``Ridge(alpha)`` closed form.
-
-Scoring (G7) and explanations (H5, E11) are column expressions over the
-assembled vector, so they run in the executors for any number of rows.
+* one Gram matrix of all transformed features, the target and a column of
+  ones (XᵀX, Xᵀy, yᵀy, sums): summed over sparse vectors in one pass on the
+  executors (tree aggregation). Any number of fits — ablations, penalties —
+  solve a sub-matrix of it on the driver (G6, G12), sklearn's ``Ridge(alpha)``
+  closed form with an unpenalised intercept.
+
+Scoring (G7) is one expression of the imputed columns and category indices, so
+that several models score the same row in one pass; explanations (H5, E11) are
+column expressions over the assembled vector.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+import numpy as np
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .quantiles import grouped_median
+from ..session import written
+from .quantiles import quantile_selection
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
                  T.BooleanType)
@@ -59,6 +64,8 @@ class Preprocessing:
     modes: dict[str, str] = field(default_factory=dict)
     means: dict[str, float] = field(default_factory=dict)
     scales: dict[str, float] = field(default_factory=dict)
+    #: each categorical column's values, sorted
+    labels: dict[str, list[str]] = field(default_factory=dict)
 
     def imputed(self, df: DataFrame, missing: str = "pipeline") -> DataFrame:
         """Impute with the fitted statistics, or zero-fill (the diagnostics' ``fillna(0)``, G8)."""
@@ -93,15 +100,16 @@ def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Seq
     collapse its rare ones first (E8)."""
     p = Preprocessing(list(numeric), list(categorical))
     if numeric:
-        x = {c: F.col(c).cast("double") for c in numeric}
-        clean = {c: F.when(~F.isnan(x[c]), x[c]) for c in numeric}
-        # all columns' medians at once, over (column, value) pairs
-        long = train.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("k"), clean[c].alias("v")) for c in numeric])).alias("s")).select("s.k", "s.v")
-        meds = {r["k"]: r["m"] for r in grouped_median(long, ["k"], "v", "m", accuracy).collect()}
+        # all columns' medians in one selection
+        if accuracy is None:
+            meds = {r["statistic"]: r["q"] for r in quantile_selection(train, {c: ([], c, [0.5]) for c in numeric}).collect()}
+        else:
+            x = {c: F.col(c).cast("double") for c in numeric}
+            row = train.agg(*[F.percentile_approx(F.when(~F.isnan(x[c]), x[c]), 0.5, accuracy).alias(c) for c in numeric]).first()
+            meds = row.asDict()
         p.medians = {c: (float(meds[c]) if meds.get(c) is not None else 0.0) for c in numeric}
     if categorical:
-        p.modes = most_frequent(train, categorical, max_categories)
+        p.modes, p.labels = category_values(train, categorical, max_categories)
     if numeric:
         imp = p.imputed(train.select(*numeric))
         row = imp.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(numeric)],
@@ -112,24 +120,34 @@ def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Seq
     return p
 
 
-def most_frequent(df: DataFrame, cols: Sequence[str], max_values: int | None = None) -> dict[str, str | None]:
-    """Most frequent non-NULL value per column, ties → smallest (sklearn ``most_frequent``).
+def category_values(df: DataFrame, cols: Sequence[str],
+                    max_values: int | None = None) -> tuple[dict[str, str | None], dict[str, list[str]]]:
+    """Per column, the most frequent non-NULL value, ties → smallest (sklearn ``most_frequent``)
+    (G2), and all its values in order.
 
-    Counts per (column, value) with map-side combine, then a bounded top-1
-    per column — no per-column value map in one task. More than ``max_values`` distinct
-    values in a column are an error."""
+    Counts per (column, value) with map-side combine, written; the top-1 is a bounded
+    aggregate per column. More than ``max_values`` distinct values in a column are an error,
+    raised before their list is collected."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v"))
                                          for c in cols])).alias("s")).select("s.k", "s.v").where(
         F.col("v").isNotNull())
-    counts = long.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = written(long.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")), "category-counts")
     # min_by keeps one candidate per column (bounded state, partial aggregation)
     best = counts.groupBy("k").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v"),
                                     F.count(F.lit(1)).alias("values")).collect()
     wide = {r["k"]: r["values"] for r in best if max_values is not None and r["values"] > max_values}
     if wide:
         raise ValueError(f"more than {max_values} categories in {wide}; collapse rare ones or leave the columns out")
+    labels: dict[str, list[str]] = {c: [] for c in cols}
+    for r in counts.select("k", "v").collect():
+        labels[r["k"]].append(r["v"])
     found = {r["k"]: r["v"] for r in best}
-    return {c: found.get(c) for c in cols}
+    return {c: found.get(c) for c in cols}, {c: sorted(v) for c, v in labels.items()}
+
+
+def most_frequent(df: DataFrame, cols: Sequence[str], max_values: int | None = None) -> dict[str, str | None]:
+    """Most frequent non-NULL value per column, ties → smallest."""
+    return category_values(df, cols, max_values)[0]
 
 
 @dataclass
@@ -144,12 +162,44 @@ class RidgeModel:
     label_std: float = 0.0
     category_labels: dict[str, list[str]] = field(default_factory=dict)
 
+    def indexed(self, df: DataFrame, missing: str = "pipeline") -> DataFrame:
+        """Standardised columns and category indices: what :meth:`prediction` reads."""
+        indexers = [s for s in self.pipeline.stages if isinstance(s, StringIndexerModel)]
+        return PipelineModel(indexers).transform(self.prep.transform(df, missing))
+
+    def prediction(self) -> Column:
+        """Intercept + Σ coefficient · feature, over :meth:`indexed` rows. A category's
+        coefficient is looked up by its index; unseen ones have none."""
+        by_source: dict[str, list[float]] = {}
+        for c, w in zip(self.source_columns(), self.coefficients):
+            by_source.setdefault(c, []).append(float(w))
+        total = F.lit(float(self.intercept))
+        for c in self.prep.numeric:
+            total = total + F.lit(by_source[c][0]) * F.col(f"__z_{c}")
+        for c in self.prep.categorical:
+            if c in by_source:
+                table = F.from_json(F.lit(json.dumps(by_source[c])), "array<double>")
+                total = total + F.coalesce(F.get(table, F.col(f"__idx_{c}").cast("int")), F.lit(0.0))
+        return total
+
+    def _without_parts(self, df: DataFrame) -> DataFrame:
+        return df.drop("__features", *[f"__z_{c}" for c in self.prep.numeric],
+                       *[f"__idx_{c}" for c in self.prep.categorical], *[f"__oh_{c}" for c in self.prep.categorical])
+
     def predict(self, df: DataFrame, out: str = "pred_log", missing: str = "pipeline") -> DataFrame:
         """Batch prediction in log space."""
-        x = self.pipeline.transform(self.prep.transform(df, missing))
-        return x.withColumnRenamed("__pred", out).drop(
-            "__features", *[f"__z_{c}" for c in self.prep.numeric],
-            *[f"__idx_{c}" for c in self.prep.categorical], *[f"__oh_{c}" for c in self.prep.categorical])
+        return self.predict_all(df, {out: self}, missing)
+
+    def predict_all(self, df: DataFrame, models: Mapping[str, RidgeModel], missing: str = "pipeline") -> DataFrame:
+        """The predictions of several models in the columns that name them, from one pass.
+        Their inputs are among this model's, with the same statistics (one :class:`Gram`)."""
+        x = self.indexed(df, missing).withColumns({out: m.prediction() for out, m in models.items()})
+        return self._without_parts(x)
+
+    def assembled(self, df: DataFrame, missing: str = "pipeline") -> DataFrame:
+        """All transformed features as the vector ``__features``, and ``__pred``."""
+        x = self.prep.transform(df, missing)
+        return self.pipeline.transform(x).withColumn("__pred", self.prediction())
 
     def coefficient_frame(self, spark) -> DataFrame:
         rows = list(zip(self.feature_names, [float(c) for c in self.coefficients]))
@@ -166,7 +216,7 @@ class RidgeModel:
         given = [F.coalesce(F.col(f"`{c}`").cast("double"), fill) if c in df.columns else fill
                  for c in self.prep.numeric]
         x = df.withColumn("__given", F.array(*given) if given else F.array().cast("array<double>"))
-        x = self.pipeline.transform(self.prep.transform(x, missing))
+        x = self.assembled(x, missing)
         table = F.from_json(F.lit(self._feature_table()), "array<struct<name:string,source:string,level:string,coef:double>>")
         contrib = F.transform(table, lambda e, i: F.struct(
             e["name"].alias("transformed_feature"), e["source"].alias("feature"),
@@ -184,9 +234,7 @@ class RidgeModel:
             "baseline_log_value": F.lit(float(self.intercept)),
             "top_positive": top(lambda e: e["contribution_log"] > 0),
             "top_negative": top(lambda e: e["contribution_log"] < 0),
-        }).withColumnRenamed("__pred", "pred_log").drop(
-            "__features", "__given", "__dense", "__contrib", *[f"__z_{c}" for c in self.prep.numeric],
-            *[f"__idx_{c}" for c in self.prep.categorical], *[f"__oh_{c}" for c in self.prep.categorical])
+        }).withColumnRenamed("__pred", "pred_log").drop("__given", "__dense", "__contrib").transform(self._without_parts)
 
     def _feature_table(self) -> str:
         """Name, source column, category and coefficient of each transformed feature, as
@@ -203,7 +251,7 @@ class RidgeModel:
         """(feature, transformed_feature, gradient) of the ridge loss on ``df``, per row:
         Σ x·(y − ŷ)/n − α·w/n, and Σ (y − ŷ)/n for the intercept. All are zero on the
         training rows. One aggregate of a feature's sum each, no row leaves its task."""
-        x = self.pipeline.transform(self.prep.transform(df.where(F.col(target).isNotNull())))
+        x = self.assembled(df.where(F.col(target).isNotNull()))
         r = F.col(target) - F.col("__pred")
         parts = x.select(F.posexplode(F.concat(vector_to_array("__features"), F.array(F.lit(1.0)))).alias("i", "x"),
                          r.alias("r"))
@@ -224,7 +272,7 @@ class RidgeModel:
                 "modes": self.prep.modes, "means": self.prep.means, "scales": self.prep.scales,
                 "feature_names": self.feature_names, "coefficients": [float(c) for c in self.coefficients],
                 "intercept": float(self.intercept), "alpha": self.alpha, "n_train": self.n_train,
-                "label_std": self.label_std, "category_labels": self.category_labels}
+                "label_std": self.label_std, "category_labels": self.category_labels, "labels": self.prep.labels}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(
             f"{path}/meta")
 
@@ -234,7 +282,7 @@ class RidgeModel:
         spark = SparkSession.getActiveSession()
         meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
         prep = Preprocessing(meta["numeric"], meta["categorical"], meta["medians"], meta["modes"], meta["means"],
-                             meta["scales"])
+                             meta["scales"], meta.get("labels", {}))
         return RidgeModel(prep, PipelineModel.load(f"{path}/pipeline"), meta["feature_names"], meta["coefficients"],
                           meta["intercept"], meta["alpha"], meta["n_train"], meta.get("label_std", 0.0),
                           meta.get("category_labels", {}))
@@ -245,65 +293,95 @@ def subset_preprocessing(prep: Preprocessing, numeric: Sequence[str], categorica
     the other columns, so ablation fits reuse one pass over the full set."""
     return Preprocessing(list(numeric), list(categorical), {c: prep.medians[c] for c in numeric},
                          {c: prep.modes[c] for c in categorical}, {c: prep.means[c] for c in numeric},
-                         {c: prep.scales[c] for c in numeric})
+                         {c: prep.scales[c] for c in numeric}, {c: prep.labels[c] for c in categorical if c in prep.labels})
 
 
-def fit_ridge(train: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
-              alpha: float = 1.0, accuracy: int | None = None, prep: Preprocessing | None = None,
-              label_stats: tuple[int, float] | None = None,
-              category_labels: dict[str, list[str]] | None = None) -> RidgeModel:
-    """Fit imputation + scaling + one-hot + ridge on ``train``.
-
-    ``prep`` / ``label_stats`` (n, population std of the label) /
-    ``category_labels`` (each column's sorted categories) may be passed in
-    when several models are fitted on the same rows (ablations): per-column
-    statistics and category lists do not depend on the other columns."""
+@dataclass
+class Gram:
+    """Sums of products of all transformed features, the target and 1 over the training
+    rows: all that fits of any subset of the columns need."""
+
+    prep: Preprocessing
+    products: np.ndarray
+    features: list[tuple[str, str, str | None]]      # (name, source column, category)
+
+    @property
+    def n(self) -> int:
+        return int(round(self.products[-1, -1]))
+
+    @property
+    def label_std(self) -> float:
+        n, sums = self.products[-1, -1], self.products[-2, -1]
+        return float(np.sqrt(max(0.0, self.products[-2, -2] / n - (sums / n) ** 2))) if n else 0.0
+
+    def solve(self, columns: Sequence[str] | None = None, alpha: float = 1.0) -> RidgeModel:
+        """The ridge model of a subset of the input columns: ‖y − b − Xw‖² + α‖w‖² at its least."""
+        chosen = set(self.prep.numeric + self.prep.categorical if columns is None else columns)
+        at = [i for i, (_, source, _) in enumerate(self.features) if source in chosen]
+        n = self.products[-1, -1]
+        if not n:
+            raise ValueError("no training rows with a target")
+        sums, target_sum = self.products[at, -1], self.products[-2, -1]
+        # centred products: the intercept isn't penalised
+        inner = self.products[np.ix_(at, at)] - np.outer(sums, sums) / n
+        outer = self.products[at, -2] - sums * target_sum / n
+        if alpha > 0:
+            weights = np.linalg.solve(inner + alpha * np.eye(len(at)), outer)
+        else:
+            weights = np.linalg.lstsq(inner, outer, rcond=None)[0]
+        numeric = [c for c in self.prep.numeric if c in chosen]
+        categorical = [c for c in self.prep.categorical if c in chosen]
+        prep = subset_preprocessing(self.prep, numeric, categorical)
+        labels = {c: self.prep.labels[c] for c in categorical}
+        return RidgeModel(prep, feature_pipeline(prep), [self.features[i][0] for i in at], [float(w) for w in weights],
+                          float((target_sum - sums @ weights) / n), alpha, self.n, self.label_std, labels)
+
+
+#: Transformed features that a Gram matrix may have: k² doubles come to the driver.
+MAX_FEATURES = 8192
+
+
+def feature_pipeline(prep: Preprocessing) -> PipelineModel:
+    """Category indices, one-hot columns and the vector ``__features`` of
+    :meth:`Preprocessing.transform`'s rows. Columns without any value add no feature."""
+    known = [c for c in prep.categorical if prep.labels[c]]
+    # one single-column model per column: the multi-column constructor pads ragged label lists with NULLs
+    stages = [StringIndexerModel.from_labels(list(prep.labels[c]), inputCol=c, outputCol=f"__idx_{c}", handleInvalid="keep")
+              for c in known]
+    if not known:
+        return PipelineModel([VectorAssembler(inputCols=[f"__z_{c}" for c in prep.numeric], outputCol="__features", handleInvalid="keep")])
+    from pyspark.sql import SparkSession
+    sizes = PipelineModel(stages).transform(SparkSession.getActiveSession().createDataFrame([], ", ".join(f"`{c}` string" for c in known)))
+    # sizes come from the indices' metadata: no pass over data
+    one_hot = OneHotEncoder(inputCols=[f"__idx_{c}" for c in known], outputCols=[f"__oh_{c}" for c in known], dropLast=True).fit(sizes)
+    assemble = VectorAssembler(inputCols=[f"__z_{c}" for c in prep.numeric] + [f"__oh_{c}" for c in known], outputCol="__features", handleInvalid="keep")
+    return PipelineModel([*stages, one_hot, assemble])
+
+
+def fit_gram(train: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
+             accuracy: int | None = None, prep: Preprocessing | None = None) -> Gram:
+    """The Gram matrix of the rows with a target, in one pass after the statistics of imputation
+    and scaling (G1–G4). Rows are sparse vectors; partial matrices are added up in a tree."""
     prep = (subset_preprocessing(prep, numeric, categorical) if prep is not None
             else fit_preprocessing(train, numeric, categorical, accuracy))
-    data = prep.transform(train.where(F.col(target).isNotNull()))
-    if label_stats is None:
-        label_stats = fit_label_stats(train, target)
-    n, sy = label_stats
-    # Spark's normal-equation solver minimises 1/(2n)·RSS + λ/2·‖w‖² on a label
-    # scaled by its std; λ = α·σ_y/n makes that equal sklearn's RSS + α‖w‖².
-    reg = alpha * sy / n if sy > 0 else alpha / n
-    stages = []
-    oh_cols = []
-    if categorical:
-        if category_labels is not None:
-            # one single-column model per column: the multi-column constructor
-            # pads ragged label lists with NULLs
-            stages += [StringIndexerModel.from_labels(list(category_labels[c]), inputCol=c, outputCol=f"__idx_{c}",
-                                                      handleInvalid="keep") for c in categorical]
-        else:
-            stages.append(StringIndexer(inputCols=list(categorical), outputCols=[f"__idx_{c}" for c in categorical],
-                                        handleInvalid="keep", stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=[f"__idx_{c}" for c in categorical],
-                                    outputCols=[f"__oh_{c}" for c in categorical], dropLast=True))
-        oh_cols = [f"__oh_{c}" for c in categorical]
-    stages.append(VectorAssembler(inputCols=[f"__z_{c}" for c in numeric] + oh_cols, outputCol="__features",
-                                  handleInvalid="keep"))
-    stages.append(LinearRegression(featuresCol="__features", labelCol=target, predictionCol="__pred",
-                                   regParam=reg, elasticNetParam=0.0, standardization=False, solver="normal",
-                                   fitIntercept=True))
-    pm = Pipeline(stages=stages).fit(data)
-    lr = pm.stages[-1]
-    names = list(numeric)
-    labels_by_col: dict[str, list[str]] = {}
-    if categorical:
-        arrays = ([list(category_labels[c]) for c in categorical] if category_labels is not None
-                  else [list(x) for x in pm.stages[0].labelsArray])
-        for c, labels in zip(categorical, arrays):
-            labels_by_col[c] = labels
-            names += [f"{c}={v}" for v in labels]
-    return RidgeModel(prep, pm, names, list(lr.coefficients.toArray()), float(lr.intercept), alpha, n, sy,
-                      labels_by_col)
-
-
-def fit_label_stats(train: DataFrame, target: str) -> tuple[int, float]:
-    stats = train.where(F.col(target).isNotNull()).agg(F.count(F.lit(1)).alias("n"),
-                                                      F.stddev_pop(target).alias("sy")).first()
-    return int(stats["n"]), float(stats["sy"] or 0.0)
+    features = [(c, c, None) for c in prep.numeric]
+    features += [(f"{c}={v}", c, v) for c in prep.categorical for v in prep.labels[c]]
+    if len(features) > MAX_FEATURES:
+        raise ValueError(f"{len(features)} transformed features; at most {MAX_FEATURES}: collapse rare categories first")
+    rows = feature_pipeline(prep).transform(prep.transform(train.where(F.col(target).isNotNull())))
+    rows = rows.select("__features", F.col(target).cast("double").alias("__y"), F.lit(1.0).alias("__one"))
+    rows = VectorAssembler(inputCols=["__features", "__y", "__one"], outputCol="__row").transform(rows).select("__row")
+    size = len(features) + 2
+    if rows.isEmpty():
+        return Gram(prep, np.zeros((size, size)), features)
+    products = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "__row"), 0, size).computeGramianMatrix().toArray()
+    return Gram(prep, products, features)
+
+
+def fit_ridge(train: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
+              alpha: float = 1.0, accuracy: int | None = None, prep: Preprocessing | None = None) -> RidgeModel:
+    """Fit imputation + scaling + one-hot + ridge on ``train``."""
+    return fit_gram(train, target, numeric, categorical, accuracy, prep).solve(alpha=alpha)
 
 
 def top_coefficients(model: RidgeModel, spark, k: int = 25) -> DataFrame:

@@ -1,101 +1,119 @@
-"""Exact quantiles, global or per group, in one way at every size.
+"""Exact quantiles of any number of statistics in one selection, one way at every size.
 
 Spark's exact ``percentile`` / ``median`` keeps a value→count map per group and
-merges it in one task. ``grouped_quantiles`` returns the same linearly
-interpolated numbers (pandas ``quantile``, DuckDB ``quantile_cont``) and holds
+merges it in one task. ``quantile_selection`` returns the same linearly
+interpolated numbers (pandas ``quantile``, DuckDB ``quantile_cont``) for several
+statistics (a column, its grouping and its quantiles each) at once, and holds
 neither a group nor a bracket in one task:
 
-1. per group, the row count and a ``percentile_approx`` sketch give a bracket
-   around each wanted rank (rank error at most n / accuracy, bracket ± 3 n /
-   accuracy);
-2. rows become ``(group, quantile, value, count)``: a value inside the bracket
-   is one row however often it occurs, all values below it are one row with the
-   largest of them, and all above one row with the smallest;
-3. these counts are range-partitioned by group, quantile and value and written;
-   running sums inside each partition, plus the totals of the partitions before
-   it, are exact ranks, so a bracket can span any number of partitions;
-4. the values at the two neighbouring ranks are interpolated.
+1. rows become ``(statistic, group, value)``; per group, the row count and one
+   ``percentile_approx`` sketch give a bracket around each wanted rank (rank error
+   at most n / accuracy, bracket ± 3 n / accuracy);
+2. values become cells with counts: each value inside a bracket is a cell, however
+   often it occurs, and all values between two brackets are one, with the smallest
+   and the largest of them;
+3. cells are range-partitioned by statistic, group and value and written; running
+   sums inside each partition, plus the totals of the partitions before it, are exact
+   ranks, so a bracket can span any number of partitions;
+4. the values at the two neighbouring ranks of each quantile are interpolated.
 
 A missed bracket (against the sketch's guarantee) is an error, never a wrong
-number.
+number. NULL and NaN values are ignored, as pandas does.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
 
 DEFAULT_ACCURACY = 10_000
 
+#: (grouping columns, value column, quantiles) of a statistic.
+Statistic = tuple[Sequence[str], "str | Column", Sequence[float]]
 
-def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
-                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """(keys…, qi, q): the exact quantile ``qs[qi]`` of ``value`` per group.
 
-    NULL values are ignored, a NULL key is a group, and a group without values
-    has NULL quantiles. Without keys the whole input is one group."""
-    keys = list(keys)
+def _values(df: DataFrame, wanted: Mapping[str, Statistic], keys: Sequence[str]) -> DataFrame:
+    """(statistic, keys…, __v): a row per row and statistic, NULL where a key isn't its own."""
+    rows = []
+    for name, (own, value, _) in wanted.items():
+        v = (F.col(value) if isinstance(value, str) else value).cast("double")
+        key = [(F.col(k) if k in own else F.lit(None).cast(df.schema[k].dataType)).alias(k) for k in keys]
+        rows.append([F.lit(name).alias("statistic"), *key, F.when(~F.isnan(v), v).alias("__v")])
+    if len(rows) == 1:
+        return df.select(*rows[0])
+    return df.select(F.explode(F.array(*[F.struct(*r) for r in rows])).alias("__s")).select("__s.*")
+
+
+def quantile_selection(df: DataFrame, wanted: Mapping[str, Statistic], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """(statistic, keys…, qi, q): quantile number ``qi`` of each statistic and group.
+
+    ``keys`` are the grouping columns of all statistics, NULL in the rows of those that
+    don't group by them. A NULL key is a group, a group without values has NULL
+    quantiles, and a statistic without grouping has one row per quantile unless the
+    input is empty."""
+    keys = list(dict.fromkeys(k for own, _, _ in wanted.values() for k in own))
+    group = ["statistic", *keys]
     eps = 3.0 / accuracy
-    bounds = [F.lit(min(1.0, max(0.0, q + side))) for q in qs for side in (-eps, eps)]
-    x = df.select(*keys, F.col(value).cast("double").alias("__v"))
-    stats = x.groupBy(*keys).agg(
-        F.count("__v").alias("__n"), F.percentile_approx("__v", F.array(*bounds), accuracy).alias("__b"))
-    x = x.where(F.col("__v").isNotNull())
-    if keys:
-        stats = written(stats, "brackets")  # read twice: for the brackets and for the ranks
-        x = join_on_keys(x, stats.select(*keys, "__b"), keys, "inner")
-    else:
-        one = stats.first()
-        stats = df.sparkSession.createDataFrame([(one["__n"],)], "__n bigint")
-        x = x.withColumn("__b", F.array(*[F.lit(float(b)) for b in one["__b"] or [0.0] * len(bounds)]))
-    every = x.select(*keys, "__v", "__b", F.explode(F.sequence(F.lit(0), F.lit(len(qs) - 1))).alias("qi"))
-    side = F.when(F.col("__v") < F.get("__b", 2 * F.col("qi")), -1).when(
-        F.col("__v") > F.get("__b", 2 * F.col("qi") + 1), 1).otherwise(0)
-    counts = (
-        every.withColumn("__side", side).withColumn("__in", F.when(F.col("__side") == 0, F.col("__v")))
-        .groupBy(*keys, "qi", "__side", "__in")
-        .agg(F.count(F.lit(1)).alias("__c"), F.max("__v").alias("__max"), F.min("__v").alias("__min"))
-        .select(*keys, "qi", "__side", "__c", F.when(F.col("__side") < 0, F.col("__max")).otherwise(F.col("__min")).alias("__v"))
+    ps = sorted({float(q) for _, _, qs in wanted.values() for q in qs})
+    bounds = [F.lit(min(1.0, max(0.0, p + side))) for p in ps for side in (-eps, eps)]
+    values = _values(df, wanted, keys)
+    # read twice: for the brackets and for the ranks
+    stats = written(values.groupBy(*group).agg(
+        F.count("__v").alias("__n"), F.percentile_approx("__v", F.array(*bounds), accuracy).alias("__b")), "brackets")
+    v = F.col("__v")
+    x = join_on_keys(values.where(v.isNotNull()), stats.select(*group, "__b"), group, "inner")
+    spans = [(F.get("__b", F.lit(2 * i)), F.get("__b", F.lit(2 * i + 1))) for i in range(len(ps))]
+    inside, passed = F.lit(False), F.lit(0)
+    for low, high in spans:
+        inside, passed = inside | v.between(low, high), passed + (v > high).cast("int")
+    cells = (
+        x.select(*group, "__v", F.when(inside, v).alias("__in"), passed.alias("__passed"))
+        .groupBy(*group, "__passed", "__in")
+        .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__min"), F.max("__v").alias("__max"))
     )
-    ranged = written(counts.repartitionByRange(*keys, "qi", "__side", "__v").withColumn("__pid", F.spark_partition_id()), "ranks")
-    group = [*keys, "qi"]
+    ranged = written(cells.repartitionByRange(*group, "__min").withColumn("__pid", F.spark_partition_id()), "ranks")
     ahead = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         ranged.groupBy(*group, "__pid").agg(F.sum("__c").alias("__t"))
         .withColumn("__ahead", F.coalesce(F.sum("__t").over(ahead), F.lit(0))).drop("__t")
     )
-    inside = Window.partitionBy(*group, "__pid").orderBy("__side", "__v").rowsBetween(
+    so_far = Window.partitionBy(*group, "__pid").orderBy("__min").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    running = ranged.withColumn("__upto", F.sum("__c").over(inside))
+    running = ranged.withColumn("__upto", F.sum("__c").over(so_far))
     ranked = join_on_keys(running, totals, [*group, "__pid"], "inner").withColumn("__upto", F.col("__upto") + F.col("__ahead"))
-    wanted = stats.select(*keys, "__n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("p")) for i, q in enumerate(qs)])).alias("w"))
-    wanted = wanted.select(*keys, "__n", "w.qi", (F.col("w.p") * (F.col("__n") - 1)).alias("__pos"))
-    wanted = wanted.withColumn("__r0", F.floor("__pos")).withColumn(
-        "__r1", F.least(F.col("__r0") + 1, F.col("__n") - 1))
-    at = join_on_keys(ranked, wanted.select(*group, "__r0", "__r1"), group, "inner")
-    # of the rows outside the bracket only the nearest value is known
+    own = df.sparkSession.createDataFrame(
+        [(name, i, float(q)) for name, (_, _, qs) in wanted.items() for i, q in enumerate(qs)], "statistic string, qi int, __p double")
+    places = stats.select(*group, "__n").join(F.broadcast(own), "statistic").withColumn("__pos", F.col("__p") * (F.col("__n") - 1))
+    places = places.withColumn("__r0", F.floor("__pos")).withColumn("__r1", F.least(F.col("__r0") + 1, F.col("__n") - 1)).drop("__p")
+    at = join_on_keys(ranked, places.select(*group, "qi", "__r0", "__r1"), group, "inner")
+    # of a cell between brackets only the first and the last value are known
     first, last = F.col("__upto") - F.col("__c"), F.col("__upto") - 1
-    has = lambda r: F.when(F.col("__side") < 0, F.col(r) == last).when(
-        F.col("__side") > 0, F.col(r) == first).otherwise(F.col(r).between(first, last))
-    picked = at.groupBy(*group).agg(
-        F.max(F.when(has("__r0"), F.col("__v"))).alias("__v0"), F.max(F.when(has("__r1"), F.col("__v"))).alias("__v1"))
+    here = lambda r: F.when(F.col(r) == first, F.col("__min")).when(F.col(r) == last, F.col("__max")).when(
+        F.col(r).between(first, last), F.col("__in"))
+    picked = at.groupBy(*group, "qi").agg(F.max(here("__r0")).alias("__v0"), F.max(here("__r1")).alias("__v1"))
     missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
-    return join_on_keys(wanted, picked, group, "left").select(*group, F.when(F.col("__n") == 0, F.lit(None)).when(
+    return join_on_keys(places, picked, [*group, "qi"], "left").select(*group, "qi", F.when(F.col("__n") == 0, F.lit(None)).when(
         F.col("__v0").isNull() | F.col("__v1").isNull(), missed).otherwise(
         F.col("__v0") + (F.col("__pos") - F.col("__r0")) * (F.col("__v1") - F.col("__v0"))).alias("q"))
 
 
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
+                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """(keys…, qi, q): the exact quantile ``qs[qi]`` of ``value`` per group."""
+    return quantile_selection(df, {"one": (list(keys), value, list(qs))}, accuracy).drop("statistic")
+
+
 def grouped_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, out: str = "q",
                      accuracy: int = DEFAULT_ACCURACY, approximate: bool = False) -> DataFrame:
     """(keys…, out): one quantile per group; ``approximate=True`` is the sketch alone (one pass)."""
     keys = list(keys)
     if approximate:
-        return df.groupBy(*keys).agg(F.percentile_approx(F.col(value).cast("double"), float(q), accuracy).alias(out))
+        x = F.col(value).cast("double")
+        return df.groupBy(*keys).agg(F.percentile_approx(F.when(~F.isnan(x), x), float(q), accuracy).alias(out))
     return grouped_quantiles(df, keys, value, [q], accuracy).select(*keys, F.col("q").alias(out))
 
 

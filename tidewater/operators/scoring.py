@@ -209,11 +209,18 @@ def score_requests(requests: DataFrame, model, q_low: float, q_high: float, *, e
     ``requests`` may be a stream: only the readiness check runs a job, on its own row."""
     require_ready(requests.sparkSession, model, q_low, q_high, interval_coverage, age_limits, missing)
     valid, rejected = validate_requests(requests, age_limits=age_limits)
+    out = score_valid(valid, model, q_low, q_high, explain=explain, scout=scout, top_k=top_k, coverage=coverage, link=link,
+                      missing=missing, interval_coverage=interval_coverage)
+    return out, rejection_rows(rejected, key)
+
+
+def score_valid(valid: DataFrame, model, q_low: float, q_high: float, *, explain: bool = False, scout: bool = False,
+                top_k: int = 3, coverage: str | None = None, link: str = "exp", missing: str = "pipeline",
+                interval_coverage: float = 0.8) -> DataFrame:
+    """The scored rows of requests that :func:`validate_requests` let through."""
     frame = scoring_frame(valid, missing=missing)
     pred = (model.contributions(frame, top_k, missing=missing) if (explain or scout)
             else model.predict(frame, missing=missing))
     out = point_and_interval(pred, q_low, q_high, link=link).withColumn(
         "interval_coverage", F.lit(float(interval_coverage)))
-    if scout:
-        out = scout_columns(out, coverage or coverage_label(0.1, 0.9))
-    return out, rejection_rows(rejected, key)
+    return scout_columns(out, coverage or coverage_label(0.1, 0.9)) if scout else out

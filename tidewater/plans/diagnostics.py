@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip_lower, safe_expm1
-from ..operators.stats import (add_error_columns, calibration_table, coverage_expr, error_by_group, error_summary,
-                               group_smearing, quantile_values, smearing_factor_expr, top_n, variant_metrics)
+from ..operators.stats import (ErrorTables, add_error_columns, calibration_table, coverage_expr, cut_points,
+                               distinct_edges, error_tables, group_smearing, quantile_values, selected_quantiles,
+                               smearing_factor_expr, top_n, values_of, variant_metrics)
 
 
 @dataclass
@@ -33,12 +34,17 @@ class ErrorAnalysis:
     accuracy: int | None
 
     @cached_property
+    def tables(self) -> ErrorTables:
+        """Sums and quantiles of the summary, the breakdowns and the calibration."""
+        return error_tables(self.err, self.group_cols, self.accuracy, pred="pred_eur")
+
+    @property
     def summary(self) -> DataFrame:
-        return error_summary(self.err, self.accuracy)
+        return self.tables.summary()
 
-    @cached_property
+    @property
     def by_group(self) -> dict[str, DataFrame]:
-        return {g: error_by_group(self.err, g, self.accuracy) for g in self.group_cols}
+        return {g: self.tables.by_group(g) for g in self.group_cols}
 
     @property
     def top_over(self) -> DataFrame:
@@ -48,9 +54,9 @@ class ErrorAnalysis:
     def top_under(self) -> DataFrame:
         return top_n(self.err, "signed_err_eur", self.top, False, self.key_cols).select(*self.cols)
 
-    @cached_property
+    @property
     def calibration(self) -> DataFrame:
-        return calibration_table(self.err, "pred_eur", "actual_eur", 10, self.accuracy)
+        return calibration_table(self.err, "pred_eur", "actual_eur", edges=self.tables.edges())
 
 
 @dataclass
@@ -65,12 +71,22 @@ class BiasCorrection:
     table: DataFrame | None = None
 
     @cached_property
+    def quantiles(self) -> DataFrame:
+        """Median errors before and after, and the decile edges of the corrected predictions."""
+        error = lambda c: F.abs(F.col(c) - F.col("actual_eur"))
+        return selected_quantiles(self.err, {
+            "baseline": ([], error("pred_eur"), [0.5]), self.label: ([], error(self.corrected), [0.5]),
+            "edges": ([], self.corrected, cut_points(10))}, self.accuracy)
+
+    @property
     def comparison(self) -> DataFrame:
-        return variant_metrics(self.err, "actual_eur", {"baseline": "pred_eur", self.label: self.corrected}, self.accuracy)
+        medians = {k: (values_of(self.quantiles, k) or [None])[0] for k in ("baseline", self.label)}
+        return variant_metrics(self.err, "actual_eur", {"baseline": "pred_eur", self.label: self.corrected}, medians=medians)
 
-    @cached_property
+    @property
     def calibration(self) -> DataFrame:
-        return calibration_table(self.err, self.corrected, "actual_eur", 10, self.accuracy)
+        edges = distinct_edges(values_of(self.quantiles, "edges"))
+        return calibration_table(self.err, self.corrected, "actual_eur", edges=edges)
 
 
 def error_analysis(scored: DataFrame, *, actual: str, group_cols: list[str], key_cols: list[str],

@@ -13,11 +13,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.baselines import global_median, group_medians, predict_group_median
+from ..operators.baselines import median_tables, predict_group_median
 from ..operators.scoring import coverage_label
 from ..operators.stats import quantile_values
-from ..session import scratch_path
-from ..streaming.scoring_stream import drain, requests_as_json, start_scoring
+from ..session import input_stamp, scratch_path, written
+from ..streaming.scoring_stream import drain, requests_as_json, sink_table, start_scoring
 from .star_queries import (ACCT_BUCKETS, GROUP_KEYS, MEASURES, NUMERIC_INPUTS, ORACLE, REQ_AGE_LIMITS, SCORED_SQL,
                            WINDOWS, _ridge_setup, r4, r6, register, requests_frame, scored, split_frames)
 
@@ -87,31 +87,54 @@ class GroupMedianModel:
         return self.predict(df, missing).withColumns({"top_positive": empty, "top_negative": empty})
 
 
-def _streamed(spark, sf, sink: str) -> DataFrame:
-    """All requests as JSON files, scored by an ``availableNow`` stream; one of its sinks."""
-    train, _, _ = split_frames(spark, sf)
-    model = GroupMedianModel(group_medians(train, "target_log", GROUP_KEYS), GROUP_KEYS,
-                             global_median(train, "target_log"))
-    resid = scored(spark, sf, "train").select((F.col("target_log") - F.col("pred_log")).alias("r"))
-    q10, q90 = quantile_values(resid, "r", [0.1, 0.9])
-    reqs = requests_frame(spark, sf).select(
-        F.col("o_orderkey").cast("string").alias("request_id"), "age", "age_bin", "position",
-        "player_club_domestic_competition_id", *[f"{w}_{t}" for w in WINDOWS for t in ["games_played", *MEASURES]])
-    root = scratch_path(spark, "stream")
-    requests_as_json(reqs, "request_id").write.text(f"{root}/in")
-    drain(start_scoring(spark, f"{root}/in", reqs.schema, model, q10, q90, f"{root}/out", f"{root}/ckpt",
-                        coverage_label=coverage_label(0.1, 0.9), age_limits=REQ_AGE_LIMITS))
-    return spark.read.parquet(f"{root}/out/{sink}").withColumn("o_orderkey", F.col("request_id").cast("bigint"))
-
-
-@register("stream_rejections", ORACLE["validate_requests"])
+def _request_files(spark, sf, reqs: DataFrame, folder: str) -> None:
+    """The requests as JSON lines in two sets of files; the second repeats those of every
+    seventh order and has a cut-off line for every fiftieth."""
+    lines = requests_as_json(reqs, "request_id")
+    number = F.get_json_object("value", "$.request_id").cast("bigint")
+    again = lines.where(number % 7 == 0)
+    cut = lines.where(number % 50 == 0).select(F.concat(F.lit('{"request_id": "'), number.cast("string")).alias("value"))
+    lines.write.text(f"{folder}/set=1")
+    again.unionByName(cut).write.text(f"{folder}/set=2")
+
+
+def _streamed(spark, sf) -> str:
+    """All requests as JSON files, scored by an ``availableNow`` stream; its sink folder,
+    made once per input folder: both tables are of one run."""
+    key = (spark.sparkContext.applicationId, sf, input_stamp(spark, sf))
+    if key not in _STREAMED:
+        train, _, _ = split_frames(spark, sf)
+        medians, overall = median_tables(train, "target_log", GROUP_KEYS)
+        # written: each micro-batch joins it
+        model = GroupMedianModel(written(medians, "medians"), GROUP_KEYS, overall)
+        resid = scored(spark, sf, "train").select((F.col("target_log") - F.col("pred_log")).alias("r"))
+        q10, q90 = quantile_values(resid, "r", [0.1, 0.9])
+        reqs = requests_frame(spark, sf).select(
+            F.col("o_orderkey").cast("string").alias("request_id"), "age", "age_bin", "position",
+            "player_club_domestic_competition_id", *[f"{w}_{t}" for w in WINDOWS for t in ["games_played", *MEASURES]])
+        root = scratch_path(spark, "stream")
+        _request_files(spark, sf, reqs, f"{root}/in")
+        drain(start_scoring(spark, f"{root}/in/*", reqs.schema, model, q10, q90, f"{root}/out", f"{root}/ckpt",
+                            coverage_label=coverage_label(0.1, 0.9), age_limits=REQ_AGE_LIMITS))
+        _STREAMED[key] = f"{root}/out"
+    return _STREAMED[key]
+
+
+_STREAMED: dict[tuple, str] = {}
+
+
+@register("stream_rejections", ORACLE["validate_requests"] + """
+UNION ALL SELECT NULL AS o_orderkey, 'body' AS field, 'Request must be one JSON object' AS message
+FROM orders WHERE o_orderkey % 50 = 0
+""")
 def stream_rejections(spark, sf):
-    return _streamed(spark, sf, "rejected").select("o_orderkey", "field", "message")
+    found = sink_table(spark, _streamed(spark, sf), "rejected")
+    return found.select(F.col("request_id").cast("bigint").alias("o_orderkey"), "field", "message")
 
 
 @register("stream_score_bands", ORACLE["score_bands"])
 def stream_score_bands(spark, sf):
-    return _streamed(spark, sf, "scored").select(
-        "o_orderkey", r4(F.col("predicted_value_eur")).alias("predicted_value_eur"),
+    return sink_table(spark, _streamed(spark, sf), "scored").select(
+        F.col("request_id").cast("bigint").alias("o_orderkey"), r4(F.col("predicted_value_eur")).alias("predicted_value_eur"),
         r4(F.col("ci_lower")).alias("ci_lower"), r4(F.col("ci_upper")).alias("ci_upper"),
         "valuation_band", "uncertainty_level", "summary")

@@ -27,22 +27,23 @@ from pyspark.sql import functions as F
 from ..functions.scalar import (age_years, clean_category, completed_years, exact_label_map, full_name,
                                 keyword_bucket, log_target, null_outside, substring_label_map, three_way_bucket)
 from ..operators.cleaning import FOOT_EXACT, FOOT_SUBSTRING, POSITION_RULES, add_age_at_anchor
-from ..operators.model import fit_preprocessing, fit_ridge, top_coefficients
+from ..operators.model import fit_gram, fit_preprocessing, top_coefficients
 from ..operators.report import (BIAS_FLAGS, COVERAGE_FLAGS, LEAGUE_FALLBACK, build_report, report_lines,
                                 report_overall, top_group_risks)
 from ..operators.scoring import (STAT_GROUPS, coverage_label, point_and_interval, rejection_rows, scout_columns,
                                  validate_requests)
-from ..operators.baselines import (add_age_bin, fit_predict_group_median, global_median, group_medians)
+from ..operators.baselines import (add_age_bin, fit_predict_group_median, group_medians, median_tables,
+                                   predict_group_median)
 from ..operators.features import (add_rate_features, apply_collapse, category_counts, collapse_rare_categories,
                                   fit_top_categories, select_feature_group)
 from ..operators.groups import attach_names, clean_games, group_performance, missing_keys, patched_dimension
 from ..operators.profiling import null_counts, null_fraction_top, null_stats, profile_tables
 from ..operators.lookback import lookback_aggregate
 from ..operators.split import iso_date, split_stats, time_cutoff, time_split
-from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, group_smearing,
-                               histogram, quantile_values, regression_metrics, top_n)
+from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, error_tables,
+                               group_smearing, histogram, metrics_by_variant, quantile_values, top_n)
 from ..session import input_stamp, materialize, scratch_path, written_table
-from ..streaming.scoring_stream import drain, requests_as_json, start_scoring
+from ..streaming.scoring_stream import drain, requests_as_json, sink_table, start_scoring
 from .diagnostics import error_analysis, global_bias_correction, groupwise_bias_correction, prediction_intervals
 from ..sources.readers import read_table
 
@@ -408,14 +409,11 @@ FROM test_pred
 """)
 def baseline_metrics(spark, sf):
     train, test, _ = split_frames(spark, sf)
-    m = global_median(train, "target_log")
-    g = regression_metrics(test.withColumn("pred_log", F.lit(m)), "target_log", "pred_log")
-    pa = regression_metrics(fit_predict_group_median(train, test, "target_log", GROUP_KEYS), "target_log", "pred_log")
-
-    def fmt(df, name):
-        return df.select(F.lit(name).alias("model"), r6(F.col("rmse_log")).alias("rmse_log"),
-                         r6(F.col("mae_log")).alias("mae_log"), r4(F.col("mae_eur")).alias("mae_eur"))
-    return fmt(g, "global_median").unionByName(fmt(pa, "position_age_median"))
+    medians, overall = median_tables(train, "target_log", GROUP_KEYS)
+    both = predict_group_median(test, medians, GROUP_KEYS, overall).withColumn("pred_all", F.lit(overall))
+    found = metrics_by_variant(both, "target_log", {"global_median": "pred_all", "position_age_median": "pred_log"})
+    return found.select(F.col("variant").alias("model"), r6(F.col("rmse_log")).alias("rmse_log"),
+                        r6(F.col("mae_log")).alias("mae_log"), r4(F.col("mae_eur")).alias("mae_eur"))
 
 
 # ---------------------------------------------------------------------------
@@ -1088,9 +1086,10 @@ def report_overall_query(spark, sf):
 
 def _report_inputs(spark, sf):
     test = scored(spark, sf)
-    es = error_summary(test).withColumn("cutoff_date", F.lit(iso_date(cutoff_for(spark, sf))))
+    tables = error_tables(test, ["position", "nationality"])
+    es = tables.summary().withColumn("cutoff_date", F.lit(iso_date(cutoff_for(spark, sf))))
     _, iv, _ = prediction_intervals(scored(spark, sf, "train"), test, actual="value")
-    return es, iv, error_by_group(test, "position"), error_by_group(test, "nationality")
+    return es, iv, tables.by_group("position"), tables.by_group("nationality")
 
 
 def _report_overall_frame(spark, sf):
@@ -1184,9 +1183,15 @@ def _ridge_setup(spark: SparkSession, sf: str):
         feats = materialize(feature_frame(spark, sf))
         cutoff = cutoff_for(spark, sf)
         train, test, _ = time_split(feats, "anchor_date", cutoff=cutoff, raw_col="o_orderdate")
-        model = fit_ridge(train, "target_log", NUMERIC_INPUTS, CATEGORICAL_INPUTS, alpha=1.0)
-        _MODELS[key] = (feats, train, test, model)
-    return _MODELS[key]
+        gram = fit_gram(train, "target_log", NUMERIC_INPUTS, CATEGORICAL_INPUTS)
+        _MODELS[key] = (feats, train, test, gram.solve(alpha=1.0), gram)
+    return _MODELS[key][:4]
+
+
+def _gram(spark: SparkSession, sf: str):
+    """The Gram matrix of the model's training rows, which every fit of its columns solves."""
+    _ridge_setup(spark, sf)
+    return _MODELS[spark.sparkContext.applicationId, sf, input_stamp(spark, sf)][4]
 
 
 @register("ridge_coefficients")
@@ -1195,24 +1200,24 @@ def ridge_coefficients(spark, sf):
     return top_coefficients(model, spark, 25)
 
 
+ABLATION_MODES = ["full", "no_nationality", "no_context", "performance_only"]
+
+
+def ablation_columns(mode: str) -> list[str]:
+    return select_feature_group(NUMERIC_INPUTS + CATEGORICAL_INPUTS, mode, nationality=["nationality"], context=["region"],
+                                core=["age", "position"])
+
+
 @register("ablation")
 def ablation(spark, sf):
-    _, train, test, full = _ridge_setup(spark, sf)
-    inputs = NUMERIC_INPUTS + CATEGORICAL_INPUTS
-    rows = None
-    for mode in ["full", "no_nationality", "no_context", "performance_only"]:
-        cols = select_feature_group(inputs, mode, nationality=["nationality"], context=["region"],
-                                    core=["age", "position"])
-        num = [c for c in NUMERIC_INPUTS if c in cols]
-        cat = [c for c in CATEGORICAL_INPUTS if c in cols]
-        model = full if mode == "full" else fit_ridge(train, "target_log", num, cat, alpha=1.0, prep=full.prep,
-                                                      label_stats=(full.n_train, full.label_std),
-                                                      category_labels=full.category_labels)
-        m = regression_metrics(model.predict(test), "target_log", "pred_log").select(
-            F.lit(mode).alias("experiment"), F.lit(len(cols)).alias("n_features_input"), "rmse_log", "mae_log",
-            "mae_eur")
-        rows = m if rows is None else rows.unionByName(m)
-    return rows.orderBy("rmse_log")
+    _, _, test, full = _ridge_setup(spark, sf)
+    gram = _gram(spark, sf)
+    models = {mode: full if mode == "full" else gram.solve(ablation_columns(mode)) for mode in ABLATION_MODES}
+    scored_test = full.predict_all(test, {f"pred_{mode}": m for mode, m in models.items()})
+    found = metrics_by_variant(scored_test, "target_log", {mode: f"pred_{mode}" for mode in models})
+    counts = F.create_map(*[F.lit(x) for mode in models for x in (mode, len(ablation_columns(mode)))])
+    return found.select(F.col("variant").alias("experiment"), counts[F.col("variant")].alias("n_features_input"),
+                        "rmse_log", "mae_log", "mae_eur").orderBy("rmse_log")
 
 
 @register("ridge_explain")
@@ -1256,7 +1261,7 @@ def stream_scoring(spark, sf):
     qs = start_scoring(spark, f"{root}/in", schema, model, q10, q90, f"{root}/out", f"{root}/ckpt",
                        coverage_label=coverage_label(0.1, 0.9), age_limits=REQ_AGE_LIMITS)
     drain(qs)
-    return spark.read.parquet(f"{root}/out/scored")
+    return sink_table(spark, f"{root}/out", "scored")
 
 
 @register("calibration_groupwise", _SMEAR_SQL + """,

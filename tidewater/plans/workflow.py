@@ -18,20 +18,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import keyword_bucket, log_target, safe_date
-from ..operators.baselines import add_age_bin, fit_predict_group_median, global_median
+from ..operators.baselines import add_age_bin, median_tables, predict_group_median
 from ..operators.cleaning import (POSITION_RULES, add_age_at_anchor, clean_entities, default_numeric, drop_missing,
                                   entity_base, keep_positive)
 from ..operators.features import add_rate_features, apply_collapse, fit_top_categories, select_feature_group
 from ..operators.groups import attach_names, clean_games, group_performance, missing_keys, patched_dimension
 from ..operators.lookback import lookback_aggregate
-from ..operators.model import (RidgeModel, column_roles, fit_label_stats, fit_preprocessing, fit_ridge,
-                               top_coefficients)
+from ..operators.model import RidgeModel, column_roles, fit_gram, top_coefficients
 from ..operators.profiling import null_fraction_top, table_shape
 from ..operators.report import report_from_artifacts, report_lines
 from ..operators.split import iso_date, split_stats, time_split
-from ..operators.stats import regression_metrics
+from ..operators.stats import metrics_by_variant
 from ..sources.readers import discover_tables, read_csv_typed, require_columns, table_name, version_tag
-from ..session import materialize
+from ..session import materialize, written
 from ..sources.sinks import save_model, write_summary, write_table
 from .diagnostics import error_analysis, global_bias_correction, groupwise_bias_correction, prediction_intervals
 
@@ -157,32 +156,28 @@ def train(spark: SparkSession, features: DataFrame, *, date_col: str = "date", a
     train_df, test_df, cutoff = time_split(feats, date_col, train_frac)
     inputs = model_inputs(feats, date_col)
     numeric, categorical = column_roles(feats.select(*inputs))
-    rows, full = None, None
-    prep = fit_preprocessing(train_df, numeric, categorical)     # one pass serves all four fits
-    label_stats = fit_label_stats(train_df, TARGET)
-    for mode in ABLATIONS:
-        cols = select_feature_group(inputs, mode)
-        model = fit_ridge(train_df, TARGET, [c for c in numeric if c in cols], [c for c in categorical if c in cols],
-                          alpha, prep=prep, label_stats=label_stats,
-                          category_labels=full.category_labels if full is not None else None)
-        m = regression_metrics(model.predict(test_df), TARGET, "pred_log").select(
-            F.lit(mode).alias("experiment"), F.lit(len(cols)).alias("n_features_input"), "*")
-        rows = m if rows is None else rows.unionByName(m)
-        if mode == "full":
-            full = model
-    gm = global_median(train_df, TARGET)
-    base_g = regression_metrics(test_df.withColumn("pred_log", F.lit(gm)), TARGET, "pred_log")
-    tr_b, te_b = add_age_bin(train_df, age_col), add_age_bin(test_df, age_col)
-    base_pa = regression_metrics(fit_predict_group_median(tr_b, te_b, TARGET, [position_col, "age_bin"]),
-                                 TARGET, "pred_log")
-    ridge = regression_metrics(full.predict(test_df), TARGET, "pred_log")
+    # one Gram matrix serves all fits, and one pass over the test side all metrics
+    gram = fit_gram(train_df, TARGET, numeric, categorical)
+    groups = {mode: select_feature_group(inputs, mode) for mode in ABLATIONS}
+    models = {mode: gram.solve(cols, alpha) for mode, cols in groups.items()}
+    full = models["full"]
+    medians, overall = median_tables(add_age_bin(train_df, age_col), TARGET, [position_col, "age_bin"])
+    scored = full.predict_all(test_df, {f"__pred_{mode}": m for mode, m in models.items()})
+    scored = predict_group_median(add_age_bin(scored, age_col), medians, [position_col, "age_bin"], overall, "__pred_group")
+    variants = {mode: f"__pred_{mode}" for mode in ABLATIONS}
+    variants |= {"baseline_global_median": "__pred_all", "baseline_position_age": "__pred_group"}
+    found = written(metrics_by_variant(scored.withColumn("__pred_all", F.lit(overall)), TARGET, variants), "metrics")
+    sizes = F.create_map(*[F.lit(x) for mode, cols in groups.items() for x in (mode, len(cols))])
+    rows = found.where(F.col("variant").isin(ABLATIONS)).select(
+        F.col("variant").alias("experiment"), sizes[F.col("variant")].alias("n_features_input"), "rmse_log", "mae_log", "mae_eur")
     # rows and dates of both sides, on every metrics row
     sides = {r["side"]: r for r in split_stats(feats, date_col, cutoff).collect()}
     split_cols = [F.lit(sides[s][k] if s in sides else None).alias(f"{s}_{k}" if k != "n" else f"n_{s}")
                   for s in ("train", "test") for k in ("n", "date_min", "date_max")]
-    side = lambda d, name: d.select(F.lit(name).alias("model"), "*", *split_cols)
-    metrics = (side(base_g, "baseline_global_median").unionByName(side(base_pa, "baseline_position_age"))
-               .unionByName(side(ridge, "ridge_model_full")))
+    names = {"baseline_global_median": "baseline_global_median", "baseline_position_age": "baseline_position_age", "full": "ridge_model_full"}
+    label = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    metrics = found.where(F.col("variant").isin(list(names))).select(
+        label[F.col("variant")].alias("model"), "rmse_log", "mae_log", "mae_eur", *split_cols)
     return TrainingResult(cutoff, full, metrics, rows.orderBy("rmse_log"), top_coefficients(full, spark, 25),
                           train_df, test_df)
 

@@ -102,6 +102,10 @@ def read_csv_typed(
     return raw.withColumns({c: _typed(c, t) for c, t in types.items()}) if types else raw
 
 
+#: Fixed pattern: texts that are read as numbers.
+NUMBER_TEXT = r"(?i)^\s*[+-]?(\d+(\.\d*)?([e][+-]?\d+)?|\.\d+([e][+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
 def inferred_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """Column → first of bigint, double, date that every non-null text is; columns
     with other texts, or none at all, are left out. One aggregate over the table."""
@@ -110,7 +114,8 @@ def inferred_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     kinds = ("bigint", "double", "date")
     tests = {
         "bigint": lambda c: F.col(c).rlike(r"^\s*[+-]?\d+\s*$") & F.col(c).try_cast("bigint").isNotNull(),
-        "double": lambda c: F.col(c).try_cast("double").isNotNull(),
+        # a pattern first: a cast alone takes 1d and 2f as numbers
+        "double": lambda c: F.col(c).rlike(NUMBER_TEXT) & F.col(c).try_cast("double").isNotNull(),
         "date": lambda c: F.col(c).rlike(r"^\d{4}-\d{2}-\d{2}$") & F.col(c).try_cast("date").isNotNull(),
     }
     row = df.agg(*[F.min(F.when(F.col(f"`{c}`").isNotNull(), tests[k](f"`{c}`"))).alias(f"{i}_{k}")
@@ -126,6 +131,7 @@ def _typed(col: str, dtype: str):
         return F.to_date(F.try_to_timestamp(c))
     if t in ("timestamp", "timestamp_ntz"):
         return F.try_to_timestamp(c).cast(t)
+    c = F.when(c.rlike(NUMBER_TEXT), c) if t in ("int", "integer", "bigint", "long", "smallint", "double", "float") else c
     if t in ("int", "integer", "bigint", "long", "smallint"):
         x = c.try_cast("double")
         return F.when(F.isnan(x), None).otherwise(x).try_cast(t)
@@ -169,6 +175,13 @@ def discover_tables(spark: SparkSession, folder: str, suffix: str = ".csv") -> l
     return sorted(out)
 
 
+def existing_paths(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    """Paths in ``folder`` whose names begin with ``prefix``, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in fs.listStatus(path) if s.getPath().getName().startswith(prefix))
+
+
 def table_name(path: str, suffix: str | None = None) -> str:
     base = os.path.basename(path.rstrip("/"))
     return re.sub(r"\.[A-Za-z0-9]+$", "", base) if suffix is None else base.removesuffix(suffix)
