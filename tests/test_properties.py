@@ -37,3 +37,35 @@ def test_safe_divide_always_finite(spark, pairs):
         assert q is not None and math.isfinite(q)
         if b != 0 and math.isfinite(a) and math.isfinite(b) and math.isfinite(a / b):
             assert q == a / b
+
+
+def test_top_categories_equal_full_counts(spark):
+    """Few values, very many, ties at the border, and all values alike: always the exact list."""
+    import collections
+    import random
+
+    from tidewater.operators import features
+    pick = random.Random(2)
+    tables = {
+        "few": [pick.choice(["a", "b ", " b", None, "c"]) for _ in range(300)],
+        "zipf": ["v%d" % int(400 * pick.random() ** 4) for _ in range(3000)],
+        "unique": ["u%d" % i for i in range(700)],
+        "ties": ["t%02d" % (i % 60) for i in range(600)],
+        "none": [],
+    }
+    calls = []
+    whole = features.count_top
+    for name, values in tables.items():
+        df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "x string, i int")
+        counts = collections.Counter((v if v is not None else "Unknown").strip() for v in values)
+        for k in (1, 3, 59):
+            want = [v for v, _ in sorted(counts.items(), key=lambda e: (-e[1], e[0]))[:k]]
+            for tracked in (10_000, 64):
+                assert features.fit_top_categories(df, {"x": k}, tracked=tracked)["x"] == want, (name, k, tracked)
+    features.count_top = lambda *args: calls.append(args) or whole(*args)
+    try:
+        df = spark.createDataFrame([("hot",)] * 900 + [("w%d" % i,) for i in range(500)], "x string")
+        assert features.fit_top_categories(df, {"x": 1}, tracked=64)["x"] == ["hot"] and not calls       # proved by the counts
+        assert features.fit_top_categories(df, {"x": 2}, tracked=64)["x"] == ["hot", "w0"] and calls     # a tie at the border
+    finally:
+        features.count_top = whole

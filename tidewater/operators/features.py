@@ -82,36 +82,61 @@ def fit_top_categories(src: DataFrame, specs: Mapping[str, int], missing: str =
                        tracked: int = TRACKED) -> dict[str, list[str]]:
     """Each column's ``top_k`` cleaned values by count, ties by value.
 
-    Exact heavy hitters in one job: a mergeable frequent-items sketch per column names
-    candidates (at most ``tracked``), which are then counted exactly; values that are no
-    candidate are never shuffled. The counts prove the answer: a value that is no candidate
-    has at most as many rows as all candidates leave over, and at most the sketch's error.
-    Where that doesn't put it below the k-th, the column's values are all counted instead."""
+    Exact heavy hitters by a mergeable frequent-items sketch per column, so that no list of
+    all values is ever shuffled. A column whose values the sketch could all keep is counted
+    by it alone, in one pass for all such columns; of the others the sketch only names
+    candidates (:func:`heavy_values`)."""
     for c in specs:
         require_columns(src, [c])
+    names = {f"c{i}": c for i, c in enumerate(specs)}
+    raw = src.select(*[F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias(n) for n, c in names.items()])
+    sketched = raw.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.struct(F.expr(f"approx_top_k({n}, {tracked}, {tracked})").alias("items"), F.approx_count_distinct(n).alias("values")).alias(n)
+        for n in names])
+    items = sketched.select("rows", F.explode(F.array(*[F.struct(F.lit(n).alias("col"), F.col(n).alias("s")) for n in names])).alias("e"))
+    # never more values than a sketch has places: its counts are exact and add up
+    held = F.aggregate("e.s.items", F.lit(0).cast("bigint"), lambda total, x: total + x["count"])
+    whole = (held == F.col("rows")) & (F.col("e.s.values") < tracked // 2)
+    listed = items.select(F.col("e.col").alias("col"), whole.alias("whole"), F.explode("e.s.items").alias("x"))
+    counts = listed.groupBy("col", "whole", clean_category("x.item", missing).alias("value")).agg(F.sum("x.count").alias("n"))
+    limits = F.create_map(*[F.lit(x) for n, c in names.items() for x in (n, specs[c])])
+    place = F.row_number().over(Window.partitionBy("col").orderBy(F.desc("n"), F.asc("value")))
+    best = counts.withColumn("place", place).where(F.col("place") <= limits[F.col("col")]).collect()
+    found = {n: [r["value"] for r in sorted(best, key=lambda r: r["place"]) if r["col"] == n] for n in names}
+    kept = {r["col"] for r in best if r["whole"]}
+    rest = {c: specs[c] for n, c in names.items() if n not in kept}
+    return {c: found[n] for n, c in names.items() if n in kept} | (heavy_values(src, rest, missing, tracked) if rest else {})
+
+
+def heavy_values(src: DataFrame, specs: Mapping[str, int], missing: str = "Unknown", tracked: int = TRACKED) -> dict[str, list[str]]:
+    """:func:`fit_top_categories` of columns with very many values, in one job: a sketch of the
+    cleaned values names at most ``tracked`` candidates, which are then counted exactly. The
+    counts prove the answer: a value that is no candidate has at most as many rows as all
+    candidates leave over, and at most the sketch's error. Where that doesn't put it below
+    the k-th, the column's values are all counted instead."""
     cols = list(specs)
-    cleaned = src.select(*[clean_category(c, missing).alias(f"c{i}") for i, c in enumerate(cols)])
     names = [f"c{i}" for i in range(len(cols))]
-    sketched = cleaned.agg(F.count(F.lit(1)).alias("rows"), *[F.expr(f"approx_top_k({c}, {tracked}, {tracked})").alias(c) for c in names])
+    cleaned = src.select(*[clean_category(c, missing).alias(n) for n, c in zip(names, cols)])
+    sketched = cleaned.agg(F.count(F.lit(1)).alias("rows"), *[F.expr(f"approx_top_k({n}, {tracked}, {tracked})").alias(n) for n in names])
     # tracked values per column at most
     candidates = sketched.select("rows", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("col"), F.col(f"{c}.item").alias("items")) for c in names])).alias("s")).select(
+        F.struct(F.lit(n).alias("col"), F.col(f"{n}.item").alias("items")) for n in names])).alias("s")).select(
         "rows", F.col("s.col").alias("col"), F.explode("s.items").alias("value"))
     long = cleaned.unpivot([], names, "col", "value")
     counts = long.join(F.broadcast(candidates), ["col", "value"]).groupBy("col", "value", "rows").agg(F.count(F.lit(1)).alias("n"))
     by_column = Window.partitionBy("col")
     place = F.row_number().over(by_column.orderBy(F.desc("n"), F.asc("value")))
-    wanted = F.create_map(*[F.lit(x) for c, name in zip(cols, names) for x in (name, specs[c])])
-    best = counts.withColumns({"place": place, "left": F.col("rows") - F.sum("n").over(by_column)}).where(F.col("place") <= wanted[F.col("col")])
-    found: dict[str, list] = {name: [] for name in names}
+    limits = F.create_map(*[F.lit(x) for c, n in zip(cols, names) for x in (n, specs[c])])
+    best = counts.withColumns({"place": place, "left": F.col("rows") - F.sum("n").over(by_column)}).where(F.col("place") <= limits[F.col("col")])
+    found: dict[str, list] = {n: [] for n in names}
     for r in sorted(best.collect(), key=lambda r: r["place"]):
         found[r["col"]].append(r)
     out = {}
-    for c, name in zip(cols, names):
-        own, k = found[name], specs[c]
+    for c, n in zip(cols, names):
+        own, k = found[n], specs[c]
         least = own[-1]["n"] if len(own) >= k and own else 0
         sure = own and (own[0]["left"] < max(least, 1) or (least and least > 7 * own[0]["rows"] / tracked))
-        out[c] = [r["value"] for r in own] if sure else count_top(cleaned.select(name), name, k)
+        out[c] = [r["value"] for r in own] if sure else count_top(cleaned.select(n), n, k)
     return out
 
 

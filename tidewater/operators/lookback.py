@@ -15,14 +15,13 @@ Plan (E1), the same at every grain, by additive time buckets:
 2. a window is the end of its first bucket, a run of whole buckets, and the
    start of the anchor's bucket. The two edges are running sums inside
    (entity, bucket), from either end;
-3. a run of L whole buckets lies in two neighbouring blocks of L buckets: it is
-   a running sum to the end of the first plus one from the start of the second.
+3. the run of whole buckets between them is a frame of at most ``BUCKETS`` bucket
+   totals, for all window lengths in one window node.
 
 Every number is a sum of the facts in its window only: nothing is subtracted, so
-small and huge measures neither cancel nor round each other away. Nothing is
-re-summed per row either. Each step is partitioned by (entity, bucket), or by
-entity over rows that are at most one per bucket: an entity with a third of all
-facts spreads over its buckets.
+small and huge measures neither cancel nor round each other away. Each step is
+partitioned by (entity, bucket), or by entity over rows that are at most one per
+bucket: an entity with a third of all facts spreads over its buckets.
 """
 
 from __future__ import annotations
@@ -37,7 +36,7 @@ from pyspark.sql import types as T
 from ..functions.scalar import try_double
 
 #: Buckets that the longest window may have.
-BUCKETS = 1024
+BUCKETS = 512
 
 UNIT_PER_DAY = {"day": 1, "second": 86_400, "micros": 86_400 * 1_000_000}
 
@@ -95,17 +94,14 @@ def _running(part: list[Column]) -> tuple:
 
 
 def _run_sums(totals: DataFrame, points: DataFrame, spans: Mapping[str, int], names: list[str]) -> DataFrame:
-    """``__e, __at, {prefix}{name}``: sums over the buckets ``[at - L, at)`` for each prefix's L."""
-    stacked = _stacked(totals, "__b", points, spans, names).repartition("__e")
-    sums = {}
-    for prefix, length in spans.items():
-        up, down = _running([F.col("__e"), F.floor(F.col("__p") / F.lit(length))])
-        sums |= {f"__up_{prefix}{c}": F.sum(c).over(up) for c in names}
-        sums |= {f"__down_{prefix}{c}": F.sum(c).over(down) for c in names}
-    marks = stacked.withColumns(sums).where(F.col("__kind") == 0)
-    return marks.groupBy("__e", "__at").agg(*[
-        F.sum(F.when(F.col("__w").isNull(), F.col(f"__up_{prefix}{c}")).when(F.col("__w") == i, F.col(f"__down_{prefix}{c}"))).alias(f"{prefix}{c}")
-        for i, prefix in enumerate(spans) for c in names])
+    """``__e, __at, {prefix}{name}``: sums over the buckets ``[at - L, at)`` for each prefix's L.
+    One sort by (entity, bucket) and one window node for all lengths; a frame has one row per
+    bucket at most, and an entity as many rows as it has buckets and distinct points."""
+    marks = points.select("__e", F.col("__at").alias("__p"), F.lit(True).alias("__mark"), *[F.lit(None).cast(totals.schema[c].dataType).alias(c) for c in names])
+    stacked = totals.select("__e", F.col("__b").alias("__p"), F.lit(False).alias("__mark"), *names).unionByName(marks)
+    ordered = Window.partitionBy("__e").orderBy("__p")
+    sums = [F.sum(c).over(ordered.rangeBetween(-length, -1)).alias(f"{prefix}{c}") for prefix, length in spans.items() for c in names]
+    return stacked.select("__e", F.col("__p").alias("__at"), "__mark", *sums).where(F.col("__mark")).drop("__mark")
 
 
 def _edge_sums(facts: DataFrame, points: DataFrame, spans: Mapping[str, int], width: int, names: list[str]) -> DataFrame:
