@@ -136,6 +136,36 @@ def test_run_workflow_writes_artifacts(spark, raw_dir, tmp_path):
         report_from_artifacts(spark, str(tmp_path / "out" / "artifacts"), "v9")
 
 
+def test_workflow_resumes_at_the_failed_step(spark, raw_dir, tmp_path, monkeypatch):
+    import tidewater.plans.workflow as workflow
+    from tidewater.session import scratch_mark
+
+    def lost(*args, **kw):
+        raise RuntimeError("executor lost")
+
+    out, before = str(tmp_path / "out"), scratch_mark(spark)
+    whole = workflow.global_bias_correction
+    monkeypatch.setattr(workflow, "global_bias_correction", lost)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        workflow.run_workflow(spark, raw_dir, out)
+    monkeypatch.setattr(workflow, "global_bias_correction", whole)
+    model_file = os.path.getmtime(os.path.join(out, "artifacts", "ridge_model_v3", "meta"))
+    paths, ran = workflow.run_steps(spark, raw_dir, out)
+    assert ran == ["bias", "intervals", "report", "tables"]
+    assert os.path.getmtime(os.path.join(out, "artifacts", "ridge_model_v3", "meta")) == model_file
+    again, ran = workflow.run_steps(spark, raw_dir, out)
+    assert ran == [] and again == paths and scratch_mark(spark) == before
+    # other inputs: everything is made again
+    assert workflow.Steps(spark, f"{out}/_steps", "another stamp").done("features") is None
+
+
+def test_only_stated_columns_are_inputs(spark, raw_dir):
+    raw = load_raw(spark, raw_dir, infer=True)
+    feats = build_features(raw["players"], raw["player_valuations"], raw["appearances"], "v3")
+    wide = feats.withColumn("agent_id", F.lit(3)).withColumn("note", F.lit("x"))
+    assert model_inputs(wide) == model_inputs(feats) and "agent_id" not in model_inputs(wide)
+
+
 def test_absent_group_columns_are_one_group(spark):
     df = default_group(spark.createDataFrame([(1, "x")], "a int, position string"), ["position", "league"])
     assert df.first().asDict() == {"a": 1, "position": "x", "league": "Unknown"}

@@ -9,13 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.feature_store import FeatureStore
 from ..operators.cleaning import default_numeric, drop_columns, keep_between, keep_positive, select_existing
 from ..operators.split import with_row_id
 from ..functions.scalar import safe_date
 from ..session import scratch_path
+from ..sources.manifest import CURRENT, read_json, replace_table
 from ..sources.readers import load_table, read_csv_typed, read_table
 from ..sources.sinks import write_table
-from .star_queries import register
+from .star_queries import (_LOOKBACK_COLS, MEASURES, ORACLE, WINDOWS, anchors, cutoff_for, facts, measure_columns, r6,
+                           register)
 from .workflow import profile_raw
 
 
@@ -102,3 +105,43 @@ def row_ids(spark, sf):
     """Orders numbered by date and key."""
     return with_row_id(read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"]),
                        ["o_orderdate", "o_orderkey"]).select("o_orderkey", "row_id")
+
+
+# ---------------------------------------------------------------------------
+# A feature table that grows by batches; A5, A6: counts seen while loading
+# ---------------------------------------------------------------------------
+
+@register("incremental_features", ORACLE["lookback_totals"])
+def incremental_features(spark, sf):
+    """The lookback table built from three batches: orders and items up to a day, those after
+    it, and items that come late. Each adds to the table by rewriting the cells it reaches."""
+    store = FeatureStore(scratch_path(spark, "feature-store"), entity="o_custkey", anchor_time="o_orderdate", fact_time="l_shipdate",
+                         measures={m: m for m in MEASURES}, windows=WINDOWS, entity_buckets=8, block_days=180)
+    items = facts(spark, sf).select("o_custkey", "l_orderkey", "l_shipdate", *[c.alias(m) for m, c in measure_columns().items()])
+    orders, day = anchors(spark, sf), F.lit(cutoff_for(spark, sf))
+    late = F.col("l_orderkey") % 5 == 0
+    store.add(spark, "1", orders.where(F.col("anchor_date") < day), items.where((F.to_date("l_shipdate") < day) & ~late))
+    store.add(spark, "2", orders.where(F.col("anchor_date") >= day), items.where((F.to_date("l_shipdate") >= day) & ~late))
+    store.add(spark, "3", facts=items.where(late))
+    columns = [F.col(c) if c.endswith("games_played") else r6(F.col(c)).alias(c) for c in _LOOKBACK_COLS]
+    return store.features(spark, ["o_orderkey", "o_custkey", "anchor_date", *columns])
+
+
+@register("loaded_counts", """
+SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(CASE WHEN o_totalprice >= 100000 THEN 1 END) AS BIGINT) AS n_valid,
+       CAST(COUNT(CASE WHEN o_totalprice >= 100000 THEN 1 END) AS BIGINT) AS n_view, CAST(0 AS BIGINT) AS n_old
+FROM orders
+""")
+def loaded_counts(spark, sf):
+    """Rows and valid rows as the manifest of a load knows them, the view's rows, and the rows
+    of the table that was there before."""
+    out = scratch_path(spark, "replaced")
+    replace_table(read_table(spark, sf, "nation", ["n_name"]).select(F.col("n_name").alias("o_orderkey"), F.lit(-1.0).alias("o_totalprice")), out)
+    path = write_table(read_table(spark, sf, "orders", ["o_orderkey", "o_totalprice"]), scratch_path(spark, "csv-counts"), "csv")
+    table = load_table(spark, path, out, "valid_orders", valid=F.col("o_totalprice") >= 100000)
+    state = read_json(spark, f"{out}/{CURRENT}")
+    price = F.col("o_totalprice")
+    valid = spark.table("valid_orders").select(price, F.lit(1).alias("in_view"))
+    return valid.unionByName(table.where(price < 0).select(price, F.lit(0).alias("in_view"))).agg(
+        F.lit(state["rows"]).cast("bigint").alias("n_rows"), F.lit(state["valid"]).cast("bigint").alias("n_valid"),
+        F.count(F.when(F.col("in_view") == 1, 1)).alias("n_view"), F.count(F.when(F.col("in_view") == 0, 1)).alias("n_old"))

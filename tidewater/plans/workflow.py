@@ -11,8 +11,10 @@ table (cut lineage, restartable) instead of recomputing the lookback.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +31,10 @@ from ..operators.profiling import null_fraction_top, table_shape
 from ..operators.report import report_from_artifacts, report_lines
 from ..operators.split import iso_date, split_stats, time_split
 from ..operators.stats import metrics_by_variant
-from ..sources.readers import discover_tables, read_csv_typed, require_columns, table_name, version_tag
-from ..session import materialize, written
+from ..sources.manifest import Steps
+from ..sources.readers import (discover_tables, read_artifact, read_csv_typed, require_columns, table_name,
+                               version_tag)
+from ..session import folder_stamp, release_scratch, scratch_mark, written
 from ..sources.sinks import save_model, write_summary, write_table
 from .diagnostics import error_analysis, global_bias_correction, groupwise_bias_correction, prediction_intervals
 
@@ -55,12 +59,13 @@ ABLATIONS = ["full", "no_nationality", "no_context", "performance_only"]
 KNOWN_MISSING_CLUBS = [1, 2, 7, 4506871, 4506872, 4506873]
 
 
-def load_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """Every CSV in the raw folder, typed with ``try_cast`` (A1, A3)."""
+def load_raw(spark: SparkSession, raw_dir: str, infer: bool = False) -> dict[str, DataFrame]:
+    """Every CSV in the raw folder, typed with ``try_cast`` (A1, A3). Columns without a stated
+    type stay text; ``infer`` reads every table once more to find theirs."""
     out = {}
     for path in discover_tables(spark, raw_dir, ".csv"):
         name = table_name(path, ".csv")
-        out[name] = read_csv_typed(spark, path, RAW_TYPES.get(name), infer=True)
+        out[name] = read_csv_typed(spark, path, RAW_TYPES.get(name), infer=infer)
     return out
 
 
@@ -144,8 +149,17 @@ class TrainingResult:
     test: DataFrame
 
 
+#: Fixed names of the model's inputs beside the window columns (w180_…, w365_…).
+MODEL_INPUTS = ["age", "height_in_cm", "current_club_id", "position", "sub_position", "foot", "height_bucket", "country_of_birth",
+                "country_of_citizenship", "player_club_domestic_competition_id"]
+
+
 def model_inputs(features: DataFrame, date_col: str = "date") -> list[str]:
-    return [c for c in features.columns if c not in set(LEAKAGE_COLUMNS + [TARGET, date_col])]
+    """The stated inputs that the table has, in its order (G5); any other column, ids
+    among them, is no input."""
+    stated = set(MODEL_INPUTS)
+    prefixes = tuple(f"{w}_" for w in WINDOWS)
+    return [c for c in features.columns if c != date_col and c not in LEAKAGE_COLUMNS and (c in stated or c.startswith(prefixes))]
 
 
 def train(spark: SparkSession, features: DataFrame, *, date_col: str = "date", alpha: float = 1.0,
@@ -213,67 +227,114 @@ def run_workflow(spark: SparkSession, raw_dir: str, out_dir: str, version: str =
     intervals → report, writing every artifact under ``out_dir``.
 
     ``missing="zero"`` reproduces the reference's diagnostics, which zero-fill
-    inputs before predicting (§8.2); the default uses the fitted imputation."""
-    raw = load_raw(spark, raw_dir)
+    inputs before predicting (§8.2); the default uses the fitted imputation.
+
+    Each step leaves a manifest with the stamp of its inputs (files, version, ``missing``).
+    A run after a failure skips the steps that are done and goes on behind them; scratch
+    tables of this run are deleted at its end."""
+    return run_steps(spark, raw_dir, out_dir, version, missing)[0]
+
+
+def run_steps(spark: SparkSession, raw_dir: str, out_dir: str, version: str = "v3",
+              missing: str = "pipeline") -> tuple[dict[str, str], list[str]]:
+    """:func:`run_workflow`'s paths, and the names of the steps that this call ran."""
     out = out_dir.rstrip("/")
+    steps = Steps(spark, f"{out}/_steps", f"{folder_stamp(spark, raw_dir)}-{version}-{missing}")
+    mark = scratch_mark(spark)
+    try:
+        return _all_steps(spark, steps, raw_dir, out, version, missing), steps.ran
+    finally:
+        release_scratch(spark, mark)
+
+
+def _all_steps(spark: SparkSession, steps: Steps, raw_dir: str, out: str, version: str, missing: str) -> dict[str, str]:
     paths: dict[str, str] = {}
-    feats = build_features(raw["players"], raw["player_valuations"], raw["appearances"], version)
-    paths["features"] = write_table(feats, f"{out}/features/version={version}")
+    raw = cache(lambda: load_raw(spark, raw_dir))
+    art = f"{out}/artifacts"
+
+    def features() -> dict[str, str]:
+        feats = build_features(raw()["players"], raw()["player_valuations"], raw()["appearances"], version)
+        return {"features": write_table(feats, f"{out}/features/version={version}")}
+    paths |= steps.run("features", features)
     feats = spark.read.parquet(paths["features"])          # materialised: later steps start here
     tag = version_tag(paths["features"])
-    res = train(spark, feats)
-    paths["model"] = save_model(res.model, f"{out}/artifacts/ridge_model_{tag}")
-    paths["metrics"] = write_summary(res.metrics.withColumn("cutoff_date", F.lit(iso_date(res.cutoff))),
-                                     f"{out}/artifacts/metrics_{tag}")
-    paths["ablation"] = write_table(res.ablation, f"{out}/artifacts/ablation_{tag}", "csv")
-    paths["top_coefficients"] = write_table(res.top_coefficients, f"{out}/artifacts/ridge_top_coefficients_{tag}",
-                                            "csv")
-    # scored once, checkpointed into the shared folder: every diagnostic below
-    # runs several passes (sums, exact medians, decile edges) over these two
-    scored_train = materialize(res.model.predict(res.train, missing=missing))
-    scored_test = default_group(res.model.predict(res.test, missing=missing), ["position", "domestic_competition_id"])
-    scored_test = materialize(scored_test.withColumn("position_bucket", keyword_bucket("position", POSITION_RULES)))
-    ea = error_analysis(scored_test, actual="market_value_in_eur",
-                        group_cols=["position_bucket", "domestic_competition_id"], key_cols=["player_id", "date"],
-                        keep_cols=["date", "player_id", "position", "domestic_competition_id"])
-    summary = ea.summary.withColumn("cutoff_date", F.lit(iso_date(res.cutoff)))
-    paths["error_summary"] = write_summary(summary, f"{out}/artifacts/error_analysis_summary_{tag}")
-    for g, df in ea.by_group.items():
-        short = "position" if g == "position_bucket" else "league"
-        paths[f"error_by_{short}"] = write_table(df, f"{out}/artifacts/error_by_{short}_{tag}", "csv")
-    paths["top_over"] = write_table(ea.top_over, f"{out}/artifacts/top_overpredictions_{tag}", "csv")
-    paths["top_under"] = write_table(ea.top_under, f"{out}/artifacts/top_underpredictions_{tag}", "csv")
-    paths["calibration"] = write_table(ea.calibration.orderBy("decile"), f"{out}/artifacts/calibration_deciles_{tag}", "csv")
-    bc = global_bias_correction(scored_train, scored_test, actual="market_value_in_eur")
-    paths["bias_comparison"] = write_table(bc.comparison.withColumn("smearing_factor", F.lit(bc.factor)),
-                                           f"{out}/artifacts/error_analysis_bias_comparison_{tag}", "csv")
-    paths["calibration_bc"] = write_table(bc.calibration.orderBy("decile"), f"{out}/artifacts/calibration_deciles_bias_corrected_{tag}", "csv")
-    if GROUP_COL in scored_train.columns:
-        gw = groupwise_bias_correction(scored_train, scored_test, group=GROUP_COL, actual="market_value_in_eur")
-        paths["groupwise_smearing"] = write_table(gw.table, f"{out}/artifacts/groupwise_smearing_{tag}", "csv")
-        paths["groupwise_comparison"] = write_table(gw.comparison.withColumn("global_fallback_smearing", F.lit(gw.factor)),
-                                                    f"{out}/artifacts/error_analysis_groupwise_comparison_{tag}",
-                                                    "csv")
-        paths["calibration_groupwise"] = write_table(gw.calibration.orderBy("decile"), f"{out}/artifacts/calibration_deciles_groupwise_{tag}",
-                                                     "csv")
-    (q_lo, q_med, q_hi), iv_summary, iv_rows = prediction_intervals(scored_train, scored_test,
-                                                                    actual="market_value_in_eur")
-    keep = [c for c in ["date", "player_id", "pred_eur_lower", "pred_eur_median", "pred_eur_upper", "actual_eur"]
-            if c in iv_rows.columns]
-    paths["interval_rows"] = write_table(iv_rows.select(*keep), f"{out}/artifacts/prediction_intervals_{tag}", "csv")
-    iv_summary = iv_summary.withColumn("model_version", F.lit(tag))
-    paths["interval_summary"] = write_summary(iv_summary, f"{out}/artifacts/prediction_interval_summary_{tag}")
-    # from the written artifacts, so that it can be made again without the scored rows
-    report = report_from_artifacts(spark, f"{out}/artifacts", tag)
-    paths["report"] = write_summary(report, f"{out}/artifacts/model_report_{tag}")
-    paths["report_lines"] = write_table(report_lines(report), f"{out}/artifacts/model_report_lines_{tag}", "csv")
-    if "club_games" in raw and "clubs" in raw:
-        cleaned = clean_games(raw["club_games"], ["club_id", "opponent_id"], ["own_goals", "opponent_goals"])
-        paths["club_games_clean"] = write_table(cleaned, f"{out}/processed/club_games_clean", "csv")
-        perf, top10, miss = club_performance(raw["club_games"], raw["clubs"])
-        paths["club_performance"] = write_table(perf, f"{out}/artifacts/club_performance", "csv")
-        paths["club_top10"] = write_table(top10, f"{out}/artifacts/club_top10_win_rate", "csv")
-        paths["club_missing_ids"] = write_table(miss, f"{out}/artifacts/club_missing_ids", "csv")
-    if "players" in raw:
-        paths["players_clean"] = write_table(clean_entities(raw["players"]), f"{out}/processed/players_clean")
-    return paths
+
+    def training() -> dict[str, str]:
+        res = train(spark, feats)
+        return {
+            "model": save_model(res.model, f"{art}/ridge_model_{tag}"),
+            "metrics": write_summary(res.metrics.withColumn("cutoff_date", F.lit(iso_date(res.cutoff))), f"{art}/metrics_{tag}"),
+            "ablation": write_table(res.ablation, f"{art}/ablation_{tag}", "csv"),
+            "top_coefficients": write_table(res.top_coefficients, f"{art}/ridge_top_coefficients_{tag}", "csv"),
+        }
+    paths |= steps.run("training", training)
+
+    # both sides scored once: every diagnostic below runs several passes over these two
+    def scoring() -> dict[str, str]:
+        model = RidgeModel.load(paths["model"])
+        rows = feats.where(F.col(TARGET).isNotNull())
+        cutoff = dt.date.fromisoformat(read_artifact(spark, paths["metrics"], "lines").first()["cutoff_date"])
+        train_rows, test_rows, _ = time_split(rows, "date", cutoff=cutoff)
+        test_scored = default_group(model.predict(test_rows, missing=missing), ["position", "domestic_competition_id"])
+        test_scored = test_scored.withColumn("position_bucket", keyword_bucket("position", POSITION_RULES))
+        return {"scored_train": write_table(model.predict(train_rows, missing=missing), f"{out}/scored/side=train"),
+                "scored_test": write_table(test_scored, f"{out}/scored/side=test")}
+    paths |= steps.run("scoring", scoring)
+    scored_train, scored_test = spark.read.parquet(paths["scored_train"]), spark.read.parquet(paths["scored_test"])
+    cutoff = read_artifact(spark, paths["metrics"], "lines").first()["cutoff_date"]
+
+    def errors() -> dict[str, str]:
+        ea = error_analysis(scored_test, actual="market_value_in_eur",
+                            group_cols=["position_bucket", "domestic_competition_id"], key_cols=["player_id", "date"],
+                            keep_cols=["date", "player_id", "position", "domestic_competition_id"])
+        found = {"error_summary": write_summary(ea.summary.withColumn("cutoff_date", F.lit(cutoff)), f"{art}/error_analysis_summary_{tag}")}
+        for g, df in ea.by_group.items():
+            short = "position" if g == "position_bucket" else "league"
+            found[f"error_by_{short}"] = write_table(df, f"{art}/error_by_{short}_{tag}", "csv")
+        found["top_over"] = write_table(ea.top_over, f"{art}/top_overpredictions_{tag}", "csv")
+        found["top_under"] = write_table(ea.top_under, f"{art}/top_underpredictions_{tag}", "csv")
+        found["calibration"] = write_table(ea.calibration.orderBy("decile"), f"{art}/calibration_deciles_{tag}", "csv")
+        return found
+    paths |= steps.run("errors", errors)
+
+    def bias() -> dict[str, str]:
+        bc = global_bias_correction(scored_train, scored_test, actual="market_value_in_eur")
+        found = {
+            "bias_comparison": write_table(bc.comparison.withColumn("smearing_factor", F.lit(bc.factor)), f"{art}/error_analysis_bias_comparison_{tag}", "csv"),
+            "calibration_bc": write_table(bc.calibration.orderBy("decile"), f"{art}/calibration_deciles_bias_corrected_{tag}", "csv")}
+        if GROUP_COL in scored_train.columns:
+            gw = groupwise_bias_correction(scored_train, scored_test, group=GROUP_COL, actual="market_value_in_eur")
+            found["groupwise_smearing"] = write_table(gw.table, f"{art}/groupwise_smearing_{tag}", "csv")
+            found["groupwise_comparison"] = write_table(gw.comparison.withColumn("global_fallback_smearing", F.lit(gw.factor)),
+                                                        f"{art}/error_analysis_groupwise_comparison_{tag}", "csv")
+            found["calibration_groupwise"] = write_table(gw.calibration.orderBy("decile"), f"{art}/calibration_deciles_groupwise_{tag}", "csv")
+        return found
+    paths |= steps.run("bias", bias)
+
+    def intervals() -> dict[str, str]:
+        _, summary, rows = prediction_intervals(scored_train, scored_test, actual="market_value_in_eur")
+        keep = [c for c in ["date", "player_id", "pred_eur_lower", "pred_eur_median", "pred_eur_upper", "actual_eur"] if c in rows.columns]
+        return {"interval_rows": write_table(rows.select(*keep), f"{art}/prediction_intervals_{tag}", "csv"),
+                "interval_summary": write_summary(summary.withColumn("model_version", F.lit(tag)), f"{art}/prediction_interval_summary_{tag}")}
+    paths |= steps.run("intervals", intervals)
+
+    def report() -> dict[str, str]:
+        # from the written artifacts, so that it can be made again without the scored rows
+        made = report_from_artifacts(spark, art, tag)
+        return {"report": write_summary(made, f"{art}/model_report_{tag}"),
+                "report_lines": write_table(report_lines(made), f"{art}/model_report_lines_{tag}", "csv")}
+    paths |= steps.run("report", report)
+
+    def tables() -> dict[str, str]:
+        found = {}
+        if "club_games" in raw() and "clubs" in raw():
+            cleaned = clean_games(raw()["club_games"], ["club_id", "opponent_id"], ["own_goals", "opponent_goals"])
+            found["club_games_clean"] = write_table(cleaned, f"{out}/processed/club_games_clean", "csv")
+            perf, top10, miss = club_performance(raw()["club_games"], raw()["clubs"])
+            found["club_performance"] = write_table(perf, f"{art}/club_performance", "csv")
+            found["club_top10"] = write_table(top10, f"{art}/club_top10_win_rate", "csv")
+            found["club_missing_ids"] = write_table(miss, f"{art}/club_missing_ids", "csv")
+        if "players" in raw():
+            found["players_clean"] = write_table(clean_entities(raw()["players"]), f"{out}/processed/players_clean")
+        return found
+    return paths | steps.run("tables", tables)

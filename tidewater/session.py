@@ -100,24 +100,31 @@ _HANDED_OUT: dict[str, list[str]] = {}
 _RELEASED = 0
 
 
-def release_scratch(spark: SparkSession) -> int:
+def scratch_mark(spark: SparkSession) -> int:
+    """A mark for :func:`release_scratch`: what is written from now on comes after it."""
+    return len(_HANDED_OUT.get(spark.sparkContext.applicationId, []))
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> int:
     """Delete the folders that this application's operators wrote under the shared
-    checkpoint root, and forget the tables kept in them; returns how many there were.
-    Call it at the end of a job: frames that read those folders are of no use after it."""
+    checkpoint root (after a mark ``since``), and forget the tables kept in them; returns how
+    many there were. Call it at the end of a job: frames that read those folders are of no
+    use after it."""
     global _RELEASED
     app = spark.sparkContext.applicationId
-    paths = _HANDED_OUT.pop(app, [])
+    every = _HANDED_OUT.get(app, [])
+    paths, _HANDED_OUT[app] = every[since:], every[:since]
     conf = spark._jsc.hadoopConfiguration()
     for p in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
-    for k in [k for k in _WRITTEN if k[0] == app]:
+    gone = set(paths)
+    for k in [k for k, p in _WRITTEN.items() if k[0] == app and p in gone]:
         del _WRITTEN[k]
     _RELEASED += 1
     return len(paths)
 
 
-
 def materialize(df):
     """A derived table that feeds several jobs (feature table → model fits), written
     as Parquet to the shared folder: lineage is cut and later scans are pruned."""
@@ -136,16 +143,21 @@ def written(df, name: str):
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def input_stamp(spark: SparkSession, folder: str) -> str:
+def folder_stamp(spark: SparkSession, folder: str) -> str:
     """Names, sizes and modification times of a folder's tables and their files, as one
-    hash: equal as long as the input is the same and no scratch folder was released."""
+    hash: equal as long as the input is the same, in any application."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    seen = [_RELEASED]
+    seen = []
     for top in fs.listStatus(path):
         for status in fs.listStatus(top.getPath()) if top.isDirectory() else [top]:
             seen.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
-    return hashlib.sha256(repr(sorted(seen, key=repr)).encode()).hexdigest()[:16]
+    return hashlib.sha256(repr(sorted(seen)).encode()).hexdigest()[:16]
+
+
+def input_stamp(spark: SparkSession, folder: str) -> str:
+    """:func:`folder_stamp`, which changes too when scratch folders are released."""
+    return f"{folder_stamp(spark, folder)}-{_RELEASED}"
 
 
 def written_table(spark: SparkSession, key: str, build, folder: str | None = None) -> "DataFrame":  # noqa: F821

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sinks import write_table
+from .manifest import current_table, replace_table
 
 # The literals pandas.read_csv reads as missing by default.
 PANDAS_NULL_TOKENS = [
@@ -31,9 +31,10 @@ class MissingColumnsError(KeyError):
 
 def require_columns(df: DataFrame, cols: Iterable[str], what: str = "input") -> DataFrame:
     """Fail fast at plan time when required columns are absent (A13); needs no job."""
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise MissingColumnsError(f"Missing required columns for {what}: {missing}")
+    there = set(df.columns)
+    absent = [c for c in cols if c not in there]
+    if absent:
+        raise MissingColumnsError(f"{what} lacks {', '.join(absent)}; it has {', '.join(df.columns)}")
     return df
 
 
@@ -145,12 +146,16 @@ def load_table(spark: SparkSession, path: str, out: str, view: str, *, valid=Non
                types: Mapping[str, str] | None = None, infer: bool = True, multi_line: bool = False) -> DataFrame:
     """Load a CSV table (A4, A5): malformed rows dropped, columns typed, the Parquet table
     at ``out`` replaced, and the rows for which ``valid`` (a condition) is true published as
-    the temporary view ``view`` (all rows without a condition). Returns the loaded table."""
+    the temporary view ``view`` (all rows without a condition). Returns the loaded table.
+
+    The table is replaced without a gap (:mod:`manifest`), and its manifest says how many
+    rows it has and how many are ``valid``; read it elsewhere with ``current_table``."""
     require_paths(spark, [path])
     df = read_csv_typed(spark, path, types, drop_malformed=True, infer=infer, multi_line=multi_line)
-    write_table(df, out)
-    table = spark.read.schema(df.schema).parquet(out)
-    (table if valid is None else table.where(valid)).createOrReplaceTempView(view)
+    condition = F.expr(valid) if isinstance(valid, str) else valid
+    replace_table(df, out, {} if valid is None else {"valid": condition})
+    table = current_table(spark, out)
+    (table if valid is None else table.where(condition)).createOrReplaceTempView(view)
     return table
 
 
@@ -198,14 +203,14 @@ def version_tag(path: str, tags: Sequence[str] = ("v1", "v2", "v3", "v4")) -> st
 
 def read_artifact(spark: SparkSession, path: str, fmt: str | None = None,
                   schema: T.StructType | str | None = None) -> DataFrame:
-    """JSON / CSV / Parquet artifact with an existence check."""
+    """JSON / JSON-lines / CSV / Parquet artifact with an existence check."""
     require_paths(spark, [path])
     fmt = fmt or path.rsplit(".", 1)[-1].lower()
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    if fmt == "json":
-        return reader.option("multiLine", True).json(path)
+    if fmt in ("json", "lines"):
+        return reader.option("multiLine", fmt == "json").json(path)
     if fmt == "csv":
         return reader.option("header", True).option("inferSchema", schema is None).csv(path)
     return reader.parquet(path)
