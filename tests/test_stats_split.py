@@ -171,3 +171,44 @@ def test_row_ids_are_dense_in_order(spark):
     assert [g[0] for g in got] == list(range(101))
     assert [g[1:] for g in got] == sorted(((v, k) for k, v in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
     assert with_row_id(df.limit(0), ["v", "k"]).count() == 0
+
+
+def test_split_summary_is_cutoff_and_stats_in_one_aggregate(spark):
+    import datetime as dt
+    from tidewater.operators.split import split_stats, split_summary, time_cutoff
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=d * d % 37) for d in range(50)] + [None]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    for frac in (0.0, 0.3, 0.8, 1.0):
+        cutoff, sides = split_summary(df, "d", frac)
+        assert cutoff == time_cutoff(df, "d", frac)
+        assert sorted(map(tuple, sides.collect())) == sorted(map(tuple, split_stats(df, "d", cutoff).collect()))
+    with pytest.raises(ValueError):
+        split_summary(df.limit(0), "d")
+    with pytest.raises(TypeError):
+        split_summary(df.withColumn("d", F.col("d").cast("string")), "d")
+
+
+def test_several_statistics_in_one_selection(spark):
+    """Groupings with a null group and an empty one, NaN and null values, against numpy."""
+    from tidewater.operators.quantiles import quantile_selection
+    rng = np.random.default_rng(1)
+    rows = [(None if i % 7 == 0 else "abc"[i % 3], int(i % 2), float(rng.integers(0, 60)) if i % 5 else None, float("nan") if i % 4 == 0 else float(rng.normal())) for i in range(900)]
+    rows += [("empty", 0, None, float("nan"))]
+    df = spark.createDataFrame(rows, "g string, h int, x double, y double")
+    wanted = {"all": ([], "x", [0.0, 0.25, 0.5, 1.0]), "by g": (["g"], "y", [0.1, 0.9]), "by both": (["g", "h"], F.col("x") * 2, [0.5])}
+    for accuracy in (10_000, 20):
+        got = {(r["statistic"], r["g"], r["h"], r["qi"]): r["q"] for r in quantile_selection(df, wanted, accuracy).collect()}
+        want = {}
+        for i, q in enumerate(wanted["all"][2]):
+            want["all", None, None, i] = np.quantile([r[2] for r in rows if r[2] is not None], q)
+        for g in (None, "a", "b", "c", "empty"):
+            own = [r[3] for r in rows if r[0] == g and not np.isnan(r[3])]
+            for i, q in enumerate((0.1, 0.9)):
+                want["by g", g, None, i] = np.quantile(own, q) if own else None
+            for h in (0, 1):
+                both = [2 * r[2] for r in rows if r[0] == g and r[1] == h and r[2] is not None]
+                if any(r[0] == g and r[1] == h for r in rows):
+                    want["by both", g, h, 0] = np.quantile(both, 0.5) if both else None
+        assert got.keys() == want.keys()
+        assert all((want[k] is None and got[k] is None) or np.isclose(got[k], want[k], rtol=1e-12) for k in want)
+    assert quantile_selection(df.limit(0), wanted).count() == 0

@@ -86,6 +86,29 @@ def time_cutoff(df: DataFrame, date_col: str, train_frac: float = 0.8):
     return value_at_rank(x, date_col, min(int(n * train_frac), n - 1))
 
 
+SPLIT_SCHEMA = "side string, n bigint, date_min date, date_max date"
+
+
+def split_summary(df: DataFrame, date_col: str, train_frac: float = 0.8) -> tuple[dt.date, DataFrame]:
+    """(cutoff, :func:`split_stats`) of a date column from one aggregate by day: where to cut,
+    and rows and dates of both sides, without a scan for each (E5, D17)."""
+    if not isinstance(df.schema[date_col].dataType, T.DateType):
+        raise TypeError(f"{date_col} must be a date")
+    per_day = df.where(F.col(date_col).isNotNull()).groupBy(F.col(date_col).alias("__d")).agg(F.count(F.lit(1)).alias("__n"))
+    # windows over a table of distinct days
+    w = Window.orderBy("__d")
+    upto = F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    total = F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    k = F.least(F.floor(total.cast("double") * F.lit(float(train_frac))), total - 1)
+    side = F.when(upto > k, "test").otherwise("train")
+    sides = per_day.withColumn("side", side).groupBy("side").agg(
+        F.sum("__n").alias("n"), F.min("__d").alias("date_min"), F.max("__d").alias("date_max")).collect()
+    cutoff = next((r["date_min"] for r in sides if r["side"] == "test"), None)
+    if cutoff is None:
+        raise ValueError("cannot split an empty table")
+    return cutoff, df.sparkSession.createDataFrame([tuple(r) for r in sides], SPLIT_SCHEMA)
+
+
 def time_split(df: DataFrame, date_col: str, train_frac: float = 0.8, cutoff=None, raw_col: str | None = None):
     """(train, test, cutoff): train is ``date < cutoff``, test ``date >= cutoff``.
 

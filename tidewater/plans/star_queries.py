@@ -39,7 +39,7 @@ from ..operators.features import (add_rate_features, apply_collapse, category_co
 from ..operators.groups import attach_names, clean_games, group_performance, missing_keys, patched_dimension
 from ..operators.profiling import null_counts, null_fraction_top, null_stats, profile_tables
 from ..operators.lookback import lookback_aggregate
-from ..operators.split import iso_date, split_stats, time_cutoff, time_split
+from ..operators.split import iso_date, split_summary, time_split
 from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, error_tables,
                                group_smearing, histogram, metrics_by_variant, quantile_values, top_n)
 from ..session import input_stamp, materialize, scratch_path, written_table
@@ -258,17 +258,23 @@ def build_model_base(spark: SparkSession, sf: str) -> DataFrame:
     return add_age_bin(df, "age", AGE_EDGES)
 
 
-_CUTOFFS: dict[tuple, object] = {}
+_CUTOFFS: dict[tuple, tuple] = {}
 
 
-def cutoff_for(spark: SparkSession, sf: str):
-    """E5 cutoff of the model rows (kept per application and input folder, like a training artifact)."""
+def _split(spark: SparkSession, sf: str):
+    """Cutoff and split statistics of the model rows, from one aggregate by day (kept per
+    application and input folder, like a training artifact)."""
     key = (spark.sparkContext.applicationId, sf, input_stamp(spark, sf))
     if key not in _CUTOFFS:
-        _CUTOFFS[key] = time_cutoff(model_base(spark, sf).select("anchor_date"), "anchor_date", 0.8)
+        _CUTOFFS[key] = split_summary(model_base(spark, sf).select("anchor_date"), "anchor_date", 0.8)
     return _CUTOFFS[key]
 
 
+def cutoff_for(spark: SparkSession, sf: str):
+    """E5 cutoff of the model rows."""
+    return _split(spark, sf)[0]
+
+
 def split_frames(spark: SparkSession, sf: str):
     base = model_base(spark, sf)
     train, test, cutoff = time_split(base, "anchor_date", cutoff=cutoff_for(spark, sf), raw_col="o_orderdate")
@@ -364,12 +370,9 @@ SELECT cutoff AS cutoff_date,
 FROM cut
 """)
 def time_split_query(spark, sf):
-    cutoff = cutoff_for(spark, sf)
-    is_train = F.col("anchor_date") < F.lit(cutoff)
-    return model_base(spark, sf).agg(
-        F.count(F.when(is_train, 1)).alias("n_train"),
-        F.count(F.when(~is_train, 1)).alias("n_test"),
-    ).select(F.lit(cutoff).alias("cutoff_date"), "n_train", "n_test")
+    cutoff, sides = _split(spark, sf)
+    count = lambda side: F.sum(F.when(F.col("side") == side, F.col("n")).otherwise(0)).alias(f"n_{side}")
+    return sides.agg(count("train"), count("test")).select(F.lit(cutoff).alias("cutoff_date"), "n_train", "n_test")
 
 
 @register("split_stats", "WITH " + BASE_SQL.strip() + """
@@ -378,7 +381,7 @@ SELECT CASE WHEN anchor_date < cutoff THEN 'train' ELSE 'test' END AS side,
 FROM base, cut GROUP BY 1
 """)
 def split_stats_query(spark, sf):
-    return split_stats(model_base(spark, sf), "anchor_date", cutoff_for(spark, sf))
+    return _split(spark, sf)[1]
 
 
 # ---------------------------------------------------------------------------

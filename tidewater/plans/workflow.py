@@ -29,7 +29,7 @@ from ..operators.lookback import lookback_aggregate
 from ..operators.model import RidgeModel, column_roles, fit_gram, top_coefficients
 from ..operators.profiling import null_fraction_top, table_shape
 from ..operators.report import report_from_artifacts, report_lines
-from ..operators.split import iso_date, split_stats, time_split
+from ..operators.split import iso_date, split_summary, time_split
 from ..operators.stats import metrics_by_variant
 from ..sources.manifest import Steps
 from ..sources.readers import (discover_tables, read_artifact, read_csv_typed, require_columns, table_name,
@@ -167,7 +167,9 @@ def train(spark: SparkSession, features: DataFrame, *, date_col: str = "date", a
     """Time split, four ablation fits on the same split, full model,
     coefficients, global and position × age median baselines (G10–G12, G17)."""
     feats = features.where(F.col(TARGET).isNotNull())
-    train_df, test_df, cutoff = time_split(feats, date_col, train_frac)
+    # cutoff, rows and dates of both sides from one aggregate by day
+    cutoff, sides_table = split_summary(feats.withColumn(date_col, F.to_date(date_col)), date_col, train_frac)
+    train_df, test_df, _ = time_split(feats, date_col, cutoff=cutoff)
     inputs = model_inputs(feats, date_col)
     numeric, categorical = column_roles(feats.select(*inputs))
     # one Gram matrix serves all fits, and one pass over the test side all metrics
@@ -185,7 +187,7 @@ def train(spark: SparkSession, features: DataFrame, *, date_col: str = "date", a
     rows = found.where(F.col("variant").isin(ABLATIONS)).select(
         F.col("variant").alias("experiment"), sizes[F.col("variant")].alias("n_features_input"), "rmse_log", "mae_log", "mae_eur")
     # rows and dates of both sides, on every metrics row
-    sides = {r["side"]: r for r in split_stats(feats, date_col, cutoff).collect()}
+    sides = {r["side"]: r for r in sides_table.collect()}
     split_cols = [F.lit(sides[s][k] if s in sides else None).alias(f"{s}_{k}" if k != "n" else f"n_{s}")
                   for s in ("train", "test") for k in ("n", "date_min", "date_max")]
     names = {"baseline_global_median": "baseline_global_median", "baseline_position_age": "baseline_position_age", "full": "ridge_model_full"}
