@@ -205,6 +205,19 @@ def _statuses(own: BlockPhrases, replies: pd.DataFrame, bits: int) -> np.ndarray
     return np.concatenate([np.zeros(0, np.uint8), *(unpack(by_part[part], np.uint8) for part, _, _ in own.parts(bits))])
 
 
+def _only(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of ascending ranges, those that overlap together, one after the other; and by
+    how much each range has moved to the front."""
+    if not len(first):
+        return data[:0], first
+    new = np.concatenate([[True], first[1:] > end[:-1]])
+    starts = first[new]
+    sizes = end[np.append(np.flatnonzero(new)[1:], len(end)) - 1] - starts
+    before = np.cumsum(sizes) - sizes
+    taken = np.arange(sizes.sum()) + np.repeat(starts - before, sizes)
+    return data[taken], (starts - before)[np.cumsum(new) - 1]
+
+
 def _asked_windows(own: BlockPhrases, status: np.ndarray, length: int):
     """Starts of all windows of the phrases that this block is asked for, and their
     distinct hashes with counts (2 for more) and which of them each window is."""
@@ -214,7 +227,8 @@ def _asked_windows(own: BlockPhrases, status: np.ndarray, length: int):
     count = last - first + 1
     where = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
     weight = np.repeat(1 + (status[asked] & REPEATED), count)
-    high, low, total, which = merged(*window_hashes(own.data, where, length), weight)
+    data, moved = _only(own.data, first, last + length)
+    high, low, total, which = merged(*window_hashes(data, where - np.repeat(moved, count), length), weight)
     return where, high, low, np.minimum(total, 2).astype(np.uint8), which
 
 
