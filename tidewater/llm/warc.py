@@ -17,7 +17,7 @@ import hashlib
 import struct
 import uuid
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -33,7 +33,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 INDEX_SCHEMA = (
     "page_id long, bundle string, frame int, frame_at long, frame_size long, frame_raw long, offset long, length long"
 )
+INDEX_ARROW = pa.schema([(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[c.split()[1]]) for c in INDEX_SCHEMA.split(", ")])
 RECORD_SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
+RECORD_ARROW = pa.schema([(c.split()[0], {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[c.split()[1]]) for c in RECORD_SCHEMA.split(", ")])
 
 
 def payload_digest(payload: bytes) -> str:
@@ -137,12 +139,11 @@ class _Bundle:
         self.at += len(frame)
         self.held, self.raw = [], 0
 
-    def close(self) -> pd.DataFrame:
+    def close(self) -> pa.RecordBatch:
         self.flush()
         self.out.write(seek_table(self.frames))
         self.out.close()
-        rows = pd.DataFrame(self.index, columns=[c.split()[0] for c in INDEX_SCHEMA.split(", ")])
-        return rows.assign(page_id=rows["page_id"].astype("Int64"))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*self.index), INDEX_ARROW)], schema=INDEX_ARROW)
 
 
 def _open_system(folder: str):
@@ -171,7 +172,8 @@ def write_archive(
         F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"),
         F.coalesce(F.col(f"`{html}`"), F.lit("")).cast("binary").alias("payload"),
     )
-    key = F.sha1("payload")
+    # equal payloads: SHA-1, which names them in the records, can be made to collide
+    key = F.sha2("payload", 256)
     repeated = written(
         rows.groupBy(key.alias("sha")).agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
         .where(F.col("n") > 1).select("sha", "response_id"), "payloads")
@@ -182,9 +184,7 @@ def write_archive(
         system.create_dir(path, recursive=True)
         bundle = size = None
         for batch in batches:
-            for row in zip(*(batch[c].tolist() for c in ("page_id", "url", "payload", "response_id"))):
-                own, link, payload, response = (None if x is None or x != x else x for x in row)
-                own, response = (None if x is None else int(x) for x in (own, response))
+            for own, link, payload, response in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "response_id"))):
                 record = encode_record(own, link, payload, response, response is None or own == response, date)
                 if bundle is None:
                     bundle, size = _Bundle(system, path, frame_bytes), 0
@@ -196,12 +196,12 @@ def write_archive(
         if bundle is not None:
             yield bundle.close()
 
-    return written(told.mapInPandas(write, INDEX_SCHEMA), "warc-index")
+    return written(told.mapInArrow(write, INDEX_SCHEMA), "warc-index")
 
 
 def _records(bundles, whole: bool):
     for batch in bundles:
-        for place in batch["place"].tolist():
+        for place in batch.column("place").to_pylist():
             system, path = _open_system(place)
             out = []
             with system.open_input_file(path) as handle:
@@ -221,9 +221,8 @@ def _records(bundles, whole: bool):
                 yield _frame(out)
 
 
-def _frame(records: list[dict]) -> pd.DataFrame:
-    rows = pd.DataFrame(records, columns=[c.split()[0] for c in RECORD_SCHEMA.split(", ")])
-    return rows.assign(page_id=rows["page_id"].astype("Int64"), refers_to=rows["refers_to"].astype("Int64"))
+def _frame(records: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(records, schema=RECORD_ARROW)
 
 
 def _places(index: DataFrame) -> DataFrame:
@@ -242,7 +241,7 @@ def _scheme(spark) -> str:
 
 def read_archive(index: DataFrame, payloads: bool = True) -> DataFrame:
     """All records of the bundles that ``index`` names, frame by frame."""
-    return _places(index).mapInPandas(lambda it: _records(it, payloads), RECORD_SCHEMA)
+    return _places(index).mapInArrow(lambda it: _records(it, payloads), RECORD_SCHEMA)
 
 
 def fetch(index: DataFrame, ids: DataFrame) -> DataFrame:
@@ -251,12 +250,14 @@ def fetch(index: DataFrame, ids: DataFrame) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            for place, spots in batch.groupby(["bundle", "frame_at"]):
+            by_frame: dict[tuple, list] = {}
+            for spot in batch.to_pylist():
+                by_frame.setdefault((spot["bundle"], spot["frame_at"]), []).append(spot)
+            for place, spots in by_frame.items():
                 system, path = _open_system(scheme + place[0])
                 with system.open_input_file(path) as handle:
-                    handle.seek(int(place[1]))
-                    first = spots.iloc[0]
-                    data = zstandard.ZstdDecompressor().decompress(handle.read(int(first["frame_size"])), max_output_size=int(first["frame_raw"]))
-                yield _frame([decode_record(data, int(at))[0] for at in spots["offset"]])
+                    handle.seek(place[1])
+                    data = zstandard.ZstdDecompressor().decompress(handle.read(spots[0]["frame_size"]), max_output_size=spots[0]["frame_raw"])
+                yield _frame([decode_record(data, spot["offset"])[0] for spot in spots])
 
-    return index.join(ids.select("page_id").distinct(), "page_id", "left_semi").mapInPandas(read, RECORD_SCHEMA)
+    return index.join(ids.select("page_id").distinct(), "page_id", "left_semi").mapInArrow(read, RECORD_SCHEMA)
