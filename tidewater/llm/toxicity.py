@@ -172,14 +172,20 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(beta[0], 0.0)), float(beta[1])
 
 
+#: Log-odds of a score of 0.25, where there are no labelled rows to fit a curve on.
+UNLABELLED = -math.log(3)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, strength: float = 20.0, penalty: float = 0.5,
     doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
 ) -> ToxicityModel:
     """Learns from the rows of ``labels`` that are given (leave out what is held
     out): a sample of at most ``most_labelled`` of them, three quarters for counts,
-    the others for the law and the curve. Null labels and ids are left out; an id
-    with several labels counts as toxic if one of them is 1."""
+    the others for the law and the curve, which sees the best 64 segments of a text.
+    Null labels and ids are left out; an id with several labels counts as toxic if one
+    of them is 1. Without rows for the curve nothing is known against any text: every
+    score is 0.25, so that none is predicted to be toxic."""
     small_batches(docs.sparkSession)
     known = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{doc_id}`").isNotNull())
     known = known.groupBy(F.col(f"`{doc_id}`").alias("label_id")).agg(F.max((F.col(f"`{label}`") == 1).cast("int")).alias("label"))
@@ -215,6 +221,8 @@ def fit(
     evidence = np.array([model.evidence(list(s), max(int(w), 1)) for w, s in zip(measured["words"], measured["sums"])])
     if len(measured):
         model.slope, model.level = _logistic(np.log1p(evidence), measured["toxic"].to_numpy(np.float64))
+    else:
+        model.slope, model.level = 0.0, UNLABELLED
     return model
 
 
