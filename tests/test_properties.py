@@ -58,10 +58,9 @@ def test_top_categories_equal_full_counts(spark):
     for name, values in tables.items():
         df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "x string, i int")
         counts = collections.Counter((v if v is not None else "Unknown").strip() for v in values)
-        for k in (1, 3, 59):
+        for k, tracked in ((3, 10_000), (59, 64)):
             want = [v for v, _ in sorted(counts.items(), key=lambda e: (-e[1], e[0]))[:k]]
-            for tracked in (10_000, 64):
-                assert features.fit_top_categories(df, {"x": k}, tracked=tracked)["x"] == want, (name, k, tracked)
+            assert features.fit_top_categories(df, {"x": k}, tracked=tracked)["x"] == want, (name, k, tracked)
     features.count_top = lambda *args: calls.append(args) or whole(*args)
     try:
         df = spark.createDataFrame([("hot",)] * 900 + [("w%d" % i,) for i in range(500)], "x string")
