@@ -56,8 +56,8 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (text[:cut[-1]], text[cut[-1]:]) if cut else (text, text)
 
 
-def ways(text: str, shingle: int) -> list[list[tuple[int, np.ndarray]]]:
-    """The ways to match an item, each as parts that must all be there (shingle
+def ways(text: str, shingle: int) -> list[list[tuple[np.ndarray, int, np.ndarray]]]:
+    """The ways to match an item, each as parts that must all be there (words, shingle
     length, distinct shingles): the whole item; its question and its answer; and,
     where the answer is one shingle at most, the same split with the answer joined to
     the sentence before it."""
@@ -71,13 +71,13 @@ def ways(text: str, shingle: int) -> list[list[tuple[int, np.ndarray]]]:
     for split in splits:
         tokens = [words for words in map(_words, split) if len(words)]
         if tokens:
-            out.append([(min(shingle, len(words)), np.unique(shingle_hashes(words, min(shingle, len(words))))) for words in tokens])
+            out.append([(words, min(shingle, len(words)), np.unique(shingle_hashes(words, min(shingle, len(words))))) for words in tokens])
     return out
 
 
 def matches(ways: list, words: np.ndarray, share: float) -> bool:
     """Whether the passage ``words`` holds ``share`` of each part of one of ``ways``."""
-    return any(all(np.isin(shingles, shingle_hashes(words, n)).mean() >= share for n, shingles in parts) for parts in ways)
+    return any(all(np.isin(shingles, shingle_hashes(words, n)).mean() >= share for _, n, shingles in parts) for parts in ways)
 
 
 @dataclass
@@ -90,30 +90,108 @@ class Index:
     block_offsets: np.ndarray  # of each term's blocks
     block: np.ndarray
     block_max: np.ndarray
-    ways: list[list[list[tuple[int, np.ndarray]]]]  # of each item
+    ways: list[list[list[tuple[np.ndarray, int, np.ndarray]]]]  # of each item
     longest: int
+    reach: np.ndarray  # what the impacts are divided by, as a share of the item's own score
 
     @property
     def blocks(self) -> int:
         return -(-len(self.items) // BLOCK)
 
 
-def build_index(items: list[tuple[int, str]], shingle: int) -> Index:
-    """An item needs one word at least to be found. Repeated ids are items each."""
+def most_missing(weights: np.ndarray, lost: int, n: int) -> float:
+    """The most weight of words that can be missing from a text when ``lost`` of its
+    ``n``-word shingles are. A run of missing shingles misses the words that are in no other
+    one: its length less ``n - 1``, and ``n - 1`` more at an end of the text. ``weights`` are the
+    words' in order (0 where a word was before: it is missing only if its first place is)."""
+    shingles = len(weights) - n + 1
+    sums = np.concatenate([[0.0], np.cumsum(weights)])
+    best = np.zeros((shingles + 2, lost + 1))      # by the next shingle and what may still be lost
+    for at in range(shingles - 1, -1, -1):
+        best[at] = best[at + 1]
+        low = 0 if at == 0 else at + n - 1
+        for run in range(1, min(lost, shingles - at) + 1):
+            high = len(weights) if at + run == shingles else at + run
+            if high > low:
+                gain = sums[high] - sums[low]
+                best[at, run:] = np.maximum(best[at, run:], gain + best[min(at + run + 1, shingles), :lost + 1 - run])
+    return float(best[0, lost])
+
+
+def least_score(ways: list, terms: np.ndarray, weights: np.ndarray, share: float) -> float:
+    """The least share of an item's own score that a passage can have which holds ``share`` of the
+    shingles in one of ``ways``; ``terms`` are the item's words (sorted) and ``weights`` their
+    shares of its score."""
+    least = 1.0
+    for parts in ways:
+        gone = 0.0
+        for words, n, shingles in parts:
+            lost = int((1 - share) * len(shingles) + 1e-9)
+            own = np.zeros(len(words))
+            first = np.unique(words, return_index=True)[1]
+            own[first] = weights[np.searchsorted(terms, words[first])]
+            if len(shingles) < len(words) - n + 1:
+                # a shingle that stands twice takes more along: at most twice as many words
+                gone += np.sort(own)[::-1][:2 * lost].sum()
+            elif lost:
+                gone += most_missing(own, lost, n)
+        least = min(least, 1 - gone)
+    # any match shares a word
+    return max(least, float(weights.min()))
+
+
+@dataclass
+class Statistics:
+    """Of the whole collection: items, their words on average and at most, and in how many
+    items each word (a sorted hash) is."""
+
+    items: int
+    words: int
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+    @staticmethod
+    def of(texts: list[str]) -> Statistics:
+        words = [_words(t) for t in texts]
+        terms, df = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(np.unique, words)]), return_counts=True)
+        return Statistics(len(words), sum(map(len, words)), max(map(len, words), default=0), terms, df)
+
+    def __add__(self, other: Statistics) -> Statistics:
+        terms, which = np.unique(np.concatenate([self.terms, other.terms]), return_inverse=True)
+        df = np.bincount(which, weights=np.concatenate([self.df, other.df]), minlength=len(terms)).astype(np.int64)
+        return Statistics(self.items + other.items, self.words + other.words, max(self.longest, other.longest), terms, df)
+
+
+def build_index(items: list[tuple[int, str]], shingle: int, share: float | None = None, most: float = 1.0, stats: Statistics | None = None) -> Index:
+    """An item needs one word at least to be found. Repeated ids are items each. With a
+    ``share`` impacts are divided by :func:`least_score`, at most ``most``. ``stats`` are
+    those of the collection that ``items`` are a part of (default: they are all of it)."""
+    stats = Statistics.of([text for _, text in items]) if stats is None else stats
     words = [_words(text) for _, text in items]
     order = sorted(range(len(items)), key=lambda i: (words[i].tolist(), items[i][0]))  # like beginnings side by side
     items, words = [items[i] for i in order], [words[i] for i in order]
     lengths = np.array([len(w) for w in words], np.float64)
-    average = max(lengths.mean(), 1.0) if len(items) else 1.0
+    average = max(stats.words / stats.items, 1.0) if stats.items else 1.0
     counted = [np.unique(w, return_counts=True) for w in words]
     term = np.concatenate([np.zeros(0, np.uint64), *(t for t, _ in counted)])
     tf = np.concatenate([np.zeros(0), *(c for _, c in counted)]).astype(np.float64)
     item = np.repeat(np.arange(len(items)), [len(t) for t, _ in counted])
-    terms, which, df = np.unique(term, return_inverse=True, return_counts=True)
-    idf = np.log1p((len(items) - df + 0.5) / (df + 0.5))
+    terms, which = np.unique(term, return_inverse=True)
+    df = stats.df[np.searchsorted(stats.terms, terms)] if len(terms) else np.zeros(0)
+    idf = np.log1p((stats.items - df + 0.5) / (df + 0.5))
     weight = idf[which] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[item] / average))
     itself = np.bincount(item, weights=weight, minlength=len(items))
     weight = weight / itself[item]
+    rules = [ways(text, shingle) for _, text in items]
+    reach = np.ones(len(items))
+    if share is not None:
+        ends = np.searchsorted(item, np.arange(len(items) + 1))
+        for k, rule in enumerate(rules):
+            if ends[k + 1] > ends[k]:
+                own = slice(ends[k], ends[k + 1])
+                reach[k] = min(most, least_score(rule, term[own], weight[own], share))
+    weight = weight / reach[item]
     at = np.lexsort((item, which))
     which, item, weight = which[at], item[at], weight[at]
     block = item // BLOCK
@@ -123,7 +201,7 @@ def build_index(items: list[tuple[int, str]], shingle: int) -> Index:
     return Index(
         np.array([i for i, _ in items], np.int64), terms, np.searchsorted(which, np.arange(len(terms) + 1)), item, weight,
         np.searchsorted(which[starts], np.arange(len(terms) + 1)), block[starts],
-        np.maximum.reduceat(weight, starts) if len(starts) else np.zeros(0), [ways(text, shingle) for _, text in items], int(lengths.max()) if len(items) else 0)
+        np.maximum.reduceat(weight, starts) if len(starts) else np.zeros(0), rules, stats.longest, reach)
 
 
 def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +259,7 @@ def search(index: Index, texts, threshold: float, share: float):
         passage, item, score = retrieve(index, pairs // len(index.terms), pairs % len(index.terms), len(text), threshold)
         for p, k, s in zip(passage.tolist(), item.tolist(), score.tolist()):
             if matches(index.ways[k], words[low[p]:high[p]], share):
-                found[i + text[p]].append((int(index.items[k]), s))
+                found[i + text[p]].append((int(index.items[k]), s * index.reach[k]))
     return found
 
 
@@ -194,10 +272,10 @@ def find_contamination(
 
     Passages are windows of twice the longest item's words that overlap by half, so
     an item copied whole lies whole in one. ``threshold`` is the least BM25 score as
-    a share of the item's own; ``share`` of the ``shingle``-word shingles of the whole
+    a share of the item's own, or less where the rule lets a match have less; ``share`` of the ``shingle``-word shingles of the whole
     item, or of question and of answer (see :func:`ways`), must be there (parts with
-    fewer words are one shingle). Items are indexed in shards of about ``index_bytes`` of text, with the statistics of their
-    shard. Null texts match nothing; null items and items without words are left
+    fewer words are one shingle). Items are indexed in shards of about ``index_bytes`` of text, with the statistics of all;
+    the number of shards changes no result. Null texts match nothing; null items and items without words are left
     out; a null ``item_id`` is reported as -1. Repeated rows are judged each. An empty
     table on either side gives no matches.
     """
@@ -207,14 +285,19 @@ def find_contamination(
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-int(total) // index_bytes))
     kind = pa.struct([("item_ids", pa.list_(pa.int64())), ("best_score", pa.float64())])
-    columns = []
-    for shard in range(shards):
-        own = items if shards == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard)
-        index = build_index(sorted((r[0], r[1]) for r in own.collect()), shingle)
+    columns, stats = [], None
+    parts = [items if shards == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard) for shard in range(shards)]
+    if shards > 1:
+        # read once more: a shard at a time is all that the driver holds
+        for part in parts:
+            own = Statistics.of([r["text"] for r in part.select("text").collect()])
+            stats = own if stats is None else stats + own
+    for part in parts:
+        index = build_index(sorted((r[0], r[1]) for r in part.collect()), shingle, share, threshold, stats)
 
         def run(batches, index=index):
             for texts in batches:
-                out = search(index, texts, threshold, share)
+                out = search(index, texts, 1.0, share)
                 yield pa.array([{"item_ids": sorted({k for k, _ in f}), "best_score": max((s for _, s in f), default=None)} for f in out], kind)
 
         columns.append(_arrow_column(run)(F.col(f"`{text}`").cast("string")))
