@@ -162,7 +162,7 @@ def ablation_inputs(spark, sf):
     loss = F.col("rss") + F.col("w2")
     least = F.min(F.when(F.col("experiment") == "full", loss)).over(Window.partitionBy(F.lit(1)))
     rows = sums.join(facts, "experiment").withColumn("fits_train_no_worse", loss >= least * (1 - 1e-12))
-    return rows.select("experiment", "n_features_input", F.lit(test.count()).alias("n_test"), F.abs(r6(F.col("mean_r"))).alias("train_residual"), "fits_train_no_worse")
+    return rows.select("experiment", "n_features_input", F.lit(test.count()).cast("bigint").alias("n_test"), F.abs(r6(F.col("mean_r"))).alias("train_residual"), "fits_train_no_worse")
 
 
 # ---------------------------------------------------------------------------
