@@ -15,6 +15,7 @@ nothing per document is kept between steps or sent to the driver.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 from typing import Iterator
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .hashed_counts import class_counts, labelled_sample
 from .kernels import Rolling, text_bytes, word_hashes
-from .shared import small_batches, written
+from .shared import free_name, small_batches, written
 
 BUCKETS = 1 << 18
 
@@ -143,10 +144,11 @@ def fit_rates(table: DataFrame, weights: np.ndarray | None, tokens: float | None
 
 def mix(
     docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, tokens: float | None = None, temper: float = 0.7,
-    most_labelled: int = 20_000, doc_id: str = "doc_id", text: str = "text", domain: str = "domain",
+    most_labelled: int = 20_000, doc_id: str = "doc_id", text: str = "text", domain: str = "domain", into: str = "mixture",
 ) -> DataFrame:
-    """``docs`` with ``n_tokens, domain_posterior, domain_name, rate, copies`` in a
-    struct column ``mixture``.
+    """``docs`` with a column ``into``: ``struct(n_tokens, posterior, domain, rate, copies)``.
+    A column of that name is replaced. Targets that can't be met, or aren't after all
+    steps, are a warning that says how far they are missed.
 
     ``rate`` is the expected number of copies and ``copies`` a whole number of that
     mean, from a hash of id and text. Null text has no tokens, the prior as its
@@ -169,7 +171,11 @@ def mix(
     table = written(docs.select(own.alias("m")).select("m.n_tokens", "m.posterior"), "posteriors")
     wanted = None if weights is None else np.array([weights.get(name, 0.0) for name in model.domains])
     if table.limit(1).count():
-        rates, *_ = fit_rates(table, wanted, tokens, temper)
+        rates, _, target, reached = fit_rates(table, wanted, tokens, temper)
+        gap = np.abs(reached - target).max() / max(target.sum(), 1.0)
+        if gap > 1e-3:
+            missed = {d: (round(float(a)), round(float(b))) for d, a, b in zip(model.domains, reached, target)}
+            warnings.warn(f"targets missed by up to {gap:.2%} of all tokens: reached and wanted {missed}", stacklevel=2)
     else:
         rates = Rates()
 
@@ -179,9 +185,11 @@ def mix(
             p = np.asarray(column.flatten()).reshape(-1, len(model.domains))
             yield pa.array(rates.of(p))
 
-    name = F.element_at(F.array(*[F.lit(d) for d in model.domains]), F.array_position("__m.posterior", F.array_max("__m.posterior")).cast("int"))
+    own_p = F.col(f"{free_name(docs, 'member')}.posterior")
+    name = F.element_at(F.array(*[F.lit(d) for d in model.domains]), F.array_position(own_p, F.array_max(own_p)).cast("int"))
     chance = F.pmod(F.xxhash64(F.lit("copies"), F.col(f"`{doc_id}`"), F.col(f"`{text}`")), F.lit(1 << 20)) / float(1 << 20)
-    placed = docs.withColumn("__m", own).withColumn("__rate", rate(F.col("__m.posterior")))
-    copies = F.floor("__rate") + (chance < F.col("__rate") - F.floor("__rate")).cast("long")
-    mixture = F.struct(F.col("__m.n_tokens").alias("n_tokens"), F.col("__m.posterior").alias("posterior"), name.alias("domain"), F.col("__rate").alias("rate"), copies.alias("copies"))
-    return placed.withColumn("mixture", mixture).drop("__m", "__rate")
+    m, r = free_name(docs, "member"), free_name(docs, "member_rate")
+    placed = docs.withColumn(m, own).withColumn(r, rate(F.col(f"{m}.posterior")))
+    copies = F.floor(r) + (chance < F.col(r) - F.floor(r)).cast("long")
+    mixture = F.struct(F.col(f"{m}.n_tokens").alias("n_tokens"), own_p.alias("posterior"), name.alias("domain"), F.col(r).alias("rate"), copies.alias("copies"))
+    return placed.withColumn(into, mixture).drop(m, r)

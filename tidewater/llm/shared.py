@@ -52,6 +52,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession) -> None:
     """Fewer rows per Arrow batch than Spark's default of 10,000, so that a batch
     of long texts stays within a Python worker's memory. A session that sets its

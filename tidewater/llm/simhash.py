@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import small_batches, written
+from .shared import free_name, small_batches, written
 
 BITS = 64
 #: Fixed value: the seed of XXH64.
@@ -256,9 +256,10 @@ def one_per_group(docs: DataFrame, words: int = 4, distance: int = 4, doc_id: st
     that repeat that id one stays. Rows without an id stay if no row with an id has
     their fingerprint."""
     found = near_duplicates(docs, words, distance, doc_id=doc_id, text=text)
-    keep = found.where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
+    kept_id, spot = free_name(docs, "kept_id"), free_name(docs, "spot")
+    keep = found.where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias(kept_id)).distinct()
 
-    spot = Window.partitionBy(F.col(f"`{doc_id}`")).orderBy(F.xxhash64(F.col(f"`{text}`")))
-    stay = docs.join(keep, F.col(f"`{doc_id}`").eqNullSafe(F.col("__kept_id")), "left_semi")
-    named = stay.withColumn("__spot", F.row_number().over(spot))
-    return named.where((F.col("__spot") == 1) | F.col(f"`{doc_id}`").isNull()).drop("__spot")
+    same_id = Window.partitionBy(F.col(f"`{doc_id}`")).orderBy(F.xxhash64(F.col(f"`{text}`")))
+    stay = docs.join(keep, F.col(f"`{doc_id}`").eqNullSafe(F.col(kept_id)), "left_semi")
+    named = stay.withColumn(spot, F.row_number().over(same_id))
+    return named.where((F.col(spot) == 1) | F.col(f"`{doc_id}`").isNull()).drop(spot)
