@@ -10,32 +10,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import decontaminate, mixing, queries, sharding, simhash, toxicity
-from tidewater.llm.shared import scratch
+from tidewater.llm.shared import free_name, scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored 0.5 or more as toxic go."""
-    model = queries.toxicity_model(spark, sf_dir, docs)
-    return toxicity.score_texts(docs, model, into="__toxicity").where(F.col("__toxicity.score") < 0.5).drop("__toxicity")
+    """Documents scored 0.5 or more as toxic go; null and empty texts stay. Without labels
+    nothing is known to be toxic."""
+    model, into = queries.toxicity_model(spark, sf_dir, docs), free_name(docs, "toxicity")
+    return toxicity.score_texts(docs, model, into=into).where(F.col(f"{into}.score") < 0.5).drop(into)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by SimHash the document with the smallest id stays."""
+    """Of each group linked by SimHash the document with the smallest id stays; null and
+    empty texts are one group."""
     return simhash.one_per_group(docs, words=4, distance=4)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = decontaminate.find_contamination(docs, queries.table(spark, sf_dir, "benchmark"), into="__contamination")
-    return found.where(F.size("__contamination.item_ids") == 0).drop("__contamination")
+    """Documents that hold a benchmark item go; null and empty texts stay."""
+    into = free_name(docs, "contamination")
+    found = decontaminate.find_contamination(docs, queries.table(spark, sf_dir, "benchmark"), into=into)
+    return found.where(F.size(f"{into}.item_ids") == 0).drop(into)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its rate says."""
+    """Each document as often as its rate says; null and empty texts by the prior's rate."""
     labelled = docs.select("doc_id", F.col("lang").alias("domain")).join(queries.table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    found = mixing.mix(docs, labelled, temper=0.7)
-    copy = F.explode(F.array_repeat(F.lit(0), F.col("mixture.copies").cast("int")))
-    return found.withColumn("__copy", copy).drop("__copy", "mixture")
+    into, copy = free_name(docs, "mixture"), free_name(docs, "copy")
+    found = mixing.mix(docs, labelled, temper=0.7, into=into)
+    return found.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(f"{into}.copies").cast("int")))).drop(copy, into)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
