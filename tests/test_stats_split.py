@@ -212,3 +212,17 @@ def test_several_statistics_in_one_selection(spark):
         assert got.keys() == want.keys()
         assert all((want[k] is None and got[k] is None) or np.isclose(got[k], want[k], rtol=1e-12) for k in want)
     assert quantile_selection(df.limit(0), wanted).count() == 0
+
+
+def test_groupwise_factors_are_the_same_in_every_pass(spark):
+    """A mean's last digits differ from run to run of the same plan; the decile edges are
+    exact ranks of few distinct values, so all passes must see one set of factors."""
+    from tidewater.plans.diagnostics import groupwise_bias_correction
+
+    noise = F.udf(lambda: random.random() * 1e-9, "double").asNondeterministic()
+    rows = spark.range(400).select((F.col("id") % 4).cast("string").alias("league"), (10.0 + F.col("id") % 3).alias("pred_log"),
+                                   (20000.0 + F.col("id")).alias("value"))
+    train = rows.withColumn("target_log", F.col("pred_log") + noise())
+    bc = groupwise_bias_correction(train, rows, group="league", actual="value")
+    assert sum(r["n"] for r in bc.calibration.collect()) == 400
+    assert {r["variant"]: r["n"] for r in bc.comparison.collect()} == {"baseline": 400, "groupwise_bias_corrected": 400}

@@ -20,6 +20,7 @@ from ..functions.scalar import clip_lower, safe_expm1
 from ..operators.stats import (ErrorTables, add_error_columns, calibration_table, coverage_expr, cut_points,
                                distinct_edges, error_tables, group_smearing, quantile_values, selected_quantiles,
                                smearing_factor_expr, top_n, values_of, variant_metrics)
+from ..session import written
 
 
 @dataclass
@@ -115,9 +116,11 @@ def groupwise_bias_correction(train_scored: DataFrame, test_scored: DataFrame, *
     """pred × S_group with the global S as fallback; before/after metrics.
 
     The factor table has one row per group value and joins back with AQE
-    choosing broadcast on its measured size."""
+    choosing broadcast on its measured size. It is written: the last digits of a mean
+    depend on the order its parts arrive in, and the statistics read the corrected rows
+    more than once, so each read must find the same factors."""
     s = smearing_factor(train_scored, actual_log)
-    table = group_smearing(train_scored, group, actual_log, "pred_log")
+    table = written(group_smearing(train_scored, group, actual_log, "pred_log"), "factors")
     err = add_error_columns(test_scored, "pred_log", actual)
     err = err.join(table, on=group, how="left").withColumn(
         "smearing_factor", F.coalesce(F.col("smearing_factor"), F.lit(s)))
