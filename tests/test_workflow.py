@@ -9,6 +9,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF001
+
 from tidewater.operators.report import report_from_artifacts
 from tidewater.plans.workflow import (build_features, club_performance, default_group, load_raw, model_inputs, profile_raw,
                                       run_workflow)
@@ -169,3 +171,41 @@ def test_only_stated_columns_are_inputs(spark, raw_dir):
 def test_absent_group_columns_are_one_group(spark):
     df = default_group(spark.createDataFrame([(1, "x")], "a int, position string"), ["position", "league"])
     assert df.first().asDict() == {"a": 1, "position": "x", "league": "Unknown"}
+
+
+def test_later_versions_start_from_the_written_first_one(spark, monkeypatch):
+    from tidewater.plans import star_queries, workflow, workflow_queries  # noqa: F401 - registers the queries
+
+    calls = []
+    real = workflow.lookback_aggregate
+    monkeypatch.setattr(workflow, "lookback_aggregate", lambda *a, **k: calls.append(1) or real(*a, **k))
+    rows = {r["version"]: r for r in star_queries.QUERIES["feature_versions"](spark, SF001).collect()}
+    assert len(calls) == 1
+    assert [rows[v]["n_rate_columns"] for v in ("v1", "v2", "v3")] == [0, 14, 14]
+    assert len({r["n_rows"] for r in rows.values()}) == 1
+
+
+def test_workflow_features_shuffles_follow_the_input(spark, monkeypatch):
+    """Few shuffle partitions in the session: the written table gets one per share of the input."""
+    from tidewater import session
+    from tidewater.plans import star_queries, workflow_queries
+
+    monkeypatch.setattr(session, "PARTITION_BYTES", 1 << 10)
+    key, seen = "spark.sql.shuffle.partitions", []
+    real = session.sized_shuffles
+
+    def spied(df):
+        class Spy:
+            def __enter__(self):
+                self.inner = real(df)
+                self.inner.__enter__()
+                seen.append(int(spark.conf.get(key)))
+
+            def __exit__(self, *e):
+                return self.inner.__exit__(*e)
+        return Spy()
+    monkeypatch.setattr(session, "sized_shuffles", spied)
+    before = spark.conf.get(key)
+    out = workflow_queries.workflow_features(spark, SF001)
+    assert max(seen) > int(before) and spark.conf.get(key) == before
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()

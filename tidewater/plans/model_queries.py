@@ -232,12 +232,11 @@ class GroupMedianModel:
 def _request_files(spark, sf, reqs: DataFrame, folder: str) -> None:
     """The requests as JSON lines in two sets of files; the second repeats those of every
     seventh order and has a cut-off line for every fiftieth."""
-    lines = requests_as_json(reqs, "request_id")
-    number = F.get_json_object("value", "$.request_id").cast("bigint")
-    again = lines.where(number % 7 == 0)
-    cut = lines.where(number % 50 == 0).select(F.concat(F.lit('{"request_id": "'), number.cast("string")).alias("value"))
-    lines.write.text(f"{folder}/set=1")
-    again.unionByName(cut).write.text(f"{folder}/set=2")
+    number = F.col("request_id").cast("bigint")
+    again = requests_as_json(reqs.where(number % 7 == 0), "request_id")
+    cut = reqs.where(number % 50 == 0).select(F.concat(F.lit('{"request_id": "'), number.cast("string")).alias("value"))
+    requests_as_json(reqs, "request_id").write.text(f"{folder}/set=1", compression="snappy")
+    again.unionByName(cut).write.text(f"{folder}/set=2", compression="snappy")
 
 
 def _streamed(spark, sf) -> str:

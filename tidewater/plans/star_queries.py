@@ -42,7 +42,7 @@ from ..operators.lookback import lookback_aggregate
 from ..operators.split import iso_date, split_summary, time_split
 from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, error_tables,
                                group_smearing, histogram, metrics_by_variant, quantile_values, top_n)
-from ..session import input_stamp, materialize, scratch_path, written_table
+from ..session import input_stamp, materialize, scratch_path, written, written_table
 from ..streaming.scoring_stream import drain, requests_as_json, sink_table, start_scoring
 from .diagnostics import error_analysis, global_bias_correction, groupwise_bias_correction, prediction_intervals
 from ..sources.readers import read_table
@@ -128,11 +128,11 @@ def anchors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lookback_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return lookback_aggregate(
+    return written(lookback_aggregate(
         anchors(spark, sf), facts(spark, sf),
         entity="o_custkey", anchor_time="o_orderdate", fact_time="l_shipdate",
         measures=measure_columns(), windows=WINDOWS, count_name="games_played",
-    )
+    ), "lookback")
 
 
 _LOOKBACK_COLS = [f"{w}_{m}" for w in WINDOWS for m in ["games_played", *MEASURES]]
@@ -1259,7 +1259,7 @@ def stream_scoring(spark, sf):
     reqs = feats.select(F.col("o_orderkey").cast("string").alias("request_id"),
                         F.col("nationality").alias("player_club_domestic_competition_id"),
                         *[c for c in req_cols if c != "player_club_domestic_competition_id"])
-    requests_as_json(reqs, "request_id").write.mode("overwrite").text(f"{root}/in")
+    requests_as_json(reqs, "request_id").write.mode("overwrite").text(f"{root}/in", compression="snappy")
     schema = reqs.schema
     qs = start_scoring(spark, f"{root}/in", schema, model, q10, q90, f"{root}/out", f"{root}/ckpt",
                        coverage_label=coverage_label(0.1, 0.9), age_limits=REQ_AGE_LIMITS)

@@ -118,13 +118,14 @@ def build_features_v1(players: DataFrame, valuations: DataFrame, appearances: Da
 
 
 def build_features(players: DataFrame, valuations: DataFrame, appearances: DataFrame,
-                   version: str = "v3", collapse: dict[str, int] | None = None) -> DataFrame:
+                   version: str = "v3", collapse: dict[str, int] | None = None, first: DataFrame | None = None) -> DataFrame:
     """v1 → v2 (rate columns) → v3 (rare categories collapsed); stops at ``version``.
 
     The v3 keep-lists count the anchor rows before the lookback (the lookback
-    keeps rows 1:1), so fitting them never recomputes the window plan."""
-    anchors = anchor_rows(players, valuations)
-    df = build_features_v1(players, valuations, appearances, anchors)
+    keeps rows 1:1), so fitting them never recomputes the window plan. ``first`` is the v1
+    table where it has been written already: later versions start from it."""
+    anchors = anchor_rows(players, valuations) if first is None else first
+    df = build_features_v1(players, valuations, appearances, anchors) if first is None else first
     if version == "v1":
         return df
     df = add_rate_features(df, list(WINDOWS))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.cleaning import clean_entities
 from ..operators.model import RidgeModel
 from ..operators.stats import error_tables
-from ..session import scratch_path
+from ..session import scratch_path, sized_shuffles, written
 from ..sources.readers import read_artifact, read_table, version_tag
 from ..sources.sinks import save_model, write_summary, write_table
 from .star_queries import SCORED_SQL, _ridge_setup, r4, r6, register, scored
@@ -80,10 +80,10 @@ def workflow_features(spark, sf):
     """Feature table v3 from raw rows: entity base, age filter, lookback totals with an absent and
     an unreadable measure, rates, collapsed categories."""
     out = build_features(*_raw_frames(spark, sf), "v3", {"country_of_birth": 10})
-    return out.select(
+    return written(out.select(
         "o_orderkey", "player_id", "date", r6(F.col("age")).alias("age"), "height_in_cm", "foot", "height_bucket", "country_of_birth", "w180_games_played",
         "w365_games_played", r4(F.col("w180_minutes_played")).alias("w180_minutes_played"), "w365_goals", r6(F.col("w180_goals_per90")).alias("w180_goals_per90"),
-        "w365_assists", r6(F.col("target_log")).alias("target_log"))
+        "w365_assists", r6(F.col("target_log")).alias("target_log")), "workflow-features")
 
 
 @register("feature_versions", _FEATURES_SQL + """
@@ -93,10 +93,13 @@ FROM (VALUES ('v1', 0), ('v2', 14), ('v3', 14)) t(v, rates)
 """)
 def feature_versions(spark, sf):
     """Each version written and read back by the tag in its path: rows stay, columns come."""
-    raw, out = _raw_frames(spark, sf), None
+    raw, out, first = _raw_frames(spark, sf), None, None
     for version in ("v1", "v2", "v3"):
-        path = write_table(build_features(*raw, version, {"country_of_birth": 10}), f"{scratch_path(spark, 'features')}/version={version}")
+        built = build_features(*raw, version, {"country_of_birth": 10}, first)
+        with sized_shuffles(built):
+            path = write_table(built, f"{scratch_path(spark, 'features')}/version={version}")
         table = spark.read.parquet(path)
+        first = table if first is None else first       # the later versions add to v1's rows
         rates = [c for c in table.columns if c.endswith(("_per90", "_per_game", "_any_minutes"))]
         one = table.agg(F.lit(version).alias("version"), F.lit(version_tag(path)).alias("tag"), F.count(F.lit(1)).alias("n_rows"),
                         F.lit(len(rates)).alias("n_rate_columns"), F.count_distinct("country_of_birth").alias("n_countries"))

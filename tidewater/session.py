@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -125,6 +126,44 @@ def release_scratch(spark: SparkSession, since: int = 0) -> int:
     return len(paths)
 
 
+#: Bytes of input files per shuffle partition, and of shuffled data per task, of the tables written here.
+PARTITION_BYTES = 8 << 20
+TASK_BYTES = 16 << 20
+
+
+def input_bytes(df) -> int:
+    """Bytes of the files a frame reads, by one listing per folder."""
+    spark = df.sparkSession
+    files, conf, total = set(df.inputFiles()), spark._jsc.hadoopConfiguration(), 0
+    for folder in {f.rsplit("/", 1)[0] for f in files}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        total += sum(s.getLen() for s in path.getFileSystem(conf).listStatus(path) if s.isFile())
+    return total
+
+
+def _bytes(text: str) -> int:
+    number = text.lower().rstrip("bkmgt")
+    return int(number) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(text.lower().rstrip("b")[len(number):][:1], 0)
+
+
+@contextmanager
+def sized_shuffles(df):
+    """Shuffles of the jobs in the block follow the input of ``df``: a partition for each
+    ``PARTITION_BYTES`` of it (or the session's number, if larger), joined again up to
+    ``TASK_BYTES`` only, so that a task's sorts stay as large as they are however the tables
+    grow. The session's settings are put back afterwards."""
+    conf = df.sparkSession.conf
+    parts, task = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {parts: conf.get(parts), task: conf.get(task)}
+    try:
+        conf.set(parts, str(max(int(before[parts]), -(-input_bytes(df) // PARTITION_BYTES))))
+        conf.set(task, str(min(_bytes(before[task]), TASK_BYTES)))
+        yield
+    finally:
+        for key, value in before.items():
+            conf.set(key, value)
+
+
 def materialize(df):
     """A derived table that feeds several jobs (feature table → model fits), written
     as Parquet to the shared folder: lineage is cut and later scans are pruned."""
@@ -136,7 +175,8 @@ def written(df, name: str):
     lineage is cut, later scans read only their columns, and a lost executor
     costs a re-read."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with sized_shuffles(df):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -168,6 +208,8 @@ def written_table(spark: SparkSession, key: str, build, folder: str | None = Non
     k = (spark.sparkContext.applicationId, key, input_stamp(spark, folder) if folder else "")
     if k not in _WRITTEN:
         path = scratch_path(spark, key.replace("/", "_").replace(":", "_")[-60:])
-        build().write.mode("overwrite").parquet(path)
+        df = build()
+        with sized_shuffles(df):
+            df.write.mode("overwrite").parquet(path)
         _WRITTEN[k] = path
     return spark.read.parquet(_WRITTEN[k])
