@@ -143,3 +143,37 @@ def test_released_scratch_is_gone_and_tables_are_built_again(spark, tmp_path):
     assert os.path.exists(old) and table().inputFiles()[0].endswith(old)
     assert release_scratch(spark) > 0 and not os.path.exists(old)
     assert table().count() == 5 and release_scratch(spark) == 1
+
+
+def test_gram_reads_the_rows_once_after_the_medians(spark):
+    """Means, scales and products come of one pass, those of all rows and of the rows with a target."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(v):
+        seen.add(1)
+        return v
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(1e6, 2.0, 200), rng.normal(size=200)
+    rows = [(float(a), None if i % 9 == 0 else float(b), "pq"[i % 2]) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "x double, y double, c string").repartition(3)
+    df = df.withColumn("x", F.udf(counted, "double").asNondeterministic()("x"))
+    gram = fit_gram(df, "y", ["x"], [], accuracy=10_000)
+    assert seen.value == 2 * len(rows)
+    assert gram.prep.means["x"] == pytest.approx(x.mean()) and gram.prep.scales["x"] == pytest.approx(x.std())
+    z, has = (x - x.mean()) / x.std(), np.arange(200) % 9 != 0
+    m = np.column_stack([z, np.where(has, y, 0.0), np.ones(200)])[has]
+    assert np.allclose(gram.products, m.T @ m)
+
+
+def test_contributions_are_ranked_as_numbers(spark):
+    """The texts of an entry are made for the first ones only; equal sizes keep the features' order."""
+    rows = [(1.0, 1.0, "p", 1.0), (3.0, 3.0, "q", 2.0), (5.0, 5.0, "q", 4.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c string, y double")
+    ex = fit_ridge(df, "y", ["a", "b"], ["c"]).contributions(df, top_k=2)
+    assert "array_sort" not in ex._jdf.queryExecution().optimizedPlan().toString()
+    for r in ex.collect():
+        for side, sign in ((r["top_positive"], 1), (r["top_negative"], -1)):
+            sizes = [sign * e["contribution_log"] for e in side]
+            assert len(side) <= 2 and all(s > 0 for s in sizes) and sizes == sorted(sizes, reverse=True)
+    last = max(ex.collect(), key=lambda r: r["y"])
+    assert [(e["feature"], e["feature_value"]) for e in last["top_positive"]] == [("a", "5.0"), ("b", "5.0")]

@@ -10,8 +10,8 @@ Equivalent of the reference's ColumnTransformer + Ridge:
   ``OneHotEncoder(dropLast=True)`` so unseen/NULL categories become the
   all-zero vector, like ``handle_unknown="ignore"`` (G4);
 * one Gram matrix of all transformed features, the target and a column of
-  ones (XᵀX, Xᵀy, yᵀy, sums): summed over sparse vectors in one pass on the
-  executors (tree aggregation). Any number of fits — ablations, penalties —
+  ones (XᵀX, Xᵀy, yᵀy, sums): summed over blocks of rows in one pass on the
+  executors (tree aggregation), which sums up means and scales too. Any number of fits — ablations, penalties —
   solve a sub-matrix of it on the driver (G6, G12), sklearn's ``Ridge(alpha)``
   closed form with an unpenalised intercept.
 
@@ -30,8 +30,6 @@ import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,6 +96,20 @@ def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Seq
     imputed numerics (as the reference's scaler sees imputed values). A column with more
     than ``max_categories`` categories is an error, raised before any list is collected:
     collapse its rare ones first (E8)."""
+    p = _fit_filling(train, numeric, categorical, accuracy, max_categories)
+    if numeric:
+        imp = p.imputed(train.select(*numeric))
+        row = imp.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(numeric)],
+                      *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(numeric)]).first()
+        p.means = {c: float(row[f"a{i}"] or 0.0) for i, c in enumerate(numeric)}
+        # zero variance → scale 1 (the standardised column is then all zeros)
+        p.scales = {c: (float(row[f"s{i}"]) if row[f"s{i}"] else 1.0) for i, c in enumerate(numeric)}
+    return p
+
+
+def _fit_filling(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], accuracy: int | None = None,
+                 max_categories: int = MAX_CATEGORIES) -> Preprocessing:
+    """Medians, modes and categories; means and scales are still to come."""
     p = Preprocessing(list(numeric), list(categorical))
     if numeric:
         # all columns' medians in one selection
@@ -110,13 +122,6 @@ def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Seq
         p.medians = {c: (float(meds[c]) if meds.get(c) is not None else 0.0) for c in numeric}
     if categorical:
         p.modes, p.labels = category_values(train, categorical, max_categories)
-    if numeric:
-        imp = p.imputed(train.select(*numeric))
-        row = imp.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(numeric)],
-                      *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(numeric)]).first()
-        p.means = {c: float(row[f"a{i}"] or 0.0) for i, c in enumerate(numeric)}
-        # zero variance → scale 1 (the standardised column is then all zeros)
-        p.scales = {c: (float(row[f"s{i}"]) if row[f"s{i}"] else 1.0) for i, c in enumerate(numeric)}
     return p
 
 
@@ -218,23 +223,26 @@ class RidgeModel:
         x = df.withColumn("__given", F.array(*given) if given else F.array().cast("array<double>"))
         x = self.assembled(x, missing)
         table = F.from_json(F.lit(self._feature_table()), "array<struct<name:string,source:string,level:string,coef:double>>")
-        contrib = F.transform(table, lambda e, i: F.struct(
-            e["name"].alias("transformed_feature"), e["source"].alias("feature"),
-            F.coalesce(e["level"], F.get("__given", i).cast("string")).alias("feature_value"),
-            (e["coef"] * F.get("__dense", i)).alias("contribution_log")))
+        coefs = F.from_json(F.lit(json.dumps([float(c) for c in self.coefficients])), "array<double>")
+        # numbers are ranked (ties: in the features' order), both signs at once; only the first ones get their texts
+        sizes = F.transform(F.zip_with(coefs, "__dense", lambda w, v: w * v),
+                            lambda c, i: F.struct(F.abs(c).alias("size"), (-i).alias("back"), c.alias("c")))
+        ranked = F.sort_array(F.filter(sizes, lambda e: e["c"] != 0), asc=False)
+
+        def entry(e):
+            feature = F.get(table, -e["back"])
+            return F.struct(feature["name"].alias("transformed_feature"), feature["source"].alias("feature"),
+                            F.coalesce(feature["level"], F.get("__given", -e["back"]).cast("string")).alias("feature_value"),
+                            e["c"].alias("contribution_log"))
 
         def top(cond):
-            kept = F.filter("__contrib", cond)
-            ordered = F.array_sort(kept, lambda l, r: F.when(
-                F.abs(l["contribution_log"]) > F.abs(r["contribution_log"]), -1).when(
-                F.abs(l["contribution_log"]) < F.abs(r["contribution_log"]), 1).otherwise(0))
-            return F.slice(ordered, 1, top_k)
-        x = x.withColumn("__dense", vector_to_array("__features")).withColumn("__contrib", contrib)
+            return F.transform(F.slice(F.filter("__ranked", lambda e: cond(e["c"])), 1, top_k), entry)
+        x = x.withColumn("__dense", vector_to_array("__features")).withColumn("__ranked", ranked)
         return x.withColumns({
             "baseline_log_value": F.lit(float(self.intercept)),
-            "top_positive": top(lambda e: e["contribution_log"] > 0),
-            "top_negative": top(lambda e: e["contribution_log"] < 0),
-        }).withColumnRenamed("__pred", "pred_log").drop("__given", "__dense", "__contrib").transform(self._without_parts)
+            "top_positive": top(lambda c: c > 0),
+            "top_negative": top(lambda c: c < 0),
+        }).withColumnRenamed("__pred", "pred_log").drop("__given", "__dense", "__ranked").transform(self._without_parts)
 
     def _feature_table(self) -> str:
         """Name, source column, category and coefficient of each transformed feature, as
@@ -358,24 +366,83 @@ def feature_pipeline(prep: Preprocessing) -> PipelineModel:
     return PipelineModel([*stages, one_hot, assemble])
 
 
+#: Numbers in a block of rows that a task multiplies at once, and columns of a product at once.
+BLOCK_NUMBERS, BLOCK_COLUMNS = 1 << 21, 512
+
+
+def _sums_of_products(rows: DataFrame, prep: Preprocessing, target: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Over the filled-in numeric columns less their medians, the one-hot columns, the target
+    and 1: the sums of products of the rows with a target; and the count, sums and sums of
+    squares of the numeric columns of all rows. A task multiplies blocks of rows; the tasks'
+    matrices are added up in a tree."""
+    numeric, shift = len(prep.numeric), [prep.medians[c] for c in prep.numeric]
+    labels = [prep.labels[c] for c in prep.categorical]
+    filled = prep.imputed(rows.withColumn("__y", F.col(target).cast("double")))
+    columns = [(F.col(c) - F.lit(m)).alias(f"n{i}") for i, (c, m) in enumerate(zip(prep.numeric, shift))]
+    columns += [F.col(c).alias(f"c{i}") for i, c in enumerate(prep.categorical)]
+    length = size * size + 3 * max(1, numeric)
+
+    def blocks(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        sums = np.zeros(length)
+        products, moments = sums[:size * size].reshape(size, size), sums[size * size:].reshape(3, -1)
+        step = max(1, BLOCK_NUMBERS // size)
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                x = np.zeros((batch.num_rows, size))
+                for i in range(numeric):
+                    x[:, i] = batch.column(i)
+                if numeric:
+                    moments[0] += len(x)
+                    moments[1] += x[:, :numeric].sum(axis=0)
+                    moments[2] += np.square(x[:, :numeric]).sum(axis=0)
+                start = numeric
+                for i, values in enumerate(labels):
+                    column = batch.column(numeric + i)
+                    index = pc.index_in(column, value_set=pa.array(values, column.type))
+                    known = np.flatnonzero(index.is_valid())
+                    x[known, start + index.drop_null().to_numpy()] = 1.0
+                    start += len(values)
+                y = batch.column(batch.num_columns - 1)
+                x[:, -2], x[:, -1] = y.fill_null(0.0), 1.0
+                x = x[np.asarray(y.is_valid())]
+                for j in range(0, size, BLOCK_COLUMNS):
+                    products[j:j + BLOCK_COLUMNS] += x[:, j:j + BLOCK_COLUMNS].T @ x
+        yield pa.record_batch([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
+
+    parts = filled.select(*columns, "__y").mapInArrow(blocks, "sums binary").rdd
+    sums = parts.treeAggregate(np.zeros(length), lambda a, r: a + np.frombuffer(r["sums"]), np.add)
+    return sums[:size * size].reshape(size, size), sums[size * size:].reshape(3, -1)
+
+
 def fit_gram(train: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
              accuracy: int | None = None, prep: Preprocessing | None = None) -> Gram:
     """The Gram matrix of the rows with a target, in one pass after the statistics of imputation
-    and scaling (G1–G4). Rows are sparse vectors; partial matrices are added up in a tree."""
-    prep = (subset_preprocessing(prep, numeric, categorical) if prep is not None
-            else fit_preprocessing(train, numeric, categorical, accuracy))
+    (G1, G2). The same pass sums up what means and scales need (of all rows, G3): products of
+    numbers less their medians, which lie within a standard deviation of the means, are brought
+    to the standardised columns afterwards."""
+    given = prep is not None
+    prep = subset_preprocessing(prep, numeric, categorical) if given else _fit_filling(train, numeric, categorical, accuracy)
     features = [(c, c, None) for c in prep.numeric]
     features += [(f"{c}={v}", c, v) for c in prep.categorical for v in prep.labels[c]]
     if len(features) > MAX_FEATURES:
         raise ValueError(f"{len(features)} transformed features; at most {MAX_FEATURES}: collapse rare categories first")
-    rows = feature_pipeline(prep).transform(prep.transform(train.where(F.col(target).isNotNull())))
-    rows = rows.select("__features", F.col(target).cast("double").alias("__y"), F.lit(1.0).alias("__one"))
-    rows = VectorAssembler(inputCols=["__features", "__y", "__one"], outputCol="__row").transform(rows).select("__row")
     size = len(features) + 2
-    if rows.isEmpty():
-        return Gram(prep, np.zeros((size, size)), features)
-    products = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "__row"), 0, size).computeGramianMatrix().toArray()
-    return Gram(prep, products, features)
+    products, moments = _sums_of_products(train.where(F.col(target).isNotNull()) if given else train, prep, target, size)
+    if not given:
+        for i, c in enumerate(prep.numeric):
+            n = moments[0, i] or 1.0
+            mean, square = moments[1, i] / n, moments[2, i] / n
+            prep.means[c] = float(prep.medians[c] + mean)
+            # zero variance → scale 1 (the standardised column is then all zeros)
+            prep.scales[c] = float(np.sqrt(np.maximum(square - mean * mean, 0.0))) or 1.0
+    to = np.eye(size)
+    for i, c in enumerate(prep.numeric):
+        to[i, i], to[-1, i] = 1.0 / prep.scales[c], (prep.medians[c] - prep.means[c]) / prep.scales[c]
+    return Gram(prep, to.T @ products @ to, features)
 
 
 def fit_ridge(train: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
