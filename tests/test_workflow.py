@@ -209,3 +209,16 @@ def test_workflow_features_shuffles_follow_the_input(spark, monkeypatch):
     out = workflow_queries.workflow_features(spark, SF001)
     assert max(seen) > int(before) and spark.conf.get(key) == before
     assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_of_a_written_table_are_split(spark, tmp_path, monkeypatch):
+    """What a scan's task sums up ahead of a shuffle doesn't grow with the files."""
+    from tidewater import session
+
+    spark.range(600_000).select(F.rand(1).alias("x")).repartition(1).write.option("parquet.block.size", 256 << 10).parquet(str(tmp_path / "in"))
+    monkeypatch.setattr(session, "SCAN_BYTES", 512 << 10)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    table = session.written_table(spark, f"split:{tmp_path}", lambda: spark.read.parquet(str(tmp_path / "in")).select(
+        "x", F.spark_partition_id().alias("task")))
+    assert table.count() == 600_000 and table.select("task").distinct().count() >= 8
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == kept

@@ -42,7 +42,7 @@ from ..operators.lookback import lookback_aggregate
 from ..operators.split import iso_date, split_summary, time_split
 from ..operators.stats import (add_error_columns, calibration_table, error_by_group, error_summary, error_tables,
                                group_smearing, histogram, metrics_by_variant, quantile_values, top_n)
-from ..session import input_stamp, materialize, scratch_path, written, written_table
+from ..session import SCAN_BYTES, input_stamp, materialize, scratch_path, written, written_table
 from ..streaming.scoring_stream import drain, requests_as_json, sink_table, start_scoring
 from .diagnostics import error_analysis, global_bias_correction, groupwise_bias_correction, prediction_intervals
 from ..sources.readers import read_table
@@ -132,7 +132,7 @@ def lookback_frame(spark: SparkSession, sf: str) -> DataFrame:
         anchors(spark, sf), facts(spark, sf),
         entity="o_custkey", anchor_time="o_orderdate", fact_time="l_shipdate",
         measures=measure_columns(), windows=WINDOWS, count_name="games_played",
-    ), "lookback")
+    ), "lookback", SCAN_BYTES)
 
 
 _LOOKBACK_COLS = [f"{w}_{m}" for w in WINDOWS for m in ["games_played", *MEASURES]]

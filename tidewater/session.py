@@ -129,6 +129,8 @@ def release_scratch(spark: SparkSession, since: int = 0) -> int:
 #: Bytes of input files per shuffle partition, and of shuffled data per task, of the tables written here.
 PARTITION_BYTES = 8 << 20
 TASK_BYTES = 16 << 20
+#: Bytes of input files per scan task of tables whose rows a task sums up before a shuffle.
+SCAN_BYTES = 4 << 20
 
 
 def input_bytes(df) -> int:
@@ -164,18 +166,32 @@ def sized_shuffles(df):
             conf.set(key, value)
 
 
+@contextmanager
+def split_scans(df, scan_bytes: int | None):
+    """Scans of the jobs in the block are split at ``scan_bytes`` (None: as the session has
+    it), so that a task's sums ahead of a shuffle stay as large as they are."""
+    conf, scan = df.sparkSession.conf, "spark.sql.files.maxPartitionBytes"
+    before = conf.get(scan)
+    try:
+        if scan_bytes:
+            conf.set(scan, str(min(_bytes(before), scan_bytes)))
+        yield
+    finally:
+        conf.set(scan, before)
+
+
 def materialize(df):
     """A derived table that feeds several jobs (feature table → model fits), written
     as Parquet to the shared folder: lineage is cut and later scans are pruned."""
     return written(df, "table")
 
 
-def written(df, name: str):
+def written(df, name: str, scan_bytes: int | None = None):
     """``df`` written to the shared checkpoint folder as Parquet and read back:
     lineage is cut, later scans read only their columns, and a lost executor
     costs a re-read."""
     path = scratch_path(df.sparkSession, name)
-    with sized_shuffles(df):
+    with sized_shuffles(df), split_scans(df, scan_bytes):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -209,7 +225,7 @@ def written_table(spark: SparkSession, key: str, build, folder: str | None = Non
     if k not in _WRITTEN:
         path = scratch_path(spark, key.replace("/", "_").replace(":", "_")[-60:])
         df = build()
-        with sized_shuffles(df):
+        with sized_shuffles(df), split_scans(df, SCAN_BYTES):
             df.write.mode("overwrite").parquet(path)
         _WRITTEN[k] = path
     return spark.read.parquet(_WRITTEN[k])
