@@ -128,11 +128,11 @@ def anchors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lookback_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return written(lookback_aggregate(
+    return lookback_aggregate(
         anchors(spark, sf), facts(spark, sf),
         entity="o_custkey", anchor_time="o_orderdate", fact_time="l_shipdate",
         measures=measure_columns(), windows=WINDOWS, count_name="games_played",
-    ), "lookback", SCAN_BYTES)
+    )
 
 
 _LOOKBACK_COLS = [f"{w}_{m}" for w in WINDOWS for m in ["games_played", *MEASURES]]
@@ -176,7 +176,7 @@ FROM a LEFT JOIN f ON f.e = a.o_custkey AND f.d < a.anchor_date AND f.d >= a.anc
 GROUP BY a.o_orderkey, a.o_custkey, a.anchor_date
 """)
 def lookback_totals(spark, sf):
-    lb = lookback_frame(spark, sf)
+    lb = written(lookback_frame(spark, sf), "lookback", SCAN_BYTES)
     return lb.select("o_orderkey", "o_custkey", "anchor_date",
                      *[F.col(c) if c.endswith("games_played") else r6(F.col(c)).alias(c) for c in _LOOKBACK_COLS])
 
@@ -211,7 +211,7 @@ def lookback_rates(spark, sf):
     # window sums of 2-decimal amounts are normalised to 6 decimals before the
     # rates, so both engines divide bit-identical inputs whatever their
     # summation order
-    lb = lookback_frame(spark, sf)
+    lb = written(lookback_frame(spark, sf), "lookback", SCAN_BYTES)
     lb = lb.withColumns({f"{w}_{m}": r6(F.col(f"{w}_{m}")) for w in WINDOWS for m in MEASURES})
     lb = add_rate_features(lb, list(WINDOWS))
     cols = []
