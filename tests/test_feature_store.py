@@ -83,3 +83,25 @@ def test_load_counts_without_a_scan(spark, tmp_path):
     load_table(spark, str(p), out, "rows_to_model", valid="target is not null")
     state = read_json(spark, f"{out}/_current.json")
     assert (state["rows"], state["valid"]) == (3, 2)
+
+
+def test_files_follow_the_cells_not_the_tasks(spark, tmp_path):
+    """Each written cell has its rows in few files however many tasks the tables come from."""
+    schema = "e long, d date, m double, row_id long"
+    rows = [(e, d, m, i) for i, e, d, m in _rows(3, 3000, 0, 200, entities=40)]
+    facts, anchors = spark.createDataFrame(rows, schema).repartition(9), spark.createDataFrame(rows[:900], schema).repartition(9)
+    store = FeatureStore(str(tmp_path / "s"), entity="e", anchor_time="d", fact_time="d", measures={"m": "m"}, windows={"w30": 30},
+                         count_name="n", entity_buckets=2, block_days=100)
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(keep, ("-1", "false")):
+            spark.conf.set(k, v)
+        store.add(spark, "1", anchors.drop("m"), facts)
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    cells = 2 * 2
+    assert cells <= len(_files(f"{tmp_path}/s/facts")) <= 2 * cells
+    assert cells <= len(_files(store.feature_path)) <= 2 * cells
+    assert store.features(spark, ["row_id"]).distinct().count() == 900

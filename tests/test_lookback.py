@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -162,3 +163,15 @@ def test_microsecond_grain_matches_bruteforce(spark):
     for i, u, t, _ in ev:
         sel = [v for j, u2, t2, v in ev if u2 == u and t - dt.timedelta(days=7) <= t2 < t]
         assert rows[i][0] == len(sel) and abs(rows[i][1] - sum(sel)) < 1e-9
+
+
+def test_windows_sum_for_points_only(spark):
+    """Rows of facts have empty frames: the window sums over the frames of points, whose rows
+    lie after all facts; times before 1970 and a point on a fact's day come out right."""
+    from tidewater.operators.lookback import _run_sums
+    totals = spark.createDataFrame([(1, -5, 1.5), (1, 0, 2.0), (1, 3, 4.0), (2, 3, 8.0)], "__e long, __b long, v double")
+    points = spark.createDataFrame([(1, -5), (1, 0), (1, 3), (1, 4), (2, 500)], "__e long, __at long")
+    out = _run_sums(totals, points, {"a": 5, "b": 400}, ["v"])
+    assert sorted(map(tuple, out.collect())) == [(1, -5, None, None), (1, 0, 1.5, 1.5), (1, 3, 2.0, 3.5), (1, 4, 6.0, 7.5), (2, 500, None, None)]
+    frames = re.findall(r"RangeFrame, (-?\d+), (-?\d+)", out._jdf.queryExecution().optimizedPlan().toString())
+    assert frames and all(int(high) < -10**17 for _, high in frames)

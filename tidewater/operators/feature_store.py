@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import partitioned_joins, sized_shuffles, written
 from ..sources.manifest import path_exists
 from ..sources.readers import existing_paths
 from .lookback import lookback_aggregate, time_units
@@ -50,15 +50,20 @@ class FeatureStore:
 
     def _celled(self, df: DataFrame, time: str) -> DataFrame:
         """Rows with an entity and a time, with their cell."""
-        day = time_units(df, time, "day")
         known = df.where(F.col(self.entity).isNotNull() & F.col(time).isNotNull())
-        return known.withColumns({
-            CELL[0]: F.pmod(F.xxhash64(self.entity), F.lit(self.entity_buckets)).cast("int"),
-            CELL[1]: F.floor(day / F.lit(self.block_days)).cast("int")})
+        return known.withColumns(self._cell(F.col(self.entity), time_units(df, time, "day")))
+
+    def _cell(self, entity: Column, day: Column) -> dict[str, Column]:
+        return {CELL[0]: F.pmod(F.xxhash64(entity), F.lit(self.entity_buckets)).cast("int"),
+                CELL[1]: F.floor(day / F.lit(self.block_days)).cast("int")}
 
     def _put(self, df: DataFrame, kind: str, time: str, batch: str) -> DataFrame:
         path = f"{self.path}/{kind}/batch={batch}"
-        self._celled(df, time).write.mode("overwrite").partitionBy(*CELL).parquet(path)
+        celled = self._celled(df, time)
+        if kind == "facts":     # as many files as the cells fill, not one per task and cell
+            celled = celled.hint("rebalance", *CELL)
+        with sized_shuffles(df):
+            celled.write.mode("overwrite").partitionBy(*CELL).parquet(path)
         return self._read(df.sparkSession, kind, [path])
 
     def _read(self, spark: SparkSession, kind: str, paths: list[str] | None = None) -> DataFrame | None:
@@ -105,10 +110,14 @@ class FeatureStore:
         back = -(-max(self.windows.values()) // self.block_days)
         sources = cells.select(CELL[0], F.explode(F.sequence(F.col(CELL[1]) - back, F.col(CELL[1]))).alias(CELL[1])).distinct()
         near = all_facts.join(F.broadcast(sources), CELL, "left_semi").drop(*CELL)
-        out = lookback_aggregate(here, near, entity=self.entity, anchor_time=self.anchor_time, fact_time=self.fact_time,
-                                 measures=dict(self.measures), windows=dict(self.windows), count_name=self.count_name)
-        out = self.finish(out) if self.finish else out
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*CELL).parquet(self.feature_path))
+        with sized_shuffles(near), partitioned_joins(spark):
+            # a cell's rows come out of few tasks, and so in few files: of more than one as partitions outnumber cells
+            slices = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // max(1, cells.count()))
+            out = lookback_aggregate(here, near, entity=self.entity, anchor_time=self.anchor_time, fact_time=self.fact_time,
+                                     measures=dict(self.measures), windows=dict(self.windows), count_name=self.count_name,
+                                     by=lambda e, day: {**self._cell(e, day), "__slice": F.pmod(day, F.lit(slices))})
+            out = self.finish(out) if self.finish else out
+            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*CELL).parquet(self.feature_path)
         return cells
 
     def features(self, spark: SparkSession, columns: list[str | Column] | None = None) -> DataFrame:

@@ -27,7 +27,7 @@ bucket: an entity with a third of all facts spreads over its buckets.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +37,8 @@ from ..functions.scalar import try_double
 
 #: Buckets that the longest window may have.
 BUCKETS = 512
+#: Buckets between the place of a total and that of a point of the same time: more than times span.
+AFTER = 1 << 60
 
 UNIT_PER_DAY = {"day": 1, "second": 86_400, "micros": 86_400 * 1_000_000}
 
@@ -96,12 +98,15 @@ def _running(part: list[Column]) -> tuple:
 def _run_sums(totals: DataFrame, points: DataFrame, spans: Mapping[str, int], names: list[str]) -> DataFrame:
     """``__e, __at, {prefix}{name}``: sums over the buckets ``[at - L, at)`` for each prefix's L.
     One sort by (entity, bucket) and one window node for all lengths; a frame has one row per
-    bucket at most, and an entity as many rows as it has buckets and distinct points."""
-    marks = points.select("__e", F.col("__at").alias("__p"), F.lit(True).alias("__mark"), *[F.lit(None).cast(totals.schema[c].dataType).alias(c) for c in names])
-    stacked = totals.select("__e", F.col("__b").alias("__p"), F.lit(False).alias("__mark"), *names).unionByName(marks)
+    bucket at most, and an entity as many rows as it has buckets and distinct points. Points
+    come ``AFTER`` all totals, with frames that reach back over it: the frames of totals, which
+    nobody reads, are empty and are not summed."""
+    marks = points.select("__e", (F.col("__at") + F.lit(AFTER)).alias("__p"), *[F.lit(None).cast(totals.schema[c].dataType).alias(c) for c in names])
+    stacked = totals.select("__e", F.col("__b").alias("__p"), *names).unionByName(marks)
     ordered = Window.partitionBy("__e").orderBy("__p")
-    sums = [F.sum(c).over(ordered.rangeBetween(-length, -1)).alias(f"{prefix}{c}") for prefix, length in spans.items() for c in names]
-    return stacked.select("__e", F.col("__p").alias("__at"), "__mark", *sums).where(F.col("__mark")).drop("__mark")
+    sums = [F.sum(c).over(ordered.rangeBetween(-AFTER - length, -AFTER - 1)).alias(f"{prefix}{c}") for prefix, length in spans.items() for c in names]
+    found = stacked.select("__e", "__p", *sums).where(F.col("__p") >= AFTER // 2)
+    return found.select("__e", (F.col("__p") - F.lit(AFTER)).alias("__at"), *[f"{prefix}{c}" for prefix in spans for c in names])
 
 
 def _edge_sums(facts: DataFrame, points: DataFrame, spans: Mapping[str, int], width: int, names: list[str]) -> DataFrame:
@@ -127,13 +132,17 @@ def lookback_aggregate(
     windows: Mapping[str, int] | None = None,
     count_name: str = "games_played",
     unit: str = "day",
+    by: Callable[[Column, Column], Mapping[str, Column]] | None = None,
 ) -> DataFrame:
     """Add ``{prefix}_{count_name}`` and ``{prefix}_{measure}`` columns to ``anchors``.
 
     ``windows`` maps a prefix to a window length in days (e.g. ``{"w180": 180}``).
     ``measures`` maps output names to fact columns/expressions; non-numeric or
     missing values count as 0 (B18). Anchor rows are never dropped. ``unit`` is the
-    grain at which times are compared: ``day``, ``second`` or ``micros``."""
+    grain at which times are compared: ``day``, ``second`` or ``micros``. ``by`` names columns
+    that follow from an entity and a time in units: written under
+    :func:`tidewater.session.partitioned_joins` the rows come out partitioned and, unless
+    few, sorted by them, without a shuffle of their own; those that ``anchors`` has stay."""
     windows = dict(windows or {"w180": 180, "w365": 365})
     measures = dict(measures or {})
     fact_time = fact_time or anchor_time
@@ -176,7 +185,12 @@ def lookback_aggregate(
 
     # back to every anchor row; the right side is unique per key
     keyed = anchors.withColumn("__e", F.col(entity)).withColumn("__t", time_units(anchors, anchor_time, unit).cast("bigint"))
-    joined = keyed.join(per_key, on=["__e", "__t"], how="left")
+    keys = ["__e", "__t"]
+    if by is not None:
+        parts = by(F.col("__e").cast(anchors.schema[entity].dataType), F.col("__t"))
+        keyed, per_key = (side.withColumns(dict(parts)).repartition(*parts) for side in (keyed, per_key))
+        keys = [*parts, *keys]
+    joined = keyed.join(per_key, on=keys, how="left").select(*anchors.columns, *outputs.values())
     return joined.withColumns({
         out: F.coalesce(F.col(out), F.lit(0).cast("bigint") if c.endswith("__n") else F.lit(0.0)) for c, out in outputs.items()
-    }).drop("__e", "__t")
+    })

@@ -180,6 +180,19 @@ def split_scans(df, scan_bytes: int | None):
         conf.set(scan, before)
 
 
+@contextmanager
+def partitioned_joins(spark: SparkSession):
+    """Joins of the jobs in the block keep sides that are partitioned alike by some of their
+    keys as they are, instead of shuffling them again by all keys."""
+    conf, whole = spark.conf, "spark.sql.requireAllClusterKeysForCoPartition"
+    before = conf.get(whole)
+    try:
+        conf.set(whole, "false")
+        yield
+    finally:
+        conf.set(whole, before)
+
+
 def materialize(df):
     """A derived table that feeds several jobs (feature table → model fits), written
     as Parquet to the shared folder: lineage is cut and later scans are pruned."""
