@@ -222,3 +222,17 @@ def test_explanations_are_one_literal_in_the_plan(spark):
     df, model = _model(spark)
     plan = model.contributions(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "from_json" not in plan.lower() and "Python" not in plan
+
+
+def test_request_files_are_small_enough_for_all_cores(spark, tmp_path, monkeypatch):
+    """Compressed request files can't be split: they are as many as the table has parts of a size."""
+    import tidewater.plans.model_queries as queries
+    table, folder = str(tmp_path / "t"), str(tmp_path / "in")
+    spark.range(20_000).select(F.col("id").cast("string").alias("request_id"), F.rand(1).alias("age")).coalesce(1).write.option(
+        "parquet.block.size", 16_384).parquet(table)
+    monkeypatch.setattr(queries, "PARTITION_BYTES", 32_768, raising=False)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    queries._request_files(spark, table, spark.read.parquet(table), folder)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert len([p for p in (tmp_path / "in" / "set=1").iterdir() if p.name.startswith("part-")]) > 3
+    assert spark.read.json(f"{folder}/set=1").select("request_id").distinct().count() == 20_000

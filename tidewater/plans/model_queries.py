@@ -17,7 +17,7 @@ from ..operators.baselines import median_tables, predict_group_median
 from ..operators.model import top_coefficients
 from ..operators.scoring import assert_ready, coverage_label, scoring_frame
 from ..operators.stats import metrics_by_variant, quantile_values
-from ..session import input_stamp, scratch_path, written
+from ..session import PARTITION_BYTES, TASK_BYTES, input_stamp, scratch_path, split_scans, written
 from ..streaming.scoring_stream import drain, requests_as_json, sink_table, start_scoring
 from .star_queries import (_REQ_SQL, ABLATION_MODES, ACCT_BUCKETS, CATEGORICAL_INPUTS, GROUP_KEYS, MEASURES, NUMERIC_INPUTS,
                            ORACLE, REQ_AGE_LIMITS, SCORED_SQL, WINDOWS, _gram, _ridge_setup, ablation_columns, r4, r6, register,
@@ -235,7 +235,9 @@ def _request_files(spark, sf, reqs: DataFrame, folder: str) -> None:
     number = F.col("request_id").cast("bigint")
     again = requests_as_json(reqs.where(number % 7 == 0), "request_id")
     cut = reqs.where(number % 50 == 0).select(F.concat(F.lit('{"request_id": "'), number.cast("string")).alias("value"))
-    requests_as_json(reqs, "request_id").write.text(f"{folder}/set=1", compression="snappy")
+    # a compressed file is read by one task: files of a few megabytes keep all cores busy to the end
+    with split_scans(reqs, PARTITION_BYTES):
+        requests_as_json(reqs, "request_id").write.text(f"{folder}/set=1", compression="snappy")
     again.unionByName(cut).write.text(f"{folder}/set=2", compression="snappy")
 
 
@@ -255,8 +257,9 @@ def _streamed(spark, sf) -> str:
             "player_club_domestic_competition_id", *[f"{w}_{t}" for w in WINDOWS for t in ["games_played", *MEASURES]])
         root = scratch_path(spark, "stream")
         _request_files(spark, sf, reqs, f"{root}/in")
-        drain(start_scoring(spark, f"{root}/in/*", reqs.schema, model, q10, q90, f"{root}/out", f"{root}/ckpt",
-                            coverage_label=coverage_label(0.1, 0.9), age_limits=REQ_AGE_LIMITS))
+        with split_scans(reqs, TASK_BYTES):
+            drain(start_scoring(spark, f"{root}/in/*", reqs.schema, model, q10, q90, f"{root}/out", f"{root}/ckpt",
+                                coverage_label=coverage_label(0.1, 0.9), age_limits=REQ_AGE_LIMITS))
         _STREAMED[key] = f"{root}/out"
     return _STREAMED[key]
 
