@@ -185,12 +185,10 @@ def lookback_aggregate(
 
     # back to every anchor row; the right side is unique per key
     keyed = anchors.withColumn("__e", F.col(entity)).withColumn("__t", time_units(anchors, anchor_time, unit).cast("bigint"))
-    keys = ["__e", "__t"]
-    if by is not None:
-        parts = by(F.col("__e").cast(anchors.schema[entity].dataType), F.col("__t"))
-        keyed, per_key = (side.withColumns(dict(parts)).repartition(*parts) for side in (keyed, per_key))
-        keys = [*parts, *keys]
-    joined = keyed.join(per_key, on=keys, how="left").select(*anchors.columns, *outputs.values())
+    parts = dict(by(F.col("__e").cast(anchors.schema[entity].dataType), F.col("__t"))) if by else {}
+    if parts:
+        keyed, per_key = (side.withColumns(parts).repartition(*parts) for side in (keyed, per_key))
+    joined = keyed.join(per_key, on=[*parts, "__e", "__t"], how="left")
     return joined.withColumns({
         out: F.coalesce(F.col(out), F.lit(0).cast("bigint") if c.endswith("__n") else F.lit(0.0)) for c, out in outputs.items()
-    })
+    }).drop("__e", "__t", *[c for c in parts if c not in anchors.columns])
