@@ -40,7 +40,7 @@ from .shared import block_stats, open_block, pack, pack_sorted, part_bits, unpac
 #: Bytes hashed at a trigger, and bytes behind it that all windows of a phrase share.
 GRAM, CORE = 12, 64
 #: Bytes worked on at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 #: What a phrase is, as its partition answers (bits).
 REPEATED, CONTESTED, ASKED = 1, 2, 4
@@ -55,7 +55,7 @@ def window_starts(offsets: np.ndarray, length: int) -> np.ndarray:
     fits = sizes >= length
     np.add.at(change, offsets[:-1][fits], 1)
     np.add.at(change, offsets[:-1][fits] + sizes[fits] - length + 1, -1)
-    return np.cumsum(change)[:-2] > 0
+    return np.cumsum(change, dtype=np.int32)[:-2] > 0
 
 
 def hash_parts(hashes: np.ndarray, bits: int):
@@ -290,7 +290,7 @@ def _cut(length: int, bits: int, window_bits: int):
             twice = where[np.concatenate([np.zeros(0, np.uint8), *bit]).astype(bool)[which]]
             change[twice] += 1  # each start is there once
             change[twice + length] -= 1
-            gone = np.cumsum(change)[:len(own.data)] > 0
+            gone = np.cumsum(change, dtype=np.int32)[:len(own.data)] > 0
             out.append(_documents(own, gone))
         return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256"])
 
@@ -308,7 +308,7 @@ def _documents(own: BlockPhrases, gone: np.ndarray) -> pd.DataFrame:
     end[inner] = gone[inner]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
     cut = np.searchsorted(starts, offsets)
-    removed = np.concatenate([[0], np.cumsum(gone)])[offsets]
+    removed = np.concatenate([[0], np.cumsum(ends - starts)])[cut]  # no span crosses documents
     shas, spans = [], []
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
         text = data[a:b] if removed[i + 1] == removed[i] else data[a:b][~gone[a:b]]
