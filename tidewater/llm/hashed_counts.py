@@ -20,6 +20,28 @@ def labelled_sample(labels: DataFrame, most: int, key: str = "doc_id") -> DataFr
     return F.broadcast(labels.orderBy(F.xxhash64(F.lit("sample"), key), key).limit(most))
 
 
+def add_cells(at: np.ndarray, total: np.ndarray, more: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sets of cells (ascending, distinct) and their counts as one. Memory goes with
+    the cells that were seen, not with all there are."""
+    both, which = np.unique(np.concatenate([at, more]), return_inverse=True)
+    summed = np.zeros(len(both), np.int64)
+    summed[which[:len(at)]] = total
+    summed[which[len(at):]] += counts
+    return both, summed
+
+
+def _cells(label: np.ndarray, text: np.ndarray, ids: list[np.ndarray], buckets: int, classes: int, once: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The cells of some texts' words, and how often each is met; ``text`` is each word's text."""
+    found = []
+    for table, own in enumerate(ids):
+        of = label[text]
+        if once:
+            pairs = np.unique(text * np.int64(buckets) + own)
+            of, own = label[pairs // buckets], pairs % buckets
+        found.append((table * classes + of) * buckets + own)
+    return np.unique(np.concatenate(found), return_counts=True)
+
+
 def class_counts(rows: DataFrame, features, tables: int, buckets: int, classes: int, once: bool = False) -> np.ndarray:
     """``counts[table, class, bucket]`` over rows ``(text, label)``, where
     ``features(data, offsets)`` yields ``(i, j, ids, first)``: for texts ``i`` to
@@ -30,23 +52,16 @@ def class_counts(rows: DataFrame, features, tables: int, buckets: int, classes:
     cells = tables * classes * buckets
 
     def count(batches):
-        total = np.zeros(cells, np.int64)
+        at, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for i, j, ids, first in features(data, offsets):
-                text = np.repeat(np.arange(i, j), np.diff(first))
-                for table, own in enumerate(ids):
-                    of = label[text]
-                    if once:
-                        pairs = np.unique(text * np.int64(buckets) + own)
-                        of, own = label[pairs // buckets], pairs % buckets
-                    total += np.bincount((table * classes + of) * buckets + own, minlength=cells)
+                at, total = add_cells(at, total, *_cells(label, np.repeat(np.arange(i, j), np.diff(first)), ids, buckets, classes, once))
         import pyarrow as pa
-        at = np.flatnonzero(total)
         for low in np.unique(at // SLICE).tolist():
-            own = at[(at >= low * SLICE) & (at < (low + 1) * SLICE)]
-            yield pa.RecordBatch.from_arrays([pa.array([low]), pa.array([pack((own - low * SLICE).astype(np.int32))]), pa.array([pack(total[own])])], ["slice", "cells", "counts"])
+            a, b = np.searchsorted(at, [low * SLICE, (low + 1) * SLICE])
+            yield pa.RecordBatch.from_arrays([pa.array([low]), pa.array([pack((at[a:b] - low * SLICE).astype(np.int32))]), pa.array([pack(total[a:b])])], ["slice", "cells", "counts"])
 
     def add(key: tuple, sent: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(SLICE, np.int64)

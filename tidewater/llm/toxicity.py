@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .hashed_counts import class_counts, labelled_sample
 from .kernels import PLAIN, Rolling, chunks, text_bytes, word_spans
-from .shared import small_batches
+from .shared import pack, small_batches, unpack
 
 #: Buckets of each hashed table (words, longer stems, shorter stems).
 BUCKETS = 1 << 20
@@ -60,6 +60,19 @@ class ToxicityModel:
     slope: float = 0.0
     level: float = 0.0
 
+    def __getstate__(self) -> dict:
+        """Few buckets are in use: the counts travel to the workers as those that are not
+        zero, a small part of the array's 4 bytes a bucket."""
+        flat = self.counts.ravel()
+        at = np.flatnonzero(flat)
+        return {**self.__dict__, "counts": (self.counts.shape, self.counts.dtype.str, pack(at), pack(flat[at]))}
+
+    def __setstate__(self, state: dict) -> None:
+        shape, kind, at, values = state["counts"]
+        counts = np.zeros(math.prod(shape), kind)
+        counts[unpack(at, np.int64)] = unpack(values, kind)
+        self.__dict__.update(state, counts=counts.reshape(shape))
+
     def word_scores(self, ids: list[np.ndarray]) -> np.ndarray:
         q = np.full(len(ids[0]), self.share)
         for table in range(len(ids) - 1, -1, -1):
